@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orgmill.llm import packing, token_counts, token_files
+from orgmill.llm import packing, quality_rules, token_counts, token_files
 from orgmill.llm.common import shared_path, table
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents")).select(*quality_rules.COLUMNS)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -23,5 +27,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_ids(spark, at, with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op5_token_counts, op7_packing, op10_token_files)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op5_token_counts, op7_packing, op10_token_files)}
+ORACLES: dict[str, str] = {"op3_quality_rules": quality_rules.ORACLE}
