@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from orgmill.llm.common import ragged
+from orgmill.llm.common import buffers, ragged
 
 #: Distinct words kept by a worker; beyond it the memory starts anew. It changes speed only.
 MEMORY_WORDS = 700_000
@@ -64,7 +64,8 @@ class WordEncoder:
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and len(texts) + 1 offsets into them."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        data, offsets = buffers(texts)  # without an offset: on a slice, ascii_lower reads the wrong bytes
+        texts = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets), pa.py_buffer(data))
         marked = np.zeros(len(texts), bool)
         for mark in self.special:
             marked |= pc.match_substring(texts, mark).to_numpy(zero_copy_only=False)

@@ -25,6 +25,9 @@ def test_word_encoder_equals_the_library():
         ids, offsets = encoder.ids(pa.array(ODD, pa.string()))
         for i, text in enumerate(ODD):
             assert ids[offsets[i] : offsets[i + 1]].tolist() == library.encode(text or "", add_special_tokens=False).ids
+    many = pa.array([f"é{i} Word Ö." * i for i in range(99)])
+    ids, offsets = encoder.ids(many.slice(37, 40))
+    assert [len(library.encode(x.as_py(), add_special_tokens=False).ids) for x in many.slice(37, 40)] == (offsets[1:] - offsets[:-1]).tolist()
 
 
 @pytest.mark.parametrize("path", [PIECE, BYTE, WORD])
