@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orgmill.llm import packing, quality_rules, token_counts, token_files
+from orgmill.llm import ngram_join, packing, quality_rules, token_counts, token_files
 from orgmill.llm.common import shared_path, table
 
 
@@ -21,11 +21,15 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = shared_path(spark, "token-files")
     token_files.write_ids(table(spark, sf_dir, "documents"), at, public_tokenizers.path("word_bpe_49k.json"))
     return token_files.read_ids(spark, at, with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op5_token_counts, op7_packing, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op5_token_counts, op7_packing, op8_ngram_join, op10_token_files)}
 ORACLES: dict[str, str] = {"op3_quality_rules": quality_rules.ORACLE}
