@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orgmill.llm import ngram_join, packing, quality_rules, token_counts, token_files
+from orgmill.llm import ngram_join, packing, quality_rules, suffix_dedup, token_counts, token_files
 from orgmill.llm.common import shared_path, table
 
 
@@ -17,6 +17,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -31,5 +35,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_ids(spark, at, with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op5_token_counts, op7_packing, op8_ngram_join, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op5_token_counts, op6_suffix_dedup, op7_packing, op8_ngram_join, op10_token_files)}
 ORACLES: dict[str, str] = {"op3_quality_rules": quality_rules.ORACLE}
