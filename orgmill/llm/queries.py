@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orgmill.llm import ngram_join, packing, quality_rules, suffix_dedup, token_counts, token_files
+from orgmill.llm import ngram_join, packing, pitman_yor, quality_rules, suffix_dedup, token_counts, token_files
 from orgmill.llm.common import shared_path, table
 
 
@@ -29,11 +29,15 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.classes(table(spark, sf_dir, "documents"))
 
 
+def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = shared_path(spark, "token-files")
     token_files.write_ids(table(spark, sf_dir, "documents"), at, public_tokenizers.path("word_bpe_49k.json"))
     return token_files.read_ids(spark, at, with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op5_token_counts, op6_suffix_dedup, op7_packing, op8_ngram_join, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op5_token_counts, op6_suffix_dedup, op7_packing, op8_ngram_join, op9_pitman_yor, op10_token_files)}
 ORACLES: dict[str, str] = {"op3_quality_rules": quality_rules.ORACLE}
