@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orgmill.llm import ngram_join, packing, pitman_yor, quality_rules, suffix_dedup, token_counts, token_files, toxicity
+from orgmill.llm import decontaminate, ngram_join, packing, pitman_yor, quality_rules, suffix_dedup, token_counts, token_files, toxicity
 from orgmill.llm.common import shared_path, table
 
 
@@ -17,6 +17,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).select(*quality_rules.COLUMNS)
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_windows", "n_item_windows", "reparameterised")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -43,5 +48,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_ids(spark, at, with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_quality_rules, op5_token_counts, op6_suffix_dedup, op7_packing, op8_ngram_join, op9_pitman_yor, op10_token_files)}
-ORACLES: dict[str, str] = {"op3_quality_rules": quality_rules.ORACLE}
+QUERIES = {f.__name__: f for f in (op2_toxicity, op3_quality_rules, op4_decontaminate, op5_token_counts, op6_suffix_dedup, op7_packing, op8_ngram_join, op9_pitman_yor, op10_token_files)}
+ORACLES: dict[str, str] = {"op4_decontaminate": decontaminate.ORACLE, "op3_quality_rules": quality_rules.ORACLE}
