@@ -249,3 +249,12 @@ def classes(df: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     known = components(found)
     out = named.join(known, F.col("first") == F.col("node"), "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "first", "doc_id").alias("component_id"))
+
+
+def keep_one(df: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """df with one document of each class: that with the smallest id. Rows with one id and one text count once."""
+    named = classes(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), n, percent)
+    gone = named.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
+    kept = df.join(gone, df[id_col].cast("long") == gone["__gone"], "left_anti")
+    once = kept.where(F.col(id_col).isNotNull()).withColumn("__text_key", F.xxhash64(text_col)).dropDuplicates([id_col, "__text_key"]).drop("__text_key")
+    return once.unionByName(kept.where(F.col(id_col).isNull()))

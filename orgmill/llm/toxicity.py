@@ -112,9 +112,9 @@ def vote(docs: DataFrame, mined: list[tuple[str, int, int]]) -> DataFrame:
                         bits |= 1 << (first_mined + groups[w])
                     votes.append(bits)
                     features.append(sorted(place[w] for w in known))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(votes, pa.int32()), pa.array(features, pa.list_(pa.int32()))], names=["doc_id", "held_out", "votes", "features"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("key"), part.column("held_out"), pa.array(votes, pa.int32()), pa.array(features, pa.list_(pa.int32()))], names=["doc_id", "key", "held_out", "votes", "features"])
 
-    return docs.mapInArrow(read, "doc_id long, held_out boolean, votes int, features array<int>")
+    return docs.select("doc_id", "key", "held_out", "text").mapInArrow(read, "doc_id long, key long, held_out boolean, votes int, features array<int>")
 
 
 class LabelModel:
@@ -211,8 +211,8 @@ def fit(rows: list[tuple[int, list[int], float]], size: int, l2: float = 1e-4, r
 
 
 def score(df: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, score, predicted for each row of df."""
-    docs = texts(df, id_col, text_col).withColumn("held_out", held_out("doc_id", 3, 1))
+    """doc_id, held_out, score, predicted and key (a hash of the text) for each row of df."""
+    docs = texts(df, id_col, text_col).withColumn("held_out", held_out("doc_id", 3, 1)).withColumn("key", F.xxhash64("text"))
     own = training_labels(labels)
     chosen = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
     mined = mine(docs, chosen)
@@ -233,9 +233,17 @@ def score(df: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str
             lists = batch.column("features")
             counts = np.asarray(lists.value_lengths(), np.int64)
             at = np.repeat(np.arange(batch.num_rows), counts)
-            total = np.bincount(at, weights[lists.flatten().to_numpy(zero_copy_only=False)], batch.num_rows)
+            total = np.bincount(at, weights[lists.flatten().to_numpy(zero_copy_only=False)], batch.num_rows).astype(np.float64)
             total += bits(batch.column("votes").to_numpy(zero_copy_only=False).astype(np.int64)) @ weights[VOCABULARY:-1] + weights[-1]
             p = 1 / (1 + np.exp(-np.clip(total, -60, 60)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(p), pa.array((p >= threshold).astype(np.int32)), batch.column("key")], names=["doc_id", "held_out", "score", "predicted", "key"])
 
-    return voted.mapInArrow(apply, "doc_id long, held_out boolean, score double, predicted int")
+    return voted.mapInArrow(apply, "doc_id long, held_out boolean, score double, predicted int, key long")
+
+
+def remove_toxic(df: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """df without the documents that score threshold or more."""
+    bad = score(df, labels, threshold, id_col, text_col).where("predicted = 1").select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct()
+    marked = df.withColumn("__text_key", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    on = marked[id_col].cast("long").eqNullSafe(bad["__id"]) & (marked["__text_key"] == bad["__key"])
+    return marked.join(bad, on, "left_anti").drop("__text_key")
