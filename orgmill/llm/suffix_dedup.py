@@ -3,8 +3,8 @@
 A byte goes if a string of LENGTH bytes over it also starts in a document with a smaller id. The result is exact.
 
 1. Anchors. In each string of LENGTH bytes the GRAM-byte string with the least hash is its anchor, so equal strings
-   have equal anchors in equal places. Anchors are a few per cent of all positions. Their hashes (46 bits, packed in
-   blobs, those that repeat in one slice sent once) are exchanged; an anchor that only one document has is dropped.
+   have equal anchors in equal places. Anchors are a few per cent of all positions. Each slice of documents sends its
+   distinct anchor hashes once (packed in blobs); an anchor that only one document has is dropped.
 2. Suffixes. At each anchor left, the suffix of up to LENGTH bytes, followed by up to LENGTH - GRAM bytes before it,
    backwards, holds every string whose anchor it is. Tasks sort their suffixes into runs. Where a run has a suffix of
    two documents, the later one is settled at once and not sent.
@@ -25,19 +25,20 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orgmill.llm.common import BASE, BYTE_CODE, buffers, mix, powers, ragged, slices, stored
+from orgmill.llm.common import BASE, BYTE_CODE, buffers, mix, powers, released, slices, squeezed, stored
 
 LENGTH, GRAM = 50, 26
 #: Suffixes in a run, about; suffixes in a range, about; distinct suffixes of one anchor that one task settles alone.
 RUN, RANGE, GROUP = 150_000, 200_000, 20_000
-#: Anchors that one task compares, about, and rows of a slice.
-BUCKET, SLICE_ROWS = 2_000_000, 50_000
+#: Anchors that one task compares, about, and rows and bytes of a slice.
+BUCKET, SLICE_ROWS, SLICE = 2_000_000, 50_000, 2 << 20
 NO_ID = (1 << 63) - 1
 INVERSE = pow(BASE, -1, 1 << 64)
 _inverse = np.ones(1, np.uint64)
@@ -77,102 +78,92 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
     return at, mix(h[at])
 
 
-def packed(*arrays: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(a.tobytes() for a in arrays))
+def whole(batch: pa.RecordBatch) -> bytes:
+    """All columns of a batch, compressed."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
 
-def unpacked(blob: bytes, n: int, *kinds: str) -> list[np.ndarray]:
-    raw, out, at = zstandard.ZstdDecompressor().decompress(blob), [], 0
-    for kind in kinds:
-        size = n * np.dtype(kind).itemsize
-        out.append(np.frombuffer(raw[at : at + size], kind))
-        at += size
-    return out
+def opened(blob: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(blob).read_next_batch()
+
+
+NEAR = np.uint64((1 << 40) - 1)
 
 
 def find_anchors(docs: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
-    """Rows of kind docs (which rows a slice has), local (anchors that repeat within it) and sent (to a bucket)."""
+    """For each slice of rows: the slice itself, and for each bucket the distinct hashes of its anchors."""
 
     def read(batches):
         part, number = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for some in slices(batch):
+            for some in slices(batch, size=SLICE):
                 for piece in (some.slice(i, SLICE_ROWS) for i in range(0, some.num_rows, SLICE_ROWS)):
                     with np.errstate(over="ignore"):
-                        data, offsets = buffers(piece.column("text"))
-                        at, h = anchors(data, offsets, length, gram)
-                    if not len(at):
-                        continue
-                    name = (part << 32) | number
+                        h = np.unique(anchors(*buffers(piece.column("text")), length, gram)[1])
+                    name = (part << 24) | number
                     number += 1
-                    doc = np.searchsorted(offsets, at, side="right") - 1
-                    place = (at - offsets[doc]).astype(np.uint32)
-                    order = np.lexsort((doc, h))
-                    hs, ds = h[order], doc[order]
-                    new = np.concatenate([[True], hs[1:] != hs[:-1]])
-                    group = np.cumsum(new) - 1
-                    first, last = ds[new], ds[np.concatenate([new[1:], [True]])]
-                    several = (first != last)[group]
-                    kinds, where, counts, blobs = ["docs"], [-1], [piece.num_rows], [packed(piece.column("oid").to_numpy(zero_copy_only=False).astype("<i8"), piece.column("key").to_numpy(zero_copy_only=False).astype("<i8"))]
-                    if several.any():
-                        mine = np.sort(order[several])
-                        kinds.append("local"), where.append(-1), counts.append(len(mine)), blobs.append(packed(doc[mine].astype("<u2"), place[mine].astype("<u4")))
-                    send = np.sort(order[new | ~several])
-                    bucket = ((h[send] >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
-                    by = np.argsort(bucket, kind="stable")
-                    send, bucket = send[by], bucket[by]
-                    edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(send) else np.zeros(1, int)
-                    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                        own = send[a:b]
-                        kinds.append("sent"), where.append(int(bucket[a])), counts.append(b - a)
-                        blobs.append(packed((h[own] & np.uint64(0xFFFFFFFF)).astype("<u4"), ((h[own] >> np.uint64(32)) & np.uint64(0xFF)).astype("u1"), np.diff(doc[own], prepend=0).astype("<i4"), place[own].astype("<u4")))
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(kinds), pa.int64()), pa.array(kinds), pa.array(where, pa.int64()), pa.array(counts, pa.int64()), pa.array(blobs, pa.binary())], names=["slice", "kind", "bucket", "n", "blob"])
-
-    return docs.select("oid", "key", "text").mapInArrow(read, "slice long, kind string, bucket long, n long, blob binary")
+                    rows = [(-1 - name, name, "slice", piece.num_rows, whole(piece))]
+                    bucket = (h >> np.uint64(40)) % np.uint64(buckets)
+                    for b in np.unique(bucket).tolist():
+                        near = np.unique(h[bucket == b] & NEAR)
+                        rows.append((b, name, "sent", len(near), squeezed(np.diff(near, prepend=np.uint64(0)))))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary()))], names=["target", "slice", "kind", "n", "blob"])
+
+    return docs.mapInArrow(read, "target long, slice long, kind string, n long, blob binary")
 
 
 def shared_in_bucket(table: pa.Table) -> pa.Table:
-    names, counts, blobs = table["slice"].to_pylist(), table["n"].to_pylist(), table["blob"].to_pylist()
-    parts = []
-    for i, (n, blob) in enumerate(zip(counts, blobs)):
-        low, high, doc, place = unpacked(blob, n, "<u4", "u1", "<i4", "<u4")
-        parts.append(((high.astype(np.uint64) << np.uint64(32)) | low, np.full(n, i), np.cumsum(doc), place))
-    h, who, doc, place = (np.concatenate(x) for x in zip(*parts))
+    """Hashes of a bucket that several slices have, for each of them; a slice itself goes on as it is."""
+    if table["target"][0].as_py() < 0:
+        return table.select(["slice", "kind", "n", "blob"])
+    names, counts = table["slice"].to_pylist(), table["n"].to_pylist()
+    h = np.concatenate([np.cumsum(released(blob.as_py(), (n, "<u8"))[0]) for n, blob in zip(counts, table["blob"])])
+    who = np.repeat(np.arange(len(names)), counts)
     order = np.argsort(h, kind="stable")
-    hs, owner = h[order], (who[order] << 32) | doc[order]
-    first = np.flatnonzero(np.concatenate([[True], hs[1:] != hs[:-1]]))
-    several = np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first)
-    mine = np.sort(order[np.repeat(several, np.diff(np.append(first, len(hs))))])
-    out = [(names[i], len(own), packed(doc[own].astype("<u2"), place[own].astype("<u4"))) for i in np.unique(who[mine]).tolist() for own in [mine[who[mine] == i]]]
-    columns = list(zip(*out)) if out else [[], [], []]
-    return pa.table({"slice": pa.array(columns[0], pa.int64()), "kind": pa.array(["shared"] * len(out), pa.string()), "n": pa.array(columns[1], pa.int64()), "blob": pa.array(columns[2], pa.binary())})
-
-
-def places_of_slice(table: pa.Table) -> pa.Table:
-    found, rows = [], None
-    for kind, n, blob in zip(table["kind"].to_pylist(), table["n"].to_pylist(), table["blob"].to_pylist()):
-        if kind == "docs":
-            rows = unpacked(blob, n, "<i8", "<i8")
-        else:
-            doc, place = unpacked(blob, n, "<u2", "<u4")
-            found.append((doc.astype(np.int64) << 32) | place)
-    both = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-    doc = both >> 32
-    which, first = np.unique(doc, return_index=True)
-    lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(both)).astype(np.int32)), pa.array((both & 0xFFFFFFFF).astype(np.int64)))
-    return pa.table({"oid": pa.array(rows[0][which], pa.int64()), "key": pa.array(rows[1][which], pa.int64()), "places": lists})
-
-
-def keep_shared(batches):
-    """A text without shared anchors is settled: only its length and digest go on."""
-    for batch in batches:
-        for some in slices(batch):
-            data, offsets = buffers(some.column("text"))
-            raw, none = data.tobytes(), ~np.asarray(some.column("places").is_valid())
-            digests = [hashlib.sha256(raw[a:b]).hexdigest() if x else None for x, a, b in zip(none.tolist(), offsets[:-1].tolist(), offsets[1:].tolist())]
-            columns = {f.name: some.column(f.name) for f in some.schema}
-            columns |= {"n_bytes": pa.array(np.diff(offsets), pa.int64()), "sha": pa.array(digests, pa.string())}
-            yield pa.RecordBatch.from_pydict(columns)
+    again = h[order][1:] == h[order][:-1]
+    several = np.zeros(len(h), bool)
+    several[order[1:][again]] = several[order[:-1][again]] = True
+    out = [(names[i], "shared", int(k), squeezed(np.diff(h[several & (who == i)], prepend=np.uint64(0)))) for i, k in enumerate(np.bincount(who[several], minlength=len(names))) if k]
+    columns = list(zip(*out)) if out else [[]] * 4
+    return pa.table({n: pa.array(c, k) for n, c, k in zip(("slice", "kind", "n", "blob"), columns, (pa.int64(), pa.string(), pa.int64(), pa.binary()))})
+
+
+def keep_shared(length: int, gram: int, keep_text: bool):
+    """The places of a slice's shared anchors. A text without any is settled: its length and digest are enough."""
+
+    def keep(table: pa.Table) -> pa.Table:
+        hashes, batch = [np.zeros(0, np.uint64)], None
+        for kind, n, blob in zip(table["kind"].to_pylist(), table["n"].to_pylist(), table["blob"].to_pylist()):
+            if kind == "slice":
+                batch = opened(blob)
+            else:
+                hashes.append(np.cumsum(released(blob, (n, "<u8"))[0]))
+        data, offsets = buffers(batch.column("text"))
+        with np.errstate(over="ignore"):
+            at, h = anchors(data, offsets, length, gram)
+        doc = np.searchsorted(offsets, at, side="right") - 1
+        shared = np.isin(h & NEAR, np.concatenate(hashes))
+        order = np.lexsort((doc, h))
+        if len(order):  # anchors that several texts of this slice have
+            first = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]]))
+            sizes = np.diff(np.append(first, len(h)))
+            several = doc[order][first] != doc[order][first + sizes - 1]
+            shared[order[np.repeat(several, sizes)]] = True
+        doc, place = doc[shared], (at - offsets[doc])[shared]
+        n_places = np.bincount(doc, minlength=batch.num_rows)
+        raw = data.tobytes()
+        digests = [None if k else hashlib.sha256(raw[a:b]).hexdigest() for k, a, b in zip(n_places.tolist(), offsets[:-1].tolist(), offsets[1:].tolist())]
+        columns = {f.name: batch.column(f.name) for f in batch.schema}
+        if not keep_text:
+            columns["text"] = pc.if_else(pa.array(n_places > 0), batch.column("text"), pa.scalar(None, pa.string()))
+        columns |= {"n_bytes": pa.array(np.diff(offsets), pa.int64()), "sha": pa.array(digests, pa.string()), "n_places": pa.array(n_places, pa.int64())}
+        found = squeezed(np.diff(place, prepend=0).astype("<i4"))
+        return pa.table({"slice": table["slice"][:1], "n_places": pa.array([len(place)], pa.int64()), "rows": pa.array([whole(pa.RecordBatch.from_pydict(columns))], pa.binary()), "places": pa.array([found], pa.binary())})
+
+    return keep
 
 
 def suffixes(data: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray, length: int, gram: int) -> np.ndarray:
@@ -187,16 +178,17 @@ def suffixes(data: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarr
     return out
 
 
-def suffixes_of(batch: pa.RecordBatch, length: int, gram: int):
-    """For a slice of texts with places: suffixes, ids, row keys, places, left and right lengths."""
+def suffixes_of(row: dict, length: int, gram: int):
+    """For a slice: suffixes, ids, row names, places, left and right lengths."""
+    batch = opened(row["rows"])
     data, offsets = buffers(batch.column("text"))
-    lists = batch.column("places")
-    place, counts = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.asarray(lists.value_lengths(), np.int64)
+    counts = batch.column("n_places").to_numpy()
+    place = np.cumsum(released(row["places"], (row["n_places"], "<i4"))[0], dtype=np.int64)
     doc = np.repeat(np.arange(batch.num_rows), counts)
     left = np.minimum(place, length - gram)
-    right = np.minimum(np.diff(offsets)[doc] - place, length)
+    right = np.minimum(batch.column("n_bytes").to_numpy()[doc] - place, length)
     rows = suffixes(data, offsets[doc] + place, left, right, length, gram)
-    return rows, batch.column("oid").to_numpy(zero_copy_only=False)[doc], batch.column("key").to_numpy(zero_copy_only=False)[doc], place, left, right
+    return rows, batch.column("oid").to_numpy(zero_copy_only=False)[doc], (row["slice"] << 16) | doc, place, left, right
 
 
 def as_strings(rows: np.ndarray) -> np.ndarray:
@@ -249,15 +241,16 @@ def runs_of(splitters: list[bytes], length: int, gram: int):
             differs = own[1:] != own[:-1]
             shared = np.concatenate([[0], np.where(differs.any(axis=1), differs.argmax(axis=1), own.shape[1])])
             tails = own[np.arange(own.shape[1]) >= shared[:, None]]
-            out.append(("run", int(which[a]), b - a, packed(oid[a:b].astype("<i8"), key[a:b].astype("<i8"), place[a:b].astype("<u4"), shared.astype("u1"), tails)))
+            out.append(("run", int(which[a]), b - a, squeezed(oid[a:b].astype("<i8"), key[a:b].astype("<i8"), place[a:b].astype("<u4"), shared.astype("u1"), tails)))
         yield pa.RecordBatch.from_arrays([*[pa.array(x, k) for x, k in zip(zip(*out), kinds)], *[pa.array([None] * len(out), k) for k in kinds[4:]]], names=names)
 
     def read(batches):
         parts, total = [], 0
         for batch in batches:
-            for some in slices(batch):
-                parts.append(suffixes_of(some, length, gram))
-                total += len(parts[-1][1])
+            for row in batch.to_pylist():
+                if row["n_places"]:
+                    parts.append(suffixes_of(row, length, gram))
+                    total += len(parts[-1][1])
                 if total >= RUN:
                     yield from sort(parts)
                     parts, total = [], 0
@@ -269,7 +262,7 @@ def runs_of(splitters: list[bytes], length: int, gram: int):
 
 def decoded(n: int, blob: bytes, width: int):
     """(suffix, prefix length shared with the one before, id, row key, place) of a front-coded run, in order."""
-    oid, key, place, shared = unpacked(blob, n, "<i8", "<i8", "<u4", "u1")
+    oid, key, place, shared = released(blob, (n, "<i8"), (n, "<i8"), (n, "<u4"), (n, "u1"))
     raw = zstandard.ZstdDecompressor().decompress(blob)[n * 21 :]
     suffix, at = b"", 0
     for o, k, p, s in zip(oid.tolist(), key.tolist(), place.tolist(), shared.tolist()):
@@ -414,58 +407,64 @@ def settle_range(length: int, gram: int):
     return settle
 
 
-def find_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, sha (of a text that loses nothing for sure), text (of the others), spans to remove, and rest:
-    the other columns of df, a struct."""
+def find_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True) -> DataFrame:
+    """A row for each slice of df: rows (an Arrow stream of its rows) and spans (name, start, end) to remove from them.
+
+    The stream has doc_id, text, rest (the other columns, a struct), n_bytes and sha (of a text that loses nothing for
+    sure; without keep_text such a text is null). A row's name ends with its place in the slice (16 bits).
+    """
     others = [c for c in df.columns if c not in (id_col, text_col)]
     docs = df.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("oid"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
         F.struct(*[F.col(f"`{c}`") for c in others] or [F.lit(0).alias("none")]).alias("rest"),
-    ).withColumn("key", F.xxhash64("text"))
+    )
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    found = stored(find_anchors(docs, max(1, int(size * 2 / (length - gram + 2)) // BUCKET + 1), length, gram), "anchors")
-    shared = found.where("kind = 'sent'").groupBy("bucket").applyInArrow(shared_in_bucket, "slice long, kind string, n long, blob binary")
-    wanted = found.where("kind in ('docs', 'local')").drop("bucket").unionByName(shared)
-    places = wanted.groupBy("slice").applyInArrow(places_of_slice, "oid long, key long, places array<long>").dropDuplicates(["oid", "key"])
-    joined = docs.join(places, ["oid", "key"], "left").select("doc_id", "oid", "key", "rest", "text", "places")
-    schema = T.StructType([*joined.schema.fields, T.StructField("n_bytes", T.LongType()), T.StructField("sha", T.StringType())])
-    joined = joined.mapInArrow(keep_shared, schema).withColumn("text", F.when(F.col("places").isNotNull(), F.col("text")))
-    kept = stored(joined, "texts")
-    inside = kept.where("places is not null").select("oid", "key", "text", "places")
-    total = inside.agg(F.sum(F.size("places"))).first()[0] or 0
+    found = find_anchors(docs, int(size * 2 / (length - gram + 2)) // BUCKET + 1, length, gram)
+    shared = found.groupBy("target").applyInArrow(shared_in_bucket, "slice long, kind string, n long, blob binary")
+    kept = stored(shared.groupBy("slice").applyInArrow(keep_shared(length, gram, keep_text), "slice long, n_places long, rows binary, places binary"), "slices")
+    total = kept.agg(F.sum("n_places")).first()[0] or 0
     ranges = total // RANGE + 1
     splitters: list[bytes] = []
     if ranges > 1:
 
         def sample(batches):
             for batch in batches:
-                for some in slices(batch):
-                    rows = suffixes_of(some, length, gram)[0][:, :gram]
-                    rows = rows[np.random.default_rng(len(rows)).choice(len(rows), min(len(rows), 200), replace=False)] if len(rows) else rows
+                for row in batch.to_pylist():
+                    rows = suffixes_of(row, length, gram)[0][:, :gram] if row["n_places"] else np.zeros((0, gram), np.uint8)
+                    rows = rows[np.random.default_rng(len(rows)).choice(len(rows), min(len(rows), 1000), replace=False)]
                     yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in rows], pa.binary())], names=["x"])
 
-        some = sorted(bytes(r["x"]) for r in inside.mapInArrow(sample, "x binary").orderBy(F.xxhash64("x"), "x").limit(40 * ranges).collect())
+        some = sorted(bytes(r["x"]) for r in kept.mapInArrow(sample, "x binary").orderBy(F.xxhash64("x"), "x").limit(40 * ranges).collect())
         splitters = sorted(set(some[len(some) * i // ranges] for i in range(1, ranges)))
-    runs = stored(inside.mapInArrow(runs_of(splitters, length, gram), "kind string, range int, n long, blob binary, " + SPANS), "runs")
+    runs = stored(kept.mapInArrow(runs_of(splitters, length, gram), "kind string, range int, n long, blob binary, " + SPANS), "runs")
     settled = stored(runs.where("kind = 'run'").select("range", "n", "blob").groupBy("range").applyInArrow(settle_range(length, gram), SETTLED), "settled")
     windows = settled.where("window is not null")
     least = windows.groupBy("window").agg(F.min("oid").alias("least"))
-    spans = [runs.where("kind = 'span'").select("oid", "key", "start", "end"), settled.where("window is null").drop("window")]
-    spans.append(windows.join(least, "window").where("oid > least").select("oid", "key", "start", "end"))
-    all_spans = spans[0].union(spans[1]).union(spans[2]).groupBy("oid", "key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    return kept.drop("places").join(all_spans, ["oid", "key"], "left").select("doc_id", "n_bytes", "sha", "text", "spans", "rest")
+    spans = runs.where("kind = 'span'").select("key", "start", "end").union(settled.where("window is null").select("key", "start", "end"))
+    spans = spans.union(windows.join(least, "window").where("oid > least").select("key", "start", "end"))
+    by_slice = spans.groupBy(F.shiftright("key", 16).alias("slice")).agg(F.collect_list(F.struct("key", "start", "end")).alias("spans"))
+    return kept.select("slice", "rows").join(by_slice, "slice", "left").select("rows", "spans")
+
 
+def rows_with_spans(row: dict):
+    """The rows of a slice with the disjoint spans to remove from each."""
+    batch, spans = opened(row["rows"]), row["spans"] or []
+    of: dict[int, list[tuple[int, int]]] = {}
+    for s in spans:
+        of.setdefault(s["key"] & 0xFFFF, []).append((s["start"], s["end"]))
+    return batch, [joined_spans(of.get(i, [])) for i in range(batch.num_rows)]
 
-def joined_spans(spans: list[dict]) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for a, b in sorted((s["start"], s["end"]) for s in spans or []):
+
+def joined_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
         if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
+            out[-1] = (out[-1][0], max(out[-1][1], b))
         else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
+            out.append((a, b))
+    return out
 
 
 def without(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -481,14 +480,43 @@ def digests(df: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
 
     def digest(batches):
         for batch in batches:
-            for some in slices(batch):
-                out = []
-                for row in some.to_pylist():
-                    spans = joined_spans(row["spans"])
-                    sha = row["sha"] or hashlib.sha256(without((row["text"] or "").encode(), spans)).hexdigest()
-                    out.append((row["doc_id"], row["n_bytes"], sum(b - a for a, b in spans), len(spans), sha))
-                kinds = [pa.int64()] * 4 + [pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 5, kinds)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-    found = find_repeats(df.select("doc_id", "text"), length, gram).select("doc_id", "n_bytes", "sha", "text", "spans")
-    return found.mapInArrow(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+            for row in batch.to_pylist():
+                rows, spans = rows_with_spans(row)
+                found = [x or hashlib.sha256(without((t or "").encode(), s)).hexdigest() for x, t, s in zip(rows.column("sha").to_pylist(), rows.column("text").to_pylist(), spans)]
+                columns = [rows.column("doc_id"), rows.column("n_bytes"), pa.array([sum(b - a for a, b in s) for s in spans], pa.int64()), pa.array([len(s) for s in spans], pa.int64()), pa.array(found, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+    return find_repeats(df.select("doc_id", "text"), length, gram, keep_text=False).mapInArrow(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+def whole_characters(raw: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans without the bytes of characters that they hold in part."""
+    out = []
+    for a, b in spans:
+        while a < b and raw[a] & 0xC0 == 0x80:
+            a += 1
+        while b > a and b < len(raw) and raw[b] & 0xC0 == 0x80:
+            b -= 1
+        out.append((a, b))
+    return out
+
+
+def remove_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """df with the repeated strings cut out of its texts (whole characters only); all other columns as they are."""
+    others = [f for f in df.schema.fields if f.name not in (id_col, text_col)]
+
+    def cut(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                rows, spans = rows_with_spans(row)
+                kept = []
+                for text, s in zip(rows.column("text").to_pylist(), spans):
+                    raw = text.encode()
+                    kept.append(without(raw, whole_characters(raw, s)).decode() if s else text)
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(kept, pa.string()), rows.column("rest")], names=["doc_id", "text", "rest"])
+
+    rest = T.StructType(others) if others else T.StructType([T.StructField("none", T.IntegerType())])
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("rest", rest)])
+    found = find_repeats(df, length, gram, id_col, text_col).mapInArrow(cut, schema)
+    column = {id_col: F.col("doc_id").cast(df.schema[id_col].dataType), text_col: F.col("text")}
+    return found.select(*[column.get(c, F.col(f"rest.`{c}`")).alias(c) for c in df.columns])
