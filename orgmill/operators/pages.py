@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orgmill.functions import expressions as X
 from orgmill.functions import fixed
-from orgmill.operators.resolve import written
+from orgmill.shared import stored
 
 ANCHOR = r"""(?is)<a\b[^>]*href\s*=\s*["']([^"']+)["'][^>]*>(.*?)</a>"""
 #: What each fact of a directory page stands in; one group each.
@@ -62,14 +62,14 @@ def facts_to_candidates(facts: DataFrame, text: str) -> DataFrame:
 
 def crawl_reach(seeds: DataFrame, edges: DataFrame, max_depth: int = 50) -> DataFrame:
     """id, depth: breadth first from seeds (id) over edges (a, b), each node once."""
-    frontier = written(seeds.select("id").distinct().withColumn("depth", F.lit(0)))
+    frontier = stored(seeds.select("id").distinct().withColumn("depth", F.lit(0)), "frontier")
     visited = frontier
     for depth in range(1, max_depth + 1):
         step = frontier.join(edges, frontier["id"] == edges["a"]).select(F.col("b").alias("id")).distinct()
-        frontier = written(step.join(visited, "id", "left_anti").withColumn("depth", F.lit(depth)))
+        frontier = stored(step.join(visited, "id", "left_anti").withColumn("depth", F.lit(depth)), "frontier")
         if not frontier.limit(1).count():
             break
-        visited = written(visited.union(frontier))
+        visited = stored(visited.union(frontier), "visited")
     return visited
 
 

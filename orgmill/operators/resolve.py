@@ -2,26 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orgmill.functions import expressions as X
 from orgmill.functions import fixed
-
-
-def written(df: DataFrame) -> DataFrame:
-    """df as a table in the cluster's shared folder (spark.checkpoint.dir): its lineage ends there."""
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/step-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from orgmill.shared import stored
 
 
 def connected(links: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -31,13 +17,13 @@ def connected(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     aggregated before the shuffle; no neighbourhood is gathered in one place.
     """
     edges = links.where("a <> b").select("a", "b")
-    edges = written(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    roots = written(edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("root")))
+    edges = stored(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    roots = stored(edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("root")), "roots")
     for _ in range(max_rounds):
         near = edges.join(roots.select(F.col("id").alias("b"), "root"), "b").groupBy(F.col("a").alias("id")).agg(F.min("root").alias("near"))
         new = roots.join(near, "id").select("id", F.least("root", "near").alias("mid"), F.col("root").alias("old"))
         jump = roots.select(F.col("id").alias("mid"), F.col("root").alias("far"))
-        new = written(new.join(jump, "mid", "left").select("id", "old", F.least("mid", F.coalesce("far", "mid")).alias("root")))
+        new = stored(new.join(jump, "mid", "left").select("id", "old", F.least("mid", F.coalesce("far", "mid")).alias("root")), "roots")
         if not new.where("old <> root").limit(1).count():
             return new.select("id", "root")
         roots = new.select("id", "root")

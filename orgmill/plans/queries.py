@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from orgmill.functions import expressions as X
 from orgmill.functions import fixed
 from orgmill.operators import classify, evidence, pages, records, resolve, standardize, state
+from orgmill.shared import shared_path
 from orgmill.sources import io
 from orgmill.streaming import state as streams
 
@@ -33,14 +33,6 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared(spark: SparkSession, name: str) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def sql_list(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
@@ -644,7 +636,7 @@ def unwrap_json(spark, d):
 
 @query("SELECT s_suppkey, s_name, s_nationkey FROM supplier")
 def json_roundtrip(spark, d):
-    path = shared(spark, "envelope")
+    path = shared_path(spark, "envelope")
     s = t(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     io.write_envelope(s, path, "2024-01-01T00:00:00Z", "s_suppkey")
     return io.read_export(spark, path, "s_suppkey bigint, s_name string, s_nationkey int")
@@ -652,7 +644,7 @@ def json_roundtrip(spark, d):
 
 @query("SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 2 = 0 THEN 'review' ELSE 'rejected' END AS outcome FROM supplier")
 def outcome_store(spark, d):
-    path = shared(spark, "outcomes")
+    path = shared_path(spark, "outcomes")
     io.write_outcomes(t(spark, d, "supplier").select("s_suppkey", "s_name", F.when(F.col("s_suppkey") % 2 == 0, "review").otherwise("rejected").alias("outcome")), path)
     return io.read_state(spark, path, "s_suppkey bigint, s_name string, outcome string")
 
@@ -660,14 +652,14 @@ def outcome_store(spark, d):
 def drained(df: DataFrame, mode: str, name: str) -> DataFrame:
     """A stream over what is there now, as a table in memory of the session."""
     spark, table = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
-    df.writeStream.format("memory").queryName(table).outputMode(mode).option("checkpointLocation", shared(spark, name)).trigger(availableNow=True).start().awaitTermination()
+    df.writeStream.format("memory").queryName(table).outputMode(mode).option("checkpointLocation", shared_path(spark, name)).trigger(availableNow=True).start().awaitTermination()
     return spark.table(table)
 
 
 def event_stream(spark, d) -> DataFrame:
     batch_ = t(spark, d, "events")
     # a folder is what a file stream reads: the one file, or the parts, under a name of their own
-    path = shared(spark, "events")
+    path = shared_path(spark, "events")
     batch_.write.parquet(path)
     return streams.read_events(spark, path, batch_.schema)
 
@@ -684,7 +676,7 @@ def stream_new_ids(spark, d):
 
 @query("SELECT DISTINCT user_id, event_type FROM events")
 def stream_append_once(spark, d):
-    target, marks = shared(spark, "evidence"), shared(spark, "marks")
+    target, marks = shared_path(spark, "evidence"), shared_path(spark, "marks")
     events = event_stream(spark, d).select("user_id", "event_type")
     for _ in range(2):  # the second pass finds everything there
         events.writeStream.foreachBatch(streams.append_once(target, ["user_id", "event_type"])).option("checkpointLocation", f"{marks}-{uuid.uuid4().hex}").trigger(availableNow=True).start().awaitTermination()
