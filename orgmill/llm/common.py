@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,6 +9,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orgmill.shared import shared_path, stored  # noqa: F401  for the operators of this folder
+
 #: ASCII white space: what separates words everywhere in this folder.
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -24,26 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares (spark.checkpoint.dir); a temporary one only where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read again: its lineage is cut, and any executor may be lost afterwards."""
-    spark, path = df.sparkSession, shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only id and text, under fixed names, so no further column of df can clash; a null text is empty."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
