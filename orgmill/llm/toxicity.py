@@ -71,7 +71,7 @@ def training_labels(labels: DataFrame) -> DataFrame:
 
 
 def mine(docs: DataFrame, sample: DataFrame) -> list[tuple[str, int, int]]:
-    """(word, toxic documents, others) of the VOCABULARY words that separate the sample best."""
+    """(word, toxic documents, others) of the VOCABULARY words that separate the sample best by log likelihood ratio."""
     some = docs.join(F.broadcast(sample), "doc_id").select("text", "toxic")
 
     def distinct(batches):
@@ -83,9 +83,11 @@ def mine(docs: DataFrame, sample: DataFrame) -> list[tuple[str, int, int]]:
     counts = counts.groupBy("word").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")).where("a + b >= 5")
     rows = sample.groupBy("toxic").count().collect()
     totals = {r["toxic"]: r["count"] for r in rows}
-    odds = F.log((F.col("a") + 0.5) / (totals.get(1, 0) + 1.0)) - F.log((F.col("b") + 0.5) / (totals.get(0, 0) + 1.0))
-    z = F.abs(odds / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5)))
-    return [(r["word"], r["a"], r["b"]) for r in counts.orderBy(F.round(z, 9).desc(), "word").limit(VOCABULARY).collect()]
+    n1, n0 = float(totals.get(1, 0)), float(totals.get(0, 0))
+    share = (F.col("a") + F.col("b")) / max(n1 + n0, 1.0)
+    part = lambda seen, expected: seen * F.log(F.greatest(seen, F.lit(1e-9)) / F.greatest(expected, F.lit(1e-9)))
+    gain = part(F.col("a"), share * n1) + part(F.col("b"), share * n0) + part(n1 - F.col("a"), (1 - share) * n1) + part(n0 - F.col("b"), (1 - share) * n0)
+    return [(r["word"], r["a"], r["b"]) for r in counts.orderBy(F.round(gain, 6).desc(), "word").limit(VOCABULARY).collect()]
 
 
 def vote(docs: DataFrame, mined: list[tuple[str, int, int]]) -> DataFrame:
@@ -190,23 +192,22 @@ def label_model(voted: DataFrame, labels: DataFrame) -> tuple[LabelModel, np.nda
     return LabelModel(x, counts), x, counts
 
 
-def fit(rows: list[tuple[int, list[int], float]], size: int, l2: float = 1e-4, rounds: int = 400) -> np.ndarray:
-    """Logistic regression on soft labels by accelerated gradient descent; the last weight is the bias."""
+def fit(rows: list[tuple[int, list[int], float]], size: int, l2: float = 1e-4, rounds: int = 250) -> np.ndarray:
+    """Logistic regression on soft labels by full-batch Adam; the last weight is the bias."""
     if not rows:
         return np.append(np.zeros(size - 1), -3.0)
     target = np.array([y for _, _, y in rows])
     lists = [[*f, *[VOCABULARY + i for i in range(len(VOTERS)) if v >> i & 1], size - 1] for v, f, _ in rows]
     row = np.repeat(np.arange(len(rows)), [len(x) for x in lists])
     column = np.fromiter((c for x in lists for c in x), np.int64, len(row))
-    longest = max(len(x) for x in lists)
-    w = z = np.zeros(size)
-    step, before = 4.0 / longest, 1.0
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, z[column], len(rows)), -30, 30)))
-        gradient = np.bincount(column, (p - target)[row], size) / len(rows) + l2 * z
-        after = (1 + np.sqrt(1 + 4 * before * before)) / 2
-        new = z - step * gradient
-        w, z, before = new, new + (before - 1) / after * (new - w), after
+    mean = np.clip(target.mean(), 1e-3, 1 - 1e-3)
+    w, first, second = np.zeros(size), np.zeros(size), np.zeros(size)
+    w[-1] = np.log(mean / (1 - mean))
+    for k in range(1, rounds + 1):
+        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[column], len(rows)), -30, 30)))
+        gradient = np.bincount(column, (p - target)[row], size) / len(rows) + l2 * np.append(w[:-1], 0.0)
+        first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
+        w = w - 0.3 * (1 - k / (rounds + 1)) * (first / (1 - 0.9**k)) / (np.sqrt(second / (1 - 0.999**k)) + 1e-8)
     return w
 
 
