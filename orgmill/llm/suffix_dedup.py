@@ -38,7 +38,7 @@ LENGTH, GRAM = 50, 26
 #: Suffixes in a run, about; suffixes in a range, about; distinct suffixes of one anchor that one task settles alone.
 RUN, RANGE, GROUP = 150_000, 200_000, 20_000
 #: Anchors that one task compares, about, and rows and bytes of a slice.
-BUCKET, SLICE_ROWS, SLICE = 2_000_000, 50_000, 2 << 20
+BUCKET, SLICE_ROWS, SLICE = 2_000_000, 50_000, 1 << 20
 NO_ID = (1 << 63) - 1
 INVERSE = pow(BASE, -1, 1 << 64)
 _inverse = np.ones(1, np.uint64)
@@ -195,28 +195,24 @@ def as_strings(rows: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(rows).view(f"S{rows.shape[1]}").ravel()
 
 
-def merged_spans(oid: np.ndarray, key: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
-    """Overlapping spans of a text joined."""
-    if not len(oid):
-        return [oid, key, start, end]
-    order = np.lexsort((end, start, key, oid))
-    oid, key, start, end = oid[order], key[order], start[order], end[order]
-    doc = np.cumsum(np.concatenate([[0], (oid[1:] != oid[:-1]) | (key[1:] != key[:-1])]))
-    shift = doc * (int(end.max()) + 2)
+def merged_spans(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+    """Overlapping spans of a text joined, by text and start."""
+    if not len(key):
+        return [key, start, end]
+    order = np.lexsort((start, key))
+    key, start, end = key[order], start[order], end[order]
+    text = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
+    shift = text * (int(end.max()) + 2)
     reach = np.maximum.accumulate(end + shift)
-    new = np.concatenate([[True], (start + shift)[1:] > reach[:-1]])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(oid)) - 1
-    return [oid[first], key[first], start[first], reach[last] - shift[last]]
-
-
-SPANS = "oid long, key long, start long, end long"
+    first = np.flatnonzero(np.concatenate([[True], (start + shift)[1:] > reach[:-1]]))
+    last = np.append(first[1:], len(key)) - 1
+    return [key[first], start[first], reach[last] - shift[last]]
 
 
 def runs_of(splitters: list[bytes], length: int, gram: int):
     cuts = np.array(splitters, f"S{gram}")
-    kinds = [pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-    names = ["kind", "range", "n", "blob", "oid", "key", "start", "end"]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    names = ["range", "slice", "n", "blob"]
 
     def sort(parts):
         rows, oid, key, place, left, right = (np.concatenate(x) for x in zip(*parts))
@@ -227,22 +223,17 @@ def runs_of(splitters: list[bytes], length: int, gram: int):
         group = np.cumsum(np.concatenate([[True], ~same])) - 1
         least = oid[np.flatnonzero(np.concatenate([[True], ~same]))][group]
         later = oid > least
-        spans = merged_spans(oid[later], key[later], (place - left)[later], (place + right)[later])
-        n = len(spans[0])
-        if n:
-            none = [None] * n
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip([["span"] * n, none, none, none, *spans], kinds)], names=names)
+        out = [(None, *r) for r in span_rows(key[later], (place - left)[later], (place + right)[later])]
         rows, oid, key, place = (x[~later] for x in (rows, oid, key, place))
         which = np.searchsorted(cuts, as_strings(rows[:, :gram]), side="right")
         edges = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1], [True]]))
-        out = []
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
             own = rows[a:b]
             differs = own[1:] != own[:-1]
             shared = np.concatenate([[0], np.where(differs.any(axis=1), differs.argmax(axis=1), own.shape[1])])
             tails = own[np.arange(own.shape[1]) >= shared[:, None]]
-            out.append(("run", int(which[a]), b - a, squeezed(oid[a:b].astype("<i8"), key[a:b].astype("<i8"), place[a:b].astype("<u4"), shared.astype("u1"), tails)))
-        yield pa.RecordBatch.from_arrays([*[pa.array(x, k) for x, k in zip(zip(*out), kinds)], *[pa.array([None] * len(out), k) for k in kinds[4:]]], names=names)
+            out.append((int(which[a]), None, b - a, squeezed(oid[a:b].astype("<i8"), key[a:b].astype("<i8"), place[a:b].astype("<u4"), shared.astype("u1"), tails)))
+        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), kinds)], names=names)
 
     def read(batches):
         parts, total = [], 0
@@ -283,53 +274,68 @@ def merge(runs: list, width: int):
     while size < len(runs):
         size *= 2
     heads: list = [next(r, None) for r in runs] + [None] * (size - len(runs))
-    lost, known = [0] * size, [0] * size
-
-    def play(a: int, ka: int, b: int, kb: int) -> tuple[int, int, int, int]:
-        """Winner, its shared length, loser, the loser's."""
-        x, y = heads[a], heads[b]
-        if x is None:
-            return b, kb, a, 0
-        if y is None or ka > kb:
-            return a, ka, b, kb
-        if ka < kb:
-            return b, kb, a, ka
-        p, q = x[0], y[0]
-        if p[ka : ka + 8] == q[ka : ka + 8]:
-            differ = int.from_bytes(p) ^ int.from_bytes(q)
-            if not differ:
-                return a, ka, b, width
-            s = width - (differ.bit_length() + 7) // 8
-        else:
-            s = ka
-            while p[s] == q[s]:
-                s += 1
-        return (a, ka, b, s) if p[s] < q[s] else (b, kb, a, s)
+    lost, known = [0] * size, [0] * size  # a run that has ended is known by -1, so it loses without a comparison
+
+    def differ(p: bytes, q: bytes, at: int) -> int:
+        """Where p and q part, if they are equal up to at."""
+        if at == width or p[at] != q[at]:
+            return at
+        x = int.from_bytes(p) ^ int.from_bytes(q)
+        return width - (x.bit_length() + 7) // 8
 
     def build(node: int) -> tuple[int, int]:
         if node >= size:
-            return node - size, 0
+            return node - size, 0 if heads[node - size] else -1
         (a, ka), (b, kb) = build(2 * node), build(2 * node + 1)
-        w, kw, lost[node], known[node] = play(a, ka, b, kb)
-        return w, kw
+        if ka == kb == 0:
+            p, q = heads[a][0], heads[b][0]
+            kb = differ(p, q, 0)
+            if kb < width and p[kb] > q[kb]:
+                a, b = b, a
+        elif ka < kb:
+            a, ka, b, kb = b, kb, a, ka
+        lost[node], known[node] = b, kb
+        return a, ka
 
     w, k = build(1)
-    while heads[w] is not None:
-        yield heads[w], k
-        row = next(runs[w], None)
-        heads[w] = row
-        k = row[1] if row else 0
+    while (head := heads[w]) is not None:
+        yield head, k
+        row = heads[w] = next(runs[w], None)
+        k = row[1] if row else -1
         node = (w + size) >> 1
         while node:
-            x, kx = lost[node], known[node]
-            y = heads[x]
-            if row is None or (y is not None and k <= kx):  # else the path's row wins here without a comparison
-                w, k, lost[node], known[node] = play(w, k, x, kx)
-                row = heads[w]
+            kx = known[node]
+            if k < kx:
+                w, k, lost[node], known[node] = lost[node], kx, w, k
+            elif k == kx and k >= 0:
+                x = lost[node]
+                p, q = heads[w][0], heads[x][0]
+                at = differ(p, q, k)
+                known[node] = at
+                if at < width and p[at] > q[at]:
+                    w, lost[node] = x, w
             node >>= 1
 
 
-SETTLED = SPANS + ", window binary"
+SPANS = "slice long, n long, blob binary"
+SETTLED = SPANS + ", oid long, key long, start long, window binary"
+
+
+def span_rows(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[tuple[int, int, bytes]]:
+    """(slice, n, blob) of spans, those of one text joined where they overlap."""
+    key, start, end = merged_spans(key, start, end)
+    name = key >> 16
+    edges = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1], [True]])) if len(key) else np.zeros(1, int)
+    return [(int(name[a]), int(b - a), squeezed((key[a:b] & 0xFFFF).astype("<u2"), start[a:b].astype("<u4"), (end - start)[a:b].astype("<u4"))) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+
+
+def pack_spans(table: pa.Table) -> pa.Table:
+    rows = span_rows(*(table[c].to_numpy() for c in ("key", "start", "end")))
+    return pa.table({n: pa.array(c, k) for n, c, k in zip(("slice", "n", "blob"), zip(*rows), (pa.int64(), pa.int64(), pa.binary()))})
+
+
+#: Groups of one anchor that are settled pair by pair.
+PAIRS = 8
 
 
 def settle_range(length: int, gram: int):
@@ -342,16 +348,31 @@ def settle_range(length: int, gram: int):
             yield j, bytes([j]) + suffix[: length - j] + suffix[length : length + j]
 
     def settle(table: pa.Table) -> pa.Table:
-        out: list[list] = [[], [], [], [], []]
-
-        def span(o, k, start, end, window=None):
-            for column, x in zip(out, (o, k, start, end, window)):
-                column.append(x)
+        found: list[tuple[int, int, int]] = []  # key, start, end
+        sent_rows: list[tuple[int, int, int, bytes]] = []
+
+        def by_pairs(group):
+            """What a suffix shares with an earlier one around the anchor is one span."""
+            group.sort(key=lambda g: g[1])
+            parts = [(int.from_bytes(x[:length]), int.from_bytes(x[length:-2]), x[-2], x[-1] - 1) for x, _, _ in group]
+            for i in range(1, len(group)):
+                r, left_of, right, left = parts[i]
+                for j in range(i):
+                    if group[j][1] == group[i][1]:
+                        break
+                    r2, l2, right2, left2 = parts[j]
+                    n = min(length - ((r ^ r2).bit_length() + 7) // 8, right, right2)
+                    m = min(back - ((left_of ^ l2).bit_length() + 7) // 8, left, left2)
+                    if n + m >= length:
+                        found.extend([(k, p - m, p + n) for k, p in group[i][2]])
 
         def finish(group):
-            """group: [suffix, its least id, (row key, place) of that id]: distinct suffixes of one anchor."""
+            """group: [suffix, its least id, (row name, place) of that id]: distinct suffixes of one anchor."""
             if len(group) < 2:
                 return
+            if len(group) <= PAIRS:
+                by_pairs(group)
+                return
             least: dict[bytes, int] = {}
             for suffix, o, _ in group:
                 for _, x in strings(suffix):
@@ -360,14 +381,12 @@ def settle_range(length: int, gram: int):
             for suffix, o, places in group:
                 for j, x in strings(suffix):
                     if least[x] < o:
-                        for k, p in places:
-                            span(o, k, p - j, p - j + length)
+                        found.extend([(k, p - j, p - j + length) for k, p in places])
 
         def send(group):
             for suffix, o, places in group:
                 for j, x in strings(suffix):
-                    for k, p in places:
-                        span(o, k, p - j, p - j + length, x)
+                    sent_rows.extend([(o, k, p - j, x) for k, p in places])
 
         group: list = []
         sent = False
@@ -376,33 +395,39 @@ def settle_range(length: int, gram: int):
 
         def close():
             nonlocal sent, group
-            if not members:
-                return
-            suffix, least = members[0][0], min(m[2] for m in members)
-            right, left = suffix[-2], suffix[-1] - 1
-            for _, _, o, k, p in members:
-                if o > least:
-                    span(o, k, p - left, p + right)
-            group.append((suffix, least, [(k, p) for _, _, o, k, p in members if o == least]))
-            members.clear()
+            suffix = members[0][0]
+            if len(members) == 1:
+                _, _, o, k, p = members[0]
+                group.append((suffix, o, [(k, p)]))
+            else:
+                least = min([m[2] for m in members])
+                right, left = suffix[-2], suffix[-1] - 1
+                found.extend([(k, p - left, p + right) for _, _, o, k, p in members if o > least])
+                group.append((suffix, least, [(k, p) for _, _, o, k, p in members if o == least]))
             if len(group) > GROUP or sent:
                 send(group)
                 group, sent = [], True
 
         for row, shared in merge(runs, width):
-            if shared < width:
+            if shared < width and members:
                 close()
+                members = []
                 if shared < gram:
-                    finish(group)
+                    if len(group) > 1:
+                        finish(group)
                     group, sent = [], False
             members.append(row)
-        close()
+        if members:
+            close()
         finish(group)
-        kept = [i for i, x in enumerate(out[4]) if x is None]
-        o, k, s, e = merged_spans(*(np.array([c[i] for i in kept], np.int64) for c in out[:4]))
-        rest = [i for i, x in enumerate(out[4]) if x is not None]
-        columns = [np.concatenate([a, np.array([c[i] for i in rest], np.int64)]) for a, c in zip((o, k, s, e), out)]
-        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("oid", "key", "start", "end"), columns)} | {"window": pa.array([None] * len(o) + [out[4][i] for i in rest], pa.binary())})
+        spans = span_rows(*np.array(found, np.int64).reshape(-1, 3).T)
+        none = [None] * len(spans)
+        other = list(zip(*sent_rows)) if sent_rows else [[]] * 4
+        columns = [list(c) for c in zip(*spans)] if spans else [[]] * 3
+        blank = [None] * len(sent_rows)
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        names = ["slice", "n", "blob", "oid", "key", "start", "window"]
+        return pa.table({n: pa.array([*c, *blank] if i < 3 else [*none, *other[i - 3]], k) for i, (n, c, k) in enumerate(zip(names, [*columns, *[[]] * 4], kinds))})
 
     return settle
 
@@ -436,35 +461,29 @@ def find_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col:
                     rows = rows[np.random.default_rng(len(rows)).choice(len(rows), min(len(rows), 1000), replace=False)]
                     yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in rows], pa.binary())], names=["x"])
 
-        some = sorted(bytes(r["x"]) for r in kept.mapInArrow(sample, "x binary").orderBy(F.xxhash64("x"), "x").limit(40 * ranges).collect())
+        some = sorted(bytes(r["x"]) for r in kept.mapInArrow(sample, "x binary").orderBy(F.xxhash64("x"), "x").limit(20 * ranges).collect())
         splitters = sorted(set(some[len(some) * i // ranges] for i in range(1, ranges)))
-    runs = stored(kept.mapInArrow(runs_of(splitters, length, gram), "kind string, range int, n long, blob binary, " + SPANS), "runs")
-    settled = stored(runs.where("kind = 'run'").select("range", "n", "blob").groupBy("range").applyInArrow(settle_range(length, gram), SETTLED), "settled")
+    runs = stored(kept.mapInArrow(runs_of(splitters, length, gram), "range int, slice long, n long, blob binary"), "runs")
+    settled = stored(runs.where("range is not null").select("range", "n", "blob").groupBy("range").applyInArrow(settle_range(length, gram), SETTLED), "settled")
     windows = settled.where("window is not null")
     least = windows.groupBy("window").agg(F.min("oid").alias("least"))
-    spans = runs.where("kind = 'span'").select("key", "start", "end").union(settled.where("window is null").select("key", "start", "end"))
-    spans = spans.union(windows.join(least, "window").where("oid > least").select("key", "start", "end"))
-    by_slice = spans.groupBy(F.shiftright("key", 16).alias("slice")).agg(F.collect_list(F.struct("key", "start", "end")).alias("spans"))
+    more = windows.join(least, "window").where("oid > least").select("key", "start", (F.col("start") + length).alias("end"))
+    spans = runs.where("range is null").select("slice", "n", "blob").union(settled.where("window is null").select("slice", "n", "blob"))
+    spans = spans.union(more.groupBy(F.shiftright("key", 16)).applyInArrow(pack_spans, SPANS))
+    by_slice = spans.groupBy("slice").agg(F.collect_list(F.struct("n", "blob")).alias("spans"))
     return kept.select("slice", "rows").join(by_slice, "slice", "left").select("rows", "spans")
 
 
 def rows_with_spans(row: dict):
     """The rows of a slice with the disjoint spans to remove from each."""
-    batch, spans = opened(row["rows"]), row["spans"] or []
-    of: dict[int, list[tuple[int, int]]] = {}
-    for s in spans:
-        of.setdefault(s["key"] & 0xFFFF, []).append((s["start"], s["end"]))
-    return batch, [joined_spans(of.get(i, [])) for i in range(batch.num_rows)]
-
-
-def joined_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], b))
-        else:
-            out.append((a, b))
-    return out
+    batch, parts = opened(row["rows"]), [(np.zeros(0, np.int64),) * 3]
+    for s in row["spans"] or []:
+        doc, start, size = (x.astype(np.int64) for x in released(s["blob"], (s["n"], "<u2"), (s["n"], "<u4"), (s["n"], "<u4")))
+        parts.append((doc, start, start + size))
+    out: list[list[tuple[int, int]]] = [[] for _ in range(batch.num_rows)]
+    for doc, a, b in zip(*(x.tolist() for x in merged_spans(*(np.concatenate(x) for x in zip(*parts))))):
+        out[doc].append((a, b))
+    return batch, out
 
 
 def without(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
