@@ -151,7 +151,7 @@ def clean_listings(spark, d):
     return standardize.clean_listings(rows).select("page_id", "sourceSite", io.flatten_map(F.col("attributes")).alias("attributes"))
 
 
-@query(f"SELECT url AS id, trim({TITLE}) AS name, CASE WHEN page_id % 2 = 0 THEN 'Bukhara' ELSE 'Tashkent' END AS city, search, rank FROM (SELECT *, row_number() OVER (PARTITION BY search ORDER BY page_id) AS rank FROM (SELECT *, page_id % 7 AS search FROM pages)) WHERE rank <= 10 AND {TITLE} <> ''")
+@query(f"SELECT url AS id, trim({TITLE}) AS name, CASE WHEN page_id % 2 = 0 THEN 'Bukhara' ELSE 'Tashkent' END AS city, search, rank::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY search ORDER BY page_id) AS rank FROM (SELECT *, page_id % 7 AS search FROM pages)) WHERE rank <= 10 AND {TITLE} <> ''")
 def search_candidates(spark, d):
     k = F.col("page_id")
     rows = t(spark, d, "pages").select("url", k.alias("pos"), (k % 7).alias("search"), F.lit("  ").alias("name"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.when(k % 2 == 0, " Bukhara").otherwise(" ").alias("statedCity"), F.lit("Tashkent").alias("searchedCity"))
@@ -164,7 +164,7 @@ def junk_items(spark, d):
     return docs.select("doc_id", F.size(standardize.drop_junk_items(F.col("items"), F.slice("items", 1, 1))).cast("long").alias("n_items"))
 
 
-@query(f"SELECT host, coalesce(list_min(list_filter(list(url), lambda u: starts_with(u, 'https'))), 'research://web-search/' || host) AS source_url, greatest(count_if(starts_with(url, 'https')) - 1, 0) AS n_additional FROM (SELECT {q_host('url')} AS host, url FROM pages) GROUP BY host")
+@query(f"SELECT host, coalesce(list_min(list_filter(list(url), lambda u: starts_with(u, 'https'))), 'research://web-search/' || host) AS source_url, greatest(count(CASE WHEN starts_with(url, 'https') THEN 1 END) - 1, 0) AS n_additional FROM (SELECT {q_host('url')} AS host, url FROM pages) GROUP BY host")
 def provenance(spark, d):
     p = t(spark, d, "pages").groupBy(X.domain(F.col("url")).alias("host")).agg(F.sort_array(F.collect_list(F.when(F.col("url").startswith("https"), F.col("url")).otherwise(F.concat(F.lit("x"), "url")))).alias("citations"))
     return standardize.with_provenance(p, "citations", "host").select("host", "source_url", F.size("additional_urls").cast("long").alias("n_additional"))
@@ -241,7 +241,7 @@ def relevance_flag(spark, d):
     return classify.flag_irrelevant(docs, ["name"], ["programs"]).select("doc_id", "flag_reason")
 
 
-@query("SELECT count_if(doc_id % 3 <> 0) AS kept, count_if(doc_id % 3 = 0) AS review FROM documents")
+@query("SELECT count(CASE WHEN doc_id % 3 <> 0 THEN 1 END) AS kept, count(CASE WHEN doc_id % 3 = 0 THEN 1 END) AS review FROM documents")
 def early_exit(spark, d):
     docs = t(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, "a hospital").alias("name"))
     on, review = classify.split_flagged(docs, ["name"])
@@ -390,7 +390,7 @@ def top_quality(spark, d):
     return evidence.top_by(scored(spark, d), "quality", "c_custkey", 25).select("c_custkey", "quality")
 
 
-@query("SELECT o_custkey, o_orderkey, rank FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders) WHERE rank <= 4")
+@query("SELECT o_custkey, o_orderkey, rank::INTEGER AS rank FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders) WHERE rank <= 4")
 def n_per_group(spark, d):
     return evidence.n_per_group(t(spark, d, "orders"), "o_custkey", [F.col("o_totalprice").desc(), "o_orderkey"], 4).select("o_custkey", "o_orderkey", "rank")
 
@@ -480,7 +480,7 @@ def validate_batch(spark, d):
     return records.validate_batch(batch(spark, d)).select("s_suppkey", F.size("reasons").cast("long").alias("n_reasons"))
 
 
-@query(f"SELECT count_if(n_reasons = 0) AS exported, count_if(n_reasons > 0) AS demoted FROM ({BATCH})")
+@query(f"SELECT count(CASE WHEN n_reasons = 0 THEN 1 END) AS exported, count(CASE WHEN n_reasons > 0 THEN 1 END) AS demoted FROM ({BATCH})")
 def finalize(spark, d):
     kept, demoted = records.finalize(batch(spark, d))
     return kept.agg(F.count("*").alias("exported")).crossJoin(demoted.agg(F.count("*").alias("demoted")))
@@ -506,10 +506,10 @@ def order_states(spark, d) -> DataFrame:
     return t(spark, d, "orders").select(F.col("o_orderkey").alias("id"), s.alias("state"), F.when(F.col("o_orderkey") % 4 == 0, "duplicate").alias("last_error"), F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderkey") % 100).alias("quality"))
 
 
-COUNTS = "count_if(state = 'APPROVED') AS approved, count_if(state = 'NEEDS_REVIEW') AS review, count_if(state = 'REJECTED' AND last_error IS NULL) AS rejected, count_if(state = 'REJECTED' AND last_error = 'duplicate') AS duplicates"
+COUNTS = "count(CASE WHEN state = 'APPROVED' THEN 1 END) AS approved, count(CASE WHEN state = 'NEEDS_REVIEW' THEN 1 END) AS review, count(CASE WHEN state = 'REJECTED' AND last_error IS NULL THEN 1 END) AS rejected, count(CASE WHEN state = 'REJECTED' AND last_error = 'duplicate' THEN 1 END) AS duplicates"
 
 
-@query(f"SELECT count_if(state IN ('APPROVED', 'NEEDS_REVIEW')) AS processed, {COUNTS}, round(avg(quality))::INTEGER AS mean_quality FROM ({STATE_SQL})")
+@query(f"SELECT count(CASE WHEN state IN ('APPROVED', 'NEEDS_REVIEW') THEN 1 END) AS processed, {COUNTS}, round(avg(quality))::INTEGER AS mean_quality FROM ({STATE_SQL})")
 def run_report(spark, d):
     return records.run_report(order_states(spark, d))
 

@@ -121,3 +121,16 @@ def test_run(spark):
     found = {r["entity_id"]: r for r in engine.run(c, e).collect()}
     assert found[kept[0]]["outcome"] == "APPROVED", found[kept[0]]
     assert found[kept[2]]["outcome"] == "NEEDS_REVIEW" and found[kept[2]]["record"] is None
+
+
+def test_candidate_and_state_documents(spark, tmp_path):
+    (tmp_path / "c.json").write_text('{\n "institutions": [\n {"fixtureId": "b", "rawName": "B"},\n {"fixtureId": "a", "rawName": "A", "city": "Tashkent"}]}')
+    rows = io.read_candidates(spark, str(tmp_path / "c.json")).orderBy("input_pos").collect()
+    assert [(r["input_pos"], r["fixtureId"], r["city"]) for r in rows] == [(0, "b", None), (1, "a", "Tashkent")]
+    records = spark.createDataFrame([(2, "y"), (1, "x")], "id int, name string")
+    io.write_envelope(records, str(tmp_path / "e"), "2024-01-01T00:00:00Z", "id")
+    assert [tuple(r) for r in io.read_export(spark, str(tmp_path / "e"), "id int, name string").collect()] == [(1, "x"), (2, "y")]
+    (tmp_path / "bare.json").write_text('[{"id": 3, "name": "z"}]')
+    assert [tuple(r) for r in io.read_export(spark, str(tmp_path / "bare.json"), "id int, name string").collect()] == [(3, "z")]
+    io.write_records(records, str(tmp_path / "r"))
+    assert io.read_state(spark, str(tmp_path / "r"), "id int, name string").count() == 2
