@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -33,6 +36,35 @@ def held_out(id_col: str, modulus: int, remainder: int):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % modulus == remainder, F.lit(False))
 
 
+def lean(read):
+    """read, for mapInArrow or applyInArrow, giving freed memory back to the system when it ends: Spark keeps Python
+    workers for later tasks, and what one operator needed at its peak should not count against the next."""
+
+    def run(data):
+        try:
+            out = read(data)
+            if not isinstance(out, pa.Table):
+                out = _drained(out)
+            return out
+        finally:
+            _release()
+
+    return run
+
+
+def _drained(batches):
+    try:
+        yield from batches
+    finally:
+        _release()
+
+
+def _release() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library than GNU's
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and the len + 1 offsets of its values; null is empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")
@@ -92,9 +124,12 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, code: np.ndarray = LOWER_CODE) -> np.ndarray:
     """A 64-bit hash of each word; by default A-Z count as a-z."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
     lengths = ends - starts
+    if not len(starts) or not lengths.all():  # an empty word has the hash of 0
+        out, some = np.full(len(starts), mix(np.zeros(1, np.uint64))[0]), lengths > 0
+        if some.any():
+            out[some] = word_hashes(data, starts[some], ends[some], code)
+        return out
     at = np.cumsum(lengths) - lengths
     within = np.arange(lengths.sum()) - np.repeat(at, lengths)
     values = code[data[np.repeat(starts, lengths) + within]] * powers(int(lengths.max()))[within]

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orgmill.llm.common import buffers, mix, slices, stored, texts, word_hashes, word_spans
+from orgmill.llm.common import buffers, lean, mix, slices, stored, texts, word_hashes, word_spans
 from orgmill.llm.components import components
 
 #: Sets in a block of a large cluster.
@@ -63,7 +63,7 @@ def sets_of(df: DataFrame, n: int, percent: int, whole: bool) -> DataFrame:
 
     def read(batches):
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=2 << 20):
                 counts, k1, k2, grams = [], [], [], []
                 with np.errstate(over="ignore"):
                     for s in gram_sets(*buffers(part.column("text")), n):
@@ -77,7 +77,7 @@ def sets_of(df: DataFrame, n: int, percent: int, whole: bool) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(at), pa.array(flat.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), lists], names=["doc_id", "n_shingles", "k1", "k2", "grams"])
 
-    return df.mapInArrow(read, SETS)
+    return df.mapInArrow(lean(read), SETS)
 
 
 class PrefixTree:
@@ -239,7 +239,7 @@ def links(df: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataFrame, Data
         found = join_blocks(table["node"].to_pylist(), table["component"].to_pylist(), (block == left_).tolist(), (block == table["right"][0].as_py()).tolist(), full, percent)
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
-    more = sides.join(inside, "block").groupBy("left", "right").applyInArrow(meet_in_task, "a long, b long")
+    more = sides.join(inside, "block").groupBy("left", "right").applyInArrow(lean(meet_in_task), "a long, b long")
     return named, first_links.union(stored(more, "links"))
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from orgmill.llm.common import slices, stored, texts
+from orgmill.llm.common import lean, slices, stored, texts
 from orgmill.llm.word_encoder import word_encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -43,7 +43,7 @@ def pieces(df: DataFrame, path: str, capacity: int = 4096, end_id: int = 1, id_c
                         rows.append((doc, k, start, len(piece), zlib.crc32(piece.tobytes())))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return texts(df, id_col, text_col).mapInArrow(cut, PIECES)
+    return texts(df, id_col, text_col).mapInArrow(lean(cut), PIECES)
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[list[tuple[int, int]], int]]:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orgmill.llm.common import BASE, BYTE_CODE, buffers, mix, powers, released, slices, squeezed, stored
+from orgmill.llm.common import BASE, BYTE_CODE, buffers, lean, mix, powers, released, slices, squeezed, stored
 
 LENGTH, GRAM = 50, 26
 #: Suffixes in a run, about; suffixes in a range, about; distinct suffixes of one anchor that one task settles alone.
@@ -112,7 +112,7 @@ def find_anchors(docs: DataFrame, buckets: int, length: int, gram: int) -> DataF
                         rows.append((b, name, "sent", len(near), squeezed(np.diff(near, prepend=np.uint64(0)))))
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary()))], names=["target", "slice", "kind", "n", "blob"])
 
-    return docs.mapInArrow(read, "target long, slice long, kind string, n long, blob binary")
+    return docs.mapInArrow(lean(read), "target long, slice long, kind string, n long, blob binary")
 
 
 def shared_in_bucket(table: pa.Table) -> pa.Table:
@@ -447,8 +447,8 @@ def find_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col:
     )
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     found = find_anchors(docs, int(size * 2 / (length - gram + 2)) // BUCKET + 1, length, gram)
-    shared = found.groupBy("target").applyInArrow(shared_in_bucket, "slice long, kind string, n long, blob binary")
-    kept = stored(shared.groupBy("slice").applyInArrow(keep_shared(length, gram, keep_text), "slice long, n_places long, rows binary, places binary"), "slices")
+    shared = found.groupBy("target").applyInArrow(lean(shared_in_bucket), "slice long, kind string, n long, blob binary")
+    kept = stored(shared.groupBy("slice").applyInArrow(lean(keep_shared(length, gram, keep_text)), "slice long, n_places long, rows binary, places binary"), "slices")
     total = kept.agg(F.sum("n_places")).first()[0] or 0
     ranges = total // RANGE + 1
     splitters: list[bytes] = []
@@ -463,8 +463,8 @@ def find_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col:
 
         some = sorted(bytes(r["x"]) for r in kept.mapInArrow(sample, "x binary").orderBy(F.xxhash64("x"), "x").limit(20 * ranges).collect())
         splitters = sorted(set(some[len(some) * i // ranges] for i in range(1, ranges)))
-    runs = stored(kept.mapInArrow(runs_of(splitters, length, gram), "range int, slice long, n long, blob binary"), "runs")
-    settled = stored(runs.where("range is not null").select("range", "n", "blob").groupBy("range").applyInArrow(settle_range(length, gram), SETTLED), "settled")
+    runs = stored(kept.mapInArrow(lean(runs_of(splitters, length, gram)), "range int, slice long, n long, blob binary"), "runs")
+    settled = stored(runs.where("range is not null").select("range", "n", "blob").groupBy("range").applyInArrow(lean(settle_range(length, gram)), SETTLED), "settled")
     windows = settled.where("window is not null")
     least = windows.groupBy("window").agg(F.min("oid").alias("least"))
     more = windows.join(least, "window").where("oid > least").select("key", "start", (F.col("start") + length).alias("end"))
@@ -505,7 +505,7 @@ def digests(df: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
                 columns = [rows.column("doc_id"), rows.column("n_bytes"), pa.array([sum(b - a for a, b in s) for s in spans], pa.int64()), pa.array([len(s) for s in spans], pa.int64()), pa.array(found, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return find_repeats(df.select("doc_id", "text"), length, gram, keep_text=False).mapInArrow(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return find_repeats(df.select("doc_id", "text"), length, gram, keep_text=False).mapInArrow(lean(digest), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def whole_characters(raw: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -536,6 +536,6 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col
 
     rest = T.StructType(others) if others else T.StructType([T.StructField("none", T.IntegerType())])
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("rest", rest)])
-    found = find_repeats(df, length, gram, id_col, text_col).mapInArrow(cut, schema)
+    found = find_repeats(df, length, gram, id_col, text_col).mapInArrow(lean(cut), schema)
     column = {id_col: F.col("doc_id").cast(df.schema[id_col].dataType), text_col: F.col("text")}
     return found.select(*[column.get(c, F.col(f"rest.`{c}`")).alias(c) for c in df.columns])

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orgmill.llm.common import held_out, slices, stored, texts
+from orgmill.llm.common import held_out, lean, slices, stored, texts
 
 SAMPLE_ROWS, VOCABULARY, MINED = 20_000, 1000, 5
 #: Words that insult, despise or threaten.
@@ -79,7 +79,7 @@ def mine(docs: DataFrame, sample: DataFrame) -> list[tuple[str, int, int]]:
             for part in slices(batch):
                 yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array([list(features_of(words_of(x))) for x in part.column("text").to_pylist()], pa.list_(pa.string()))], names=["toxic", "words"])
 
-    counts = some.mapInArrow(distinct, "toxic int, words array<string>").select("toxic", F.explode("words").alias("word"))
+    counts = some.mapInArrow(lean(distinct), "toxic int, words array<string>").select("toxic", F.explode("words").alias("word"))
     counts = counts.groupBy("word").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")).where("a + b >= 5")
     rows = sample.groupBy("toxic").count().collect()
     totals = {r["toxic"]: r["count"] for r in rows}
@@ -116,7 +116,7 @@ def vote(docs: DataFrame, mined: list[tuple[str, int, int]]) -> DataFrame:
                     features.append(sorted(place[w] for w in known))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("key"), part.column("held_out"), pa.array(votes, pa.int32()), pa.array(features, pa.list_(pa.int32()))], names=["doc_id", "key", "held_out", "votes", "features"])
 
-    return docs.select("doc_id", "key", "held_out", "text").mapInArrow(read, "doc_id long, key long, held_out boolean, votes int, features array<int>")
+    return docs.select("doc_id", "key", "held_out", "text").mapInArrow(lean(read), "doc_id long, key long, held_out boolean, votes int, features array<int>")
 
 
 class LabelModel:

@@ -1,6 +1,7 @@
 """Token ids of whole texts by a `tokenizers` file whose pre-tokeniser never crosses ASCII white space.
 
-Words repeat, so each distinct word of a worker is encoded once by the library itself and its ids are reused.
+Words repeat, so each distinct word of a worker is encoded once by the library itself and its ids are reused;
+a known word is found by a 64-bit hash, so the memory holds numbers only.
 """
 
 from __future__ import annotations
@@ -11,10 +12,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from orgmill.llm.common import buffers, ragged
+from orgmill.llm.common import BYTE_CODE, buffers, ragged, word_hashes
 
 #: Distinct words kept by a worker; beyond it the memory starts anew. It changes speed only.
-MEMORY_WORDS = 700_000
+MEMORY_WORDS = 1_200_000
 
 _encoders: dict[str, "WordEncoder"] = {}
 
@@ -44,14 +45,14 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.hashes, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # of known words, by hash
         self.first, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.flat, self.used = np.zeros(1 << 18, np.uint32), 0
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[str], hashes: np.ndarray) -> None:
         new = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         counts = np.fromiter(map(len, new), np.int64, len(new))
-        n, size, total = len(self.known), len(new), int(counts.sum())
+        n, size, total = len(self.hashes), len(new), int(counts.sum())
         while len(self.first) < n + size:
             self.first, self.count = np.concatenate([self.first, self.first]), np.concatenate([self.count, self.count])
         while len(self.flat) < self.used + total:
@@ -60,7 +61,15 @@ class WordEncoder:
         self.count[n : n + size] = counts
         self.flat[self.used : self.used + total] = np.fromiter((i for x in new for i in x), np.uint32, total)
         self.used += total
-        self.known.update(zip(words, range(n, n + size)))
+        order = np.argsort(hashes)
+        place = np.searchsorted(self.hashes, hashes[order])
+        self.hashes, self.rows = np.insert(self.hashes, place, hashes[order]), np.insert(self.rows, place, n + order)
+
+    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.hashes):
+            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return self.rows[at], self.hashes[at] == hashes
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and len(texts) + 1 offsets into them."""
@@ -74,13 +83,16 @@ class WordEncoder:
         split = pc.ascii_split_whitespace(plain)
         bounds = np.frombuffer(split.buffers()[1], np.int64 if pa.types.is_large_list(split.type) else np.int32)[: len(texts) + 1].astype(np.int64)
         coded = split.flatten().dictionary_encode()
-        vocabulary = coded.dictionary.to_pylist()
-        if len(self.known) > self.memory_words:
+        letters, edges = buffers(coded.dictionary)
+        with np.errstate(over="ignore"):
+            hashes = word_hashes(letters, edges[:-1], edges[1:], BYTE_CODE)
+        if len(self.hashes) > self.memory_words:
             self._forget()
-        if fresh := [w for w in vocabulary if w not in self.known]:
-            self._learn(fresh)
-        where = np.fromiter(map(self.known.__getitem__, vocabulary), np.int64, len(vocabulary))
-        word = where[coded.indices.to_numpy(zero_copy_only=False)] if len(vocabulary) else np.zeros(0, np.int64)
+        fresh = np.flatnonzero(~self._find(hashes)[1])
+        if len(fresh):
+            self._learn(coded.dictionary.take(pa.array(fresh)).to_pylist(), hashes[fresh])
+        where = self._find(hashes)[0]
+        word = where[coded.indices.to_numpy(zero_copy_only=False)] if len(hashes) else np.zeros(0, np.int64)
         counts = self.count[word]
         flat = self.flat[ragged(self.first[word], counts)]
         bounds = bounds - bounds[0]
