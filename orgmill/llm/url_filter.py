@@ -96,7 +96,7 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
     urls = stored(base.select("url", F.col("own.verdict").alias("known"), F.filter(F.split(F.lower(F.concat_ws("/", "host", "path")), "[^a-z]+"), lambda x: x != "").alias("names")).where("url is not null").dropDuplicates(["url"]), "urls")
     each = urls.select("url", "known", F.explode("names").alias("name"))
     names = each.groupBy("name").agg(F.count_if(F.col("known") == "block").alias("block"), F.count_if(F.col("known") == "allow").alias("allow"))
-    words = stored(segmented(names.select("name"), word_counts(pages)), "names")
+    words = stored(segmented(names.select("name"), stored(word_counts(pages), "counts")), "names")
     seeds = pages.sparkSession.createDataFrame([(w, SEED_COUNT * (k == "block"), SEED_COUNT * (k == "allow")) for k, ws in SEEDS.items() for w in ws], "word string, block long, allow long")
     counts = words.join(names, "name").select(F.explode("words").alias("word"), "block", "allow").union(seeds).groupBy("word").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow"))
     counts = stored(counts, "words")
