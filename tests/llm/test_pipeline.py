@@ -38,3 +38,29 @@ def test_each_stage_on_planted_cases(spark):
     assert clear.columns == docs.columns and ids(clear) == everyone - {50, 51, 54}
     packed = corpus_pipeline.run(spark, at).toPandas()
     assert packed.groupby("sequence_id").length.sum().max() <= 4096 and set(range(40)) - set(packed.doc_id) == set()
+
+
+def test_near_copies_between_080_and_085_go(spark):
+    def grams(t, n):
+        w = t.split()
+        return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+
+    def alike(a, b, n):
+        return len(grams(a, n) & grams(b, n)) / len(grams(a, n) | grams(b, n))
+
+    def edited(t, places):
+        w = t.split()
+        return " ".join(f"edit{k}" if k in places else x for k, x in enumerate(w))
+
+    def block(t, start, size):
+        return edited(t, range(start, start + size))
+
+    rows = [(i, text(1000 + i, 200)) for i in range(6)]
+    pairs = [(20, edited(rows[0][1], (30, 60, 90, 120))), (21, block(rows[1][1], 80, 14)), (22, block(rows[2][1], 50, 16)), (23, edited(rows[3][1], (20, 50, 80, 110, 140)))]
+    similar = [alike(rows[i][1], t, 5) for i, (_, t) in enumerate(pairs)]
+    assert all(0.8 <= x < 0.85 for x in similar[:3]) and similar[3] < 0.8, similar
+    assert any(alike(rows[i][1], t, 4) < 0.85 for i, (_, t) in enumerate(pairs[:3]))
+    docs = rows + pairs
+    gone = {max(a, b) for a, s in docs for b, t in docs if a < b and alike(s, t, 5) >= 0.8}
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(docs, "doc_id long, text string"), "")
+    assert gone == {20, 21, 22} and {r["doc_id"] for r in kept.collect()} == {a for a, _ in docs} - gone
