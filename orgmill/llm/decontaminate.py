@@ -4,7 +4,9 @@ Texts become templates: punctuation goes, letters are lower-cased, and numbers,
 words inside a sentence become the typed placeholders #, $unit and @. Windows of WINDOW template words of all items are
 joined by hash with those of all documents, so a question with other numbers or names still matches. Where a pair's
 windows have placeholders, its slots must be consistent: one value of the item always stands against one value of the
-document. If they are not, only windows without placeholders count.
+document. If they are not over all matches of the pair, each occurrence is judged alone: the matches in line with one
+place of the document, exactly or within SHIFT words (the nearest one of each item window). The best consistent
+occurrence counts; without one, only windows without placeholders do.
 
 A document holds an item if at least SHARE of the item's windows are found. Everything is DataFrame operations; only the
 item windows are broadcast, behind a check of their number; beyond it the windows are joined by a shuffle.
@@ -22,6 +24,8 @@ from pyspark.sql import functions as F
 from orgmill.llm.common import stored
 
 WINDOW, LITERALS, SHARE = 5, 3, 0.5
+#: Words by which windows of one occurrence may be out of line.
+SHIFT = 3
 #: Item windows that may be broadcast (about 100 bytes each).
 BROADCAST_ROWS = 1_000_000
 NUMBER, UNIT, NAME = "#", "$unit", "@"
@@ -94,16 +98,48 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     met = found.join(F.broadcast(held) if sizes["n"] <= BROADCAST_ROWS else held, "h")
     slot = met.select("doc_id", "key", "item_id", F.explode(F.arrays_zip("c", "w", "values")).alias("s")).where(F.col("s.c").isin(NUMBER, UNIT, NAME))
     slot = slot.select("doc_id", "key", "item_id", F.col("s.c").alias("kind"), F.col("s.values").alias("mine"), F.lower(F.trim("s.w", F.lit(ENDS))).alias("theirs")).distinct()
-    per_value = slot.groupBy("doc_id", "key", "item_id", "kind", "mine").agg(F.count("*").alias("values"), F.max(F.col("mine") != F.col("theirs")).alias("other"))
-    checked = per_value.groupBy("doc_id", "key", "item_id").agg((F.max("values") == 1).alias("consistent"), F.max("other").alias("other"))
+    checked = consistency(slot, "doc_id", "key", "item_id")
+    bad = checked.where("not consistent").select("doc_id", "key", "item_id")
+    checked, bad = stored(checked, "checked"), stored(bad, "bad")
     p, q = pairs.alias("p"), checked.alias("q")
     joined = p.join(q, F.col("p.doc_id").eqNullSafe(F.col("q.doc_id")) & (F.col("p.key") == F.col("q.key")) & (F.col("p.item_id") == F.col("q.item_id")), "left")
     consistent = F.coalesce(F.col("q.consistent"), F.lit(True))
     n = F.when(consistent, F.col("p.found")).otherwise(F.col("p.literal"))
     out = joined.select("p.doc_id", "p.key", "p.item_id", n.alias("n_windows"), F.col("p.n").alias("n_item_windows"), (consistent & F.coalesce(F.col("q.other"), F.lit(False))).alias("reparameterised"))
+    if bad.limit(1).count():
+        whole = items.drop("c")
+        here = found.join(F.broadcast(whole) if sizes["n"] <= BROADCAST_ROWS else whole, "h")
+        here = here.join(bad.withColumnsRenamed({"doc_id": "d", "key": "k", "item_id": "i"}), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")) & (F.col("item_id") == F.col("i")), "left_semi")
+        best = best_occurrences(here).withColumnsRenamed({"doc_id": "d", "key": "k", "item_id": "i"})
+        out = out.join(best, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")) & (F.col("item_id") == F.col("i")), "left")
+        better = F.coalesce(F.col("best.found") >= F.col("n_windows"), F.lit(False))
+        out = out.select("doc_id", "key", "item_id", F.when(better, F.col("best.found")).otherwise(F.col("n_windows")).alias("n_windows"), "n_item_windows", F.when(better, ~F.col("best.same")).otherwise(F.col("reparameterised")).alias("reparameterised"))
     return out.where(F.col("n_windows") >= SHARE * F.col("n_item_windows"))
 
 
+def consistency(slot: DataFrame, *keys: str) -> DataFrame:
+    """keys, consistent, other (some value differs) of distinct slots (kind, mine, theirs)."""
+    per_value = slot.groupBy(*keys, "kind", "mine").agg(F.count("*").alias("values"), F.max(F.col("mine") != F.col("theirs")).alias("other"))
+    return per_value.groupBy(*keys).agg((F.max("values") == 1).alias("consistent"), F.max("other").alias("other"))
+
+
+def best_occurrences(here: DataFrame) -> DataFrame:
+    """doc_id, key, item_id, best (found, same) over the consistent occurrences of each pair's matches."""
+    keys = ["doc_id", "key", "item_id", "start", "within"]
+    lines = F.array(F.struct(F.lit(0).alias("by"), F.lit(0).alias("within")), *[F.struct(F.lit(x).alias("by"), F.lit(SHIFT).alias("within")) for x in range(-SHIFT, SHIFT + 1)])
+    each = here.withColumn("line", F.explode(lines)).withColumns({"start": F.col("place") - F.col("at") + F.col("line.by"), "within": F.col("line.within")})
+    one = each.groupBy(*keys, "at").agg(F.min_by(F.struct("slots", "c", "w", "values", "n"), F.struct(F.abs("line.by"), "place")).alias("m"))
+    enough = one.groupBy(*keys).agg(F.count("*").alias("found"), F.max("m.n").alias("n")).where(F.col("found") >= SHARE * F.col("n")).drop("n")
+    slot = one.where("m.slots").select(*keys, F.explode(F.arrays_zip("m.c", "m.w", "m.values")).alias("s")).where(F.col("s.c").isin(NUMBER, UNIT, NAME))
+    slot = slot.select(*keys, F.col("s.c").alias("kind"), F.col("s.values").alias("mine"), F.lower(F.trim("s.w", F.lit(ENDS))).alias("theirs")).distinct()
+    x, y = enough.alias("x"), consistency(slot, *keys).alias("y")
+    on = F.col("x.doc_id").eqNullSafe(F.col("y.doc_id"))
+    for k in keys[1:]:
+        on = on & (F.col(f"x.{k}") == F.col(f"y.{k}"))
+    good = x.join(y, on, "left").where(F.coalesce(F.col("y.consistent"), F.lit(True)))
+    return good.groupBy("x.doc_id", "x.key", "x.item_id").agg(F.max(F.struct(F.col("x.found").alias("found"), (~F.coalesce(F.col("y.other"), F.lit(False))).alias("same"))).alias("best"))
+
+
 def remove_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df without the documents that hold a benchmark item."""
     found = find_leaks(df, benchmark, id_col, text_col).select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct()

@@ -42,3 +42,23 @@ def test_oracle_agrees(spark):
     want = sorted(con.sql(decontaminate.ORACLE).fetchall())
     found = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert sorted(tuple(r) for r in found.drop("key").collect()) == want and len(want) == 4
+
+
+def test_each_occurrence_is_judged_alone(spark):
+    twice = "Later that day Tom had 3 red apples in his bag while Jim had 5 red apples in his old box near home"
+    sheet = "She paid 14 dollars for two tickets and then walked over to buy bread"
+    rows = [
+        (0, f"Before it. {twice} and after."),  # (a) one template window twice, with other values
+        (1, f"{sheet.replace('14', '21')} again. Next one: {sheet.replace('14', '35')} again."),  # (b) twice with other numbers
+        (2, f"{sheet}. " + "filler words go on " * 30 + "he said she paid 99 dollars for two coats"),  # (c) one chance match elsewhere
+        (3, twice.replace("Tom had 3", "Bob had 8").replace("5 red", "8 red").replace("near home", "near Bob")),
+        (4, f"{sheet.replace('14', '21')} again. {sheet.replace('two', 'three')}"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, twice), (2, sheet)], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): (r["n_windows"] == r["n_item_windows"], r["reparameterised"]) for r in decontaminate.find_leaks(docs, items).collect()}
+    assert found[0, 1] == (True, False) and found[1, 2] == (True, True) and found[2, 2] == (True, False) and found[4, 2] == (True, True)
+    odd = "Mia has 2 cats and Mia has 2 dogs and Mia has 2 fish and Mia has 2 birds"  # one value against several within an occurrence
+    broken = odd.replace("2 dogs", "3 dogs").replace("2 fish", "4 fish").replace("2 birds", "5 birds")
+    one = spark.createDataFrame([(9, broken)], "doc_id long, text string")
+    assert decontaminate.find_leaks(one, spark.createDataFrame([(3, odd)], "item_id long, text string")).count() == 0
