@@ -11,8 +11,9 @@ occurrence counts; without one, only windows without placeholders do.
 A document holds an item if at least SHARE of the item's windows are found. Everything is DataFrame operations; only the
 item windows are broadcast, behind a check of their number; beyond it the windows are joined by a shuffle.
 
-Item windows with fewer than LITERALS other words are not searched, nor are items of fewer than WINDOW words: they
-occur in any text. A null text has no windows; a null item is no item; documents with a null id are told apart by their
+Item windows with fewer than LITERALS other words occur in any text and are not searched by template. An item that has
+no other window (numbers mostly, or fewer than WINDOW words) is searched as written: by windows of WINDOW words, or the
+whole item if it has fewer, whose slots must be equal. A null text has no windows; a null item is no item; documents with a null id are told apart by their
 texts; repeated rows give one result; empty tables give no rows.
 """
 
@@ -76,11 +77,46 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     return own.join(counts, "item_id")
 
 
+def literal_windows(benchmark: DataFrame, searched: DataFrame) -> DataFrame:
+    """item_id, k (words in a window), h, at, n for items without a window searched by template."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null").dropDuplicates()
+    rest = items.join(searched.select("item_id").distinct(), "item_id", "left_anti").select("item_id", as_written(words_of(F.col("text"))).alias("v")).where("size(v) > 0")
+    rest = rest.withColumn("k", F.least(F.lit(WINDOW), F.size("v")))
+    own = rest.select("item_id", "k", F.posexplode(F.transform(F.sequence(F.lit(1), F.size("v") - F.col("k") + 1), lambda i: F.xxhash64(F.slice("v", i, F.col("k"))))).alias("at", "h"))
+    return own.join(own.groupBy("item_id").agg(F.count_distinct("at").alias("n")), "item_id")
+
+
+def as_written(w: Column) -> Column:
+    return F.transform(w, lambda x: F.lower(F.trim(x, F.lit(ENDS))))
+
+
+def literal_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The result of find_leaks for the items of literal_windows."""
+    sizes = items.groupBy("k").agg(F.count("*").alias("n")).collect()
+    own = docs.select("doc_id", "key", as_written(words_of(F.col("text"))).alias("v"))
+    out = None
+    for k, n in sorted(map(tuple, sizes)):
+        each = own.where(F.size("v") >= k).select("doc_id", "key", F.explode(F.transform(F.sequence(F.lit(1), F.size("v") - (k - 1)), lambda i: F.xxhash64(F.slice("v", i, k)))).alias("h"))  # noqa: B023
+        small = items.where(F.col("k") == k).drop("k")
+        matches = each.join(F.broadcast(small) if n <= BROADCAST_ROWS else small, "h")
+        found = matches.groupBy("doc_id", "key", "item_id", "n").agg(F.count_distinct("at").alias("found")).where(F.col("found") >= SHARE * F.col("n"))
+        found = found.select("doc_id", "key", "item_id", F.col("found").alias("n_windows"), F.col("n").alias("n_item_windows"), F.lit(False).alias("reparameterised"))
+        out = found if out is None else out.union(found)
+    return out
+
+
 def find_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, key (a hash of the text), item_id, n_windows (of the item found), n_item_windows, reparameterised."""
     items = stored(item_windows(benchmark), "items")
-    sizes = items.agg(F.count("*").alias("n"), F.count_if("slots").alias("slots")).first()
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
+    found = template_leaks(docs, items)
+    literal = stored(literal_windows(benchmark, items), "literal")
+    return found.union(literal_leaks(docs, literal)) if literal.limit(1).count() else found
+
+
+def template_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The result of find_leaks for the items of item_windows."""
+    sizes = items.agg(F.count("*").alias("n"), F.count_if("slots").alias("slots")).first()
     searched = with_templates(docs).select("doc_id", "key", F.posexplode(windows(F.col("c"))).alias("place", "h"))
     small = items.select("h", "item_id", "at", "slots", "n")
     matches = searched.join(F.broadcast(small) if sizes["n"] <= BROADCAST_ROWS else small, "h")

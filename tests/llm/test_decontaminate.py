@@ -62,3 +62,10 @@ def test_each_occurrence_is_judged_alone(spark):
     broken = odd.replace("2 dogs", "3 dogs").replace("2 fish", "4 fish").replace("2 birds", "5 birds")
     one = spark.createDataFrame([(9, broken)], "doc_id long, text string")
     assert decontaminate.find_leaks(one, spark.createDataFrame([(3, odd)], "item_id long, text string")).count() == 0
+
+
+def test_short_and_slot_heavy_items_are_found_as_written(spark):
+    items = [(1, "What is 48 * 12 + 7 - 3?"), (2, "Define osmosis."), (3, "7 14 21 28 35 42 49")]
+    rows = [(0, "Quiz time! What is 48 * 12 + 7 - 3? Think."), (1, "What is 51 * 12 + 9 - 4?"), (2, "First, define osmosis. Then rest."), (3, "define it, then osmosis"), (4, "it counts 7, 14, 21, 28, 35, 42, 49 aloud"), (5, "it counts 8 16 24 32 40 48 56 aloud"), (None, "what is 48 12 7 3")]
+    found = decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(0, 1), (2, 2), (4, 3), (None, 1)}
