@@ -2,8 +2,8 @@
 
 1. A url is cut into host and path; the longest rule that fits decides.
 2. Names (runs of letters in host labels and path) are split into words by unigram Viterbi: every substring of every
-   distinct name is joined with the word counts of the whole page table, and the best chain of known words (unknown
-   ones pay for their length) is kept. No vocabulary is broadcast.
+   distinct name, of any length, is joined with the word counts of the whole page table, and the best chain of known
+   words (unknown ones pay for their length) is kept. No vocabulary is broadcast.
 3. Urls that a rule decides, and a fixed list of seed words, train multinomial naive Bayes on these words. Each
    distinct name has the sum of its words' log odds; a url's names are added up. Above 0 it is blocked.
 
@@ -26,7 +26,10 @@ from orgmill.llm.common import stored
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 #: Words that speak for one verdict, each counted SEED_COUNT times.
 SEEDS = {"block": "casino poker bet betting pills pill viagra cialis pharmacy porn xxx sex adult escort loan loans payday cheap replica warez crack torrent spam free win prize".split(), "allow": "wiki docs news edu library museum university school research journal science gov help manual blog".split()}
-SEED_COUNT, SALTS, LONGEST_WORD, LONGEST_NAME = 20, 16, 24, 63
+SEED_COUNT, SALTS = 20, 16
+#: Letters up to which a name's substrings are words to look up; longer words are looked up by so many first letters. A
+#: longer name is known by its digest, so that its text does not travel with each substring.
+HEAD, KEY = 24, 64
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -49,20 +52,23 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 def word_counts(pages: DataFrame) -> DataFrame:
     """word, n over the readable text of all pages."""
     text = F.lower(F.regexp_replace(F.coalesce(F.col("html").cast("string"), F.lit("")), r"<[^>]*>", " "))
-    words = pages.select(F.explode(F.split(text, "[^a-z]+")).alias("word")).where((F.length("word") > 1) & (F.length("word") <= LONGEST_WORD))
+    words = pages.select(F.explode(F.split(text, "[^a-z]+")).alias("word")).where(F.length("word") > 1)
     return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
 def best_split(name: str, known: dict[str, int], total: int) -> list[str]:
     """Viterbi over a name: log probabilities of words, and for an unknown stretch a price that grows with its length."""
-    best = [(0.0, 0)] + [(-math.inf, 0)] * len(name)
+    longest, unknown = max(map(len, known), default=0), 1 - math.log10(total)
+    best, since = [(0.0, 0)], 0  # since: where an unknown stretch best starts
     for end in range(1, len(name) + 1):
-        for start in range(end):
-            word = name[start:end]
-            n = known.get(word, 0)
-            price = math.log10(n / total) if n else 1 - math.log10(total) - (end - start)
-            if best[start][0] + price > best[end][0]:
-                best[end] = (best[start][0] + price, start)
+        cost, at = best[since][0] + (unknown - (end - since)), since
+        for start in range(max(0, end - longest), end):
+            n = known.get(name[start:end], 0)
+            if n and ((new := best[start][0] + math.log10(n / total)) > cost or (new == cost and start < at)):
+                cost, at = new, start
+        best.append((cost, at))
+        if cost + end > best[since][0] + since:
+            since = end
     out, end = [], len(name)
     while end:
         start = best[end][1]
@@ -74,11 +80,28 @@ def best_split(name: str, known: dict[str, int], total: int) -> list[str]:
 def segmented(names: DataFrame, counts: DataFrame) -> DataFrame:
     """name, words for distinct names of letters."""
     total = counts.agg(F.sum("n")).first()[0] or 0
-    cut = F.explode(F.sequence(F.lit(1), F.length("name")))
-    parts = names.where(F.length("name") <= LONGEST_NAME).select("name", cut.alias("i"))
-    parts = parts.select("name", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.lit(LONGEST_WORD), F.length("name") - F.col("i") + 1)), lambda k: F.substring("name", F.col("i"), k))).alias("word")).distinct()
-    found = parts.join(counts, "word").groupBy("name").agg(F.collect_list(F.struct("word", "n")).alias("known"))
-    joined = names.join(found, "name", "left")
+    keyed = names.select("name", F.when(F.length("name") <= KEY, F.col("name")).otherwise(F.sha2("name", 256)).alias("key"))
+
+    def substrings(batches):
+        for batch in batches:
+            keys, words = [], []
+            for name, key in zip(batch.column("name").to_pylist(), batch.column("key").to_pylist()):
+                own = {name[i : i + k] for i in range(len(name)) for k in range(1, min(HEAD, len(name) - i) + 1)}
+                keys += [key] * len(own)
+                words += own
+                if len(words) > 100_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(words, pa.string())], names=["key", "word"])
+                    keys, words = [], []
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(words, pa.string())], names=["key", "word"])
+
+    parts = keyed.mapInArrow(substrings, "key string, word string")
+    found = parts.join(counts.where(F.length("word") <= HEAD), "word").select("key", "word", "n")
+    heads = counts.where(F.length("word") > HEAD).select(F.substring("word", 1, HEAD).alias("head"), "word", "n")
+    long_names = keyed.where(F.length("name") > HEAD)
+    begun = long_names.mapInArrow(substrings, "key string, word string").where(F.length("word") == HEAD).withColumnRenamed("word", "head")
+    found = found.union(begun.join(heads, "head").join(long_names, "key").where(F.contains("name", "word")).select("key", "word", "n"))
+    known = found.groupBy("key").agg(F.collect_list(F.struct("word", "n")).alias("known"))
+    joined = keyed.join(known, "key", "left").select("name", "known")
 
     def split(batches):
         for batch in batches:

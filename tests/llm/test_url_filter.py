@@ -41,3 +41,15 @@ def test_best_split_is_the_best_of_all():
         ways = [[name[i:j] for i, j in zip((0, *cuts), (*cuts, len(name)))] for k in range(1 << (len(name) - 1)) for cuts in [tuple(b + 1 for b in range(len(name) - 1) if k >> b & 1)]]
         assert math.isclose(cost(url_filter.best_split(name, known, total)), max(map(cost, ways)))
     assert url_filter.best_split("cheappills", known, total) == ["cheap", "pills"]
+
+
+def test_long_names_and_long_words_are_split(spark):
+    word = "pneumonoultramicroscopicsilicovolcanoconiosis"
+    html = "<p>the cheap pills of a library and science of pills</p>"
+    urls = ["http://y.net/cheappills", "http://y.net/" + "cheappills" * 8, "http://y.net/" + "libraryscience" * 300]
+    found = {r["page_id"]: r for r in url_filter.judge(spark.createDataFrame([(i, u, html) for i, u in enumerate(urls)], "page_id long, url string, html string")).collect()}
+    assert [found[i]["verdict"] for i in range(3)] == ["block", "block", "allow"] and found[1]["score"] > 3 * found[0]["score"] > 0
+    counts = spark.createDataFrame([("cheap", 5), ("pills", 4), (word, 3)], "word string, n long")
+    names = spark.createDataFrame([("cheap" + word + "pills",), ("cheappills" * 10 + word,)], "name string")
+    split = {r["name"]: r["words"] for r in url_filter.segmented(names, counts).collect()}
+    assert split == {"cheap" + word + "pills": ["cheap", word, "pills"], "cheappills" * 10 + word: ["cheap", "pills"] * 10 + [word]}
