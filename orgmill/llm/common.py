@@ -36,6 +36,61 @@ def held_out(id_col: str, modulus: int, remainder: int):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % modulus == remainder, F.lit(False))
 
 
+#: Keys that may be broadcast (about 80 bytes each).
+BROADCAST_KEYS = 500_000
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """names, each with as many _ behind it as it takes for df to have no such column."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def text_key(text_col: str):
+    return F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+
+
+def without_rows(df: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """df without the rows of gone: id and key, the text_key of the row; a null key stands for all texts of the id.
+
+    Up to BROADCAST_KEYS rows of gone are broadcast, so texts stay where they are; more are joined by a shuffle.
+    """
+    gone = stored(gone.distinct(), "gone")
+    some = gone.agg(F.count("*").alias("n"), F.count_if(F.isnull("key")).alias("whole")).first()
+    own, key, id_, key_ = free_names(df, "own_id", "own_key", "gone_id", "gone_key")
+    out = df.withColumns({own: F.col(f"`{id_col}`").cast("long"), key: text_key(text_col)})
+    for part, n, on in (
+        (gone.where("key is null"), some["whole"], F.col(own) == F.col(id_)),
+        (gone.where("key is not null"), some["n"] - some["whole"], F.col(own).eqNullSafe(F.col(id_)) & (F.col(key) == F.col(key_))),
+    ):
+        part = part.select(F.col("id").alias(id_), F.col("key").alias(key_))
+        if n:
+            out = out.join(F.broadcast(part) if n <= BROADCAST_KEYS else part, on, "left_anti")
+    return out.drop(own, key)
+
+
+def distinct_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """df with one row for each id and text; rows without an id stay all. Only repeated rows are shuffled."""
+    own, key, id_, key_ = free_names(df, "own_id", "own_key", "again_id", "again_key")
+    out = df.withColumns({own: F.col(f"`{id_col}`").cast("long"), key: text_key(text_col)})
+    again = out.where(F.col(own).isNotNull()).groupBy(own, key).agg(F.count("*").alias("n")).where("n > 1").select(F.col(own).alias(id_), F.col(key).alias(key_))
+    again = stored(again, "again")
+    n = again.count()
+    if not n:
+        return df
+    if n > BROADCAST_KEYS:
+        once = out.where(F.col(own).isNotNull()).dropDuplicates([own, key])
+        return once.unionByName(out.where(F.col(own).isNull())).drop(own, key)
+    on = (F.col(own) == F.col(id_)) & (F.col(key) == F.col(key_))
+    once = out.join(F.broadcast(again), on, "left_semi").dropDuplicates([own, key])
+    return out.join(F.broadcast(again), on, "left_anti").unionByName(once).drop(own, key)
+
+
 def lean(read):
     """read, for mapInArrow or applyInArrow, giving freed memory back to the system when it ends: Spark keeps Python
     workers for later tasks, and what one operator needed at its peak should not count against the next."""
@@ -52,6 +107,18 @@ def lean(read):
     return run
 
 
+def lean_pair(read):
+    """lean for cogrouped applyInArrow."""
+
+    def run(left, right):
+        try:
+            return read(left, right)
+        finally:
+            _release()
+
+    return run
+
+
 def _drained(batches):
     try:
         yield from batches

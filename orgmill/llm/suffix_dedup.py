@@ -1,22 +1,28 @@
 """Removal of byte strings that an earlier document also has, by a distributed merge of sorted suffix runs.
 
-A byte goes if a string of LENGTH bytes over it also starts in a document with a smaller id. The result is exact.
-
-1. Anchors. In each string of LENGTH bytes the GRAM-byte string with the least hash is its anchor, so equal strings
-   have equal anchors in equal places. Anchors are a few per cent of all positions. Each slice of documents sends its
-   distinct anchor hashes once (packed in blobs); an anchor that only one document has is dropped.
-2. Suffixes. At each anchor left, the suffix of up to LENGTH bytes, followed by up to LENGTH - GRAM bytes before it,
-   backwards, holds every string whose anchor it is. Tasks sort their suffixes into runs. Where a run has a suffix of
+A byte goes if a string of LENGTH bytes over it also starts in a document with a smaller id. The result is exact (anchors
+are told apart by hashes of 64 bits; what is removed is compared byte by byte).
+
+1. Slices. Documents are cut into slices of about SLICE bytes; a slice is one compressed cell. This exchange of slices by
+   their names is the only one that moves texts: all later steps read it again or join small rows to it.
+2. Anchors. In each string of LENGTH bytes the GRAM-byte string with the least hash is its anchor, so equal strings
+   have equal anchors in equal places. Anchors are a few per cent of all positions; those inside a stretch of one period
+   are one anchor with the stretch's length. Each slice sends its distinct anchor hashes with their counts once (packed in
+   blobs); an anchor that only one document has is dropped.
+3. Suffixes. At each anchor left, the suffix of up to LENGTH bytes, followed by up to LENGTH - GRAM bytes before it,
+   backwards, holds every string whose anchor it is. A slice's suffixes are sorted into a run. Where a run has a suffix of
    two documents, the later one is settled at once and not sent.
-3. Exchange. Runs are cut at sampled splitters and front-coded: each suffix is the length of the prefix shared with
-   the one before, and the rest. One task for each range merges its runs with a loser tree that keeps, for each
-   loser, the prefix length it shares with the winner that beat it, so known prefixes are never compared again.
-4. Equal neighbours settle whole suffixes. Suffixes that share only the anchor are settled string by string within
-   the anchor's group; a group of more than GROUP distinct suffixes is settled by a Spark aggregation over its strings.
-
-Texts are UTF-8 bytes. A null or short text loses nothing; null ids count as larger than all others and, being equal,
-do not remove from each other; rows with one id do not remove from each other; repeated rows get equal results; an
-empty table gives no rows.
+4. Exchange. Runs are cut at splitters (from a bounded sample; a range is divided further by a hash of the anchor) and
+   front-coded: each suffix is the length of the prefix shared with the one before, and the rest. One task for each range
+   merges its runs with a loser tree that keeps, for each loser, the prefix length it shares with the winner that beat
+   it, so known prefixes are never compared again.
+5. Equal neighbours settle whole suffixes. Suffixes that share only the anchor are settled string by string within
+   the anchor's group. An anchor with more than HOT places in all documents has no group: its strings themselves, each
+   once for a slice, make runs that are merged in ranges of their own.
+
+Texts are UTF-8 bytes of any length. A null or short text loses nothing; null ids count as larger than all others and,
+being equal, do not remove from each other; rows with one id do not remove from each other; repeated rows get equal
+results; an empty table gives no rows; extra columns, whatever their names, stay as they are.
 """
 
 from __future__ import annotations
@@ -25,22 +31,26 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orgmill.llm.common import BASE, BYTE_CODE, buffers, lean, mix, powers, released, slices, squeezed, stored
+from orgmill.llm.common import BASE, BYTE_CODE, buffers, lean, lean_pair, mix, powers, released, slices, squeezed
 
 LENGTH, GRAM = 50, 26
-#: Suffixes in a run, about; suffixes in a range, about; distinct suffixes of one anchor that one task settles alone.
-RUN, RANGE, GROUP = 150_000, 200_000, 20_000
-#: Anchors that one task compares, about, and rows and bytes of a slice.
-BUCKET, SLICE_ROWS, SLICE = 2_000_000, 50_000, 1 << 20
+#: Bytes and rows of a slice; bytes of text for each range of suffixes; anchors that one task compares, about.
+SLICE, SLICE_ROWS, RANGE_BYTES, BUCKET = 8 << 20, 50_000, 16 << 20, 2_000_000
+#: Places of an anchor beyond which Spark settles its strings.
+HOT = 20_000
+#: Bytes that are hashed at once, and suffixes that are cut at once.
+BLOCK, ROWS = 1 << 20, 1 << 14
+#: Splitters at most, the documents and the anchors of each that they are sampled from, and the parts of a range.
+SPLITTERS, SAMPLE_DOCS, SAMPLE_ANCHORS, PARTS = 1024, 1000, 64, 4
 NO_ID = (1 << 63) - 1
 INVERSE = pow(BASE, -1, 1 << 64)
+NEAR = np.uint64((1 << 40) - 1)
 _inverse = np.ones(1, np.uint64)
 
 
@@ -60,14 +70,28 @@ def sliding(op, values: np.ndarray, width: int) -> np.ndarray:
     return op(out[: len(out) - (width - have)], out[width - have :]) if have < width else out
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the anchors of all texts."""
+def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of the anchors of all texts. Blocks overlap by what an anchor depends on."""
+    n, out = len(data), [(np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+    for low in range(0, n, block):
+        a, b = max(0, low - length), min(n, low + block + length)
+        first, last = np.searchsorted(offsets, a, side="right") - 1, np.searchsorted(offsets, b - 1, side="right")
+        starts, ends = np.maximum(offsets[first:last], a), np.minimum(offsets[first + 1 : last + 1], b)
+        rest = np.repeat(ends, ends - starts) - np.arange(a, b)  # bytes from here to the text's end
+        at, h = anchors_in_block(data[a:b], rest, length, gram)
+        at = at + a
+        own = (at >= low) & (at < low + block)
+        out.append((at[own], h[own]))
+    at, h = (np.concatenate(x) for x in zip(*out))
+    return at, h
+
+
+def anchors_in_block(data: np.ndarray, rest: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
     n, width = len(data), length - gram + 1
     if n < length:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     sums = np.concatenate([[np.uint64(0)], np.cumsum(BYTE_CODE[data] * powers(n))])
     h = mix((sums[gram:] - sums[:-gram]) * inverse_powers(n)[: n - gram + 1])
-    rest = np.repeat(offsets[1:], np.diff(offsets)) - np.arange(n)  # bytes from here to the text's end
     h = np.maximum(h, np.uint64(1))
     h[rest[: len(h)] < gram] = np.iinfo(np.uint64).max
     least = sliding(np.minimum, h, width)
@@ -78,6 +102,29 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
     return at, mix(h[at])
 
 
+def without_periods(doc: np.ndarray, at: np.ndarray, h: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which anchors stay, and how many bytes before it each stands for.
+
+    Anchors of one hash that follow each other at one distance of gram bytes at most lie in a stretch of that period.
+    Those with all their bytes inside it have equal suffixes; the last of them stands for all: what goes at its place
+    goes at theirs too, and these strings overlap.
+    """
+    back, keep = np.zeros(len(at), np.int64), np.ones(len(at), bool)
+    if len(at) < 3:
+        return keep, back
+    step = np.diff(at)
+    equal = (h[1:] == h[:-1]) & (doc[1:] == doc[:-1]) & (step <= gram)
+    goes_on = equal[1:] & equal[:-1] & (step[1:] == step[:-1])  # anchors i, i + 1 and i + 2 are in one stretch
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], goes_on, [False]]).astype(np.int8)))
+    for i, j in zip(edges[::2].tolist(), edges[1::2].tolist()):
+        j += 1  # the stretch is anchors i to j
+        inside = i + np.flatnonzero((at[i : j + 1] >= at[i] + length - gram) & (at[i : j + 1] <= at[j] + gram - length))
+        if len(inside) > 1:
+            keep[inside[:-1]] = False
+            back[inside[-1]] = at[inside[-1]] - at[inside[0]]
+    return keep, back
+
+
 def whole(batch: pa.RecordBatch) -> bytes:
     """All columns of a batch, compressed."""
     sink = pa.BufferOutputStream()
@@ -90,107 +137,92 @@ def opened(blob: bytes) -> pa.RecordBatch:
     return pa.ipc.open_stream(blob).read_next_batch()
 
 
-NEAR = np.uint64((1 << 40) - 1)
+def table_of(rows: list[tuple], schema: str) -> pa.Table:
+    kinds = {"long": pa.int64(), "binary": pa.binary()}
+    fields = [c.split() for c in schema.split(", ")]
+    columns = zip(*rows) if rows else [[]] * len(fields)
+    return pa.table({name: pa.array(c, kinds[kind]) for (name, kind), c in zip(fields, columns)})
 
 
-def find_anchors(docs: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
-    """For each slice of rows: the slice itself, and for each bucket the distinct hashes of its anchors."""
+def cut_slices(size: int):
+    """Runs of rows as one cell each, under a name of their own."""
 
     def read(batches):
         part, number = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for some in slices(batch, size=SLICE):
+            for some in slices(batch, size=size):
                 for piece in (some.slice(i, SLICE_ROWS) for i in range(0, some.num_rows, SLICE_ROWS)):
-                    with np.errstate(over="ignore"):
-                        h = np.unique(anchors(*buffers(piece.column("text")), length, gram)[1])
-                    name = (part << 24) | number
+                    yield pa.RecordBatch.from_arrays([pa.array([(part << 24) | number], pa.int64()), pa.array([whole(piece)], pa.binary())], names=["slice", "rows"])
                     number += 1
-                    rows = [(-1 - name, name, "slice", piece.num_rows, whole(piece))]
-                    bucket = (h >> np.uint64(40)) % np.uint64(buckets)
-                    for b in np.unique(bucket).tolist():
-                        near = np.unique(h[bucket == b] & NEAR)
-                        rows.append((b, name, "sent", len(near), squeezed(np.diff(near, prepend=np.uint64(0)))))
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary()))], names=["target", "slice", "kind", "n", "blob"])
-
-    return docs.mapInArrow(lean(read), "target long, slice long, kind string, n long, blob binary")
-
-
-def shared_in_bucket(table: pa.Table) -> pa.Table:
-    """Hashes of a bucket that several slices have, for each of them; a slice itself goes on as it is."""
-    if table["target"][0].as_py() < 0:
-        return table.select(["slice", "kind", "n", "blob"])
-    names, counts = table["slice"].to_pylist(), table["n"].to_pylist()
-    h = np.concatenate([np.cumsum(released(blob.as_py(), (n, "<u8"))[0]) for n, blob in zip(counts, table["blob"])])
-    who = np.repeat(np.arange(len(names)), counts)
-    order = np.argsort(h, kind="stable")
-    again = h[order][1:] == h[order][:-1]
-    several = np.zeros(len(h), bool)
-    several[order[1:][again]] = several[order[:-1][again]] = True
-    out = [(names[i], "shared", int(k), squeezed(np.diff(h[several & (who == i)], prepend=np.uint64(0)))) for i, k in enumerate(np.bincount(who[several], minlength=len(names))) if k]
-    columns = list(zip(*out)) if out else [[]] * 4
-    return pa.table({n: pa.array(c, k) for n, c, k in zip(("slice", "kind", "n", "blob"), columns, (pa.int64(), pa.string(), pa.int64(), pa.binary()))})
-
-
-def keep_shared(length: int, gram: int, keep_text: bool):
-    """The places of a slice's shared anchors. A text without any is settled: its length and digest are enough."""
-
-    def keep(table: pa.Table) -> pa.Table:
-        hashes, batch = [np.zeros(0, np.uint64)], None
-        for kind, n, blob in zip(table["kind"].to_pylist(), table["n"].to_pylist(), table["blob"].to_pylist()):
-            if kind == "slice":
-                batch = opened(blob)
-            else:
-                hashes.append(np.cumsum(released(blob, (n, "<u8"))[0]))
-        data, offsets = buffers(batch.column("text"))
-        with np.errstate(over="ignore"):
-            at, h = anchors(data, offsets, length, gram)
-        doc = np.searchsorted(offsets, at, side="right") - 1
-        shared = np.isin(h & NEAR, np.concatenate(hashes))
-        order = np.lexsort((doc, h))
-        if len(order):  # anchors that several texts of this slice have
-            first = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]]))
-            sizes = np.diff(np.append(first, len(h)))
-            several = doc[order][first] != doc[order][first + sizes - 1]
-            shared[order[np.repeat(several, sizes)]] = True
-        doc, place = doc[shared], (at - offsets[doc])[shared]
-        n_places = np.bincount(doc, minlength=batch.num_rows)
-        raw = data.tobytes()
-        digests = [None if k else hashlib.sha256(raw[a:b]).hexdigest() for k, a, b in zip(n_places.tolist(), offsets[:-1].tolist(), offsets[1:].tolist())]
-        columns = {f.name: batch.column(f.name) for f in batch.schema}
-        if not keep_text:
-            columns["text"] = pc.if_else(pa.array(n_places > 0), batch.column("text"), pa.scalar(None, pa.string()))
-        columns |= {"n_bytes": pa.array(np.diff(offsets), pa.int64()), "sha": pa.array(digests, pa.string()), "n_places": pa.array(n_places, pa.int64())}
-        found = squeezed(np.diff(place, prepend=0).astype("<i4"))
-        return pa.table({"slice": table["slice"][:1], "n_places": pa.array([len(place)], pa.int64()), "rows": pa.array([whole(pa.RecordBatch.from_pydict(columns))], pa.binary()), "places": pa.array([found], pa.binary())})
 
-    return keep
+    return read
+
+
+LISTS = "bucket long, slice long, n long, blob binary"
+
+
+def anchor_lists(buckets: int, length: int, gram: int):
+    """For each slice and bucket the distinct hashes of its anchors with their counts."""
+
+    def read(batches):
+        for batch in batches:
+            for name, blob in zip(batch.column("slice").to_pylist(), batch.column("rows")):
+                with np.errstate(over="ignore"):
+                    at, h = anchors(*buffers(opened(blob.as_py()).column("text")), length, gram)
+                h, counts = np.unique(h, return_counts=True)
+                near, bucket = h & NEAR, (h >> np.uint64(40)) % np.uint64(buckets)
+                order = np.lexsort((near, bucket))
+                near, bucket, counts = near[order], bucket[order], np.minimum(counts, 65535)[order]
+                edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(h) else np.zeros(1, int)
+                rows = [(int(bucket[a]), name, int(b - a), squeezed(np.diff(near[a:b], prepend=np.uint64(0)), counts[a:b].astype("<u2"))) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+                yield from table_of(rows, LISTS).to_batches()
+
+    return read
+
+
+ANSWERS = "slice long, bucket long, n long, blob binary"
+
+
+def shared_in_bucket(hot: int):
+    """Hashes of a bucket that several slices have, for each of them, marked where they have more than hot places in all.
+    A hash of one slice is told only if it is hot."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        names, sizes = table["slice"].to_numpy(), table["n"].to_pylist()
+        parts = [released(blob.as_py(), (n, "<u8"), (n, "<u2")) for n, blob in zip(sizes, table["blob"])]
+        h = np.concatenate([np.cumsum(x) for x, _ in parts])
+        counts = np.concatenate([x for _, x in parts]).astype(np.int64)
+        who = np.repeat(np.arange(len(names)), sizes)
+        order = np.argsort(h, kind="stable")
+        h, counts, who = h[order], counts[order], who[order]
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        held = np.diff(np.append(first, len(h)))
+        many = np.add.reduceat(counts, first) > hot
+        told, many = np.repeat((held > 1) | many, held), np.repeat(many, held)
+        h, who, many = h[told], who[told], many[told]
+        order = np.argsort(who, kind="stable")  # h stays ascending within each
+        h, who, many = h[order], who[order], many[order]
+        edges = np.flatnonzero(np.concatenate([[True], who[1:] != who[:-1], [True]])) if len(h) else np.zeros(1, int)
+        bucket = table["bucket"][0].as_py()
+        return table_of([(int(names[who[a]]), bucket, int(b - a), squeezed(np.diff(h[a:b], prepend=np.uint64(0)), many[a:b].astype("u1"))) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())], ANSWERS)
+
+    return compare
 
 
 def suffixes(data: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray, length: int, gram: int) -> np.ndarray:
     """A row of bytes for each anchor: its suffix, what is before it backwards, and the two lengths."""
     back = length - gram
     out = np.zeros((len(at), length + back + 2), np.uint8)
-    step = np.arange(length)
-    out[:, :length] = np.where(step < right[:, None], data[np.minimum(at[:, None] + step, len(data) - 1)], 0)
-    step = np.arange(back)
-    out[:, length:-2] = np.where(step < left[:, None], data[np.maximum(at[:, None] - 1 - step, 0)], 0)
+    for i in range(0, len(at), ROWS):
+        own, a, x, y = out[i : i + ROWS], at[i : i + ROWS, None], left[i : i + ROWS, None], right[i : i + ROWS, None]
+        step = np.arange(length)
+        own[:, :length] = np.where(step < y, data[np.minimum(a + step, len(data) - 1)], 0)
+        step = np.arange(back)
+        own[:, length:-2] = np.where(step < x, data[np.maximum(a - 1 - step, 0)], 0)
     out[:, -2], out[:, -1] = right, left + 1
     return out
 
 
-def suffixes_of(row: dict, length: int, gram: int):
-    """For a slice: suffixes, ids, row names, places, left and right lengths."""
-    batch = opened(row["rows"])
-    data, offsets = buffers(batch.column("text"))
-    counts = batch.column("n_places").to_numpy()
-    place = np.cumsum(released(row["places"], (row["n_places"], "<i4"))[0], dtype=np.int64)
-    doc = np.repeat(np.arange(batch.num_rows), counts)
-    left = np.minimum(place, length - gram)
-    right = np.minimum(batch.column("n_bytes").to_numpy()[doc] - place, length)
-    rows = suffixes(data, offsets[doc] + place, left, right, length, gram)
-    return rows, batch.column("oid").to_numpy(zero_copy_only=False)[doc], (row["slice"] << 16) | doc, place, left, right
-
-
 def as_strings(rows: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(rows).view(f"S{rows.shape[1]}").ravel()
 
@@ -209,58 +241,134 @@ def merged_spans(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[np
     return [key[first], start[first], reach[last] - shift[last]]
 
 
-def runs_of(splitters: list[bytes], length: int, gram: int):
-    cuts = np.array(splitters, f"S{gram}")
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-    names = ["range", "slice", "n", "blob"]
+SPANS = "slice long, n long, blob binary"
 
-    def sort(parts):
-        rows, oid, key, place, left, right = (np.concatenate(x) for x in zip(*parts))
-        by = np.argsort(oid, kind="stable")
-        by = by[np.argsort(as_strings(rows[by]), kind="stable")]
-        rows, oid, key, place, left, right = (x[by] for x in (rows, oid, key, place, left, right))
-        same = (rows[1:] == rows[:-1]).all(axis=1)
-        group = np.cumsum(np.concatenate([[True], ~same])) - 1
-        least = oid[np.flatnonzero(np.concatenate([[True], ~same]))][group]
-        later = oid > least
-        out = [(None, *r) for r in span_rows(key[later], (place - left)[later], (place + right)[later])]
-        rows, oid, key, place = (x[~later] for x in (rows, oid, key, place))
-        which = np.searchsorted(cuts, as_strings(rows[:, :gram]), side="right")
-        edges = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1], [True]]))
-        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            own = rows[a:b]
-            differs = own[1:] != own[:-1]
-            shared = np.concatenate([[0], np.where(differs.any(axis=1), differs.argmax(axis=1), own.shape[1])])
-            tails = own[np.arange(own.shape[1]) >= shared[:, None]]
-            out.append((int(which[a]), None, b - a, squeezed(oid[a:b].astype("<i8"), key[a:b].astype("<i8"), place[a:b].astype("<u4"), shared.astype("u1"), tails)))
-        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), kinds)], names=names)
 
-    def read(batches):
-        parts, total = [], 0
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["n_places"]:
-                    parts.append(suffixes_of(row, length, gram))
-                    total += len(parts[-1][1])
-                if total >= RUN:
-                    yield from sort(parts)
-                    parts, total = [], 0
-        if total:
-            yield from sort(parts)
+def span_rows(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[tuple[int, int, bytes]]:
+    """(slice, n, blob) of spans, those of one text joined where they overlap."""
+    key, start, end = merged_spans(key, start, end)
+    name = key >> 16
+    edges = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1], [True]])) if len(key) else np.zeros(1, int)
+    return [(int(name[a]), int(b - a), squeezed((key[a:b] & 0xFFFF).astype("<u2"), start[a:b].astype("<u4"), (end - start)[a:b].astype("<u4"))) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
 
-    return read
+
+#: range: below 0 for spans that are settled; else n rows of m documents as a part of a run. After the ranges of suffixes
+#: there are as many for the strings of hot anchors.
+RUNS = "range long, slice long, n long, m long, blob binary"
+
+
+def coded(name: int, which: np.ndarray, rows: np.ndarray, oid, key, place, back) -> list[tuple]:
+    """Parts of a sorted run, one for each range, front-coded."""
+    out = []
+    order = np.argsort(which, kind="stable")
+    rows, oid, key, place, back, which = (x[order] for x in (rows, oid, key, place, back, which))
+    edges = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1], [True]])) if len(which) else np.zeros(1, int)
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        own = rows[a:b]
+        differs = own[1:] != own[:-1]
+        common = np.concatenate([[0], np.where(differs.any(axis=1), differs.argmax(axis=1), own.shape[1])])
+        tails = own[np.arange(own.shape[1]) >= common[:, None]]
+        docs, first = np.unique(key[a:b], return_index=True)
+        out.append((int(which[a]), name, b - a, len(docs), squeezed((docs & 0xFFFF).astype("<u2"), oid[a:b][first].astype("<i8"), (key[a:b] & 0xFFFF).astype("<u2"), place[a:b].astype("<u4"), back[a:b].astype("<u4"), common.astype("u1"), tails)))
+    return out
 
 
-def decoded(n: int, blob: bytes, width: int):
-    """(suffix, prefix length shared with the one before, id, row key, place) of a front-coded run, in order."""
-    oid, key, place, shared = released(blob, (n, "<i8"), (n, "<i8"), (n, "<u4"), (n, "u1"))
-    raw = zstandard.ZstdDecompressor().decompress(blob)[n * 21 :]
-    suffix, at = b"", 0
-    for o, k, p, s in zip(oid.tolist(), key.tolist(), place.tolist(), shared.tolist()):
+def settled_at_once(name: int, key, start, end) -> list[tuple]:
+    return [(-1 - name, s, n, None, blob) for s, n, blob in span_rows(key, start, end)]
+
+
+def row_hashes(rows: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix((BYTE_CODE[rows] * powers(rows.shape[1])).sum(axis=1, dtype=np.uint64))
+
+
+def hot_strings(data, first, size, key, oid, place, back, name: int, ranges: int, length: int, gram: int) -> list[tuple]:
+    """Runs of the strings whose anchor is hot. first and size: of each place's text. Of one string of the slice only the
+    places in the document with the least id are sent; the others are settled."""
+    out, step = [], np.arange(length)
+    for i in range(0, len(place), ROWS):
+        some = slice(i, min(i + ROWS, len(place)))
+        start = place[some, None] - np.arange(length - gram + 1)
+        ok = (start >= 0) & (start + length <= size[some, None])
+        which, start = some.start + np.nonzero(ok)[0], start[ok]
+        o, k, b, at = oid[which], key[which], back[which], first[which] + start
+        rows = np.empty((len(at), length), np.uint8)
+        for x in range(0, len(at), ROWS):
+            rows[x : x + ROWS] = data[at[x : x + ROWS, None] + step]
+        # UTF-8 has no byte 255, so inverted rows have no zero byte that numpy could take for an end
+        by = np.argsort(o, kind="stable")
+        by = by[np.argsort(as_strings(~rows[by]), kind="stable")[::-1]]  # the order of the rows themselves; ids descend
+        rows, o, k, b, start = (x[by] for x in (rows, o, k, b, start))
+        edges = np.flatnonzero(np.concatenate([np.ones(min(len(rows), 1), bool), (rows[1:] != rows[:-1]).any(axis=1), np.ones(1, bool)]))
+        later = o > np.repeat(o[edges[1:] - 1], np.diff(edges)) if len(rows) else np.zeros(0, bool)
+        out += settled_at_once(name, k[later], (start - b)[later], start[later] + length)
+        rows, o, k, b, start = (x[~later] for x in (rows, o, k, b, start))
+        out += coded(name, ranges + (row_hashes(rows) % np.uint64(ranges)).astype(np.int64), rows, o, k, start, b)
+    return out
+
+
+def runs_of(splitters: list[bytes], parts: int, buckets: int, length: int, gram: int):
+    """The sorted, front-coded run of a slice's suffixes at shared anchors, cut by ranges."""
+    cuts = np.array(splitters, f"S{gram}")
+
+    def sort(slice_: pa.Table, answers: pa.Table) -> pa.Table:
+        if not slice_.num_rows:
+            raise RuntimeError("a slice has another name than before: the input's partitions have changed between two reads")
+        name, batch = slice_["slice"][0].as_py(), opened(slice_["rows"][0].as_py())
+        near, hot = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+        for bucket, n, blob in zip(answers["bucket"].to_pylist(), answers["n"].to_pylist(), answers["blob"]):
+            h, many = released(blob.as_py(), (n, "<u8"), (n, "u1"))
+            near.append(np.cumsum(h) | np.uint64(bucket << 40))
+            hot.append(near[-1][many > 0])
+        data, offsets = buffers(batch.column("text"))
+        with np.errstate(over="ignore"):
+            at, h = anchors(data, offsets, length, gram)
+        doc = np.searchsorted(offsets, at, side="right") - 1
+        code = (h & NEAR) | ((h >> np.uint64(40)) % np.uint64(buckets)) << np.uint64(40)  # as the buckets know it
+        shared = np.isin(code, np.concatenate(near))
+        order = np.lexsort((doc, h))
+        if len(order):  # anchors that several texts of this slice have
+            first = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]]))
+            sizes = np.diff(np.append(first, len(h)))
+            several = doc[order][first] != doc[order][first + sizes - 1]
+            shared[order[np.repeat(several, sizes)]] = True
+        doc, at, h, code = doc[shared], at[shared], h[shared], code[shared]
+        keep, back = without_periods(doc, at, h, length, gram)
+        doc, at, back = doc[keep], at[keep], back[keep]
+        place, many = at - offsets[doc], np.isin(code[keep], np.concatenate(hot))
+        key, oid = (name << 16) | doc, batch.column("oid").to_numpy(zero_copy_only=False)[doc]
+        size, ranges = np.diff(offsets)[doc], (len(cuts) + 1) * parts
+        order = np.flatnonzero(many)
+        order = order[np.argsort(code[keep][order], kind="stable")]
+        out = hot_strings(data, *(x[order] for x in (offsets[doc], size, key, oid, place, back)), name, ranges, length, gram)
+        doc, at, key, oid, place, size, back = (x[~many] for x in (doc, at, key, oid, place, size, back))
+        left, right = np.minimum(place, length - gram), np.minimum(size - place, length)
+        rows = suffixes(data, at, left, right, length, gram)
+        by = np.argsort(oid, kind="stable")
+        by = by[np.argsort(as_strings(rows[by]), kind="stable")]
+        rows, oid, key, place, left, right, back = (x[by] for x in (rows, oid, key, place, left, right, back))
+        new = np.concatenate([np.ones(min(len(rows), 1), bool), (rows[1:] != rows[:-1]).any(axis=1)])
+        later = oid > oid[np.flatnonzero(new)][np.cumsum(new) - 1]
+        out += settled_at_once(name, key[later], (place - left - back)[later], (place + right)[later])
+        rows, oid, key, place, back = (x[~later] for x in (rows, oid, key, place, back))
+        part = (row_hashes(rows[:, :gram]) % np.uint64(parts)).astype(np.int64)
+        which = np.searchsorted(cuts, as_strings(rows[:, :gram]), side="right") * parts + part
+        return table_of(out + coded(name, which, rows, oid, key, place, back), RUNS)
+
+    return sort
+
+
+def decoded(name: int, n: int, m: int, blob: bytes, width: int):
+    """(suffix, prefix length shared with the one before, id, row key, place, back) of a front-coded run, in order."""
+    docs, oids, doc, place, back, shared = (x.tolist() for x in released(blob, (m, "<u2"), (m, "<i8"), (n, "<u2"), (n, "<u4"), (n, "<u4"), (n, "u1")))
+    raw = zstandard.ZstdDecompressor().decompress(blob)[m * 10 + n * 11 :]
+    suffix, at, id_of = b"", 0, dict(zip(docs, oids))
+    name <<= 16
+    for k, p, b, s in zip(doc, place, back, shared):
         end = at + width - s
         suffix = suffix[:s] + raw[at:end]
         at = end
-        yield suffix, s, o, k, p
+        yield suffix, s, id_of[k], name | k, p, b
 
 
 def merge(runs: list, width: int):
@@ -317,28 +425,12 @@ def merge(runs: list, width: int):
             node >>= 1
 
 
-SPANS = "slice long, n long, blob binary"
-SETTLED = SPANS + ", oid long, key long, start long, window binary"
-
-
-def span_rows(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[tuple[int, int, bytes]]:
-    """(slice, n, blob) of spans, those of one text joined where they overlap."""
-    key, start, end = merged_spans(key, start, end)
-    name = key >> 16
-    edges = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1], [True]])) if len(key) else np.zeros(1, int)
-    return [(int(name[a]), int(b - a), squeezed((key[a:b] & 0xFFFF).astype("<u2"), start[a:b].astype("<u4"), (end - start)[a:b].astype("<u4"))) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
-
-
-def pack_spans(table: pa.Table) -> pa.Table:
-    rows = span_rows(*(table[c].to_numpy() for c in ("key", "start", "end")))
-    return pa.table({n: pa.array(c, k) for n, c, k in zip(("slice", "n", "blob"), zip(*rows), (pa.int64(), pa.int64(), pa.binary()))})
-
-
 #: Groups of one anchor that are settled pair by pair.
 PAIRS = 8
 
 
-def settle_range(length: int, gram: int):
+def settle_range(ranges: int, length: int, gram: int):
+    """Spans of all suffixes, or all strings of hot anchors, of a range; what is settled already goes on as it is."""
     back, width = length - gram, 2 * length - gram + 2
 
     def strings(suffix: bytes):
@@ -348,8 +440,12 @@ def settle_range(length: int, gram: int):
             yield j, bytes([j]) + suffix[: length - j] + suffix[length : length + j]
 
     def settle(table: pa.Table) -> pa.Table:
+        number = table["range"][0].as_py()
+        if number < 0:
+            return table.select(["slice", "n", "blob"])
+        whole_strings = number >= ranges
+        wide = length if whole_strings else width
         found: list[tuple[int, int, int]] = []  # key, start, end
-        sent_rows: list[tuple[int, int, int, bytes]] = []
 
         def by_pairs(group):
             """What a suffix shares with an earlier one around the anchor is one span."""
@@ -364,12 +460,10 @@ def settle_range(length: int, gram: int):
                     n = min(length - ((r ^ r2).bit_length() + 7) // 8, right, right2)
                     m = min(back - ((left_of ^ l2).bit_length() + 7) // 8, left, left2)
                     if n + m >= length:
-                        found.extend([(k, p - m, p + n) for k, p in group[i][2]])
+                        found.extend([(k, p - m - b, p + n) for k, p, b in group[i][2]])
 
         def finish(group):
-            """group: [suffix, its least id, (row name, place) of that id]: distinct suffixes of one anchor."""
-            if len(group) < 2:
-                return
+            """group: [suffix, its least id, (row name, place, back) of that id]: distinct suffixes of one anchor."""
             if len(group) <= PAIRS:
                 by_pairs(group)
                 return
@@ -381,63 +475,68 @@ def settle_range(length: int, gram: int):
             for suffix, o, places in group:
                 for j, x in strings(suffix):
                     if least[x] < o:
-                        found.extend([(k, p - j, p - j + length) for k, p in places])
-
-        def send(group):
-            for suffix, o, places in group:
-                for j, x in strings(suffix):
-                    sent_rows.extend([(o, k, p - j, x) for k, p in places])
+                        found.extend([(k, p - j - b, p - j + length) for k, p, b in places])
 
         group: list = []
-        sent = False
-        runs = [decoded(n, blob, width) for n, blob in zip(table["n"].to_pylist(), table["blob"].to_pylist())]
         members: list = []  # rows of one suffix
 
         def close():
-            nonlocal sent, group
             suffix = members[0][0]
-            if len(members) == 1:
-                _, _, o, k, p = members[0]
-                group.append((suffix, o, [(k, p)]))
+            if whole_strings:
+                least = min([m[2] for m in members])
+                found.extend([(k, p - b, p + length) for _, _, o, k, p, b in members if o > least])
+            elif len(members) == 1:
+                _, _, o, k, p, b = members[0]
+                group.append((suffix, o, [(k, p, b)]))
             else:
                 least = min([m[2] for m in members])
                 right, left = suffix[-2], suffix[-1] - 1
-                found.extend([(k, p - left, p + right) for _, _, o, k, p in members if o > least])
-                group.append((suffix, least, [(k, p) for _, _, o, k, p in members if o == least]))
-            if len(group) > GROUP or sent:
-                send(group)
-                group, sent = [], True
-
-        for row, shared in merge(runs, width):
-            if shared < width and members:
+                found.extend([(k, p - left - b, p + right) for _, _, o, k, p, b in members if o > least])
+                group.append((suffix, least, [(k, p, b) for _, _, o, k, p, b in members if o == least]))
+
+        runs = [decoded(*x, wide) for x in zip(*(table[c].to_pylist() for c in ("slice", "n", "m", "blob")))]
+        for row, shared in merge(runs, wide):
+            if shared < wide and members:
                 close()
                 members = []
                 if shared < gram:
                     if len(group) > 1:
                         finish(group)
-                    group, sent = [], False
+                    group = []
             members.append(row)
-        if members:
-            close()
-        finish(group)
-        spans = span_rows(*np.array(found, np.int64).reshape(-1, 3).T)
-        none = [None] * len(spans)
-        other = list(zip(*sent_rows)) if sent_rows else [[]] * 4
-        columns = [list(c) for c in zip(*spans)] if spans else [[]] * 3
-        blank = [None] * len(sent_rows)
-        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        names = ["slice", "n", "blob", "oid", "key", "start", "window"]
-        return pa.table({n: pa.array([*c, *blank] if i < 3 else [*none, *other[i - 3]], k) for i, (n, c, k) in enumerate(zip(names, [*columns, *[[]] * 4], kinds))})
+        close()
+        if len(group) > 1:
+            finish(group)
+        return table_of(span_rows(*np.array(found, np.int64).reshape(-1, 3).T), SPANS)
 
     return settle
 
 
-def find_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True) -> DataFrame:
-    """A row for each slice of df: rows (an Arrow stream of its rows) and spans (name, start, end) to remove from them.
+def sampled_splitters(docs: DataFrame, n: int, length: int, gram: int) -> list[bytes]:
+    """n - 1 anchors at equal distances in the anchors of a bounded sample of documents."""
+    if n < 2:
+        return []
 
-    The stream has doc_id, text, rest (the other columns, a struct), n_bytes and sha (of a text that loses nothing for
-    sure; without keep_text such a text is null). A row's name ends with its place in the slice (16 bits).
-    """
+    def sample(batches):
+        for batch in batches:
+            found = []
+            for text in batch.column("text").to_pylist():
+                raw = text.encode()[: 1 << 16]  # a sample only: it balances ranges and decides nothing
+                with np.errstate(over="ignore"):
+                    at = anchors(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), length, gram)[0]
+                found += [raw[i : i + gram] for i in at[:: max(1, len(at) // SAMPLE_ANCHORS)].tolist()[:SAMPLE_ANCHORS]]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["x"])
+
+    hashed = F.xxhash64("oid")
+    top = docs.select(hashed.alias("h")).orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
+    some = docs.where(hashed <= top).select("text").limit(2 * SAMPLE_DOCS).mapInArrow(sample, "x binary") if top is not None else None
+    found = sorted(bytes(r["x"]) for r in some.collect()) if some else []  # 2 * SAMPLE_DOCS * SAMPLE_ANCHORS short strings at most
+    return sorted({found[len(found) * i // n] for i in range(1, n)}) if found else []
+
+
+def find_repeats(df: DataFrame, id_col: str, text_col: str, length: int, gram: int, hot: int, slice_bytes: int, range_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """slices (slice, rows: an Arrow stream with doc_id, oid, text and rest, the other columns) and spans (slice, n, blob:
+    place of the row in the slice, start and length of what is to go). One plan: slices are exchanged once."""
     others = [c for c in df.columns if c not in (id_col, text_col)]
     docs = df.select(
         F.col(id_col).cast("long").alias("doc_id"),
@@ -446,39 +545,23 @@ def find_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col:
         F.struct(*[F.col(f"`{c}`") for c in others] or [F.lit(0).alias("none")]).alias("rest"),
     )
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    found = find_anchors(docs, int(size * 2 / (length - gram + 2)) // BUCKET + 1, length, gram)
-    shared = found.groupBy("target").applyInArrow(lean(shared_in_bucket), "slice long, kind string, n long, blob binary")
-    kept = stored(shared.groupBy("slice").applyInArrow(lean(keep_shared(length, gram, keep_text)), "slice long, n_places long, rows binary, places binary"), "slices")
-    total = kept.agg(F.sum("n_places")).first()[0] or 0
-    ranges = total // RANGE + 1
-    splitters: list[bytes] = []
-    if ranges > 1:
-
-        def sample(batches):
-            for batch in batches:
-                for row in batch.to_pylist():
-                    rows = suffixes_of(row, length, gram)[0][:, :gram] if row["n_places"] else np.zeros((0, gram), np.uint8)
-                    rows = rows[np.random.default_rng(len(rows)).choice(len(rows), min(len(rows), 1000), replace=False)]
-                    yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in rows], pa.binary())], names=["x"])
-
-        some = sorted(bytes(r["x"]) for r in kept.mapInArrow(sample, "x binary").orderBy(F.xxhash64("x"), "x").limit(20 * ranges).collect())
-        splitters = sorted(set(some[len(some) * i // ranges] for i in range(1, ranges)))
-    runs = stored(kept.mapInArrow(lean(runs_of(splitters, length, gram)), "range int, slice long, n long, blob binary"), "runs")
-    settled = stored(runs.where("range is not null").select("range", "n", "blob").groupBy("range").applyInArrow(lean(settle_range(length, gram)), SETTLED), "settled")
-    windows = settled.where("window is not null")
-    least = windows.groupBy("window").agg(F.min("oid").alias("least"))
-    more = windows.join(least, "window").where("oid > least").select("key", "start", (F.col("start") + length).alias("end"))
-    spans = runs.where("range is null").select("slice", "n", "blob").union(settled.where("window is null").select("slice", "n", "blob"))
-    spans = spans.union(more.groupBy(F.shiftright("key", 16)).applyInArrow(pack_spans, SPANS))
-    by_slice = spans.groupBy("slice").agg(F.collect_list(F.struct("n", "blob")).alias("spans"))
-    return kept.select("slice", "rows").join(by_slice, "slice", "left").select("rows", "spans")
-
-
-def rows_with_spans(row: dict):
+    buckets, ranges = int(size * 2 / (length - gram + 2)) // BUCKET + 1, size // range_bytes + 1
+    splitters = sampled_splitters(docs, min(SPLITTERS, ranges // PARTS + 1), length, gram)
+    parts = ranges // (len(splitters) + 1) + 1
+    cut = docs.mapInArrow(lean(cut_slices(slice_bytes)), "slice long, rows binary").repartition("slice")
+    lists = cut.mapInArrow(lean(anchor_lists(buckets, length, gram)), LISTS)
+    answers = lists.groupBy("bucket").applyInArrow(lean(shared_in_bucket(hot)), ANSWERS)
+    runs = cut.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(lean_pair(runs_of(splitters, parts, buckets, length, gram)), RUNS)
+    return cut, runs.groupBy("range").applyInArrow(lean(settle_range((len(splitters) + 1) * parts, length, gram)), SPANS)
+
+
+def rows_with_spans(slice_: pa.Table, spans: pa.Table):
     """The rows of a slice with the disjoint spans to remove from each."""
-    batch, parts = opened(row["rows"]), [(np.zeros(0, np.int64),) * 3]
-    for s in row["spans"] or []:
-        doc, start, size = (x.astype(np.int64) for x in released(s["blob"], (s["n"], "<u2"), (s["n"], "<u4"), (s["n"], "<u4")))
+    if not slice_.num_rows:
+        raise RuntimeError("a slice has another name than before: the input's partitions have changed between two reads")
+    batch, parts = opened(slice_["rows"][0].as_py()), [(np.zeros(0, np.int64),) * 3]
+    for n, blob in zip(spans["n"].to_pylist(), spans["blob"]):
+        doc, start, size = (x.astype(np.int64) for x in released(blob.as_py(), (n, "<u2"), (n, "<u4"), (n, "<u4")))
         parts.append((doc, start, start + size))
     out: list[list[tuple[int, int]]] = [[] for _ in range(batch.num_rows)]
     for doc, a, b in zip(*(x.tolist() for x in merged_spans(*(np.concatenate(x) for x in zip(*parts))))):
@@ -494,18 +577,18 @@ def without(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*parts, raw[at:]])
 
 
-def digests(df: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def digests(df: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, slice_bytes: int = SLICE, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row of df."""
 
-    def digest(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                rows, spans = rows_with_spans(row)
-                found = [x or hashlib.sha256(without((t or "").encode(), s)).hexdigest() for x, t, s in zip(rows.column("sha").to_pylist(), rows.column("text").to_pylist(), spans)]
-                columns = [rows.column("doc_id"), rows.column("n_bytes"), pa.array([sum(b - a for a, b in s) for s in spans], pa.int64()), pa.array([len(s) for s in spans], pa.int64()), pa.array(found, pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+    def digest(slice_: pa.Table, found: pa.Table) -> pa.Table:
+        rows, spans = rows_with_spans(slice_, found)
+        raw = [text.as_py().encode() for text in rows.column("text")]
+        sha = [hashlib.sha256(without(x, s)).hexdigest() for x, s in zip(raw, spans)]
+        numbers = [pa.array(c, pa.int64()) for c in ([len(x) for x in raw], [sum(b - a for a, b in s) for s in spans], [len(s) for s in spans])]
+        return pa.table([rows.column("doc_id"), *numbers, pa.array(sha, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return find_repeats(df.select("doc_id", "text"), length, gram, keep_text=False).mapInArrow(lean(digest), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    cut, spans = find_repeats(df.select("doc_id", "text"), "doc_id", "text", length, gram, hot, slice_bytes, range_bytes)
+    return cut.groupBy("slice").cogroup(spans.groupBy("slice")).applyInArrow(lean_pair(digest), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def whole_characters(raw: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -524,18 +607,19 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col
     """df with the repeated strings cut out of its texts (whole characters only); all other columns as they are."""
     others = [f for f in df.schema.fields if f.name not in (id_col, text_col)]
 
-    def cut(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                rows, spans = rows_with_spans(row)
-                kept = []
-                for text, s in zip(rows.column("text").to_pylist(), spans):
-                    raw = text.encode()
-                    kept.append(without(raw, whole_characters(raw, s)).decode() if s else text)
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(kept, pa.string()), rows.column("rest")], names=["doc_id", "text", "rest"])
+    def kept(slice_: pa.Table, found: pa.Table) -> pa.Table:
+        rows, spans = rows_with_spans(slice_, found)
+        texts = []
+        for text, s in zip(rows.column("text").to_pylist(), spans):
+            if s:
+                raw = text.encode()
+                text = without(raw, whole_characters(raw, s)).decode()
+            texts.append(text)
+        return pa.table([rows.column("doc_id"), pa.array(texts, pa.string()), rows.column("rest")], names=["doc_id", "text", "rest"])
 
     rest = T.StructType(others) if others else T.StructType([T.StructField("none", T.IntegerType())])
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("rest", rest)])
-    found = find_repeats(df, length, gram, id_col, text_col).mapInArrow(lean(cut), schema)
+    cut, spans = find_repeats(df, id_col, text_col, length, gram, HOT, SLICE, RANGE_BYTES)
+    found = cut.groupBy("slice").cogroup(spans.groupBy("slice")).applyInArrow(lean_pair(kept), schema)
     column = {id_col: F.col("doc_id").cast(df.schema[id_col].dataType), text_col: F.col("text")}
     return found.select(*[column.get(c, F.col(f"rest.`{c}`")).alias(c) for c in df.columns])
