@@ -42,7 +42,8 @@ ITEM_KINDS = {"avtomobil": ["avtomobil", "mashina", "avto ", "krossover", "sedan
 JUNK_ITEM = "(?i)(o['‘’ʻʼ]?quv markaz|filial|tarmog|shahrida|shahridagi|viloyatidagi|eng yaxshi|top\\s*\\d*\\s*(kurs|markaz)|o['‘’ʻʼ]?zbekiston|uzbekistan|узбекистан)"
 SOCIAL_HOSTS = r"(instagram\.com|t\.me|telegram\.me|facebook\.com|fb\.com)"
 DIRECTORY_HOSTS = r"(kursi24\.uz|yellowpages\.uz|goldenpages\.uz|maps\.|2gis\.|olx\.uz|orgpage|yandex\.[a-z]+/maps)"
-SUPERLATIVE = r"(?<![A-Za-z0-9_])(best|number\s*1|no\.?\s*1|leading|top-rated|top\s+choice)(?![A-Za-z0-9_])"
+#: The number sign is no word character, so a word has to end before it.
+SUPERLATIVE = r"(?:(?<![A-Za-z0-9_])(?:best|number\s*1|no\.?\s*1|leading|top-rated|top\s+choice)|(?<=[A-Za-z0-9_])№\s*1)(?![A-Za-z0-9_])"
 
 #: language code -> names.
 LANGUAGE_NAMES = {
@@ -82,5 +83,12 @@ MATERIAL_FACTS = ("programs", "specializations", "foundedYear", "address", "stud
 SOURCE_BASE = {"website": 0.72, "directory": 0.62, "search": 0.58, "social": 0.55, "fixture": 0.60, "other": 0.50}
 BANDS = {"APPROVED": 85, "APPROVED_WITH_WARNINGS": 70, "NEEDS_REVIEW": 50}
 
-#: (first, last) of IPv4 ranges that are never fetched.
+OFFER_COLUMNS = {
+    "providerName": "Provayder", "productName": "Mahsulot", "category": "Turkum", "website": "Sayt", "phone": "Telefon", "interestRate": "Foiz stavkasi", "loanAmountRange": "Kredit summasi", "loanTermRange": "Muddat", "requirements": "Talablar",
+    "description": "Tavsif",
+}
+LISTING_COLUMNS = {"title": "Nomi", "price": "Narxi", "location": "Manzil", "sourceSite": "Sayt", "sourceUrl": "Havola", "postedDate": "E'lon sanasi", "description": "Tavsif", "attributesText": "Xususiyatlar"}
+WEIGHTS = {"sourceConfidence": 0.5, "dataCompleteness": 0.5}
+STAGES = ("DISCOVERED", "RESEARCHING", "VERIFIED", "CONTENT_READY", "JSON_READY", "APPROVED")
+#: IPv4 ranges that are never fetched.
 BLOCKED_RANGES = ["0.0.0.0/8", "10.0.0.0/8", "127.0.0.0/8", "169.254.0.0/16", "172.16.0.0/12", "192.168.0.0/16", "100.64.0.0/10", "224.0.0.0/3"]

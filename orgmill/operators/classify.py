@@ -96,3 +96,12 @@ def guess_kind(df: DataFrame, query: str) -> DataFrame:
 
 def usable_pages(df: DataFrame, text: str, least: int = 200) -> DataFrame:
     return df.where(F.length(text) >= least)
+
+
+def with_some_field(df: DataFrame, fields: list[str]) -> DataFrame:
+    """Rows in which at least one cleaned field has a value."""
+    kinds = dict(df.dtypes)
+    some = F.lit(False)
+    for c in fields:
+        some = some | X.has_value(F.col(c), kinds[c])
+    return df.where(some)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orgmill.functions import expressions as X
@@ -11,7 +12,13 @@ from orgmill.shared import stored
 
 ANCHOR = r"""(?is)<a\b[^>]*href\s*=\s*["']([^"']+)["'][^>]*>(.*?)</a>"""
 #: What each fact of a directory page stands in; one group each.
-MARKERS = {"name": r"(?s)<h1[^>]*>\s*([^<]+?)\s*</h1>", "address": r"(?s)<address[^>]*>(.*?)</address>", "phone": r'href="tel:(\+?\d[\d\s()-]*\d)"', "lat": r"'LAT':'([\d.]+)'", "lng": r"'LON':'([\d.]+)'"}
+MARKERS = {
+    "name": r"(?s)<h1[^>]*>\s*([^<]+?)\s*</h1>", "address": r"(?s)<address[^>]*>(.*?)</address>", "phone": r'href="tel:(\+?\d[\d\s()-]*\d)"', "lat": r"'LAT':'([\d.]+)'", "lng": r"'LON':'([\d.]+)'",
+    "descriptionSourceText": r"(?s)<article[^>]*>(.*?)</article>",
+}
+#: Lists of a page: the part of it that they stand in, and one item of it.
+LISTS = {"categoryLabels": (r"(?s)<nav[^>]*>(.*?)</nav>", r'<a href="[^"]*">([^<]+)</a>'), "nearbyUrls": (r"(?s)<aside[^>]*>(.*?)</aside>", r'<a\s+href="([^"]+)"')}
+LABELLED_LINKS = ("website", "instagram", "facebook", "telegram")
 
 
 def pages_to_text(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -40,48 +47,109 @@ def course_links(pages: DataFrame, keywords: list[str] | None = None) -> DataFra
     return top.union(whole.join(top.select("page_id").distinct(), "page_id", "left_anti"))
 
 
-def page_facts(pages: DataFrame, markers: dict[str, str] | None = None) -> DataFrame:
-    """One nullable column for each marker, and the first part of the address as city."""
-    found = {k: F.nullif(F.trim(X.decode_entities(F.regexp_replace(F.regexp_extract("html", m, 1), "<[^>]+>", " "))), F.lit("")) for k, m in (markers or MARKERS).items()}
-    out = pages.select("page_id", "url", *[c.alias(k) for k, c in found.items()])
+def clean_text(html) -> Column:
+    """Lines without tags and entities; blank lines go."""
+    s = X.decode_entities(F.regexp_replace(F.regexp_replace(html, r"(?i)<br\s*/?>", "\n"), "<[^>]+>", " "))
+    lines = F.filter(F.transform(F.split(F.regexp_replace(s, r"[ \t]+", " "), "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    return F.nullif(F.array_join(lines, "\n"), F.lit(""))
+
+
+def page_facts(pages: DataFrame, markers: dict[str, str] | None = None, lists: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """page_id, url, a nullable column for each marker, city (the first part of the address), the labelled links, and a list
+    for each of lists (items in page order, addresses absolute). What a page lacks is null or empty by itself."""
+    html = F.col("html")
+    found = {k: F.regexp_extract(html, m, 1) for k, m in (markers or MARKERS).items()}
+    out = {k: clean_text(c) for k, c in found.items()}
     if "phone" in found:
-        out = out.withColumn("phone", F.regexp_replace("phone", r"[\s()-]", ""))
+        out["phone"] = F.nullif(F.regexp_replace(found["phone"], r"[\s()-]", ""), F.lit(""))
     for k in ("lat", "lng"):
         if k in found:
-            out = out.withColumn(k, F.col(k).try_cast("double"))
+            out[k] = found[k].try_cast("double")
     if "address" in found:
-        out = out.withColumn("city", F.nullif(F.trim(F.try_element_at(F.split("address", ","), F.lit(1))), F.lit("")))
-    return out
-
-
-def facts_to_candidates(facts: DataFrame, text: str) -> DataFrame:
-    labels, _ = X.keyword_labels(F.col(text), fixed.CATEGORY_KEYWORDS)
-    types, _ = X.keyword_labels(F.col(text), fixed.TYPE_KEYWORDS)
-    return facts.select(F.col("url").alias("id"), "name", "city", F.try_element_at(types, F.lit(1)).alias("type"), F.try_element_at(labels, F.lit(1)).alias("category"), F.array_join(labels, ", ").alias("notes"))
-
-
-def crawl_reach(seeds: DataFrame, edges: DataFrame, max_depth: int = 50) -> DataFrame:
-    """id, depth: breadth first from seeds (id) over edges (a, b), each node once."""
-    frontier = stored(seeds.select("id").distinct().withColumn("depth", F.lit(0)), "frontier")
-    visited = frontier
-    for depth in range(1, max_depth + 1):
-        step = frontier.join(edges, frontier["id"] == edges["a"]).select(F.col("b").alias("id")).distinct()
-        frontier = stored(step.join(visited, "id", "left_anti").withColumn("depth", F.lit(depth)), "frontier")
+        out["city"] = F.nullif(F.trim(F.try_element_at(F.split(out["address"], ","), F.lit(1))), F.lit(""))
+    hrefs, labels = (F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(i)) for i in (1, 2))
+    label = lambda x: F.lower(F.trim(X.decode_entities(x)))
+    links = F.map_from_entries(F.transform(F.array_distinct(F.filter(F.transform(labels, label), lambda x: x.isin(*LABELLED_LINKS))), lambda k: F.struct(k, F.element_at(F.filter(F.arrays_zip(hrefs.alias("href"), F.transform(labels, label).alias("label")), lambda z: z["label"] == k), -1)["href"])))
+    out |= {k: F.trim(F.try_element_at(links, F.lit(k))) for k in LABELLED_LINKS}
+    for k, (block, item) in (lists or LISTS).items():
+        items = F.transform(F.regexp_extract_all(F.regexp_extract(html, block, 1), F.lit(item), F.lit(1)), lambda x: F.trim(X.decode_entities(x)))
+        items = F.filter(items, lambda x: x != "")
+        out[k] = F.coalesce(F.transform(items, lambda x: X.resolve_link(F.col("url"), x)) if k.endswith("Urls") else items, F.array().cast("array<string>"))
+    return pages.select("page_id", "url", *[c.alias(k) for k, c in out.items()])
+
+
+def facts_to_candidates(facts: DataFrame, labels: str = "categoryLabels") -> DataFrame:
+    """Candidates of pages with a name: type and category inferred from the labels, which are kept as notes."""
+    text = F.array_join(F.coalesce(labels, F.array().cast("array<string>")), " ")
+    categories, _ = X.keyword_labels(text, fixed.CATEGORY_KEYWORDS)
+    types, _ = X.keyword_labels(text, fixed.TYPE_KEYWORDS)
+    kept = facts.where("name is not null")
+    return kept.select(F.col("url").alias("id"), "name", "city", F.try_element_at(types, F.lit(1)).alias("type"), F.try_element_at(categories, F.lit(1)).alias("category"), F.array_join(labels, ", ").alias("notes"))
+
+
+def crawl_reach(seeds: DataFrame, edges: DataFrame, most: int | None = None, named: DataFrame | None = None, target: int | None = None, max_depth: int | None = None) -> DataFrame:
+    """Breadth first from seeds over edges (a, b), each node once, until nothing new is found.
+
+    Without most: id, depth. With most (a budget of visits): id, depth, pos, the visits in queue order - seeds by seeds.pos,
+    then by the visit of the page that links and the link's place (edges.place) - and no visit after the target-th one that
+    is in named (id). max_depth is a guard: beyond it this raises.
+    """
+    if most is None:
+        frontier = stored(seeds.select("id").distinct().withColumn("depth", F.lit(0)), "frontier")
+    else:
+        frontier = stored(queued(seeds.select("id", F.struct(F.lit(0).alias("by"), F.col("pos").alias("place")).alias("key")), 0, 0, most, named), "frontier")
+    visited, depth = frontier, 0
+    while True:
+        so_far = visited.count() if most is not None else 0
+        if most is not None and (so_far >= most or (target is not None and visited.where("named").count() >= target)):
+            break
+        step = frontier.withColumnRenamed("id", "a").join(edges, "a")
+        if most is None:
+            new = step.select(F.col("b").alias("id")).distinct().join(visited, "id", "left_anti").withColumn("depth", F.lit(depth + 1))
+        else:
+            keyed = step.select(F.col("b").alias("id"), F.struct(F.col("pos").alias("by"), "place").alias("key"))
+            new = queued(keyed.join(visited.select("id"), "id", "left_anti"), depth + 1, so_far, most - so_far, named)
+        frontier = stored(new, "frontier")
         if not frontier.limit(1).count():
             break
+        depth += 1
+        if max_depth is not None and depth > max_depth:
+            raise RuntimeError(f"the crawl is deeper than {max_depth}")
         visited = stored(visited.union(frontier), "visited")
-    return visited
+    if most is None:
+        return visited
+    if target is not None:
+        seen = F.sum(F.col("named").cast("int")).over(W.orderBy("pos"))  # at most `most` rows
+        visited = visited.withColumn("seen", seen - F.col("named").cast("int")).where(F.col("seen") < target)
+    return visited.select("id", "depth", "pos")
 
 
-def flag_private_hosts(df: DataFrame, host: str, scheme: str | None = None) -> DataFrame:
-    """blocked: another scheme than http(s), localhost, or an address in a blocked range."""
-    ip = X.ipv4(F.col(host))
+def queued(keyed: DataFrame, depth: int, before: int, most: int, named: DataFrame | None) -> DataFrame:
+    """The first most ids by key, numbered on from before."""
+    first = keyed.groupBy("id").agg(F.min("key").alias("key")).orderBy("key", "id").limit(most)
+    rows = first.withColumn("pos", F.row_number().over(W.orderBy("key", "id")) - 1 + before).select("id", F.lit(depth).alias("depth"), "pos")
+    if named is None:
+        return rows.withColumn("named", F.lit(True))
+    return rows.join(named.select("id").distinct().withColumn("named", F.lit(True)), "id", "left").fillna(False, ["named"])
+
+
+def blocked_address(ip: Column) -> Column:
+    """Is this number of an IPv4 address in a blocked range?"""
     inside = F.lit(False)
     for cidr in fixed.BLOCKED_RANGES:
         address, bits = cidr.split("/")
         low = sum(int(x) << 8 * (3 - i) for i, x in enumerate(address.split(".")))
         inside = inside | ip.between(low, low + (1 << 32 - int(bits)) - 1)
-    lower = F.lower(F.col(host))
-    six = lower.isin("::1", "::") | lower.rlike("^f[cd][0-9a-f]{0,2}:") | lower.rlike("^fe[89ab][0-9a-f]?:")
+    return F.coalesce(inside, F.lit(False))
+
+
+def flag_private_hosts(df: DataFrame, host: str, scheme: str | None = None) -> DataFrame:
+    """blocked: another scheme than http(s), localhost, or an address in a blocked range, also an IPv4 one that is written
+    as IPv6 (dotted or in hexadecimal, with or without brackets)."""
+    lower = F.regexp_replace(F.lower(F.trim(host)), r"^\[(.*)\]$", "$1")
+    dotted = X.ipv4(F.regexp_extract(lower, r"^(?:0*:)*:ffff:(\d+\.\d+\.\d+\.\d+)$", 1))
+    pair = [F.conv(F.nullif(F.regexp_extract(lower, r"^(?:0*:)*:ffff:([0-9a-f]{1,4}):([0-9a-f]{1,4})$", i), F.lit("")), 16, 10).cast("long") for i in (1, 2)]
+    six = lower.rlike(r"^[0:]*:0*1?$") | lower.rlike("^f[cd][0-9a-f]{0,2}:") | lower.rlike("^fe[89ab][0-9a-f]?:")
     other = ~F.lower(F.col(scheme)).isin("http", "https") if scheme else F.lit(False)
-    return df.withColumn("blocked", other | (lower == "localhost") | six | F.coalesce(inside, F.lit(False)))
+    address = F.coalesce(X.ipv4(lower), dotted, pair[0] * 65536 + pair[1])
+    return df.withColumn("blocked", F.coalesce(other | (lower == "localhost") | six | blocked_address(address), F.lit(False)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orgmill.functions import expressions as X
@@ -39,25 +40,44 @@ def duplicate_links(df: DataFrame, id_col: str, keys: dict[str, str]) -> DataFra
 
 
 def resolve_duplicates(df: DataFrame, id_col: str, keys: dict[str, str]) -> DataFrame:
-    """id, kept_id: the row with the smallest id of each group that shared keys connect."""
-    roots = connected(duplicate_links(df, id_col, keys))
-    return df.select(F.col(id_col).alias("id")).join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("kept_id"))
+    """id, kept_id, reason: the row with the smallest id of each group that shared keys connect, and which keys tie the row
+    to others (null for a row alone)."""
+    links = stored(duplicate_links(df, id_col, keys).where("a <> b"), "links")
+    ties = links.select(F.col("a").alias("id"), "reason").union(links.select("b", "reason")).groupBy("id").agg(F.array_join(F.sort_array(F.collect_set("reason")), ", ").alias("reason"))
+    known = connected(links).join(ties, "id")
+    return df.select(F.col(id_col).alias("id")).join(known, "id", "left").select("id", F.coalesce("root", "id").alias("kept_id"), "reason")
 
 
 def duplicate_groups(resolved: DataFrame) -> DataFrame:
-    """kept_id, merged_ids of groups with more than one row."""
-    merged = resolved.groupBy("kept_id").agg(F.sort_array(F.collect_list(F.when(F.col("id") != F.col("kept_id"), F.col("id")))).alias("merged_ids"))
-    return merged.where(F.size("merged_ids") > 0)
+    """kept_id, merged_ids, reason (the keys that join the group) of groups with more than one row."""
+    merged = F.sort_array(F.collect_list(F.when(F.col("id") != F.col("kept_id"), F.col("id"))))
+    why = F.array_join(F.sort_array(F.array_distinct(F.flatten(F.collect_set(F.split("reason", ", "))))), ", ")
+    return resolved.groupBy("kept_id").agg(merged.alias("merged_ids"), why.alias("reason")).where(F.size("merged_ids") > 0)
 
 
-def ambiguous_pairs(df: DataFrame, id_col: str, name: str, threshold: float = 0.5) -> DataFrame:
-    """(a, b, distance): names alike that no key joins, for review. Blocked by rare words, ranked by edit distance."""
-    words = df.select(F.col(id_col).alias("id"), F.col(name).alias("name"), F.explode(F.array_distinct(F.split(name, " "))).alias("word")).where(F.length("word") > 3)
-    rare = words.groupBy("word").agg(F.count("*").alias("n")).where("n between 2 and 50").select("word")
-    held = words.join(rare, "word")
-    pairs = held.alias("x").join(held.alias("y"), (F.col("x.word") == F.col("y.word")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.name").alias("p"), F.col("y.name").alias("q")).distinct()
-    distance = F.levenshtein("p", "q") / F.greatest(F.length("p"), F.length("q"), F.lit(1))
-    return pairs.select("a", "b", F.round(distance, 6).alias("distance")).where((F.col("distance") > 0) & (F.col("distance") <= threshold))
+def ambiguous_pairs(df: DataFrame, id_col: str, name: str, threshold: float = 0.2) -> DataFrame:
+    """a, b, distance: every two different names whose edit distance is at most threshold times the longer one's length, each
+    name by its smallest id; for review.
+
+    Exact. One edit changes two pairs of neighbouring letters at most, so two such names share a pair among the rarest
+    2 k + 1 of either (k: the edits that the longest possible partner allows). Names join by those, and by the lengths.
+    """
+    if not 0 < threshold <= 0.25:
+        raise ValueError("beyond 0.25 names need not share a pair of letters")
+    names = df.where(F.length(name) > 0).groupBy(F.col(name).alias("name")).agg(F.min(id_col).alias("id")).withColumn("size", F.length("name"))
+    places = F.transform(F.sequence(F.lit(1), F.col("size") - 1), lambda i: F.struct(F.substr("name", i, F.lit(2)).alias("gram"), i.alias("at")))
+    each = names.where("size > 1").select("id", "name", "size", F.inline(places))
+    nth = F.row_number().over(W.partitionBy("id", "gram").orderBy("at"))  # a pair of letters counts as often as it occurs
+    each = stored(each.select("id", "name", "size", "gram", nth.alias("nth")), "grams")
+    counts = each.groupBy("gram", "nth").agg(F.count("*").alias("n"))
+    ranked = each.join(counts, ["gram", "nth"]).withColumn("rank", F.row_number().over(W.partitionBy("id").orderBy("n", "gram", "nth")))
+    edits = F.floor(threshold * F.floor(F.col("size") / (1 - threshold) + 1e-9) + 1e-9)
+    rare = stored(ranked.where(F.col("rank") <= 2 * edits + 1).select("id", "name", "size", "gram", "nth"), "rare")
+    x, y = rare.alias("x"), rare.alias("y")
+    near = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.nth") == F.col("y.nth")) & (F.col("x.id") < F.col("y.id")) & (F.abs(F.col("x.size") - F.col("y.size")) <= threshold * F.greatest("x.size", "y.size"))
+    pairs = x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.name").alias("p"), F.col("y.name").alias("q")).distinct()
+    distance = F.levenshtein("p", "q") / F.greatest(F.length("p"), F.length("q"))
+    return pairs.select("a", "b", F.round(distance, 6).alias("distance")).where(F.col("distance") <= threshold)
 
 
 def city_dimension(spark) -> DataFrame:
@@ -71,14 +91,29 @@ def city_dimension(spark) -> DataFrame:
 
 
 def resolve_city(df: DataFrame, col: str, dim: DataFrame, first_alias: bool = False) -> DataFrame:
-    """city of each row: an alias equal to the text, else the longest (or first) alias that the text contains.
+    """city, cityId and regionId of each row: an alias equal to the text, else the longest (or first) alias that it contains.
 
     Distinct texts are matched against the small dimension once, however many rows hold them.
     """
     names = df.select(F.col(col).alias("__text")).where("__text is not null").distinct().withColumn("__key", F.lower(F.trim(F.regexp_replace("__text", r"\s+", " "))))
     order = F.struct((F.col("__key") != F.col("alias")).alias("x"), *([] if first_alias else [(-F.length("alias")).alias("y")]), "alias_pos")
-    found = names.join(F.broadcast(dim), F.contains("__key", "alias")).groupBy("__text").agg(F.min_by("city", order).alias("city"))
-    return df.join(found, df[col] == found["__text"], "left").drop("__text")
+    found = names.join(F.broadcast(dim), F.contains("__key", "alias")).groupBy("__text").agg(F.min_by(F.struct("city", "cityId", "regionId"), order).alias("__city"))
+    return df.join(found, df[col] == found["__text"], "left").withColumns({c: F.col(f"__city.{c}") for c in ("city", "cityId", "regionId")}).drop("__text", "__city")
+
+
+def in_city_scope(df: DataFrame, col: str, dim: DataFrame, cities: list[str] | None) -> DataFrame:
+    """Rows whose city is one of cities; a place that no city is known for stays only where all are wanted (None)."""
+    return df if cities is None else resolve_city(df, col, dim).where(F.col("city").isin(*cities))
+
+
+def attach_evidence(candidates: DataFrame, evidence: DataFrame, key: str) -> DataFrame:
+    """Candidates with each of their evidence rows; one without evidence stays, with nulls."""
+    return candidates.join(evidence, key, "left")
+
+
+def approved_records(states: DataFrame, records: DataFrame, key: str) -> DataFrame:
+    """The records of entities that are approved."""
+    return records.join(states.where("state = 'APPROVED'").select(key).distinct(), key, "left_semi")
 
 
 def unknown_ids(df: DataFrame, col: str, dim: DataFrame, key: str) -> DataFrame:
@@ -100,9 +135,39 @@ def fill_from_candidate(df: DataFrame, candidates: DataFrame, key: str, columns:
     return joined.withColumns(filled).drop(*[f"__{c}" for c in columns])
 
 
-def search_plan(facets: DataFrame, cities: DataFrame) -> DataFrame:
-    """Every facet with every city of the scope: both are small dimensions."""
-    return facets.crossJoin(F.broadcast(cities))
+def search_plan(scopes: DataFrame, cities: list[str] | None = None) -> DataFrame:
+    """The rows of scopes (types, categories, regions; null: all) with a category, type and city for each search.
+
+    Both lists named: each category with each type; one: its entries; none: every category. Then each city of the regions,
+    or all cities if none of them is one. The lists are small dimensions, so a row expands by itself: no join.
+    """
+    known = X.texts(cities or [c[2] for c in fixed.CITIES])
+    kind = "array<struct<category:string,type:string>>"
+    null = F.lit(None).cast("string")
+    pair = lambda c, t: F.struct(c.alias("category"), t.alias("type"))
+    every = F.transform(X.texts(fixed.CATEGORIES), lambda c: pair(c, null))
+    both = F.flatten(F.transform("categories", lambda c: F.transform("types", lambda t: pair(c, t))))
+    facets = (
+        F.when(F.col("categories").isNotNull() & F.col("types").isNotNull(), both.cast(kind))
+        .when(F.col("categories").isNotNull(), F.transform("categories", lambda c: pair(c, null)).cast(kind))
+        .when(F.col("types").isNotNull(), F.transform("types", lambda t: pair(null, t)).cast(kind))
+        .otherwise(every.cast(kind))
+    )
+    wanted = F.filter(known, lambda c: F.array_contains(F.coalesce("regions", known), c))
+    each = scopes.withColumn("__facet", F.explode(facets)).withColumn("city", F.explode(F.when(F.size(wanted) > 0, wanted).otherwise(known)))
+    return each.select(*scopes.columns, "__facet.category", "__facet.type", "city")
+
+
+def load_dims(spark) -> dict[str, DataFrame]:
+    """Thresholds, weights, the default order of categories, cities with their aliases, and the enums, as small tables."""
+    enums = {"type": fixed.TYPES, "status": fixed.STATUSES, "deliveryMode": fixed.DELIVERY_MODES, "category": fixed.CATEGORIES, "language": fixed.KNOWN_LANGUAGES, "state": fixed.STATES}
+    return {
+        "thresholds": spark.createDataFrame([*fixed.BANDS.items(), ("REJECTED", 0)], "band string, least int"),
+        "weights": spark.createDataFrame(list(fixed.WEIGHTS.items()), "score string, weight double"),
+        "priorities": spark.createDataFrame(list(enumerate(fixed.DEFAULT_CATEGORIES)), "pos int, category string"),
+        "cities": city_dimension(spark),
+        "enums": spark.createDataFrame([(k, i, v) for k, vs in enums.items() for i, v in enumerate(vs)], "kind string, pos int, value string"),
+    }
 
 
 def bucket_lookup(queries: DataFrame, rows: DataFrame, key: str, default: str, count: str) -> DataFrame:

@@ -48,7 +48,6 @@ def run(candidates: DataFrame, items: DataFrame) -> DataFrame:
     located = resolve.resolve_city(full.withColumnRenamed("city", "place"), "place", resolve.city_dimension(full.sparkSession)).withColumn("city_known", F.col("city").isNotNull()).withColumn("city", F.coalesce("city", "place"))
     scored = evidence.with_quality(evidence.with_source_confidence(evidence.with_completeness(standardize.render_description(located))))
     built = records.build_records(scored)
-    flat = built.select("entity_id", "record.*", F.col("city").alias("cityId"), "email", "descriptionUz", "descriptionRu").where("id is not null")
-    checked = records.validate_batch(flat).select("entity_id", "reasons")
+    checked = records.validate_batch(records.flat(built, "entity_id")).select("entity_id", "reasons")
     out = built.join(checked, "entity_id", "left").withColumn("reasons", F.coalesce("reasons", F.array().cast("array<string>")))
     return records.route(out).select("entity_id", "outcome", "build_errors", "reasons", "record", "completeness", "source_confidence", "quality", "band")

@@ -92,9 +92,13 @@ def entity_id(spark, d):
     return standardize.with_entity_id(s, "s_name", "n_name").select("s_suppkey", "entity_id", "duplicate_id", "hash")
 
 
-@query("SELECT s_suppkey, length(s_name) > 0 AS named, 25 AS id_length FROM supplier")
+def q_record_id(c: str) -> str:
+    return f"'c' || list_aggregate(list_transform(range(24), lambda i: substr('0123456789abcdefghijklmnopqrstuvwxyz', ('0x' || substr(sha256({c}), 2 * i + 1, 2))::INTEGER % 36 + 1, 1)), 'string_agg', '')"
+
+
+@query(f"SELECT s_suppkey, {q_record_id('s_name')} AS id FROM supplier")
 def record_id(spark, d):
-    return t(spark, d, "supplier").withColumn("id", X.record_id(F.col("s_name"))).select("s_suppkey", F.col("id").rlike("^c[0-9a-z]{24}$").alias("named"), F.length("id").alias("id_length"))
+    return t(spark, d, "supplier").select("s_suppkey", X.record_id(F.col("s_name")).alias("id"))
 
 
 @query(
@@ -158,16 +162,16 @@ def search_candidates(spark, d):
     return standardize.search_to_candidates(rows).where("name is not null")
 
 
-@query("SELECT doc_id, len(list_filter(string_split(text, ' '), lambda w: NOT contains(lower(w), lower(string_split(text, ' ')[1])) AND NOT regexp_matches(lower(w), '(filial|tarmog|shahrida|shahridagi|viloyatidagi|uzbekistan)'))) AS n_items FROM documents")
+@query("SELECT doc_id, list_filter(string_split(text, ' '), lambda w: NOT contains(lower(w), lower(string_split(text, ' ')[1])) AND NOT regexp_matches(lower(w), '(filial|tarmog|shahrida|shahridagi|viloyatidagi|uzbekistan)')) AS items FROM documents WHERE string_split(text, ' ')[1] <> '' UNION ALL SELECT doc_id, list_filter(string_split(text, ' '), lambda w: NOT regexp_matches(lower(w), '(filial|tarmog|shahrida|shahridagi|viloyatidagi|uzbekistan)')) FROM documents WHERE string_split(text, ' ')[1] = ''")
 def junk_items(spark, d):
     docs = t(spark, d, "documents").select("doc_id", F.split("text", " ").alias("items"))
-    return docs.select("doc_id", F.size(standardize.drop_junk_items(F.col("items"), F.slice("items", 1, 1))).cast("long").alias("n_items"))
+    return docs.select("doc_id", standardize.drop_junk_items(F.col("items"), F.slice("items", 1, 1)).alias("items"))
 
 
-@query(f"SELECT host, coalesce(list_min(list_filter(list(url), lambda u: starts_with(u, 'https'))), 'research://web-search/' || host) AS source_url, greatest(count(CASE WHEN starts_with(url, 'https') THEN 1 END) - 1, 0) AS n_additional FROM (SELECT {q_host('url')} AS host, url FROM pages) GROUP BY host")
+@query(f"SELECT host, coalesce(real[1], 'research://web-search/' || host) AS source_url, coalesce(real[2:], []) AS additional_urls FROM (SELECT host, list_sort(list_filter(list(url), lambda u: starts_with(u, 'https'))) AS real FROM (SELECT {q_host('url')} AS host, url FROM pages) GROUP BY host)")
 def provenance(spark, d):
     p = t(spark, d, "pages").groupBy(X.domain(F.col("url")).alias("host")).agg(F.sort_array(F.collect_list(F.when(F.col("url").startswith("https"), F.col("url")).otherwise(F.concat(F.lit("x"), "url")))).alias("citations"))
-    return standardize.with_provenance(p, "citations", "host").select("host", "source_url", F.size("additional_urls").cast("long").alias("n_additional"))
+    return standardize.with_provenance(p, "citations", "host").select("host", "source_url", "additional_urls")
 
 
 @query(f"SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN s_name ELSE 'É ' || s_name END AS best_name, {q_key("CASE WHEN s_suppkey % 2 = 0 THEN s_name ELSE 'É ' || s_name END")} AS name_key FROM supplier")
@@ -176,17 +180,17 @@ def export_identity(spark, d):
     return standardize.with_export_identity(s, "s_name").select("s_suppkey", "best_name", "name_key")
 
 
-@query(r"SELECT doc_id, CASE WHEN length(trim(text)) >= 40 THEN source || ' haqida: ' || trim(regexp_replace(regexp_replace(trim(text), '(?i)\b(best|number\s*1|no\.?\s*1|leading|top-rated|top\s+choice)\b', ''), '\s{2,}', ' ', 'g')) END AS \"descriptionUz\", length(trim(text)) < 40 OR lang <> 'fr' AS needs_review FROM documents".replace('\\"', '"'))
+@query(r"SELECT doc_id, CASE WHEN length(trim(text)) >= 40 THEN source || ' haqida: ' || trim(regexp_replace(regexp_replace(trim(text), '(?i)\b(best|number\s*1|№\s*1|no\.?\s*1|leading|top-rated|top\s+choice)\b', ''), '\s{2,}', ' ', 'g')) END AS \"descriptionUz\", length(trim(text)) < 40 OR lang <> 'fr' AS needs_review FROM documents".replace('\\"', '"'))
 def description(spark, d):
     docs = t(spark, d, "documents").select("doc_id", F.col("text").alias("descriptionSourceText"), F.col("source").alias("nameUz"), F.lit(None).cast("string").alias("nameLatin"), F.when(F.col("lang") == "fr", "source").alias("nameRu"))
     return standardize.render_description(docs).select("doc_id", "descriptionUz", "needs_review")
 
 
-@query("SELECT host, len(list_distinct(list(url))[1:4]) AS n_targets FROM (SELECT regexp_extract(url, '^https?://([^/?#]*)', 1) AS host, url FROM pages) GROUP BY host")
+@query("SELECT host, list_sort(list_distinct(list(url)))[1:4] AS targets FROM (SELECT regexp_extract(url, '^https?://([^/?#]*)', 1) AS host, url FROM pages) GROUP BY host")
 def fetch_targets(spark, d):
     p = t(spark, d, "pages").groupBy(F.try_parse_url("url", F.lit("HOST")).alias("host")).agg(F.sort_array(F.collect_list("url")).alias("citations"))
     p = p.select("host", F.lit("@handle").alias("website"), F.col("citations")[0].alias("source_url"), "citations", F.lit(None).cast("string").alias("telegram"), F.lit("x.com").alias("instagram"))
-    return standardize.fetch_targets(p).select("host", F.size("targets").cast("long").alias("n_targets"))
+    return standardize.fetch_targets(p).select("host", "targets")
 
 
 @query(f"SELECT doc_id, {q_labels('text', WORDS)} AS labels FROM documents")
@@ -218,7 +222,8 @@ def resolve_city(spark, d):
 
 @query(f"SELECT s_suppkey FROM (SELECT s_suppkey, {city_answers(['Tashkent', 'Samarkand', None, 'Tashkent Region', 'Bukhara', None])} AS city FROM supplier) WHERE city IN ('Tashkent', 'Bukhara')")
 def city_scope(spark, d):
-    return resolve_city(spark, d).where(F.col("city").isin("Tashkent", "Bukhara")).select("s_suppkey")
+    s = t(spark, d, "supplier").select("s_suppkey", city_texts(F.col("s_suppkey")).alias("place"))
+    return resolve.in_city_scope(s, "place", resolve.city_dimension(spark), ["Tashkent", "Bukhara"]).select("s_suppkey")
 
 
 @query("SELECT s_suppkey, CASE s_suppkey % 6 WHEN 0 THEN ['Tashkent'] WHEN 1 THEN ['Samarkand'] WHEN 3 THEN ['Tashkent', 'Tashkent Region'] WHEN 4 THEN ['Bukhara'] ELSE []::VARCHAR[] END AS cities FROM supplier")
@@ -241,21 +246,22 @@ def relevance_flag(spark, d):
     return classify.flag_irrelevant(docs, ["name"], ["programs"]).select("doc_id", "flag_reason")
 
 
-@query("SELECT count(CASE WHEN doc_id % 3 <> 0 THEN 1 END) AS kept, count(CASE WHEN doc_id % 3 = 0 THEN 1 END) AS review FROM documents")
+@query("SELECT doc_id, doc_id % 3 <> 0 AS goes_on, CASE WHEN doc_id % 3 = 0 THEN 'looks like a medical organization (matched \"hospital\" in \"a hospital\")' END AS flag_reason FROM documents".replace('\\"', '"'))
 def early_exit(spark, d):
     docs = t(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, "a hospital").alias("name"))
     on, review = classify.split_flagged(docs, ["name"])
-    return on.agg(F.count("*").alias("kept")).crossJoin(review.agg(F.count("*").alias("review")))
+    return on.select("doc_id", F.lit(True).alias("goes_on"), F.lit(None).cast("string").alias("flag_reason")).union(review.select("doc_id", F.lit(False), "flag_reason"))
 
 
-MATERIAL = "CASE WHEN length(trim(text)) >= 40 THEN 2 ELSE 0 END + CASE WHEN quality IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN trim(source) <> '' THEN 1 ELSE 0 END"
+MATERIAL = "list_filter([CASE WHEN length(trim(text)) >= 40 THEN 'descriptionSourceText' END, CASE WHEN quality IS NOT NULL THEN 'foundedYear' END, CASE WHEN trim(source) <> '' THEN 'address' END], lambda x: x IS NOT NULL)"
 
 
-@query(f"SELECT doc_id, ({MATERIAL}) >= 2 AND lang <> 'es' AS sufficient FROM documents LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id) USING (doc_id)")
+@query(f"""SELECT doc_id, facts, len(missing) = 0 AS sufficient, CASE WHEN len(missing) > 0 THEN 'missing ' || array_to_string(missing, '; ') END AS material_reason FROM (SELECT *, list_filter([CASE WHEN lang = 'es' THEN 'a name' END, CASE WHEN len(facts) + CASE WHEN length(trim(text)) >= 40 THEN 1 ELSE 0 END < 2 THEN 'at least 2 substantive facts' END], lambda x: x IS NOT NULL) AS missing
+FROM (SELECT *, {MATERIAL} AS facts FROM documents LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id) USING (doc_id)))""")
 def material_gate(spark, d):
     labels = t(spark, d, "labels").groupBy("doc_id").agg(F.max("quality").alias("foundedYear"))
-    docs = t(spark, d, "documents").join(labels, "doc_id", "left").select("doc_id", F.col("text").alias("descriptionSourceText"), "foundedYear", F.col("source").alias("address"), F.when(F.col("lang") != "es", "lang").alias("nameUz"), F.lit("SCHOOL").alias("type"))
-    return classify.assess_material(docs).select("doc_id", "sufficient")
+    docs = t(spark, d, "documents").join(labels, "doc_id", "left").select("doc_id", F.col("text").alias("descriptionSourceText"), "foundedYear", F.col("source").alias("address"), F.when(F.col("lang") != "es", F.col("lang")).alias("nameUz"), F.lit("SCHOOL").alias("type"))
+    return classify.assess_material(docs).select("doc_id", "facts", "sufficient", "material_reason")
 
 
 @query("SELECT conv_id, turn, CASE WHEN contains(lower(text), 'sedan') OR contains(' ' || lower(text) || ' ', ' at ') OR contains(' ' || lower(text) || ' ', ' mt ') OR contains(lower(text), 'mashina') OR contains(lower(text), 'avtomobil') OR contains(' ' || lower(text) || ' ', 'avto ') OR contains(lower(text), 'krossover') THEN 'avtomobil' END AS kind FROM conversations")
@@ -274,15 +280,37 @@ def scope_filter(spark, d):
     return classify.in_scope(part, ["ECONOMY", "SMALL"], ["Brand#1", "Brand#2", "Brand#3"], limit=50).select(F.col("pos").alias("p_partkey"))
 
 
-@query("SELECT r_name, p_type FROM region, (SELECT DISTINCT p_type FROM part)")
+@query(f"""WITH s AS (SELECT n_nationkey AS k, CASE WHEN n_nationkey % 4 IN (1, 3) THEN ['SAT', 'IELTS'] END AS categories, CASE WHEN n_nationkey % 4 IN (2, 3) THEN ['SCHOOL', 'LYCEUM', 'TUTORING'] END AS types, CASE n_nationkey % 3 WHEN 1 THEN ['Bukhara', 'Karshi', n_name] WHEN 2 THEN [n_name] END AS regions FROM nation),
+f AS (SELECT k, regions, unnest(CASE WHEN categories IS NOT NULL THEN categories WHEN types IS NOT NULL THEN [NULL] ELSE [{sql_list(fixed.CATEGORIES)}] END) AS category, types FROM s),
+g AS (SELECT k, regions, category, unnest(CASE WHEN types IS NULL THEN [NULL] ELSE types END) AS type FROM f), c AS (SELECT unnest([{sql_list([c[2] for c in fixed.CITIES])}]) AS city)
+SELECT k, category, type, city FROM g, c WHERE k % 3 <> 1 OR city IN ('Bukhara', 'Karshi')""")
 def search_plan(spark, d):
-    return resolve.search_plan(t(spark, d, "part").select("p_type").distinct(), t(spark, d, "region").select("r_name"))
+    k = F.col("n_nationkey")
+    scopes = t(spark, d, "nation").select(k.alias("k"), F.when(k % 4 % 2 == 1, X.texts(["SAT", "IELTS"])).alias("categories"), F.when(k % 4 >= 2, X.texts(["SCHOOL", "LYCEUM", "TUTORING"])).alias("types"), F.when(k % 3 == 1, F.array(F.lit("Bukhara"), F.lit("Karshi"), F.col("n_name"))).when(k % 3 == 2, F.array("n_name")).alias("regions"))
+    return resolve.search_plan(scopes).select("k", "category", "type", "city")
+
+
+@query(f"SELECT 'threshold' AS kind, unnest(['APPROVED', 'APPROVED_WITH_WARNINGS', 'NEEDS_REVIEW', 'REJECTED']) AS name, unnest([85, 70, 50, 0])::VARCHAR AS value UNION ALL SELECT 'weight', unnest(['sourceConfidence', 'dataCompleteness']), '0.5' UNION ALL SELECT 'priority', unnest([{sql_list(fixed.DEFAULT_CATEGORIES)}]), unnest([0, 1, 2, 3])::VARCHAR UNION ALL SELECT 'city', unnest([{sql_list([c[2] for c in fixed.CITIES])}]), '1' UNION ALL SELECT 'enum type', unnest([{sql_list(fixed.TYPES)}]), unnest([0, 1, 2, 3, 4])::VARCHAR")
+def dims(spark, d):
+    tables = resolve.load_dims(spark)
+    rows = lambda name, kind, a, b: tables[name].select(F.lit(kind).alias("kind"), F.col(a).alias("name"), F.col(b).cast("string").alias("value"))
+    cities = tables["cities"].select(F.lit("city").alias("kind"), F.col("city").alias("name"), F.lit("1").alias("value")).distinct()
+    enum = tables["enums"].where("kind = 'type'").select(F.lit("enum type").alias("kind"), F.col("value").alias("name"), F.col("pos").cast("string").alias("value"))
+    return rows("thresholds", "threshold", "band", "least").union(rows("weights", "weight", "score", "weight")).union(rows("priorities", "priority", "category", "pos")).union(cities).union(enum)
+
+
+@query(f"SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'LYCEUM' ELSE {q_labels('x', fixed.TYPE_KEYWORDS)}[1] END AS type, CASE WHEN doc_id % 5 = 0 THEN ['CEFR'] ELSE {q_labels('x', fixed.CATEGORY_KEYWORDS)} END AS categories FROM (SELECT *, CASE doc_id % 3 WHEN 0 THEN 'Repetitor ' WHEN 1 THEN 'IELTS kurslar ' ELSE '' END || text AS x FROM documents)")
+def infer_labels(spark, d):
+    k = F.col("doc_id")
+    docs = t(spark, d, "documents").select("doc_id", F.when(k % 3 == 0, "Repetitor").when(k % 3 == 1, "IELTS kurslar").alias("a"), F.col("text").alias("b"), F.when(k % 4 == 0, "LYCEUM").alias("type"), F.when(k % 5 == 0, F.array(F.lit("CEFR"))).alias("categories"))
+    return classify.infer_labels(docs, ["a", "b"]).select("doc_id", "type", "categories")
 
 
 PAGE_KEYS = f"SELECT page_id, {q_host('url')} AS host, {q_key(TITLE)} AS title FROM pages"
 DUPLICATES = f"""WITH RECURSIVE p AS ({PAGE_KEYS}), k AS (SELECT page_id, 'h' || host AS k FROM p WHERE host <> '' UNION ALL SELECT page_id, 't' || title FROM p WHERE title <> ''),
-e AS (SELECT DISTINCT a.page_id AS a, b.page_id AS b FROM k a JOIN (SELECT k, min(page_id) AS page_id FROM k GROUP BY k) b USING (k)), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-r AS (SELECT page_id AS id, page_id AS root FROM p UNION SELECT u.b, r.root FROM r JOIN u ON r.id = u.a), f AS (SELECT id, min(root) AS kept_id FROM r GROUP BY id)"""
+w AS (SELECT DISTINCT a.page_id AS a, b.page_id AS b, CASE a.k[1] WHEN 'h' THEN 'domain' ELSE 'name' END AS reason FROM k a JOIN (SELECT k, min(page_id) AS page_id FROM k GROUP BY k) b USING (k)), e AS (SELECT DISTINCT a, b FROM w), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r AS (SELECT page_id AS id, page_id AS root FROM p UNION SELECT u.b, r.root FROM r JOIN u ON r.id = u.a), m AS (SELECT id, list_sort(list_distinct(list(reason))) AS reasons FROM (SELECT a AS id, reason FROM w WHERE a <> b UNION ALL SELECT b, reason FROM w WHERE a <> b) GROUP BY id),
+f AS (SELECT id, min(root) AS kept_id, any_value(reasons) AS reasons FROM r LEFT JOIN m USING (id) GROUP BY id)"""
 
 
 def resolved_pages(spark, d) -> DataFrame:
@@ -290,12 +318,12 @@ def resolved_pages(spark, d) -> DataFrame:
     return resolve.resolve_duplicates(p, "page_id", {"domain": "host", "name": "title"})
 
 
-@query(f"{DUPLICATES} SELECT id, kept_id FROM f")
+@query(f"{DUPLICATES} SELECT id, kept_id, array_to_string(reasons, ', ') AS reason FROM f")
 def resolve_duplicates(spark, d):
     return resolved_pages(spark, d)
 
 
-@query(f"{DUPLICATES} SELECT kept_id, list_sort(list(id)) AS merged_ids FROM f WHERE id <> kept_id GROUP BY kept_id")
+@query(f"{DUPLICATES} SELECT kept_id, list_sort(list(id) FILTER (id <> kept_id)) AS merged_ids, array_to_string(list_sort(list_distinct(flatten(list(reasons)))), ', ') AS reason FROM f GROUP BY kept_id HAVING count(*) > 1")
 def duplicate_groups(spark, d):
     return resolve.duplicate_groups(resolved_pages(spark, d))
 
@@ -305,12 +333,9 @@ def keep_first(spark, d):
     return evidence.first_by(t(spark, d, "documents").select("source", "doc_id", "lang"), ["source"], "doc_id").select("source", "doc_id")
 
 
-@query("""WITH w AS (SELECT DISTINCT p_partkey AS id, p_name || ' no. ' || (1000 + p_partkey % 400) AS name, unnest(string_split(p_name || ' no. ' || (1000 + p_partkey % 400), ' ')) AS word FROM part), r AS (SELECT word FROM w WHERE length(word) > 3 GROUP BY word HAVING count(*) BETWEEN 2 AND 50),
-p AS (SELECT DISTINCT a.id AS a, b.id AS b, a.name AS p, b.name AS q FROM w a JOIN w b ON a.word = b.word AND a.id < b.id JOIN r ON r.word = a.word) SELECT a, b, round(levenshtein(p, q) / greatest(length(p), length(q)), 6) AS distance FROM p WHERE levenshtein(p, q) / greatest(length(p), length(q)) BETWEEN 0.0000001 AND 0.5""")
+@query("WITH n AS (SELECT p_name || ' ' || p_brand || ' ' || p_type AS name, min(p_partkey) AS id FROM part GROUP BY name) SELECT a.id AS a, b.id AS b, round(levenshtein(a.name, b.name) / greatest(length(a.name), length(b.name)), 6) AS distance FROM n a JOIN n b ON a.id < b.id WHERE levenshtein(a.name, b.name) <= 0.1 * greatest(length(a.name), length(b.name))")
 def ambiguous_pairs(spark, d):
-    return resolve.ambiguous_pairs(t(spark, d, "part").select("p_partkey", F.concat_ws(" ", "p_name", F.lit("no."), (1000 + F.col("p_partkey") % 400).cast("string")).alias("name")), "p_partkey", "name")
-
-
+    return resolve.ambiguous_pairs(t(spark, d, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("name")), "p_partkey", "name", 0.1)
 
 
 @query("WITH x AS (SELECT max(event_id) / 2 AS m FROM events), old AS (SELECT user_id AS entity_id, event_type AS source_url, min(event_id) AS seq FROM events, x WHERE event_id < m GROUP BY ALL), new AS (SELECT user_id AS entity_id, event_type AS source_url, min(event_id) AS seq FROM events, x WHERE event_id >= m GROUP BY ALL) SELECT * FROM old UNION ALL SELECT * FROM new ANTI JOIN old USING (entity_id, source_url)")
@@ -402,7 +427,7 @@ def first_n(spark, d):
 
 @query("SELECT c_custkey, count(o_orderkey) AS n, max(o_totalprice) AS best FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey")
 def attach_evidence(spark, d):
-    return t(spark, d, "customer").join(t(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left").groupBy("c_custkey").agg(F.count("o_orderkey").alias("n"), F.max("o_totalprice").alias("best"))
+    return resolve.attach_evidence(t(spark, d, "customer"), t(spark, d, "orders").withColumnRenamed("o_custkey", "c_custkey"), "c_custkey").groupBy("c_custkey").agg(F.count("o_orderkey").alias("n"), F.max("o_totalprice").alias("best"))
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN c_name ELSE o_orderpriority END AS name, coalesce(CASE WHEN o_orderkey % 4 > 0 THEN o_orderstatus END, c_mktsegment, 'OFFLINE') AS mode FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
@@ -442,51 +467,72 @@ def bucket_lookup(spark, d):
     return resolve.bucket_lookup(queries, rows, "p_brand", "Brand#1", "count").select("page_id", F.col("bucket").alias("bucket_name"))
 
 
-def built(spark, d) -> DataFrame:
-    k = F.col("s_suppkey")
-    null = F.lit(None).cast("string")
-    s = t(spark, d, "supplier").join(t(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    return records.build_records(s.select(
-        "s_suppkey", F.concat(F.lit("e"), k.cast("string")).alias("entity_id"), F.when(k % 7 > 0, F.col("s_name")).alias("nameUz"), null.alias("nameRu"), F.when(k % 14 == 0, "Neo Clinic").alias("nameLatin"), F.col("n_name").alias("city"), (k % 5 > 0).alias("city_known"),
-        F.when(k % 3 == 0, "123").when(k % 3 == 1, F.concat(F.lit("90"), F.lpad(k.cast("string"), 7, "0"))).alias("phone"), null.alias("phone2"), F.concat(F.lit("Site"), k.cast("string"), F.lit(".UZ/")).alias("website"), null.alias("type"), null.alias("deliveryMode"), F.array(F.lit("English")).alias("languages"), F.when(k % 4 > 0, F.array(F.lit("SAT"))).alias("categories"),
-    ))
+CITY, REGION = fixed.CITIES[0][:2]
 
 
-@query("SELECT s_suppkey, (s_suppkey % 5 = 0)::BIGINT + (s_suppkey % 3 = 0)::BIGINT + (s_suppkey % 7 = 0)::BIGINT AS n_errors, CASE WHEN s_suppkey % 5 > 0 AND s_suppkey % 3 > 0 AND s_suppkey % 7 > 0 THEN 'https://site' || s_suppkey || '.uz' END AS website, CASE WHEN s_suppkey % 5 > 0 AND s_suppkey % 3 = 1 AND s_suppkey % 7 > 0 THEN '+99890' || lpad(s_suppkey::VARCHAR, 7, '0') END AS phone FROM supplier")
+@query(f"""SELECT s_suppkey, list_filter([CASE WHEN k % 5 = 0 THEN 'could not resolve city "' || n_name || '"' END, CASE WHEN k % 3 = 0 THEN 'invalid phone "123": unrecognized phone format' END, CASE WHEN k % 7 = 0 AND k % 14 > 0 THEN 'no nameUz/nameLatin available' END, CASE WHEN k % 14 = 0 THEN 'looks like a medical organization (matched "clinic" in "Neo Clinic")' END], lambda x: x IS NOT NULL) AS build_errors,
+CASE WHEN ok THEN {q_record_id("'e' || k")} END AS id, CASE WHEN ok THEN s_name END AS "nameUz", CASE WHEN ok THEN CASE WHEN k % 2 = 0 THEN 'Имя' ELSE s_name END END AS "nameRu", CASE WHEN ok THEN {q_key('s_name')} END AS "nameKey", CASE WHEN ok THEN {q_slug("s_name || ' ' || n_name")} END AS slug, CASE WHEN ok THEN 'COURSE_CENTER' END AS type, CASE WHEN ok THEN 'PENDING' END AS status,
+CASE WHEN ok AND k % 3 = 1 THEN '+99890' || lpad(k::VARCHAR, 7, '0') END AS phone, CASE WHEN ok THEN 'https://site' || k || '.uz' END AS website, CASE WHEN ok AND k % 2 = 0 THEN 'a@b.uz' END AS email, CASE WHEN ok AND k % 2 = 0 THEN '{CITY}' END AS "cityId", CASE WHEN ok THEN '{REGION}' END AS "regionId", CASE WHEN ok THEN 'Main st. ' || k END AS address, CASE WHEN ok THEN k / 10 END AS lat,
+CASE WHEN ok THEN 'HYBRID' END AS "deliveryMode", CASE WHEN ok THEN ['en'] END AS languages, CASE WHEN ok THEN CASE WHEN k % 4 > 0 THEN ['SAT'] ELSE []::VARCHAR[] END END AS categories, CASE WHEN ok THEN ['Kids'] END AS programs, CASE WHEN ok THEN 1990 + k % 30 END::INTEGER AS "foundedYear", CASE WHEN ok THEN 'x' END AS "descriptionUz", CASE WHEN ok THEN false END AS "isVerified", CASE WHEN ok THEN 0 END::INTEGER AS n_branches
+FROM (SELECT *, s_suppkey AS k, s_suppkey % 5 > 0 AND s_suppkey % 3 > 0 AND s_suppkey % 7 > 0 AS ok FROM supplier JOIN nation ON s_nationkey = n_nationkey)""")
 def build_records(spark, d):
-    return built(spark, d).select("s_suppkey", F.size("build_errors").cast("long").alias("n_errors"), "record.website", "record.phone")
+    k = F.col("s_suppkey")
+    s = t(spark, d, "supplier").join(t(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    built = records.build_records(s.select(
+        "s_suppkey", F.concat(F.lit("e"), k.cast("string")).alias("entity_id"), F.when(k % 7 > 0, F.col("s_name")).alias("nameUz"), F.when(k % 2 == 0, "Имя").alias("nameRu"), F.when(k % 14 == 0, "Neo Clinic").alias("nameLatin"), F.col("n_name").alias("city"), (k % 5 > 0).alias("city_known"),
+        F.when(k % 3 == 0, "123").when(k % 3 == 1, F.concat(F.lit("90"), F.lpad(k.cast("string"), 7, "0"))).alias("phone"), F.concat(F.lit("Site"), k.cast("string"), F.lit(".UZ/")).alias("website"), F.when(k % 2 == 0, "a@b.uz").alias("email"), F.when(k % 2 == 0, CITY).alias("cityId"), F.lit(REGION).alias("regionId"),
+        F.concat(F.lit("Main st. "), k.cast("string")).alias("address"), (k / 10).alias("lat"), F.lit("HYBRID").alias("deliveryMode"), F.array(F.lit("English")).alias("languages"), F.when(k % 4 > 0, F.array(F.lit("SAT"))).alias("categories"), F.array(F.lit("Kids")).alias("programs"), (1990 + k % 30).cast("int").alias("foundedYear"), F.lit("x").alias("descriptionUz"),
+    ))
+    own = "id nameUz nameRu nameKey slug type status phone website email cityId regionId address lat deliveryMode isVerified".split()
+    return built.select("s_suppkey", "build_errors", *[f"record.{c}" for c in own], *[f"record.details.{c}" for c in ("languages", "categories", "programs", "foundedYear", "descriptionUz")], F.size("record.branches").alias("n_branches"))
 
 
+def batch(spark, d) -> DataFrame:
+    """Records of which each breaks some of the rules, by its key."""
+    k = F.col("s_suppkey")
+    when = lambda m, r, bad, good: F.when(k % m == r, bad).otherwise(good)
+    one = lambda *x: F.array(*[F.lit(v) for v in x])
+    return t(spark, d, "supplier").select(
+        "s_suppkey", when(43, 12, F.lit(""), F.lit("c1")).alias("id"), when(13, 2, F.lit("Same"), F.col("s_name")).alias("nameUz"), when(41, 11, F.lit(""), F.lit("Имя")).alias("nameRu"), when(47, 13, F.lit(""), F.lit("key")).alias("nameKey"),
+        F.when(k % 11 == 1, "same").when(k % 17 == 3, "Bad Slug").otherwise(F.concat(F.lit("s-"), k.cast("string"))).alias("slug"), when(13, 4, F.lit("SHOP"), F.lit("SCHOOL")).alias("type"), when(19, 5, one("SCHOOL", "SHOP"), one("SCHOOL")).alias("additionalTypes"), when(23, 6, F.lit("GONE"), F.lit("ACTIVE")).alias("status"),
+        when(5, 1, F.lit("nobody"), F.lit("a@b.uz")).alias("email"), when(29, 7, F.lit("ftp://x"), F.lit("https://x")).alias("website"), F.when(k % 31 == 8, "POST").when(k % 31 == 9, "ONLINE").otherwise("OFFLINE").alias("deliveryMode"), when(37, 10, F.lit(1990.5), F.lit(1990.0)).alias("foundedYear"),
+        F.when(k % 6 == 1, one("en", "xx1")).when(k % 6 == 2, one("fr")).otherwise(one("en")).alias("languages"), F.when(k % 4 == 0, one().cast("array<string>")).when(k % 8 == 3, one("XYZ")).otherwise(one("SAT")).alias("categories"), F.when(k % 3 == 1, "nowhere").when(k % 3 == 2, CITY).alias("cityId"),
+        when(9, 2, F.lit("nowhere"), F.lit(REGION)).alias("regionId"), when(7, 2, F.lit("90 12"), F.lit("+998901234567")).alias("phone"), F.lit("").alias("descriptionUz"), F.when(k % 2 == 0, "x").alias("descriptionRu"),
+    )
 
 
-def batch(spark, d) -> DataFrame:
-    null = F.lit(None).cast("string")
-    r = built(spark, d).where("record is not null").select("s_suppkey", "record.*")
-    return r.select("*", (F.col("s_suppkey") % 6).cast("string").alias("cityId"), null.alias("email"), null.alias("descriptionUz"), F.when(F.col("s_suppkey") % 2 == 0, "x").alias("descriptionRu")).withColumn("slug", F.when(F.col("s_suppkey") % 11 == 1, "same").otherwise(F.col("slug"))).withColumn("nameUz", F.when(F.col("s_suppkey") % 13 == 2, "Same").otherwise(F.col("nameUz")))
+def _told(*rules: tuple[str, str]) -> str:
+    return "list_filter([" + ", ".join(f"CASE WHEN {when} THEN '{name}' END" for when, name in rules) + "], lambda x: x IS NOT NULL)"
 
 
-GOOD = "SELECT * FROM supplier WHERE s_suppkey % 5 > 0 AND s_suppkey % 3 > 0 AND s_suppkey % 7 > 0"
-OWN = "((s_suppkey % 4 = 0)::BIGINT + (s_suppkey % 2 = 1)::BIGINT)"
-BATCH = f"SELECT s_suppkey, {OWN} + (s_suppkey % 11 = 1 AND count(*) OVER (PARTITION BY s_suppkey % 11 = 1) > 1)::BIGINT + (s_suppkey % 13 = 2 AND count(*) OVER (PARTITION BY s_suppkey % 13 = 2, s_suppkey % 6) > 1)::BIGINT AS n_reasons FROM ({GOOD})"
+REASONS = _told(
+    ("k % 43 = 12", "id: too short"), ("k % 41 = 11", "nameRu: too short"), ("k % 47 = 13", "nameKey: too short"), ("k % 17 = 3 AND k % 11 <> 1", "slug: slug must be url-safe kebab-case"), ("k % 13 = 4", "type: not in enum"), ("k % 19 = 5", "additionalTypes: not in enum"), ("k % 23 = 6", "status: not in enum"),
+    ("k % 5 = 1", "email: not an address"), ("k % 29 = 7", "website: not a url"), ("k % 31 = 8", "deliveryMode: not in enum"), ("k % 37 = 10", "foundedYear: not an integer"), ("k % 6 = 1", "languages: not a lower-case code"), ("k % 8 = 3", "categories: not in enum"), ("k % 3 = 1", "cityId: not a known city"),
+    ("k % 9 = 2", "regionId: not a known region"), ("k % 7 = 2", "phone is not normalized"), ("k % 31 = 9", "deliveryMode ONLINE is flagged for review"), ("k % 6 IN (1, 2)", "languages contain codes not yet observed"), ("k % 4 = 0", "categories must be non-empty"), ("k % 2 = 1", "both descriptions are null"),
+)
+OWN = f"SELECT *, s_suppkey AS k, {REASONS.replace('k %', 's_suppkey %')} AS own FROM supplier"
+BATCH = f"""SELECT s_suppkey, own || list_filter([CASE WHEN count(*) OVER (PARTITION BY slug) > 1 THEN 'slug "' || slug || '" is not unique across the batch' END, CASE WHEN count(*) OVER (PARTITION BY name, k % 3) > 1 THEN 'duplicate name and city in the batch' END], lambda x: x IS NOT NULL) AS reasons
+FROM (SELECT *, CASE WHEN k % 11 = 1 THEN 'same' WHEN k % 17 = 3 THEN 'Bad Slug' ELSE 's-' || k END AS slug, CASE WHEN k % 13 = 2 THEN 'Same' ELSE s_name END AS name FROM ({OWN}))"""
 
 
-@query(f"SELECT s_suppkey, {OWN} AS n_reasons FROM ({GOOD})")
+@query(f"SELECT s_suppkey, own AS reasons, len(own) = 0 AS valid FROM ({OWN})")
 def validate_records(spark, d):
-    return records.validate_records(batch(spark, d)).select("s_suppkey", F.size("reasons").cast("long").alias("n_reasons"))
+    return records.validate_records(batch(spark, d)).select("s_suppkey", "reasons", "valid")
 
 
-@query(BATCH)
+@query(f"SELECT s_suppkey, reasons, len(reasons) = 0 AS valid FROM ({BATCH})")
 def validate_batch(spark, d):
-    return records.validate_batch(batch(spark, d)).select("s_suppkey", F.size("reasons").cast("long").alias("n_reasons"))
+    return records.validate_batch(batch(spark, d)).select("s_suppkey", "reasons", "valid")
 
 
-@query(f"SELECT count(CASE WHEN n_reasons = 0 THEN 1 END) AS exported, count(CASE WHEN n_reasons > 0 THEN 1 END) AS demoted FROM ({BATCH})")
+@query(f"SELECT s_suppkey, CASE WHEN len(reasons) = 0 THEN 'export' ELSE 'NEEDS_REVIEW' END AS state, CASE WHEN len(reasons) > 0 THEN array_to_string(reasons, '; ') END AS last_error, CASE WHEN len(reasons) > 0 THEN 'failed final pre-export batch validation: ' || array_to_string(reasons, '; ') END AS note FROM ({BATCH})")
 def finalize(spark, d):
-    kept, demoted = records.finalize(batch(spark, d))
-    return kept.agg(F.count("*").alias("exported")).crossJoin(demoted.agg(F.count("*").alias("demoted")))
+    kept, demoted, log = records.finalize(batch(spark, d), "s_suppkey", "2024-01-01 00:00:00")
+    null = F.lit(None).cast("string")
+    return kept.select("s_suppkey", F.lit("export").alias("state"), null.alias("last_error"), null.alias("note")).union(demoted.join(log.select("s_suppkey", "note"), "s_suppkey").select("s_suppkey", "state", "last_error", "note"))
 
 
-@query(f"SELECT reason, count(*) AS n FROM (SELECT unnest(CASE WHEN s_suppkey % 4 = 0 THEN ['categories must be non-empty'] WHEN s_suppkey % 2 = 1 THEN ['both descriptions are null'] ELSE ['valid'] END) AS reason FROM ({GOOD})) GROUP BY reason")
+@query(f"SELECT reason, count(*) AS n FROM (SELECT unnest(CASE WHEN len(own) = 0 THEN ['valid'] ELSE own END) AS reason FROM ({OWN})) GROUP BY reason")
 def validation_summary(spark, d):
     return records.validation_summary(records.validate_records(batch(spark, d)))
 
@@ -498,20 +544,21 @@ def route(spark, d):
     return records.route(s).select("c_custkey", "outcome")
 
 
-STATE_SQL = "SELECT o_orderkey AS id, CASE o_orderstatus WHEN 'F' THEN 'APPROVED' WHEN 'O' THEN 'REJECTED' ELSE 'NEEDS_REVIEW' END AS state, CASE WHEN o_orderkey % 4 = 0 THEN 'duplicate' END AS last_error, CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey % 100 END AS quality FROM orders"
+STATE_SQL = "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 = 0 THEN 'JSON_READY' WHEN o_orderstatus = 'F' THEN 'APPROVED' WHEN o_orderstatus = 'O' THEN 'REJECTED' ELSE 'NEEDS_REVIEW' END AS state, CASE WHEN o_orderkey % 4 = 0 THEN 'duplicate' END AS last_error, CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey % 100 END AS completeness, CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey % 51 END AS source_confidence FROM orders"
 
 
 def order_states(spark, d) -> DataFrame:
-    s = F.when(F.col("o_orderstatus") == "F", "APPROVED").when(F.col("o_orderstatus") == "O", "REJECTED").otherwise("NEEDS_REVIEW")
-    return t(spark, d, "orders").select(F.col("o_orderkey").alias("id"), s.alias("state"), F.when(F.col("o_orderkey") % 4 == 0, "duplicate").alias("last_error"), F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderkey") % 100).alias("quality"))
+    k = F.col("o_orderkey")
+    s = F.when(k % 7 == 0, "JSON_READY").when(F.col("o_orderstatus") == "F", "APPROVED").when(F.col("o_orderstatus") == "O", "REJECTED").otherwise("NEEDS_REVIEW")
+    return t(spark, d, "orders").select(k.alias("id"), s.alias("state"), F.when(k % 4 == 0, "duplicate").alias("last_error"), F.when(k % 3 > 0, k % 100).alias("completeness"), F.when(k % 3 > 0, k % 51).alias("source_confidence"))
 
 
-COUNTS = "count(CASE WHEN state = 'APPROVED' THEN 1 END) AS approved, count(CASE WHEN state = 'NEEDS_REVIEW' THEN 1 END) AS review, count(CASE WHEN state = 'REJECTED' AND last_error IS NULL THEN 1 END) AS rejected, count(CASE WHEN state = 'REJECTED' AND last_error = 'duplicate' THEN 1 END) AS duplicates"
+COUNTS = "count(CASE WHEN state = 'APPROVED' THEN 1 END) AS approved, count(CASE WHEN state = 'NEEDS_REVIEW' THEN 1 END) AS review, count(CASE WHEN state = 'REJECTED' AND last_error IS NULL THEN 1 END) AS rejected, count(CASE WHEN last_error = 'duplicate' THEN 1 END) AS duplicates"
 
 
-@query(f"SELECT count(CASE WHEN state IN ('APPROVED', 'NEEDS_REVIEW') THEN 1 END) AS processed, {COUNTS}, round(avg(quality))::INTEGER AS mean_quality FROM ({STATE_SQL})")
+@query(f"SELECT count(*) AS discovered, count(CASE WHEN state IN ('JSON_READY', 'APPROVED', 'NEEDS_REVIEW') THEN 1 END) AS processed, {COUNTS}, floor(avg(completeness) + 0.5)::INTEGER AS mean_completeness, floor(avg(source_confidence) + 0.5)::INTEGER AS mean_confidence, '{{\"types\":null}}' AS scope FROM ({STATE_SQL})".replace('\\"', '"'))
 def run_report(spark, d):
-    return records.run_report(order_states(spark, d))
+    return records.run_report(order_states(spark, d), '{"types":null}', "2024-01-01 00:00:00").drop("generated_at")
 
 
 @query(f"SELECT *, greatest(0, 10000 - approved) AS shortfall, approved < 10000 AS exhausted FROM (SELECT {COUNTS} FROM ({STATE_SQL}))")
@@ -521,20 +568,21 @@ def run_summary(spark, d):
 
 @query("SELECT source, count(*) AS n FROM documents GROUP BY source")
 def by_source(spark, d):
-    return t(spark, d, "documents").groupBy("source").agg(F.count("*").alias("n"))
+    return records.by_source(t(spark, d, "documents"))
 
 
-@query(f"SELECT s.id, coalesce(CASE WHEN s.id % 2 = 0 THEN 'r' || s.id END, 'c' || s.id) AS name, CASE state WHEN 'APPROVED' THEN 'approved' WHEN 'REJECTED' THEN 'rejected' ELSE 'review' END AS status, quality, 'src' AS source FROM ({STATE_SQL}) s")
+@query(f"SELECT s.id, coalesce(CASE WHEN s.id % 2 = 0 THEN 'r' || s.id END, 'c' || s.id) AS name, CASE state WHEN 'APPROVED' THEN 'approved' WHEN 'REJECTED' THEN 'rejected' WHEN 'NEEDS_REVIEW' THEN 'review' ELSE 'in progress' END AS status, completeness AS quality, 'src' AS source FROM ({STATE_SQL}) s")
 def result_rows(spark, d):
-    s = order_states(spark, d)
+    s = order_states(spark, d).withColumnRenamed("completeness", "quality")
     r = s.where("id % 2 = 0").select("id", F.concat(F.lit("r"), F.col("id").cast("string")).alias("name"))
     c = s.select("id", F.concat(F.lit("c"), F.col("id").cast("string")).alias("name"), F.lit("src").alias("source"))
     return records.result_rows(s, r, c, "id")
 
 
-@query("SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F'")
+@query(f"SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey JOIN ({STATE_SQL}) s ON o_orderkey = s.id WHERE s.state = 'APPROVED'")
 def approved_records(spark, d):
-    return t(spark, d, "orders").where("o_orderstatus = 'F'").join(t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name")
+    rows = t(spark, d, "orders").join(t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(F.col("o_orderkey").alias("id"), "c_name")
+    return resolve.approved_records(order_states(spark, d), rows, "id").select(F.col("id").alias("o_orderkey"), "c_name")
 
 
 HTML = r"trim(regexp_replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b[^>]*>.*?</script>', ' ', 'g'), '(?is)<style\b[^>]*>.*?</style>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '&nbsp;', ' '), '&amp;', '&'), '\s+', ' ', 'g'))"
@@ -551,34 +599,78 @@ def link_extract(spark, d):
     return pages.course_links(t(spark, d, "pages"), ["th", "de"])
 
 
-@query(f"SELECT page_id, nullif(trim(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>\\s*([^<]+?)\\s*</h1>', 1), '<[^>]+>', ' ', 'g'), '&nbsp;', ' '), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&#039;', '''')), '') AS name FROM pages")
+def q_decode(c: str) -> str:
+    for a, b in (("&nbsp;", " "), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&#039;", "''")):
+        c = f"replace({c}, '{a}', '{b}')"
+    return c
+
+
+def q_clean(c: str) -> str:
+    s = q_decode(f"regexp_replace(regexp_replace({c}, '(?i)<br\\s*/?>', chr(10), 'g'), '<[^>]+>', ' ', 'g')")
+    return f"nullif(array_to_string(list_filter(list_transform(string_split(regexp_replace({s}, '[ \\t]+', ' ', 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> ''), chr(10)), '')"
+
+
+#: Pages with what only directories have, by page_id.
+DIRECTORY = """SELECT page_id, url, CASE WHEN page_id % 3 = 0 THEN replace(html, '<nav>', '<nav><a href="/x">IELTS &amp; kurs</a>') ELSE html END || CASE WHEN page_id % 2 = 0 THEN '<address>City ' || page_id % 9 || ', <b>Main</b> st.</address><a href="tel:+998 (90) ' || page_id || '7">call</a>' ELSE '' END
+|| CASE WHEN page_id % 5 = 0 THEN replace('#LAT#:#41.5# #LON#:#69.25#', '#', chr(39)) ELSE '' END || CASE WHEN page_id % 4 = 0 THEN '<a class="x" href="https://t.me/a">Other</a><a href="https://t.me/b' || page_id || '"> Telegram </a><a href="http://w">WEBSITE</a>' ELSE '' END AS html FROM pages"""
+
+
+def directory(spark, d) -> DataFrame:
+    k, html = F.col("page_id"), F.col("html")
+    some = lambda m, *parts: F.when(k % m == 0, F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts])).otherwise("")
+    html = F.concat(
+        F.when(k % 3 == 0, F.replace(html, F.lit("<nav>"), F.lit('<nav><a href="/x">IELTS &amp; kurs</a>'))).otherwise(html),
+        some(2, "<address>City ", (k % 9).cast("string"), ', <b>Main</b> st.</address><a href="tel:+998 (90) ', k.cast("string"), '7">call</a>'),
+        some(5, "'LAT':'41.5' 'LON':'69.25'"),
+        some(4, '<a class="x" href="https://t.me/a">Other</a><a href="https://t.me/b', k.cast("string"), '"> Telegram </a><a href="http://w">WEBSITE</a>'),
+    )
+    return t(spark, d, "pages").select("page_id", "url", html.alias("html"))
+
+
+NAV = "regexp_extract(html, '(?s)<nav[^>]*>(.*?)</nav>', 1)"
+LABELS = f"""list_filter(list_transform(regexp_extract_all({NAV}, '<a href="[^"]*">([^<]+)</a>', 1), lambda x: trim({q_decode("x")})), lambda x: x <> '')"""
+FACTS = f"""SELECT page_id, url, {q_clean("regexp_extract(html, '(?s)<h1[^>]*>\\s*([^<]+?)\\s*</h1>', 1)")} AS name, CASE WHEN page_id % 2 = 0 THEN 'City ' || page_id % 9 || ', Main st.' END AS address, CASE WHEN page_id % 2 = 0 THEN 'City ' || page_id % 9 END AS city, CASE WHEN page_id % 2 = 0 THEN '+99890' || page_id || '7' END AS phone, CASE WHEN page_id % 5 = 0 THEN 41.5::DOUBLE END AS lat, CASE WHEN page_id % 5 = 0 THEN 69.25::DOUBLE END AS lng,
+{q_clean("regexp_extract(html, '(?s)<article[^>]*>(.*?)</article>', 1)")} AS "descriptionSourceText", CASE WHEN page_id % 4 = 0 THEN 'https://t.me/b' || page_id END AS telegram, CASE WHEN page_id % 4 = 0 THEN 'http://w' END AS website, {LABELS} AS "categoryLabels",
+list_transform(regexp_extract_all({NAV}, '<a\\s+href="([^"]+)"', 1), lambda x: regexp_extract(url, '^https?://[^/?#]*') || {q_decode("x")}) AS "nearbyUrls" FROM ({DIRECTORY})"""
+NAV_LISTS = {"categoryLabels": pages.LISTS["categoryLabels"], "nearbyUrls": (pages.LISTS["categoryLabels"][0], pages.LISTS["nearbyUrls"][1])}
+
+
+@query(FACTS)
 def page_facts(spark, d):
-    return pages.page_facts(t(spark, d, "pages")).select("page_id", "name")
+    return pages.page_facts(directory(spark, d), lists=NAV_LISTS).drop("instagram", "facebook")
 
 
-@query(f"SELECT url AS id, {q_labels('html', {'A': fixed.TYPE_KEYWORDS['COURSE_CENTER']})}[1] IS NOT NULL AS has_course FROM pages")
+@query(f"""SELECT url AS id, name, city, {q_labels('labels', fixed.TYPE_KEYWORDS)}[1] AS type, {q_labels('labels', fixed.CATEGORY_KEYWORDS)}[1] AS category, array_to_string("categoryLabels", ', ') AS notes FROM (SELECT *, array_to_string("categoryLabels", ' ') AS labels FROM ({FACTS})) WHERE name IS NOT NULL""")
 def page_candidates(spark, d):
-    p = t(spark, d, "pages")
-    facts = pages.page_facts(p).join(p.select("page_id", "html"), "page_id")
-    found, _ = X.keyword_labels(F.col("html"), {"A": fixed.TYPE_KEYWORDS["COURSE_CENTER"]})
-    return pages.facts_to_candidates(facts.withColumn("city", F.coalesce("city", F.lit(""))), "html").join(p.select(F.col("url").alias("id"), F.col("page_id"), (F.size(found) > 0).alias("has_course")), "id").select("id", "has_course", "page_id").distinct().drop("page_id")
+    return pages.facts_to_candidates(pages.page_facts(directory(spark, d), lists=NAV_LISTS))
 
 
-@query(f"""WITH RECURSIVE p AS (SELECT page_id, {q_host('url')} AS host FROM pages), e AS (SELECT page_id AS a, lead(page_id) OVER (PARTITION BY host ORDER BY page_id) AS b FROM p),
-r AS (SELECT min(page_id) AS id, 0 AS depth FROM p UNION ALL SELECT e.b, r.depth + 1 FROM r JOIN e ON r.id = e.a WHERE e.b IS NOT NULL AND r.depth < 30) SELECT id, depth FROM r""")
+@query(f"""WITH RECURSIVE p AS ({PAGE_KEYS}), e AS (SELECT page_id AS a, lead(page_id) OVER (PARTITION BY host ORDER BY page_id) AS b FROM p UNION SELECT page_id, lead(page_id) OVER (PARTITION BY title ORDER BY page_id) FROM p),
+r AS (SELECT min(page_id) AS id, 0 AS depth FROM p GROUP BY host UNION SELECT e.b, r.depth + 1 FROM r JOIN e ON r.id = e.a WHERE e.b IS NOT NULL) SELECT id, min(depth) AS depth FROM r GROUP BY id""")
 def crawl_reach(spark, d):
     from pyspark.sql import Window as W
 
-    p = t(spark, d, "pages").select("page_id", X.domain(F.col("url")).alias("host"))
-    edges = p.select(F.col("page_id").alias("a"), F.lead("page_id").over(W.partitionBy("host").orderBy("page_id")).alias("b")).where("b is not null")
-    return pages.crawl_reach(p.agg(F.min("page_id").alias("id")), edges, 30)
+    p = t(spark, d, "pages").select("page_id", X.domain(F.col("url")).alias("host"), X.name_key(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("title"))
+    after = lambda key: p.select(F.col("page_id").alias("a"), F.lead("page_id").over(W.partitionBy(key).orderBy("page_id")).alias("b"))
+    return pages.crawl_reach(p.groupBy("host").agg(F.min("page_id").alias("id")), after("host").union(after("title")).where("b is not null").distinct())
+
+
+#: Hosts of all kinds by event_id; ip is a dotted address.
+HOST_CASES = ["ip", "'::ffff:' || ip", "'[::FFFF:' || ip || ']'", "'::ffff:' || hex", "'localhost'", "'fe80::' || event_id", "'fd00::1'", "'::1'", "'host' || event_id || '.org'", "'2001:db8::' || event_id % 9", "'300.1.1.1'"]
 
 
-@query("SELECT event_id, a IN (0, 10, 127) OR (a = 169 AND b = 254) OR (a = 172 AND b BETWEEN 16 AND 31) OR (a = 192 AND b = 168) OR (a = 100 AND b BETWEEN 64 AND 127) OR a >= 224 AS blocked FROM (SELECT event_id, event_id * 37 % 256 AS a, event_id * 11 % 256 AS b FROM events)")
+@query(f"""SELECT event_id, host, scheme <> 'https' OR event_id % {len(HOST_CASES)} IN (4, 5, 6, 7) OR (event_id % {len(HOST_CASES)} < 4 AND (a IN (0, 10, 127) OR (a = 169 AND b = 254) OR (a = 172 AND b BETWEEN 16 AND 31) OR (a = 192 AND b = 168) OR (a = 100 AND b BETWEEN 64 AND 127) OR a >= 224)) AS blocked
+FROM (SELECT *, CASE event_id % {len(HOST_CASES)} {' '.join(f'WHEN {i} THEN {c}' for i, c in enumerate(HOST_CASES))} END AS host FROM (SELECT *, a || '.' || b || '.' || c || '.7' AS ip, format('{{:x}}:{{:x}}', a * 256 + b, c * 256 + 7) AS hex FROM (SELECT event_id, event_id * 37 % 256 AS a, event_id * 11 % 256 AS b, event_id % 256 AS c, CASE WHEN event_id % 50 = 0 THEN 'ftp' ELSE 'https' END AS scheme FROM events)))""")
 def private_hosts(spark, d):
     k = F.col("event_id")
-    ip = F.concat_ws(".", (k * 37 % 256).cast("string"), (k * 11 % 256).cast("string"), (k % 256).cast("string"), F.lit("7"))
-    return pages.flag_private_hosts(t(spark, d, "events").select("event_id", ip.alias("host")), "host").select("event_id", "blocked")
+    a, b, c = k * 37 % 256, k * 11 % 256, k % 256
+    s = lambda x: x.cast("string")
+    ip = F.concat_ws(".", s(a), s(b), s(c), F.lit("7"))
+    pair = F.concat_ws(":", F.lower(F.hex(a * 256 + b)), F.lower(F.hex(c * 256 + 7)))
+    cases = [ip, F.concat(F.lit("::ffff:"), ip), F.concat(F.lit("[::FFFF:"), ip, F.lit("]")), F.concat(F.lit("::ffff:"), pair), F.lit("localhost"), F.concat(F.lit("fe80::"), s(k)), F.lit("fd00::1"), F.lit("::1"), F.concat(F.lit("host"), s(k), F.lit(".org")), F.concat(F.lit("2001:db8::"), s(k % 9)), F.lit("300.1.1.1")]
+    host = F.element_at(F.array(*cases), (k % len(cases) + 1).cast("int"))
+    e = t(spark, d, "events").select("event_id", host.alias("host"), F.when(k % 50 == 0, "ftp").otherwise("https").alias("scheme"))
+    return pages.flag_private_hosts(e, "host", "scheme").select("event_id", "host", "blocked")
 
 
 LOG = "SELECT user_id, event_id AS seq, ts, event_type AS state FROM events"
@@ -621,17 +713,38 @@ def csv_lines(spark, d):
     return io.csv_lines(c, {"conv_id": "Id", "text": "Text", "both": "Who"}).select("conv_id", "turn", "line")
 
 
-@query("SELECT p_partkey, p_name || ',' || p_brand || ',' || p_retailprice::DECIMAL(18,1)::VARCHAR AS line FROM part")
+@query("SELECT p_partkey, p_brand || ',' || p_name || ',' || p_type || ',,,' || p_size || '%,' || p_retailprice::DECIMAL(18,1)::VARCHAR || ',,a; b,\"said \"\"' || p_type || '\"\"\"' AS line FROM part".replace('\\"', '"'))
 def offers_csv(spark, d):
-    p = t(spark, d, "part").withColumn("price", F.col("p_retailprice").cast("decimal(18,1)"))
-    return io.csv_lines(p, {"p_name": "Provider", "p_brand": "Product", "price": "Rate"}).select("p_partkey", "line")
+    p = t(spark, d, "part").select("p_partkey", F.col("p_brand").alias("providerName"), F.col("p_name").alias("productName"), F.col("p_type").alias("category"), F.concat(F.col("p_size").cast("string"), F.lit("%")).alias("interestRate"), F.col("p_retailprice").cast("decimal(18,1)").alias("loanAmountRange"), F.array(F.lit("a"), F.lit("b")).alias("requirements"), F.concat(F.lit('said "'), "p_type", F.lit('"')).alias("description"))
+    return io.offers_to_csv(p).select("p_partkey", "line")
+
 
+@query("SELECT page_id, 'No. ' || page_id || ',,,' || regexp_extract(url, '^https?://([^/?#]*)', 1) || ',' || CASE WHEN regexp_matches(url, '[\",]') THEN '\"' || url || '\"' ELSE url END || ',,,a: ' || page_id || '; b: x' AS line FROM pages".replace('\\"', '"'))
+def listings_csv(spark, d):
+    k = F.col("page_id").cast("string")
+    p = t(spark, d, "pages").select("page_id", F.concat(F.lit("No. "), k).alias("title"), F.regexp_extract("url", "^https?://([^/?#]*)", 1).alias("sourceSite"), F.col("url").alias("sourceUrl"), F.create_map(F.lit("b"), F.lit("x"), F.lit("a"), k).alias("attributes"))
+    return io.listings_to_csv(p).select("page_id", "line")
 
-@query("SELECT event_id, CASE event_id % 4 WHEN 3 THEN 0 WHEN 1 THEN 2 ELSE 1 END::BIGINT AS n FROM events")
+
+K = "regexp_extract(props, '[0-9]+')"
+
+
+@query(f"SELECT event_id, CASE event_id % 4 WHEN 3 THEN []::VARCHAR[] WHEN 1 THEN [{K}, {K}] ELSE [{K}] END AS values, CASE WHEN event_id % 4 IN (0, 2) AND event_id % 8 <> 2 OR event_id % 4 = 1 THEN CASE event_id % 4 WHEN 0 THEN {K} END END AS first FROM events")
 def unwrap_json(spark, d):
     k = F.col("event_id")
     wrapped = F.when(k % 4 == 0, F.concat(F.lit("```json\n["), "props", F.lit("]\n```"))).when(k % 4 == 1, F.concat(F.lit('so: {"items": ['), "props", F.lit(","), "props", F.lit("]} done"))).when(k % 4 == 2, F.concat(F.lit('{"results": ['), "props", F.lit("]}"))).otherwise("none at all")
-    return io.unwrap_records(t(spark, d, "events").select("event_id", wrapped.alias("x")), "x").select("event_id", F.size("records").cast("long").alias("n"))
+    both = io.unwrap_object(io.unwrap_records(t(spark, d, "events").select("event_id", wrapped.alias("x")), "x"), "x")
+    return both.select("event_id", F.transform("records", lambda x: F.get_json_object(x, "$.k")).alias("values"), F.get_json_object("object", "$.k").alias("first"))
+
+
+@query("SELECT s_suppkey - 1 AS input_pos, s_name AS \"rawName\", CASE WHEN s_suppkey % 2 = 0 THEN 'Tashkent' END AS city FROM (SELECT row_number() OVER (ORDER BY s_suppkey) AS s_suppkey, s_name FROM supplier)".replace('\\"', '"'))
+def candidates(spark, d):
+    from pyspark.sql import Window as W
+
+    s = t(spark, d, "supplier").select(F.row_number().over(W.orderBy("s_suppkey")).alias("k"), "s_name")
+    path = shared_path(spark, "candidates")
+    io.write_envelope(s.select("k", F.col("s_name").alias("rawName"), F.when(F.col("k") % 2 == 0, "Tashkent").alias("city")), path, "2024-01-01T00:00:00Z", "k")
+    return io.read_candidates(spark, path).select(F.col("input_pos").cast("long").alias("input_pos"), "rawName", "city")
 
 
 @query("SELECT s_suppkey, s_name, s_nationkey FROM supplier")
@@ -649,11 +762,11 @@ def outcome_store(spark, d):
     return io.read_state(spark, path, "s_suppkey bigint, s_name string, outcome string")
 
 
-def drained(df: DataFrame, mode: str, name: str) -> DataFrame:
-    """A stream over what is there now, as a table in memory of the session."""
-    spark, table = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
-    df.writeStream.format("memory").queryName(table).outputMode(mode).option("checkpointLocation", shared_path(spark, name)).trigger(availableNow=True).start().awaitTermination()
-    return spark.table(table)
+def drained(df: DataFrame, name: str) -> DataFrame:
+    """An append-only stream over what is there now, as a table in the shared folder."""
+    spark, path = df.sparkSession, shared_path(df.sparkSession, name)
+    df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", shared_path(spark, f"{name}-marks")).trigger(availableNow=True).start(path).awaitTermination()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def event_stream(spark, d) -> DataFrame:
@@ -666,18 +779,37 @@ def event_stream(spark, d) -> DataFrame:
 
 @query("SELECT user_id, arg_max(event_type, (ts, event_id)) AS state, count(*) AS n FROM events GROUP BY user_id")
 def stream_latest_state(spark, d):
-    return drained(streams.latest_state(event_stream(spark, d), "user_id"), "complete", "latest")
+    path = shared_path(spark, "latest")
+    states = streams.latest_state(event_stream(spark, d), "user_id")
+    states.writeStream.outputMode("update").foreachBatch(streams.keep_updates(path)).option("checkpointLocation", shared_path(spark, "marks")).trigger(availableNow=True).start().awaitTermination()
+    return streams.latest_update(spark, path, "user_id")
 
 
 @query("SELECT DISTINCT user_id FROM events")
 def stream_new_ids(spark, d):
-    return drained(streams.new_ids(event_stream(spark, d).select("user_id", "ts"), "user_id", delay="3650 days").select("user_id"), "append", "ids")
+    return drained(streams.new_ids(event_stream(spark, d).select("user_id", "ts"), "user_id", delay="3650 days").select("user_id"), "ids")
 
 
-@query("SELECT DISTINCT user_id, event_type FROM events")
+@query("SELECT user_id, event_type, min(event_id) AS event_id, arg_min(value, event_id) AS value FROM events GROUP BY user_id, event_type")
 def stream_append_once(spark, d):
     target, marks = shared_path(spark, "evidence"), shared_path(spark, "marks")
-    events = event_stream(spark, d).select("user_id", "event_type")
+    events = event_stream(spark, d).select("user_id", "event_type", "event_id", "value")
     for _ in range(2):  # the second pass finds everything there
-        events.writeStream.foreachBatch(streams.append_once(target, ["user_id", "event_type"])).option("checkpointLocation", f"{marks}-{uuid.uuid4().hex}").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(target).select("user_id", "event_type")
+        events.writeStream.foreachBatch(streams.append_once(target, ["user_id", "event_type"], "event_id")).option("checkpointLocation", f"{marks}-{uuid.uuid4().hex}").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(target).select("user_id", "event_type", "event_id", "value")
+
+
+TRANSITIONS = """WITH x AS (SELECT max(event_id) / 2 AS m FROM events), o AS (SELECT user_id, ts AS moment, CASE event_type WHEN 'view' THEN 'RESEARCHING' WHEN 'error' THEN 'NEEDS_REVIEW' ELSE 'VERIFIED' END AS state, event_id FROM events), old AS (SELECT o.* FROM o, x WHERE event_id < m AND user_id % 2 = 0), new AS (SELECT o.* FROM o, x WHERE event_id >= m)
+SELECT user_id, moment, state, 'old' AS note FROM old UNION ALL SELECT user_id, moment, state, 'new' FROM new UNION ALL SELECT user_id, min(moment), 'DISCOVERED', NULL FROM new WHERE user_id NOT IN (SELECT user_id FROM old) GROUP BY user_id"""
+
+
+@query(f"SELECT user_id, epoch_us(moment)::BIGINT AS moment, state, note, state IN ('NEEDS_REVIEW', 'VERIFIED') AS verified FROM ({TRANSITIONS})")
+def state_transitions(spark, d):
+    e = t(spark, d, "events")
+    stage = F.when(F.col("event_type") == "view", "RESEARCHING").when(F.col("event_type") == "error", "NEEDS_REVIEW").otherwise("VERIFIED")
+    middle = e.agg((F.max("event_id") / 2).alias("m"))
+    rows = e.crossJoin(F.broadcast(middle)).select("user_id", F.col("ts").cast("timestamp").alias("at"), stage.alias("state"), "event_id", "m")
+    old = rows.where("event_id < m and user_id % 2 = 0").select("user_id", "at", "state", F.lit("old").alias("note"), F.col("event_id").alias("seq"))
+    new = rows.where("event_id >= m").select("user_id", "at", "state", F.lit("new").alias("note"))
+    log = state.append_transitions(old, new, "user_id")
+    return log.select("user_id", F.unix_micros("at").alias("moment"), "state", "note", (state.stage_rank(F.col("state")) >= fixed.STAGES.index("VERIFIED")).alias("verified"))
