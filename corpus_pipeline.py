@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orgmill.llm import decontaminate, ngram_join, packing, suffix_dedup, toxicity
-from orgmill.llm.common import stored, table
+from orgmill.llm.common import table
+from orgmill.shared import scratch, shared_path
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +54,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each stage's result is a table in the shared folder; what a stage stores on its way is deleted with its end."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        at = shared_path(spark, name)
+        with scratch(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(at)
+        docs = spark.read.schema(out.schema).parquet(at)
     return docs

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -98,8 +100,11 @@ def crawl_reach(seeds: DataFrame, edges: DataFrame, most: int | None = None, nam
         frontier = stored(seeds.select("id").distinct().withColumn("depth", F.lit(0)), "frontier")
     else:
         frontier = stored(queued(seeds.select("id", F.struct(F.lit(0).alias("by"), F.col("pos").alias("place")).alias("key")), 0, 0, most, named), "frontier")
-    visited, depth = frontier, 0
+    parts, depth = [frontier], 0
     while True:
+        if len(parts) > 16:
+            parts = [stored(functools.reduce(DataFrame.union, parts), "visited")]
+        visited = functools.reduce(DataFrame.union, parts)
         so_far = visited.count() if most is not None else 0
         if most is not None and (so_far >= most or (target is not None and visited.where("named").count() >= target)):
             break
@@ -115,7 +120,7 @@ def crawl_reach(seeds: DataFrame, edges: DataFrame, most: int | None = None, nam
         depth += 1
         if max_depth is not None and depth > max_depth:
             raise RuntimeError(f"the crawl is deeper than {max_depth}")
-        visited = stored(visited.union(frontier), "visited")
+        parts.append(frontier)
     if most is None:
         return visited
     if target is not None:
@@ -147,8 +152,8 @@ def flag_private_hosts(df: DataFrame, host: str, scheme: str | None = None) -> D
     """blocked: another scheme than http(s), localhost, or an address in a blocked range, also an IPv4 one that is written
     as IPv6 (dotted or in hexadecimal, with or without brackets)."""
     lower = F.regexp_replace(F.lower(F.trim(host)), r"^\[(.*)\]$", "$1")
-    dotted = X.ipv4(F.regexp_extract(lower, r"^(?:0*:)*:ffff:(\d+\.\d+\.\d+\.\d+)$", 1))
-    pair = [F.conv(F.nullif(F.regexp_extract(lower, r"^(?:0*:)*:ffff:([0-9a-f]{1,4}):([0-9a-f]{1,4})$", i), F.lit("")), 16, 10).cast("long") for i in (1, 2)]
+    dotted = X.ipv4(F.regexp_extract(lower, r"^(?:0*:)+ffff:(\d+\.\d+\.\d+\.\d+)$", 1))
+    pair = [F.conv(F.nullif(F.regexp_extract(lower, r"^(?:0*:)+ffff:([0-9a-f]{1,4}):([0-9a-f]{1,4})$", i), F.lit("")), 16, 10).cast("long") for i in (1, 2)]
     six = lower.rlike(r"^[0:]*:0*1?$") | lower.rlike("^f[cd][0-9a-f]{0,2}:") | lower.rlike("^fe[89ab][0-9a-f]?:")
     other = ~F.lower(F.col(scheme)).isin("http", "https") if scheme else F.lit(False)
     address = F.coalesce(X.ipv4(lower), dotted, pair[0] * 65536 + pair[1])

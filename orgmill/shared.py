@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+_scratch: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; only where it is unset (as in tests on one machine) a temporary folder of this application."""
+    """spark.checkpoint.dir; where it is unset, a temporary folder of this application, on one machine only: executors of a
+    cluster would each write to their own disk, so there this raises."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     name = spark.sparkContext.applicationId
     if name not in _own:
         _own[name] = tempfile.mkdtemp(prefix="spark-shared-")
@@ -22,7 +28,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return "/".join([shared_dir(spark), *_scratch[-1:], f"{name}-{uuid.uuid4().hex}"])
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -30,3 +36,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark, path = df.sparkSession, shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Tables stored inside are deleted at the end: what is to stay must be written to a path made outside."""
+    _scratch.append(f"scratch-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        deleted(spark, f"{shared_dir(spark)}/{_scratch.pop()}")

@@ -1,8 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from orgmill.functions import expressions as X
-from orgmill.operators import classify, evidence, pages, resolve, standardize
+from orgmill.operators import classify, evidence, pages, resolve, standardize, state
 from orgmill.plans import engine
 from orgmill.sources import io
 
@@ -134,3 +136,82 @@ def test_candidate_and_state_documents(spark, tmp_path):
     assert [tuple(r) for r in io.read_export(spark, str(tmp_path / "bare.json"), "id int, name string").collect()] == [(3, "z")]
     io.write_records(records, str(tmp_path / "r"))
     assert io.read_state(spark, str(tmp_path / "r"), "id int, name string").count() == 2
+
+
+def test_hosts_written_as_ipv6(spark):
+    cases = {"::ffff:10.0.0.1": True, "::FFFF:8.8.8.8": False, "[::ffff:127.0.0.1]": True, "0:0:0:0:0:ffff:192.168.1.1": True, "::ffff:a00:1": True, "::ffff:808:808": False, "[::1]": True, "0:0:0:0:0:0:0:1": True, "2001:db8::1": False, "fe80::1": True, "fc00::": True, "": False}
+    df = spark.createDataFrame([(h,) for h in [*cases, None]], "h string")
+    found = {r["h"]: r["blocked"] for r in pages.flag_private_hosts(df, "h").collect()}
+    assert found == cases | {None: False}
+    schemes = spark.createDataFrame([("x.org", "ftp"), ("x.org", "HTTPS")], "h string, s string")
+    assert [r["blocked"] for r in pages.flag_private_hosts(schemes, "h", "s").collect()] == [True, False]
+
+
+def test_crawl_without_and_with_a_budget(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(80)], "a long, b long")
+    start = spark.createDataFrame([(0,)], "id long")
+    assert {r["id"]: r["depth"] for r in pages.crawl_reach(start, chain).collect()} == {i: i for i in range(81)}
+    with pytest.raises(RuntimeError):
+        pages.crawl_reach(start, chain, max_depth=50)
+    edges = [("a", "c", 0), ("a", "b", 1), ("b", "d", 0), ("c", "e", 0), ("c", "b", 1), ("d", "a", 0), ("e", "f", 0)]
+    e = spark.createDataFrame(edges, "a string, b string, place int")
+    seeds = spark.createDataFrame([("a", 0)], "id string, pos int")
+    order = lambda **k: [r["id"] for r in pages.crawl_reach(seeds, e, **k).orderBy("pos").collect()]
+    assert order(most=300) == ["a", "c", "b", "e", "d", "f"]
+    assert order(most=4) == ["a", "c", "b", "e"]
+    named = spark.createDataFrame([("b",), ("d",)], "id string")
+    assert order(most=300, named=named, target=1) == ["a", "c", "b"]
+    assert order(most=300, named=named, target=2) == ["a", "c", "b", "e", "d"]
+    assert order(most=300, named=named, target=9) == ["a", "c", "b", "e", "d", "f"]
+
+
+def test_ambiguous_pairs_are_all_found(spark):
+    rng = random.Random(6)
+    names = ["shared word center"] * 3 + [f"shared word center {i}" for i in range(60)] + ["ab", "ac", "a", "", None, "abcde", "abcdf", "xbcde"]
+    names += ["".join(rng.choice("abc ") for _ in range(rng.randint(1, 14))) for _ in range(120)]
+    df = spark.createDataFrame(list(enumerate(names)), "id int, name string")
+    first = {}
+    for i, n in enumerate(names):
+        first.setdefault(n, i)
+
+    def distance(p, q):
+        row = list(range(len(q) + 1))
+        for i, x in enumerate(p, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(q, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    own = sorted((i, n) for n, i in first.items() if n)
+    for t in (0.1, 0.2, 0.25):
+        want = {(a, b) for k, (a, p) in enumerate(own) for b, q in own[k + 1 :] if distance(p, q) <= t * max(len(p), len(q))}
+        assert {(r["a"], r["b"]) for r in resolve.ambiguous_pairs(df, "id", "name", t).collect()} == want
+    assert resolve.ambiguous_pairs(df.limit(0), "id", "name").count() == 0
+
+
+def test_transitions_and_stages(spark):
+    log = spark.createDataFrame([("a", 1, "DISCOVERED", None, 0), ("a", 2, "RESEARCHING", None, 1)], "id string, at int, state string, note string, seq long")
+    new = spark.createDataFrame([("a", 3, "VERIFIED", "x"), ("b", 3, "REJECTED", None), ("b", 3, "RESEARCHING", None)], "id string, at int, state string, note string")
+    out = state.append_transitions(log, new, "id").orderBy("id", "at", "seq").collect()
+    assert [(r["id"], r["state"], r["seq"]) for r in out] == [("a", "DISCOVERED", 0), ("a", "RESEARCHING", 1), ("a", "VERIFIED", 2), ("b", "DISCOVERED", -1), ("b", "RESEARCHING", 0), ("b", "REJECTED", 1)]
+    assert {r["id"]: r["state"] for r in state.state_latest(state.append_transitions(log, new, "id"), "id").collect()} == {"a": "VERIFIED", "b": "REJECTED"}
+    assert [r["state"] for r in state.past_stage(new, "VERIFIED").orderBy("state").collect()] == ["REJECTED", "VERIFIED"]
+
+
+def test_one_file_sinks_have_a_bound(spark, tmp_path):
+    df = spark.range(20).selectExpr("id", "'x' as name")
+    with pytest.raises(ValueError):
+        io.write_csv(df, {"id": "Id"}, str(tmp_path / "a"), most=10)
+    with pytest.raises(ValueError):
+        io.write_envelope(df, str(tmp_path / "b"), "2024-01-01T00:00:00Z", "id", most=10)
+    io.write_csv_parts(df.repartition(3), {"id": "Id"}, str(tmp_path / "c"))
+    assert spark.read.text(str(tmp_path / "c")).count() == 20
+    objects = spark.createDataFrame([('```json\n{"a": 1}\n```',), ('[{"a": 2}, {"a": 3}]',), ("[]",), ("[1]",), ("none",), (None,)], "t string")
+    assert [r["object"] for r in io.unwrap_object(objects, "t").collect()] == ['{"a":1}', '{"a":2}', None, None, None, None]
+
+
+def test_superlative_with_a_number_sign(spark):
+    df = spark.createDataFrame([("Markaz№1 and the best place with a long text of facts", "N", None)], "descriptionSourceText string, nameUz string, nameRu string").withColumn("nameLatin", F.lit("L"))
+    assert standardize.render_description(df).first()["descriptionUz"] == "N haqida: Markaz and the best place with a long text of facts"
+    rows = spark.createDataFrame([("x", None, None), (" ", [], None), (None, ["a"], None), (None, None, 3)], "a string, b array<string>, c int")
+    assert classify.with_some_field(rows, ["a", "b", "c"]).count() == 3
