@@ -1,19 +1,22 @@
 """Toxicity by weak supervision.
 
-1. Words and beginnings of words that set toxic from other labelled training documents apart are counted on a bounded sample (SAMPLE_ROWS
-   labelled rows, those with the smallest hashes of their ids); the VOCABULARY strongest become features.
+1. Words and beginnings of words that set toxic from other labelled training documents apart are counted on a bounded
+   sample (SAMPLE_ROWS labelled rows, those with the smallest hashes of their ids); of those in SUPPORT rows or more the
+   VOCABULARY strongest become features.
 2. Every document gets the votes of all VOTERS: fixed lexicons in four languages, patterns, and lexicons of mined words
    whose precision is high. Votes are bits, so all documents together have at most 2 to the number of voters vote
    patterns; Spark counts them.
-3. A generative label model is fitted to these counts by expectation maximisation: a hidden label, each voter's
-   accuracy for either label, and the strongest correlations between voters (a tree by conditional mutual
-   information). Training labels are observed; other documents have a posterior.
-4. A linear classifier (logistic regression on words and votes) is trained on the posterior labels of a bounded sample
-   (SAMPLE_ROWS labelled and SAMPLE_ROWS other training rows), and scores every document.
+3. A generative label model is fitted to the counts of all training documents by expectation maximisation: a hidden label,
+   each voter's accuracy for either label, and the strongest correlations between voters (a tree by conditional mutual
+   information). The labels of training rows are one more voter, the annotator, that may err: its error rates are
+   estimated with the others'. No label is taken as the truth.
+4. A linear classifier (logistic regression on words and votes) is trained on the posterior labels of all
+   training documents, and scores every document.
 
 Rows whose crc32(id) mod 3 is 1 are never learnt from. Labels, lang, source and ids are no features. Texts are read
 whole. A null or empty text is scored from its votes (none). A null id is not held out and has no label. Several
-labels of one id: the highest counts. No labels at all: only the fixed voters speak. An empty table gives no rows.
+labels of one id: the highest counts. No labels at all: only the fixed voters speak. Repeated rows are scored alike, and
+each counts in training. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,9 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orgmill.llm.common import held_out, lean, slices, stored, texts
+from orgmill.llm.common import held_out, lean, slices, stored, texts, without_rows
 
-SAMPLE_ROWS, VOCABULARY, MINED = 20_000, 1000, 5
+SAMPLE_ROWS, SUPPORT, VOCABULARY, MINED = 20_000, 5, 1000, 5
+#: Pseudo-counts of the annotator's errors and right labels.
+ERRORS, RIGHT = 1, 49
 #: Words that insult, despise or threaten.
 LEXICONS = {
     "insult": "idiot idiots moron morons loser losers fool clown clowns stupid dumb imbecile jerk dumbass",
@@ -80,7 +85,7 @@ def mine(docs: DataFrame, sample: DataFrame) -> list[tuple[str, int, int]]:
                 yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array([list(features_of(words_of(x))) for x in part.column("text").to_pylist()], pa.list_(pa.string()))], names=["toxic", "words"])
 
     counts = some.mapInArrow(lean(distinct), "toxic int, words array<string>").select("toxic", F.explode("words").alias("word"))
-    counts = counts.groupBy("word").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")).where("a + b >= 5")
+    counts = counts.groupBy("word").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")).where(f"a + b >= {SUPPORT}")
     rows = sample.groupBy("toxic").count().collect()
     totals = {r["toxic"]: r["count"] for r in rows}
     n1, n0 = float(totals.get(1, 0)), float(totals.get(0, 0))
@@ -93,7 +98,7 @@ def mine(docs: DataFrame, sample: DataFrame) -> list[tuple[str, int, int]]:
 def vote(docs: DataFrame, mined: list[tuple[str, int, int]]) -> DataFrame:
     """votes (bits, in the order of VOTERS) and features (places in the vocabulary) of each document. One pass."""
     place = {w: i for i, (w, _, _) in enumerate(mined)}
-    sure = [w for w, a, b in mined if a >= 5 and a >= 9 * b]
+    sure = [w for w, a, b in mined if a >= SUPPORT and a >= 9 * b]
     groups = {w: i % MINED for i, w in enumerate(sure)}
     first_pattern, nothing, first_mined = len(LEXICONS), len(LEXICONS) + len(PATTERNS), len(LEXICONS) + len(PATTERNS) + 1
 
@@ -120,20 +125,35 @@ def vote(docs: DataFrame, mined: list[tuple[str, int, int]]) -> DataFrame:
 
 
 class LabelModel:
-    """A hidden binary label with voters that depend on it and, along a tree, on each other."""
+    """A hidden binary label with voters that depend on it and, along a tree, on each other, and an annotator."""
 
     def __init__(self, votes: np.ndarray, counts: np.ndarray, rounds: int = 40):
-        """votes: a row of bits for each pattern; counts: documents without a label, with label 0, with label 1."""
+        """votes: a row of bits for each pattern; counts: its documents that the annotator left, called clean, called toxic."""
         self.parents = np.full(votes.shape[1], -1)
         toxic = votes[:, [i for i, v in enumerate(VOTERS) if v != "none"]].sum(axis=1)
-        q = np.where(toxic > 0, 0.8, 0.02)
+        labelled = counts[:, 1:].sum()
+        start = np.where(toxic > 0, 0.8, 0.02)
+        if labelled:  # patterns start from what the annotator calls them
+            start = (counts[:, 2] + counts[:, 2].sum() / labelled) / (counts[:, 1:].sum(axis=1) + 1)
+        self.errors = np.array([ERRORS, ERRORS]) / (ERRORS + RIGHT)  # of a clean and of a toxic document
+        odds = lambda p: np.log(p) - np.log1p(-p)
+        q = self._with_annotator(odds(np.clip(start, 1e-6, 1 - 1e-6)))
         for k in range(rounds):
-            weights = np.stack([counts[:, 0] * (1 - q) + counts[:, 1], counts[:, 0] * q + counts[:, 2]])
+            weights = np.stack([(counts * (1 - q)).sum(axis=1), (counts * q).sum(axis=1)])
             self.prior = (weights.sum(axis=1) + 1) / (weights.sum() + 2)
             if k and k % 10 == 0:
                 self.parents, self.information = self._tree(votes, weights)
             self._fit(votes, weights)
-            q = self.posterior(votes)
+            wrong = np.array([(counts[:, 2] * (1 - q[:, 2])).sum(), (counts[:, 1] * q[:, 1]).sum()])
+            right = np.array([(counts[:, 1] * (1 - q[:, 1])).sum(), (counts[:, 2] * q[:, 2]).sum()])
+            self.errors = (wrong + ERRORS) / (wrong + right + ERRORS + RIGHT)
+            q = self.posteriors(votes)
+
+    def _with_annotator(self, odds: np.ndarray) -> np.ndarray:
+        """The posterior of each pattern without the annotator, with its label 0 and with its label 1."""
+        e0, e1 = self.errors
+        shift = np.array([0.0, np.log(e1) - np.log(1 - e0), np.log(1 - e1) - np.log(e0)])
+        return 1 / (1 + np.exp(-np.clip(odds[:, None] + shift, -500, 500)))
 
     def _tree(self, x: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Each voter's parent in the maximum spanning tree of conditional mutual information."""
@@ -166,16 +186,20 @@ class LabelModel:
                     own = w if parent < 0 else w * (x[:, parent] == a)
                     self.p[y, a, i] = (own @ x[:, i] + 1) / (own.sum() + 2)
 
-    def posterior(self, x: np.ndarray) -> np.ndarray:
+    def _odds(self, x: np.ndarray) -> np.ndarray:
         above = np.where(self.parents >= 0, x[:, self.parents], 0).astype(int)
         columns = np.arange(x.shape[1])
         scores = [np.log(self.prior[y]) + np.log(np.where(x > 0, self.p[y][above, columns], 1 - self.p[y][above, columns])).sum(axis=1) for y in (0, 1)]
-        return 1 / (1 + np.exp(np.clip(scores[0] - scores[1], -500, 500)))
+        return scores[1] - scores[0]
+
+    def posteriors(self, x: np.ndarray) -> np.ndarray:
+        """P(toxic | votes) where the annotator left the document, called it clean, called it toxic."""
+        return self._with_annotator(self._odds(x))
 
     def accuracies(self, x: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """P(vote | not toxic) and P(vote | toxic) of each voter."""
-        q = self.posterior(x)
-        weights = np.stack([counts[:, 0] * (1 - q) + counts[:, 1], counts[:, 0] * q + counts[:, 2]])
+        q = self.posteriors(x)
+        weights = np.stack([(counts * (1 - q)).sum(axis=1), (counts * q).sum(axis=1)])
         return (weights @ x + 1) / (weights.sum(axis=1, keepdims=True) + 2)
 
 
@@ -183,51 +207,86 @@ def bits(votes: np.ndarray) -> np.ndarray:
     return (votes[:, None] >> np.arange(len(VOTERS)) & 1).astype(np.float64)
 
 
-def label_model(voted: DataFrame, labels: DataFrame) -> tuple[LabelModel, np.ndarray, np.ndarray]:
-    marked = voted.where("not held_out").join(labels, "doc_id", "left").groupBy("votes").agg(*[F.count_if(c).alias(n) for n, c in (("n", F.isnull("toxic")), ("n0", F.col("toxic") == 0), ("n1", F.col("toxic") == 1))])
-    rows = marked.orderBy("votes").collect()  # a row for each vote pattern: at most 2 ** len(VOTERS)
+def label_model(train: DataFrame) -> tuple[LabelModel, np.ndarray, np.ndarray]:
+    """The model, and the vote patterns with their counts. train: votes and annotator (0 left, 1 clean, 2 toxic)."""
+    rows = train.groupBy("votes").agg(*[F.count_if(F.col("annotator") == k).alias(f"n{k}") for k in range(3)]).orderBy("votes").collect()  # 2 ** len(VOTERS) rows at most
     patterns = np.array([r["votes"] for r in rows], np.int64)
-    counts = np.array([(r["n"], r["n0"], r["n1"]) for r in rows], np.float64).reshape(-1, 3)
-    x = bits(patterns)
-    return LabelModel(x, counts), x, counts
+    counts = np.array([(r["n0"], r["n1"], r["n2"]) for r in rows], np.float64).reshape(-1, 3)
+    return LabelModel(bits(patterns), counts), patterns, counts
+
+
+def minimise(value, w: np.ndarray, rounds: int, memory: int = 10, tolerance: float = 1e-7) -> np.ndarray:
+    """Limited-memory BFGS with halved steps. value(w): the loss and its gradient."""
+    f, g = value(w)
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(rounds):
+        d, kept = -g, []
+        for s, y in reversed(steps):
+            kept.append((s @ d) / (s @ y))
+            d = d - kept[-1] * y
+        if steps:
+            s, y = steps[-1]
+            d = d * (s @ y) / (y @ y)
+        for (s, y), a in zip(steps, reversed(kept)):
+            d = d + (a - (y @ d) / (s @ y)) * s
+        length = 1.0 if steps else min(1.0, 1 / max(np.abs(g).sum(), 1e-12))
+        while True:
+            near, slope = value(w + length * d)
+            if near <= f + 1e-4 * length * (g @ d) or length < 1e-6:
+                break
+            length /= 2
+        if near > f:
+            break
+        if (length * d) @ (slope - g) > 1e-12:
+            steps = [*steps, (length * d, slope - g)][-memory:]
+        w, done, f, g = w + length * d, f - near <= tolerance * max(f, 1e-12), near, slope
+        if done:
+            break
+    return w
 
 
-def fit(rows: list[tuple[int, list[int], float]], size: int, l2: float = 1e-4, rounds: int = 250) -> np.ndarray:
-    """Logistic regression on soft labels by full-batch Adam; the last weight is the bias."""
-    if not rows:
+def fit(train: DataFrame, model: LabelModel, patterns: np.ndarray, l2: float = 1e-4, rounds: int = 40) -> np.ndarray:
+    """Weights of words, of voters and the bias: logistic regression on the posterior labels of all rows of train. Each step
+    is one pass, whose tasks add up the loss and its gradient; the driver sees one number for each weight."""
+    size = VOCABULARY + len(VOTERS) + 1
+    if not len(patterns):
         return np.append(np.zeros(size - 1), -3.0)
-    target = np.array([y for _, _, y in rows])
-    lists = [[*f, *[VOCABULARY + i for i in range(len(VOTERS)) if v >> i & 1], size - 1] for v, f, _ in rows]
-    row = np.repeat(np.arange(len(rows)), [len(x) for x in lists])
-    column = np.fromiter((c for x in lists for c in x), np.int64, len(row))
-    mean = np.clip(target.mean(), 1e-3, 1 - 1e-3)
-    w, first, second = np.zeros(size), np.zeros(size), np.zeros(size)
-    w[-1] = np.log(mean / (1 - mean))
-    for k in range(1, rounds + 1):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[column], len(rows)), -30, 30)))
-        gradient = np.bincount(column, (p - target)[row], size) / len(rows) + l2 * np.append(w[:-1], 0.0)
-        first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
-        w = w - 0.3 * (1 - k / (rounds + 1)) * (first / (1 - 0.9**k)) / (np.sqrt(second / (1 - 0.999**k)) + 1e-8)
-    return w
+    q = np.clip(model.posteriors(bits(patterns)), 1e-9, 1 - 1e-9)
+
+    def value(w: np.ndarray) -> tuple[float, np.ndarray]:
+        def add_up(batches):
+            total = np.zeros(size + 2)  # gradient, loss, rows
+            for batch in batches:
+                votes, lists = batch.column("votes").to_numpy(), batch.column("features")
+                target = q[np.searchsorted(patterns, votes), batch.column("annotator").to_numpy()]
+                row = np.repeat(np.arange(batch.num_rows), np.asarray(lists.value_lengths(), np.int64))
+                places, voted = lists.flatten().to_numpy(), bits(votes.astype(np.int64))
+                z = np.bincount(row, w[places], batch.num_rows) + voted @ w[VOCABULARY:-1] + w[-1]
+                off = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - target
+                total[:size] += np.bincount(places, off[row], size)
+                total[VOCABULARY : size - 1] += off @ voted
+                total[size - 1 :] += [off.sum(), (np.logaddexp(0, z) - target * z).sum(), batch.num_rows]
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size + 2)), pa.array(total)], names=["place", "x"])
+
+        found = np.zeros(size + 2)
+        for r in train.mapInArrow(add_up, "place long, x double").groupBy("place").agg(F.sum("x").alias("x")).collect():
+            found[r["place"]] = r["x"]
+        own = np.append(w[:-1], 0.0)
+        return found[size] / found[-1] + l2 / 2 * (own @ own), found[:size] / found[-1] + l2 * own
+
+    return minimise(value, np.append(np.zeros(size - 1), np.log(model.prior[1] / model.prior[0])), rounds)
 
 
 def score(df: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted and key (a hash of the text) for each row of df."""
     docs = texts(df, id_col, text_col).withColumn("held_out", held_out("doc_id", 3, 1)).withColumn("key", F.xxhash64("text"))
     own = training_labels(labels)
-    chosen = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
-    mined = mine(docs, chosen)
+    mined = mine(docs, own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS))
     voted = stored(vote(docs, mined), "votes")
-    model, _, _ = label_model(voted, own)
-    size = VOCABULARY + len(VOTERS) + 1
-    train = voted.where("not held_out and doc_id is not null")
-    marked = train.join(F.broadcast(chosen), "doc_id").select("votes", "features", "toxic").limit(SAMPLE_ROWS)
-    others = train.join(own, "doc_id", "left_anti").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
-    rows = marked.union(others.select("votes", "features", F.lit(None).cast("int"))).collect()  # 2 * SAMPLE_ROWS at most
-    known = np.array([r["votes"] for r in rows], np.int64)
-    q = model.posterior(bits(known)) if len(rows) else known
-    # as many rows stand for toxic as for other documents count alike: no reweighting, so scores stay probabilities
-    weights = fit([(r["votes"], r["features"], q[i] if r["toxic"] is None else float(r["toxic"])) for i, r in enumerate(rows)], size)
+    annotator = F.coalesce(F.col("toxic") + 1, F.lit(0)).alias("annotator")
+    train = stored(voted.where("not held_out").join(own, "doc_id", "left").select("votes", "features", annotator), "train")
+    model, patterns, _ = label_model(train)
+    weights = fit(train, model, patterns)
 
     def apply(batches):
         for batch in batches:
@@ -244,7 +303,5 @@ def score(df: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str
 
 def remove_toxic(df: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df without the documents that score threshold or more."""
-    bad = score(df, labels, threshold, id_col, text_col).where("predicted = 1").select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct()
-    marked = df.withColumn("__text_key", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    on = marked[id_col].cast("long").eqNullSafe(bad["__id"]) & (marked["__text_key"] == bad["__key"])
-    return marked.join(bad, on, "left_anti").drop("__text_key")
+    bad = score(df, labels, threshold, id_col, text_col).where("predicted = 1").select(F.col("doc_id").alias("id"), "key")
+    return without_rows(df, bad, id_col, text_col)
