@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orgmill.llm.common import stored
+from orgmill.llm.common import stored, without_rows
 
 WINDOW, LITERALS, SHARE = 5, 3, 0.5
 #: Words by which windows of one occurrence may be out of line.
@@ -178,11 +178,7 @@ def best_occurrences(here: DataFrame) -> DataFrame:
 
 def remove_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df without the documents that hold a benchmark item."""
-    found = find_leaks(df, benchmark, id_col, text_col).select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct()
-    key = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    marked = df.withColumn("__text_key", key)
-    on = marked[id_col].cast("long").eqNullSafe(found["__id"]) & (marked["__text_key"] == found["__key"])
-    return marked.join(found, on, "left_anti").drop("__text_key")
+    return without_rows(df, find_leaks(df, benchmark, id_col, text_col).select(F.col("doc_id").alias("id"), "key"), id_col, text_col)
 
 
 _UNITS = ", ".join(f"'{u}'" for u in UNITS)
