@@ -2,14 +2,17 @@
 
 1. A url is cut into host and path; the longest rule that fits decides.
 2. Names (runs of letters in host labels and path) are split into words by unigram Viterbi: every substring of every
-   distinct name, of any length, is joined with the word counts of the whole page table, and the best chain of known
-   words (unknown ones pay for their length) is kept. No vocabulary is broadcast.
-3. Urls that a rule decides, and a fixed list of seed words, train multinomial naive Bayes on these words. Each
-   distinct name has the sum of its words' log odds; a url's names are added up. Above 0 it is blocked.
+   distinct name, of any length, is joined with the word counts of the whole page table (without scripts and styles), and
+   the best chain of known words (unknown ones pay for their length) is kept. No vocabulary is broadcast.
+3. Multinomial naive Bayes on these words learns from all urls by expectation maximisation: urls that a rule decides have
+   their class, the others the posterior of the last round; ROUNDS rounds. Seed words count once each, so that they only
+   break the tie before the first round. Each distinct name has the sum of its words' log odds; a url's names are added
+   up. Above 0 it is blocked.
 
 Names are joined by a salted key, so a name that most urls have is spread. A null url, or one without ://, has an empty
-host and path, no rule and no names, and is allowed. A null page_id stays null; repeated rows are judged alike; an
-empty table gives no rows. With no words in the pages, names stay whole.
+host and path, no rule and no names, and is allowed; null urls take no part in any join. A null page_id stays null;
+repeated urls count once in training and are judged alike; an empty table gives no rows. With no words in the pages,
+names stay whole.
 """
 
 from __future__ import annotations
@@ -24,9 +27,9 @@ from orgmill.llm.common import stored
 
 #: (verdict, host/path): a rule fits its host and all subdomains, where the path starts with the rule's.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
-#: Words that speak for one verdict, each counted SEED_COUNT times.
+#: Words that speak for one verdict.
 SEEDS = {"block": "casino poker bet betting pills pill viagra cialis pharmacy porn xxx sex adult escort loan loans payday cheap replica warez crack torrent spam free win prize".split(), "allow": "wiki docs news edu library museum university school research journal science gov help manual blog".split()}
-SEED_COUNT, SALTS = 20, 16
+ROUNDS, SALTS = 2, 16
 #: Letters up to which a name's substrings are words to look up; longer words are looked up by so many first letters. A
 #: longer name is known by its digest, so that its text does not travel with each substring.
 HEAD, KEY = 24, 64
@@ -51,8 +54,9 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 
 def word_counts(pages: DataFrame) -> DataFrame:
     """word, n over the readable text of all pages."""
-    text = F.lower(F.regexp_replace(F.coalesce(F.col("html").cast("string"), F.lit("")), r"<[^>]*>", " "))
-    words = pages.select(F.explode(F.split(text, "[^a-z]+")).alias("word")).where(F.length("word") > 1)
+    bare = F.regexp_replace(F.coalesce(F.col("html").cast("string"), F.lit("")), r"(?is)<(script|style)\b[^>]*>.*?</\1>", " ")
+    text = F.lower(F.regexp_replace(bare, r"<[^>]*>", " "))
+    words = pages.select(F.explode(F.split(text, r"[^\p{L}]+")).alias("word")).where(F.length("word") > 1)
     return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
@@ -112,23 +116,39 @@ def segmented(names: DataFrame, counts: DataFrame) -> DataFrame:
     return joined.mapInArrow(split, "name string, words array<string>")
 
 
-def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def log_odds(words: DataFrame, names: DataFrame) -> DataFrame:
+    """name, odds: the sum of its words' log odds of blocking. names: name, block and allow (urls, or parts of urls, of
+    either class that hold it)."""
+    seeds = words.sparkSession.createDataFrame([(w, float(k == "block"), float(k == "allow")) for k, ws in SEEDS.items() for w in ws], "word string, block double, allow double")
+    held = words.join(names, "name").select(F.explode("words").alias("word"), "block", "allow")
+    counts = stored(held.union(seeds).groupBy("word").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow")), "words")
+    t = counts.agg(F.sum("block").alias("block"), F.sum("allow").alias("allow"), F.count("*").alias("v")).first()
+    odds = F.log((F.col("block") + 1) / F.lit(float(t["block"] + t["v"]))) - F.log((F.col("allow") + 1) / F.lit(float(t["allow"] + t["v"])))
+    return words.select("name", F.explode("words").alias("word")).join(counts.select("word", odds.alias("odds")), "word").groupBy("name").agg(F.sum("odds").alias("odds"))
+
+
+def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", rounds: int = ROUNDS) -> DataFrame:
     """page_id, host, path, rule, verdict, score (log odds of blocking) for each row of pages."""
     host, path = host_and_path(F.col(url_col).cast("string"))
     base = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), host.alias("host"), path.alias("path")).withColumn("own", rule_of(F.col("host"), F.col("path"), rules))
-    urls = stored(base.select("url", F.col("own.verdict").alias("known"), F.filter(F.split(F.lower(F.concat_ws("/", "host", "path")), "[^a-z]+"), lambda x: x != "").alias("names")).where("url is not null").dropDuplicates(["url"]), "urls")
-    each = urls.select("url", "known", F.explode("names").alias("name"))
-    names = each.groupBy("name").agg(F.count_if(F.col("known") == "block").alias("block"), F.count_if(F.col("known") == "allow").alias("allow"))
-    words = stored(segmented(names.select("name"), stored(word_counts(pages), "counts")), "names")
-    seeds = pages.sparkSession.createDataFrame([(w, SEED_COUNT * (k == "block"), SEED_COUNT * (k == "allow")) for k, ws in SEEDS.items() for w in ws], "word string, block long, allow long")
-    counts = words.join(names, "name").select(F.explode("words").alias("word"), "block", "allow").union(seeds).groupBy("word").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow"))
-    counts = stored(counts, "words")
-    t = counts.agg(F.sum("block").alias("block"), F.sum("allow").alias("allow"), F.count("*").alias("v")).first()
-    odds = F.log((F.col("block") + 1) / F.lit(float(t["block"] + t["v"]))) - F.log((F.col("allow") + 1) / F.lit(float(t["allow"] + t["v"])))
-    weights = words.select("name", F.explode("words").alias("word")).join(counts.select("word", odds.alias("odds")), "word").groupBy("name").agg(F.sum("odds").alias("odds"))
-    salted = weights.select("name", "odds", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    scores = each.withColumn("salt", F.pmod(F.xxhash64("url"), F.lit(SALTS)).cast("int")).join(salted, ["name", "salt"]).groupBy("url").agg(F.round(F.sum("odds"), 6).alias("score"))
-    out = base.join(scores, "url", "left")
+    letters = F.filter(F.split(F.lower(F.concat_ws("/", "host", "path")), r"[^\p{L}]+"), lambda x: x != "")
+    urls = base.where("url is not null").select("url", F.col("own.verdict").alias("known"), letters.alias("names")).dropDuplicates(["url"])
+    each = stored(urls.select("url", "known", F.explode("names").alias("name")), "urls")
+    words = stored(segmented(each.select("name").distinct(), stored(word_counts(pages), "counts")), "names")
+
+    def scores(odds: DataFrame) -> DataFrame:
+        salted = odds.select("name", "odds", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        found = each.withColumn("salt", F.pmod(F.xxhash64("url"), F.lit(SALTS)).cast("int")).join(salted, ["name", "salt"])
+        return found.groupBy("url").agg(F.round(F.sum("odds"), 6).alias("score"))
+
+    sure = F.when(F.col("known") == "block", 1.0).when(F.col("known") == "allow", 0.0)
+    part = each.select("name", sure.alias("p"))
+    for k in range(rounds + 1):
+        total = part.where("p is not null").groupBy("name").agg(F.sum("p").alias("block"), F.sum(1 - F.col("p")).alias("allow"))
+        odds = log_odds(words, total if k else total.union(words.select("name", F.lit(0.0), F.lit(0.0))).groupBy("name").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow")))
+        found = stored(scores(odds), "scores")
+        part = each.join(found, "url").select("name", F.coalesce(sure, 1 / (1 + F.exp(-F.col("score")))).alias("p"))
     score = F.coalesce("score", F.lit(0.0))
     verdict = F.coalesce("own.verdict", F.when(score > 0, "block").otherwise("allow"))
+    out = base.where("url is not null").join(found, "url", "left").unionByName(base.where("url is null").withColumn("score", F.lit(None).cast("double")))
     return out.select("page_id", "host", "path", F.col("own.rule").alias("rule"), verdict.alias("verdict"), score.alias("score"))

@@ -1,4 +1,7 @@
 import math
+import random
+import re
+from collections import Counter
 
 from orgmill.llm import url_filter
 
@@ -53,3 +56,43 @@ def test_long_names_and_long_words_are_split(spark):
     names = spark.createDataFrame([("cheap" + word + "pills",), ("cheappills" * 10 + word,)], "name string")
     split = {r["name"]: r["words"] for r in url_filter.segmented(names, counts).collect()}
     assert split == {"cheap" + word + "pills": ["cheap", word, "pills"], "cheappills" * 10 + word: ["cheap", "pills"] * 10 + [word]}
+
+
+def brute_scores(urls, htmls, rounds):
+    """Splits, counts and expectation maximisation over distinct urls, in plain Python."""
+    counts = Counter(w for h in htmls for w in re.split(r"[^a-zé]+", re.sub(r"<[^>]*>", " ", re.sub(r"(?is)<(script|style)\b[^>]*>.*?</\1>", " ", h or "")).lower()) if len(w) > 1)
+    total, split, sure = sum(counts.values()), {}, {}
+    for url in {u for u in urls if u is not None}:
+        host, path, _, verdict = brute(url)
+        names = [x for x in re.split(r"[^a-zéü]+", f"{host}/{path}".lower()) if x]
+        split[url] = [w for x in names for w in url_filter.best_split(x, {k: n for k, n in counts.items() if k in x}, total)]
+        sure[url] = {"block": 1.0, "allow": 0.0}.get(verdict)
+    p, score = dict(sure), {}
+    for _ in range(rounds + 1):
+        block, allow = Counter({w: 1.0 for w in url_filter.SEEDS["block"]}), Counter({w: 1.0 for w in url_filter.SEEDS["allow"]})
+        for url, words in split.items():
+            for w in words:
+                block[w] += p[url] or 0
+                allow[w] += 0 if p[url] is None else 1 - p[url]
+        v = len({w for ws in split.values() for w in ws} | set(block) | set(allow))
+        odds = lambda w: math.log((block[w] + 1) / (sum(block.values()) + v)) - math.log((allow[w] + 1) / (sum(allow.values()) + v))  # noqa: B023, E731
+        score = {u: sum(map(odds, ws)) for u, ws in split.items()}
+        p = {u: score_ if (score_ := sure[u]) is not None else 1 / (1 + math.exp(-score[u])) for u in split}
+    return score
+
+
+def test_scores_equal_brute_force(spark):
+    rng = random.Random(4)
+    words = ["cheap", "pills", "library", "science", "news", "garden", "poker", "tables", "river"]
+    urls = [f"http://{rng.choice(words)}{rng.choice(words)}.{rng.choice(['net', 'org', 'com'])}/{rng.choice(['fr', 'de', 'en'])}/{'-'.join(rng.choices(words, k=rng.randint(0, 3)))}" for _ in range(60)] + URLS
+    htmls = [f"<style>p{{cheap}}</style><p class='river'>{' '.join(rng.choices(words, k=6))}</p><script>var pills;</script>" for _ in urls]
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(zip(urls, htmls))], "page_id long, url string, html string")
+    want = brute_scores(urls, htmls, url_filter.ROUNDS)
+    for r in url_filter.judge(pages).collect():
+        assert math.isclose(r["score"], want.get(urls[r["page_id"]], 0.0), abs_tol=1e-3), urls[r["page_id"]]
+
+
+def test_a_url_on_most_rows_and_null_urls(spark):
+    pages = spark.range(3000).selectExpr("id as page_id", "case when id % 3 = 0 then null when id % 3 = 1 then 'http://hot.net/cheap' else concat('http://a', id, '.net/') end as url", "'<p>cheap hot</p>' as html")
+    found = url_filter.judge(pages)
+    assert found.count() == 3000 and found.where("page_id % 3 = 1").select("score").distinct().count() == 1 and found.where("page_id % 3 = 0 and verdict = 'allow' and host = ''").count() == 1000
