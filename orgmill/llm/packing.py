@@ -101,7 +101,7 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[list[tuple[int, in
                         break
                     items.append(fits[0])
                     gap -= fits[0]
-                    if gap and len(items) < 64 and left[gap] and enough((*items, gap)):
+                    if gap and left[gap] and enough((*items, gap)):
                         items.append(gap)
                         gap = 0
             take(items)

@@ -32,7 +32,8 @@ from orgmill.llm.word_encoder import word_encoder
 
 #: The dictionary is trained on pieces of this many documents, those with the smallest hashes of their ids.
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 16_384, 65_536
-SHARD_BYTES = 2 << 20
+#: Bytes of a shard's frames, and of text in one task's range of ids, about.
+SHARD_BYTES, RANGE_BYTES = 2 << 20, 64 << 20
 SHARDS = "part int, shard int, first_doc_id long, last_doc_id long, n_docs long, n_ids long, start_in_part long, width int, dictionary_sha256 string, doc_ids binary, starts binary, counts binary, frame_offsets binary, frames binary"
 NO_ID = -(1 << 63)
 
@@ -101,7 +102,8 @@ def write_ids(df: DataFrame, to: str, path: str, end_id: int = 1, id_col: str =
         if docs_:
             yield row()
 
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = size // RANGE_BYTES + 1
     ordered = docs.withColumn("tie", F.xxhash64("text")).repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     ordered.select("doc_id", "text").mapInArrow(shards, SHARDS).write.parquet(f"{to}/shards")
 

@@ -6,6 +6,7 @@ a known word is found by a 64-bit hash, so the memory holds numbers only.
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
@@ -17,6 +18,10 @@ from orgmill.llm.common import BYTE_CODE, buffers, ragged, word_hashes
 #: Distinct words kept by a worker; beyond it the memory starts anew. It changes speed only.
 MEMORY_WORDS = 1_200_000
 
+#: The normaliser and the split of files whose texts may be cut as WordEncoder cuts them.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+
 _encoders: dict[str, "WordEncoder"] = {}
 
 
@@ -32,7 +37,8 @@ class WordEncoder:
 
     Safe cuts, for a file that lower-cases and whose pattern yields runs of letters, single digits and runs of
     other marks: at ASCII white space, and between an ASCII letter and a following full stop or comma. ASCII
-    letters are lower-cased first. Texts that contain a special token's opening mark go to the library whole.
+    letters are lower-cased first. Texts that contain a special token's opening mark go to the library whole; with a file
+    of another kind all texts do.
     """
 
     def __init__(self, path: str, memory_words: int = MEMORY_WORDS):
@@ -41,6 +47,9 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()]
+        kind = json.loads(self.tokenizer.to_str())
+        before = (kind.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        self.cuts = kind.get("normalizer") == NORMALIZER and before[0].get("pattern") == SPLIT and not kind.get("truncation") and not kind.get("padding")
         self.memory_words = memory_words
         self._forget()
 
@@ -73,6 +82,9 @@ class WordEncoder:
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and len(texts) + 1 offsets into them."""
+        if not self.cuts:
+            found = [x.ids for x in self.tokenizer.encode_batch_fast([x or "" for x in texts.to_pylist()], add_special_tokens=False)]
+            return np.fromiter((i for x in found for i in x), np.uint32), np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
         data, offsets = buffers(texts)  # without an offset: on a slice, ascii_lower reads the wrong bytes
         texts = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets), pa.py_buffer(data))
         marked = np.zeros(len(texts), bool)

@@ -69,3 +69,10 @@ def test_short_and_slot_heavy_items_are_found_as_written(spark):
     rows = [(0, "Quiz time! What is 48 * 12 + 7 - 3? Think."), (1, "What is 51 * 12 + 9 - 4?"), (2, "First, define osmosis. Then rest."), (3, "define it, then osmosis"), (4, "it counts 7, 14, 21, 28, 35, 42, 49 aloud"), (5, "it counts 8 16 24 32 40 48 56 aloud"), (None, "what is 48 12 7 3")]
     found = decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(0, 1), (2, 2), (4, 3), (None, 1)}
+
+
+def test_very_long_texts_and_repeated_items(spark):
+    filler = " ".join(f"filler{i}" for i in range(100_000))
+    docs = spark.createDataFrame([(1, f"{filler} {ITEM} {filler}"), (2, filler), (3, "1 2 3 " * 50_000)], "doc_id long, text string")
+    items = spark.createDataFrame([(100, ITEM), (100, ITEM), (101, OTHER)], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, items).collect()} == {(1, 100)}

@@ -64,3 +64,28 @@ def test_near_copies_between_080_and_085_go(spark):
     gone = {max(a, b) for a, s in docs for b, t in docs if a < b and alike(s, t, 5) >= 0.8}
     kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(docs, "doc_id long, text string"), "")
     assert gone == {20, 21, 22} and {r["doc_id"] for r in kept.collect()} == {a for a, _ in docs} - gone
+
+
+def test_stages_on_odd_tables(spark):
+    """Nulls in every column, repeated rows, ties, empty texts, clashing column names, and no labels or items."""
+    at = shared_path(spark, "odd")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
+    schema = "doc_id long, text string, lang string, source string, n_chars long, key string, own_key long, gone_id long, again_id long, slice long, node long, toxic int, rest string"
+    odd = (None,) * 8
+    one, other = text(70), text(71)
+    rows = [(1, one, "en", "s", 5, *odd)] * 3 + [(None, None, None, None, None, *odd)] * 2 + [(None, other, "en", None, 1, *odd), (2, "", None, "s", 0, *odd), (2, None, "x", "s", None, *odd), (3, "   ", "x", "s", 3, *odd), (4, other, "en", "s", 9, "k", 1, 2, 3, 4, 5, 1, "r")]
+    docs = spark.createDataFrame(rows, schema)
+    expected = {"toxicity": 10, "ngram_jaccard_join": 7, "suffix_array_dedup": 10, "benchmark_decontamination": 10}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, at)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        found = out.collect()
+        assert len(found) == expected[name], name
+        assert ("k", 1, 2, 3, 4, 5, 1, "r") in [tuple(r)[5:] for r in found]
+        if name != "suffix_array_dedup":  # there a null text becomes an empty one, and a null id counts as the largest
+            assert {(r["doc_id"], r["text"]) for r in found} <= {r[:2] for r in rows}
+        assert stage(spark, docs.limit(0), at).count() == 0
+    packed = corpus_pipeline.packed_sequences(spark, docs, at)
+    assert packed.select("doc_id", "piece").count() == 10 and packed.agg({"sequence_id": "max"}).first()[0] == 0
+    assert corpus_pipeline.packed_sequences(spark, docs.limit(0), at).count() == 0

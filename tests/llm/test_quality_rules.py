@@ -33,3 +33,12 @@ def test_no_python_and_no_shuffle_in_the_plan(spark):
     df = spark.createDataFrame([(1, GOOD)], "doc_id long, text string")
     plan = quality_rules.judge(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_repeated_rows_and_very_long_texts(spark):
+    long = " ".join(f"w{i}" for i in range(150_000)) + "\n" + "same words all over again and again so it goes on\n" * 3000
+    df = spark.createDataFrame([(1, GOOD), (1, GOOD), (2, long)], "doc_id long, text string")
+    found = quality_rules.judge(df).collect()
+    assert len(found) == 3 and len({tuple(r)[:8] for r in found if r["doc_id"] == 1}) == 1
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    assert tuple(next(r for r in found if r["doc_id"] == 2)[c] for c in names) == brute(long)

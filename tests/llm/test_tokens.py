@@ -30,6 +30,27 @@ def test_word_encoder_equals_the_library():
     assert [len(library.encode(x.as_py(), add_special_tokens=False).ids) for x in many.slice(37, 40)] == (offsets[1:] - offsets[:-1]).tolist()
 
 
+def test_a_file_of_another_kind_is_encoded_whole():
+    encoder, library = WordEncoder(BYTE), Tokenizer.from_file(BYTE)
+    assert WordEncoder(WORD).cuts and not encoder.cuts
+    ids, offsets = encoder.ids(pa.array(ODD, pa.string()))
+    for i, text in enumerate(ODD):
+        assert ids[offsets[i] : offsets[i + 1]].tolist() == library.encode(text or "", add_special_tokens=False).ids
+
+
+def test_null_ids_repeated_rows_and_very_long_texts(spark):
+    values = [(None, "a b"), (None, "a b"), (3, "c d e"), (3, "c d e"), (4, "word " * 300_000), (None, None)]
+    df = spark.createDataFrame(values, "doc_id long, text string")
+    counts = token_counts.count_tokens(df, PIECE).toPandas()
+    assert len(counts) == 6 and counts.doc_id.isna().sum() == 3 and counts[counts.doc_id == 3].n_tokens.nunique() == 1 and counts[counts.doc_id == 4].n_tokens.item() >= 300_000
+    packed = packing.pack(df, WORD).toPandas()
+    assert packed.length.sum() == 2 * 3 + 2 * 4 + 300_001 + 1 and packed.groupby("sequence_id").length.sum().max() <= 4096 and packed.doc_id.isna().sum() == 3
+    at = shared_path(spark, "odd-files")
+    token_files.write_ids(df, at, WORD)
+    back = token_files.read_ids(spark, at, with_ids=False).toPandas().sort_values("start")
+    assert back.doc_id.isna().tolist() == [True] * 3 + [False] * 3 and back.n_tokens.sum() == 2 * 3 + 2 * 4 + 300_001 + 1
+
+
 @pytest.mark.parametrize("path", [PIECE, BYTE, WORD])
 @pytest.mark.parametrize("overlap", [1, 8, 64])
 def test_spliced_counts_equal_whole_counts(path, overlap):
