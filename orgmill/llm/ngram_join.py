@@ -251,7 +251,8 @@ def links(df: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataFrame, Data
     shared = grams.groupBy("g").agg(F.count("*").alias("c")).where("c > 1").select("g")
     enough = f"c >= floor(ceil({percent} * n / 100) / 10) + 1"
     alive = stored(grams.join(shared, "g").groupBy("node").agg(F.count("*").alias("c")).join(firsts, "node").where(enough).select("node", "first"), "alive")
-    whole = docs.join(alive.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    ids = alive.select(F.col("first").alias("doc_id")).distinct()
+    whole = docs.join(F.broadcast(ids) if alive.count() <= BROADCAST_KEYS else ids, "doc_id", "left_semi")  # so that texts stay where they are
     sets = sets_of(whole, n, percent, True).select(name.alias("node"), F.col("n_shingles").alias("n"), "grams")
     sets = stored(sets.join(alive.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
     # 3. the prefix from rare to frequent; what occurs once cannot be shared but takes the first places
