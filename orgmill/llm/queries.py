@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orgmill.llm import decontaminate, ngram_join, packing, pitman_yor, quality_rules, suffix_dedup, token_counts, token_files, toxicity, url_filter
+from orgmill.llm import decontaminate, exact_dedup, ngram_join, packing, pitman_yor, quality_rules, suffix_dedup, token_counts, token_files, toxicity, url_filter
 from orgmill.llm.common import shared_path, table
 
 
@@ -52,5 +52,9 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_ids(spark, at, with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_toxicity, op3_quality_rules, op4_decontaminate, op5_token_counts, op6_suffix_dedup, op7_packing, op8_ngram_join, op9_pitman_yor, op10_token_files)}
-ORACLES: dict[str, str] = {"op4_decontaminate": decontaminate.ORACLE, "op3_quality_rules": quality_rules.ORACLE}
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.groups(table(spark, sf_dir, "documents")).drop("key")
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_toxicity, op3_quality_rules, op4_decontaminate, op5_token_counts, op6_suffix_dedup, op7_packing, op8_ngram_join, op9_pitman_yor, op10_token_files, op11_exact_dedup)}
+ORACLES: dict[str, str] = {"op4_decontaminate": decontaminate.ORACLE, "op3_quality_rules": quality_rules.ORACLE, "op11_exact_dedup": exact_dedup.ORACLE}
