@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orgmill.llm import conversation_repair, decontaminate, exact_dedup, ngram_join, packing, pitman_yor, quality_rules, suffix_dedup, token_counts, token_files, toxicity, url_filter
+from orgmill.llm import collocations, conversation_repair, decontaminate, exact_dedup, ngram_join, packing, pitman_yor, quality_rules, suffix_dedup, token_counts, token_files, toxicity, url_filter
 from orgmill.llm.common import shared_path, table
 
 
@@ -60,5 +60,9 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.report(table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_toxicity, op3_quality_rules, op4_decontaminate, op5_token_counts, op6_suffix_dedup, op7_packing, op8_ngram_join, op9_pitman_yor, op10_token_files, op11_exact_dedup, op12_conversation_repair)}
-ORACLES: dict[str, str] = {"op4_decontaminate": decontaminate.ORACLE, "op3_quality_rules": quality_rules.ORACLE, "op11_exact_dedup": exact_dedup.ORACLE, "op12_conversation_repair": conversation_repair.ORACLE}
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_toxicity, op3_quality_rules, op4_decontaminate, op5_token_counts, op6_suffix_dedup, op7_packing, op8_ngram_join, op9_pitman_yor, op10_token_files, op11_exact_dedup, op12_conversation_repair, op13_collocations)}
+ORACLES: dict[str, str] = {"op4_decontaminate": decontaminate.ORACLE, "op3_quality_rules": quality_rules.ORACLE, "op11_exact_dedup": exact_dedup.ORACLE, "op12_conversation_repair": conversation_repair.ORACLE, "op13_collocations": collocations.ORACLE}
