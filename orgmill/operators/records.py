@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orgmill.functions import expressions as X
@@ -61,6 +61,11 @@ def _not_in(c: str, values):
     return lambda: ~F.coalesce(F.col(c).isin(*values), F.lit(False))
 
 
+def _bad_items(c: str, wrong) -> Column:
+    """The items of a list that are wrong; null if none is."""
+    return F.nullif(F.array_join(F.filter(c, wrong), ", ", "null"), F.lit(""))
+
+
 def _any_not_in(c: str, values):
     return lambda: F.exists(c, lambda x: ~F.coalesce(x.isin(*values), F.lit(False)))
 
@@ -73,31 +78,45 @@ def _fraction(c: str):
     return lambda: F.coalesce(F.col(c) != F.floor(c), F.lit(False))
 
 
+def _value(c: str):
+    return lambda: F.col(c).cast("string")
+
+
+def _items(c: str, values):
+    return lambda: _bad_items(c, lambda x: ~F.coalesce(x.isin(*values), F.lit(False)))
+
+
+#: Rule -> when it is broken, and which value breaks it (where there is one to name).
 RULES = {
-    **{f"{c}: too short": _too_short(c) for c in ("id", "nameUz", "nameRu", "nameKey")},
-    "slug: slug must be url-safe kebab-case": lambda: ~F.coalesce(F.col("slug").rlike("^[a-z0-9]+(-[a-z0-9]+)*$"), F.lit(False)),
-    "type: not in enum": _not_in("type", fixed.TYPES),
-    "additionalTypes: not in enum": _any_not_in("additionalTypes", fixed.TYPES),
-    "status: not in enum": _not_in("status", fixed.STATUSES),
-    "email: not an address": lambda: F.col("email").isNotNull() & ~F.col("email").rlike(r"^[^@\s]+@[^@\s]+\.[^@\s]+$"),
-    "website: not a url": lambda: F.col("website").isNotNull() & ~F.col("website").rlike("(?i)^https?://.+"),
-    "deliveryMode: not in enum": _not_in("deliveryMode", fixed.DELIVERY_MODES),
-    **{f"{c}: not an integer": _fraction(c) for c in ("foundedYear", "studentCount", "teacherCount")},
-    "languages: not a lower-case code": lambda: F.exists("languages", lambda x: ~x.rlike("^[a-z]{2,3}$")),
-    "categories: not in enum": _any_not_in("categories", fixed.CATEGORIES),
-    "cityId: not a known city": _unknown("cityId", sorted({c[0] for c in fixed.CITIES if c[0]})),
-    "regionId: not a known region": _unknown("regionId", sorted({c[1] for c in fixed.CITIES})),
-    "phone is not normalized": lambda: F.coalesce((F.col("phone") != "") & ~X.phone(F.col("phone"))["valid"], F.lit(False)),
-    "deliveryMode ONLINE is flagged for review": lambda: F.coalesce(F.col("deliveryMode") == "ONLINE", F.lit(False)),
-    "languages contain codes not yet observed": lambda: F.exists("languages", lambda x: ~x.isin(*fixed.KNOWN_LANGUAGES)),
-    "categories must be non-empty": lambda: F.size(F.coalesce("categories", F.array().cast("array<string>"))) == 0,
-    "both descriptions are null": lambda: (F.coalesce("descriptionUz", F.lit("")) == "") & (F.coalesce("descriptionRu", F.lit("")) == ""),
+    **{f"{c}: too short": (_too_short(c), None) for c in ("id", "nameUz", "nameRu", "nameKey")},
+    "slug: slug must be url-safe kebab-case": (lambda: ~F.coalesce(F.col("slug").rlike("^[a-z0-9]+(-[a-z0-9]+)*$"), F.lit(False)), _value("slug")),
+    "type: not in enum": (_not_in("type", fixed.TYPES), _value("type")),
+    "additionalTypes: not in enum": (_any_not_in("additionalTypes", fixed.TYPES), _items("additionalTypes", fixed.TYPES)),
+    "status: not in enum": (_not_in("status", fixed.STATUSES), _value("status")),
+    "email: not an address": (lambda: F.col("email").isNotNull() & ~F.col("email").rlike(r"^[^@\s]+@[^@\s]+\.[^@\s]+$"), _value("email")),
+    "website: not a url": (lambda: F.col("website").isNotNull() & ~F.col("website").rlike("(?i)^https?://.+"), _value("website")),
+    "deliveryMode: not in enum": (_not_in("deliveryMode", fixed.DELIVERY_MODES), _value("deliveryMode")),
+    **{f"{c}: not an integer": (_fraction(c), _value(c)) for c in ("foundedYear", "studentCount", "teacherCount")},
+    "languages: not a lower-case code": (lambda: F.exists("languages", lambda x: ~x.rlike("^[a-z]{2,3}$")), lambda: _bad_items("languages", lambda x: ~x.rlike("^[a-z]{2,3}$"))),
+    "categories: not in enum": (_any_not_in("categories", fixed.CATEGORIES), _items("categories", fixed.CATEGORIES)),
+    "cityId: not a known city": (_unknown("cityId", sorted({c[0] for c in fixed.CITIES if c[0]})), _value("cityId")),
+    "regionId: not a known region": (_unknown("regionId", sorted({c[1] for c in fixed.CITIES})), _value("regionId")),
+    "phone is not normalized": (lambda: F.coalesce((F.col("phone") != "") & ~X.phone(F.col("phone"))["valid"], F.lit(False)), _value("phone")),
+    "deliveryMode ONLINE is flagged for review": (lambda: F.coalesce(F.col("deliveryMode") == "ONLINE", F.lit(False)), None),
+    "languages contain codes not yet observed": (lambda: F.exists("languages", lambda x: ~x.isin(*fixed.KNOWN_LANGUAGES)), lambda: _bad_items("languages", lambda x: ~x.isin(*fixed.KNOWN_LANGUAGES))),
+    "categories must be non-empty": (lambda: F.size(F.coalesce("categories", F.array().cast("array<string>"))) == 0, None),
+    "both descriptions are null": (lambda: (F.coalesce("descriptionUz", F.lit("")) == "") & (F.coalesce("descriptionRu", F.lit("")) == ""), None),
 }
 
 
+def _told(name: str, value) -> Column:
+    """The rule, and in quotes the value that breaks it."""
+    return F.lit(name) if value is None else F.concat(F.lit(name), F.coalesce(F.concat(F.lit(' ("'), value(), F.lit('")')), F.lit(" (missing)")))
+
+
 def validate_records(df: DataFrame) -> DataFrame:
     """reasons and valid of each record by itself; df is as flat gives it, and what it lacks counts as null."""
-    reasons = F.array_compact(F.array(*[F.when(rule(), name) for name, rule in RULES.items()]))
+    reasons = F.array_compact(F.array(*[F.when(rule(), _told(name, value)) for name, (rule, value) in RULES.items()]))
     return with_missing(df, CHECKED).withColumn("reasons", reasons).select(*df.columns, "reasons").withColumn("valid", F.size("reasons") == 0)
 
 
@@ -152,8 +171,9 @@ def by_source(results: DataFrame, source: str = "source") -> DataFrame:
 
 
 def validation_summary(checked: DataFrame) -> DataFrame:
-    """Records for each reason; valid ones under 'valid'."""
-    return checked.select(F.explode(F.when(F.size("reasons") == 0, F.array(F.lit("valid"))).otherwise(F.col("reasons"))).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+    """Records for each reason, without the values that it names; valid ones under 'valid'."""
+    each = F.explode(F.when(F.size("reasons") == 0, F.array(F.lit("valid"))).otherwise(F.col("reasons"))).alias("reason")
+    return checked.select(each).groupBy(F.regexp_replace("reason", r' \((?:".*"|missing)\)$|(?<=^slug) ".*"', "").alias("reason")).agg(F.count("*").alias("n"))
 
 
 def result_rows(states: DataFrame, records: DataFrame, candidates: DataFrame, key: str) -> DataFrame:

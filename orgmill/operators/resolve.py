@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from orgmill.functions import expressions as X
 from orgmill.functions import fixed
+from orgmill.operators.matching import resolve_by_table
 from orgmill.shared import stored
 
 
@@ -91,14 +92,8 @@ def city_dimension(spark) -> DataFrame:
 
 
 def resolve_city(df: DataFrame, col: str, dim: DataFrame, first_alias: bool = False) -> DataFrame:
-    """city, cityId and regionId of each row: an alias equal to the text, else the longest (or first) alias that it contains.
-
-    Distinct texts are matched against the small dimension once, however many rows hold them.
-    """
-    names = df.select(F.col(col).alias("__text")).where("__text is not null").distinct().withColumn("__key", F.lower(F.trim(F.regexp_replace("__text", r"\s+", " "))))
-    order = F.struct((F.col("__key") != F.col("alias")).alias("x"), *([] if first_alias else [(-F.length("alias")).alias("y")]), "alias_pos")
-    found = names.join(F.broadcast(dim), F.contains("__key", "alias")).groupBy("__text").agg(F.min_by(F.struct("city", "cityId", "regionId"), order).alias("__city"))
-    return df.join(found, df[col] == found["__text"], "left").withColumns({c: F.col(f"__city.{c}") for c in ("city", "cityId", "regionId")}).drop("__text", "__city")
+    """city, cityId and regionId of each row: an alias equal to the text, else the longest (or first) alias that it contains."""
+    return resolve_by_table(df, col, dim, ["city", "cityId", "regionId"], first_alias)
 
 
 def in_city_scope(df: DataFrame, col: str, dim: DataFrame, cities: list[str] | None) -> DataFrame:

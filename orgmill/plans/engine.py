@@ -15,7 +15,7 @@ LISTS = ["languages", "programs", "specializations"]
 def dedupe(candidates: DataFrame) -> DataFrame:
     """The candidate with the smallest input_pos of each group that name and city, phone, site or handles connect."""
     keyed = candidates.withColumns({
-        "__name": F.when(X.name_key(F.col("rawName")) != "", F.concat_ws("|", X.name_key(F.col("rawName")), F.lower("city"))),
+        "__name": F.when(X.name_key(F.col("rawName")) != "", F.concat_ws("|", X.name_key(F.col("rawName")), F.lower(F.trim("city")))),
         "__phone": X.phone(F.col("phone"))["normalized"],
         "__site": X.domain(F.col("website")),
         "__telegram": X.handle(F.col("telegram")),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import uuid
 from collections.abc import Callable
 
@@ -10,10 +11,11 @@ from pyspark.sql import functions as F
 
 from orgmill.functions import expressions as X
 from orgmill.functions import fixed
-from orgmill.operators import classify, evidence, pages, records, resolve, standardize, state
+from orgmill.operators import classify, components, evidence, matching, pages, ranges, records, resolve, standardize, state
 from orgmill.shared import shared_path
 from orgmill.sources import io
 from orgmill.streaming import state as streams
+from orgmill.streaming import transitions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -506,9 +508,9 @@ def _told(*rules: tuple[str, str]) -> str:
 
 
 REASONS = _told(
-    ("k % 43 = 12", "id: too short"), ("k % 41 = 11", "nameRu: too short"), ("k % 47 = 13", "nameKey: too short"), ("k % 17 = 3 AND k % 11 <> 1", "slug: slug must be url-safe kebab-case"), ("k % 13 = 4", "type: not in enum"), ("k % 19 = 5", "additionalTypes: not in enum"), ("k % 23 = 6", "status: not in enum"),
-    ("k % 5 = 1", "email: not an address"), ("k % 29 = 7", "website: not a url"), ("k % 31 = 8", "deliveryMode: not in enum"), ("k % 37 = 10", "foundedYear: not an integer"), ("k % 6 = 1", "languages: not a lower-case code"), ("k % 8 = 3", "categories: not in enum"), ("k % 3 = 1", "cityId: not a known city"),
-    ("k % 9 = 2", "regionId: not a known region"), ("k % 7 = 2", "phone is not normalized"), ("k % 31 = 9", "deliveryMode ONLINE is flagged for review"), ("k % 6 IN (1, 2)", "languages contain codes not yet observed"), ("k % 4 = 0", "categories must be non-empty"), ("k % 2 = 1", "both descriptions are null"),
+    ("k % 43 = 12", "id: too short"), ("k % 41 = 11", "nameRu: too short"), ("k % 47 = 13", "nameKey: too short"), ("k % 17 = 3 AND k % 11 <> 1", 'slug: slug must be url-safe kebab-case ("Bad Slug")'), ("k % 13 = 4", 'type: not in enum ("SHOP")'), ("k % 19 = 5", 'additionalTypes: not in enum ("SHOP")'), ("k % 23 = 6", 'status: not in enum ("GONE")'),
+    ("k % 5 = 1", 'email: not an address ("nobody")'), ("k % 29 = 7", 'website: not a url ("ftp://x")'), ("k % 31 = 8", 'deliveryMode: not in enum ("POST")'), ("k % 37 = 10", 'foundedYear: not an integer ("1990.5")'), ("k % 6 = 1", 'languages: not a lower-case code ("xx1")'), ("k % 8 = 3", 'categories: not in enum ("XYZ")'), ("k % 3 = 1", 'cityId: not a known city ("nowhere")'),
+    ("k % 9 = 2", 'regionId: not a known region ("nowhere")'), ("k % 7 = 2", 'phone is not normalized ("90 12")'), ("k % 31 = 9", "deliveryMode ONLINE is flagged for review"), ("k % 6 = 1", 'languages contain codes not yet observed ("xx1")'), ("k % 6 = 2", 'languages contain codes not yet observed ("fr")'), ("k % 4 = 0", "categories must be non-empty"), ("k % 2 = 1", "both descriptions are null"),
 )
 OWN = f"SELECT *, s_suppkey AS k, {REASONS.replace('k %', 's_suppkey %')} AS own FROM supplier"
 BATCH = f"""SELECT s_suppkey, own || list_filter([CASE WHEN count(*) OVER (PARTITION BY slug) > 1 THEN 'slug "' || slug || '" is not unique across the batch' END, CASE WHEN count(*) OVER (PARTITION BY name, k % 3) > 1 THEN 'duplicate name and city in the batch' END], lambda x: x IS NOT NULL) AS reasons
@@ -532,7 +534,7 @@ def finalize(spark, d):
     return kept.select("s_suppkey", F.lit("export").alias("state"), null.alias("last_error"), null.alias("note")).union(demoted.join(log.select("s_suppkey", "note"), "s_suppkey").select("s_suppkey", "state", "last_error", "note"))
 
 
-@query(f"SELECT reason, count(*) AS n FROM (SELECT unnest(CASE WHEN len(own) = 0 THEN ['valid'] ELSE own END) AS reason FROM ({OWN})) GROUP BY reason")
+@query(f"SELECT regexp_replace(reason, ' \\(\".*\"\\)$', '') AS reason, count(*) AS n FROM (SELECT unnest(CASE WHEN len(own) = 0 THEN ['valid'] ELSE own END) AS reason FROM ({OWN})) GROUP BY ALL")
 def validation_summary(spark, d):
     return records.validation_summary(records.validate_records(batch(spark, d)))
 
@@ -813,3 +815,110 @@ def state_transitions(spark, d):
     new = rows.where("event_id >= m").select("user_id", "at", "state", F.lit("new").alias("note"))
     log = state.append_transitions(old, new, "user_id")
     return log.select("user_id", F.unix_micros("at").alias("moment"), "state", "note", (state.stage_rank(F.col("state")) >= fixed.STAGES.index("VERIFIED")).alias("verified"))
+
+
+#: Words of documents as a keyword table: a label for each length, words in the order of the first document that has them.
+KEYWORDS = "SELECT 'length ' || length(w) AS label, length(w) AS label_pos, min(doc_id) AS keyword_pos, w AS keyword FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS w FROM documents) WHERE length(w) >= 4 GROUP BY w"
+LABELLED = f"""WITH k AS ({KEYWORDS}), hit AS (SELECT conv_id, turn, label, label_pos, arg_min(keyword, (keyword_pos, keyword)) AS hit FROM conversations JOIN k ON contains(lower(trim(text)), keyword) GROUP BY ALL)
+SELECT c.conv_id, c.turn, coalesce(list(label ORDER BY label_pos) FILTER (label IS NOT NULL), []) AS labels, coalesce(list(hit ORDER BY label_pos) FILTER (label IS NOT NULL), []) AS hits FROM conversations c LEFT JOIN hit USING (conv_id, turn) GROUP BY ALL"""
+
+
+def keyword_rows(spark, d) -> DataFrame:
+    words = t(spark, d, "documents").select("doc_id", F.explode(F.split(F.lower("text"), " ")).alias("keyword")).where(F.length("keyword") >= 4)
+    return words.groupBy("keyword").agg(F.min("doc_id").alias("keyword_pos")).withColumns({"label_pos": F.length("keyword"), "label": F.concat(F.lit("length "), F.length("keyword").cast("string"))})
+
+
+@query(LABELLED)
+def keyword_table(spark, d):
+    return matching.classify_by_table(t(spark, d, "conversations"), "text", keyword_rows(spark, d)).select("conv_id", "turn", "labels", "hits")
+
+
+@query(LABELLED)
+def keyword_table_join(spark, d):
+    """As with a table that is too large for an automaton."""
+    return matching.classify_by_table(t(spark, d, "conversations"), "text", keyword_rows(spark, d), automaton=0).select("conv_id", "turn", "labels", "hits")
+
+
+def part_names(spark, d) -> tuple[DataFrame, DataFrame]:
+    parts = t(spark, d, "part")
+    dim = parts.select(F.col("p_partkey").alias("alias_pos"), F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("No."), F.col("p_partkey").cast("string"))).otherwise(F.upper("p_name")).alias("alias"), F.col("p_brand").alias("brand"))
+    return parts.select("p_partkey", F.concat(F.lit(" Buy  "), "p_name", F.lit(" or No."), (F.col("p_partkey") * 7 % 1000).cast("string"), F.lit(" now ")).alias("wish")), dim
+
+
+@query("""WITH a AS (SELECT p_partkey AS pos, CASE WHEN p_partkey % 3 = 0 THEN 'no.' || p_partkey ELSE lower(p_name) END AS alias, p_brand AS brand FROM part), x AS (SELECT p_partkey, 'buy ' || lower(p_name) || ' or no.' || p_partkey * 7 % 1000 || ' now' AS wish FROM part)
+SELECT p_partkey, arg_min(brand, (-length(alias), pos)) AS brand FROM x LEFT JOIN a ON contains(wish, alias) GROUP BY p_partkey""")
+def alias_table(spark, d):
+    wishes, dim = part_names(spark, d)
+    return matching.resolve_by_table(wishes, "wish", dim, ["brand"]).select("p_partkey", "brand")
+
+
+@query("SELECT p_partkey, list_sort(list(DISTINCT brand)) AS mentioned FROM (SELECT p_partkey, 'buy ' || lower(p_name) || ' or no.' || p_partkey * 7 % 1000 || ' now' AS wish FROM part) JOIN (SELECT p_brand AS brand, CASE WHEN p_partkey % 3 = 0 THEN 'no.' || p_partkey ELSE lower(p_name) END AS alias FROM part) ON contains(wish, alias) GROUP BY p_partkey")
+def mention_table(spark, d):
+    wishes, dim = part_names(spark, d)
+    own = wishes.withColumn("wish", F.regexp_replace("wish", " +", " "))
+    return matching.mentions_by_table(own, "wish", dim, "brand", automaton=0).where(F.size("mentioned") > 0).select("p_partkey", F.sort_array("mentioned").alias("mentioned"))
+
+
+#: A block for each event: IPv4 of 12 to 28 bits, IPv6 of 40 to 48.
+RANGES = "SELECT event_id, event_id % 4 < 3 AS four, event_id * 131 % 256 * 16777216 + event_id * 17 % 256 * 65536 + event_id % 256 * 256 AS low, 12 + event_id % 17 AS bits, event_id * 7 % 65536 AS third, 40 + event_id % 9 AS bits6, CASE WHEN event_id % 4 < 3 THEN event_id * 131 % 256 || '.' || event_id * 17 % 256 || '.' || event_id % 256 || '.0/' || 12 + event_id % 17 ELSE format('2001:db8:{:x}::/{}', event_id * 7 % 65536, 40 + event_id % 9) END AS cidr FROM events"
+
+
+@query(f"""WITH r AS ({RANGES}), h AS (SELECT event_id, event_id % 5 < 4 AS four, event_id * 37 % 256 * 16777216 + event_id * 11 % 256 * 65536 + event_id % 256 * 256 + 7 AS ip, event_id * 5 % 65536 AS third,
+ CASE event_id % 5 WHEN 0 THEN '::ffff:' || dotted WHEN 1 THEN format('[::FFFF:{{:x}}:{{:x}}]', a * 256 + b, event_id % 256 * 256 + 7) WHEN 4 THEN format('2001:0DB8:{{:x}}::{{:x}}', event_id * 5 % 65536, event_id % 9) ELSE dotted END AS host FROM (SELECT *, a || '.' || b || '.' || event_id % 256 || '.7' AS dotted FROM (SELECT event_id, event_id * 37 % 256 AS a, event_id * 11 % 256 AS b FROM events))),
+f AS (SELECT h.event_id, cidr, bits AS n FROM h, (SELECT DISTINCT bits AS b FROM r) JOIN r ON r.bits = b AND r.four AND r.low >> (32 - b) = h.ip >> (32 - b) WHERE h.four UNION ALL SELECT h.event_id, cidr, bits6 FROM h, (SELECT DISTINCT bits6 AS b FROM r) JOIN r ON r.bits6 = b AND NOT r.four AND r.third >> (48 - b) = h.third >> (48 - b) WHERE NOT h.four)
+SELECT h.event_id, any_value(host) AS host, arg_min(cidr, (-n, cidr)) AS block FROM h LEFT JOIN f USING (event_id) GROUP BY h.event_id""")
+def range_join(spark, d):
+    k = F.col("event_id")
+    s = lambda x: x.cast("string")
+    h = lambda x: F.lower(F.hex(x))
+    a, b, c = k * 37 % 256, k * 11 % 256, k % 256
+    dotted = F.concat_ws(".", s(a), s(b), s(c), F.lit("7"))
+    host = F.when(k % 5 == 0, F.concat(F.lit("::ffff:"), dotted)).when(k % 5 == 1, F.concat(F.lit("[::FFFF:"), h(a * 256 + b), F.lit(":"), h(c * 256 + 7), F.lit("]"))).when(k % 5 == 4, F.concat(F.lit("2001:0DB8:"), h(k * 5 % 65536), F.lit("::"), h(k % 9))).otherwise(dotted)
+    e = t(spark, d, "events")
+    four = F.concat(F.concat_ws(".", s(k * 131 % 256), s(k * 17 % 256), s(c), F.lit("0")), F.lit("/"), s(12 + k % 17))
+    six = F.concat(F.lit("2001:db8:"), h(k * 7 % 65536), F.lit("::/"), s(40 + k % 9))
+    table = e.select(F.when(k % 4 < 3, four).otherwise(six).alias("cidr"))
+    return ranges.with_block(e.select("event_id", host.alias("host")), "host", table, "cidr")
+
+
+@query(f"{DUPLICATES} SELECT id, kept_id FROM f")
+def incremental_duplicates(spark, d):
+    """Three batches, of which later ones have smaller ids, too."""
+    p = t(spark, d, "pages").select("page_id", X.domain(F.col("url")).alias("host"), X.name_key(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("title"))
+    at = shared_path(spark, "components")
+    for k in range(3):
+        components.add_batch(p.where(F.col("page_id") % 3 == 2 - k), k, at, "page_id", {"domain": "host", "name": "title"})
+    return components.current(spark, at, "bigint")
+
+
+STAGE_OF = {"view": "RESEARCHING", "click": "VERIFIED", "signup": "CONTENT_READY", "purchase": "APPROVED", "error": "NEEDS_REVIEW"}
+IDLE, LATE = datetime.timedelta(hours=30), "6 hours"
+
+
+def transitions_of(events: DataFrame) -> DataFrame:
+    stage = F.create_map(*[F.lit(x) for pair in STAGE_OF.items() for x in pair])[F.col("event_type")]
+    return events.select("user_id", F.col("ts").alias("at"), F.col("event_id").alias("seq"), stage.alias("state"), F.col("props").alias("note"))
+
+
+@query(f"""WITH e AS (SELECT user_id::VARCHAR AS key, ts, event_id, props, CASE event_type {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in STAGE_OF.items())} END AS state, CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'signup' THEN 3 WHEN 'purchase' THEN 5 ELSE 999 END AS rank, ceil(epoch_us(ts) / 1000)::BIGINT AS ms FROM events),
+g AS (SELECT *, coalesce(ms - lag(ms) OVER (PARTITION BY key ORDER BY ts, event_id) > {int(IDLE.total_seconds() * 1000)}, true) AS first FROM e WHERE ms <= (SELECT max(epoch_ms(ts)) - {6 * 3_600_000} FROM events)),
+l AS (SELECT *, sum(first::INTEGER) OVER (PARTITION BY key ORDER BY ts, event_id) AS life FROM g), b AS (SELECT *, coalesce(max(rank) OVER (PARTITION BY key, life ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM l)
+SELECT key, 0 AS n, epoch_us(ts) AS moment, 'DISCOVERED' AS state, NULL AS note FROM l WHERE first UNION ALL SELECT key, row_number() OVER (PARTITION BY key, life ORDER BY ts, event_id)::INTEGER, epoch_us(ts), state, props FROM b WHERE rank > before""")
+def stream_state_log(spark, d):
+    """Four parts whose rows are late by up to six hours, each in a run of its own that goes on from the last one's checkpoint."""
+    events = t(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    shifted = F.unix_micros("ts") + F.col("event_id") * 7919 % 21_600 * 1_000_000
+    part = F.least(F.floor((shifted - (first or 0)) * 4 / ((last or 0) - (first or 0) + 1)), F.lit(3))
+    source, target, marks = (shared_path(spark, x) for x in ("transitions", "log", "marks"))
+    own, provider = transitions_of(events.withColumn("part", part)).schema, "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, transitions.PROVIDER)
+    try:
+        for k in range(4):
+            transitions_of(events.where(part == k)).write.mode("append").parquet(source)
+            log_ = transitions.stream_log(spark.readStream.schema(own).parquet(source), "user_id", LATE, IDLE)
+            log_.writeStream.format("parquet").outputMode("append").option("checkpointLocation", marks).trigger(availableNow=True).start(target).awaitTermination()
+    finally:
+        spark.conf.set(provider, before)
+    return spark.read.schema(transitions.LOG).parquet(target).select("key", "n", F.unix_micros("at").alias("moment"), "state", "note")
