@@ -10,7 +10,8 @@ language stay.
    lengths interleave: no length waits for the one below it. Single words count from the first step.
 2. A step's tasks count the active phrases of their slices by 64-bit hashes of the words and the language, and Spark adds them
    to the table of counts so far, which is written anew. A phrase whose cycle is over leaves that table: to the frequent ones
-   or for good. As every part of a frequent phrase is frequent, each frequent phrase has counted in every shard.
+   or for good. As every part of a frequent phrase is frequent, each frequent phrase has counted in every shard. After the
+   first cycle, when all words are counted, the shards are written once more, as runs of numbers of frequent words.
 3. The tasks know the phrases that have reached LEAST, and when, by a sorted array of their hashes, at most KNOWN of them. With more,
    counting starts anew, a length for each scan, and the tasks know the phrases one word shorter by a Bloom filter of fixed size:
    what it lets through wrongly is counted too, and has fewer than LEAST occurrences.
@@ -30,12 +31,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from orgmill.llm.common import buffers, lean, mix, slices, stored, word_hashes
+from orgmill.llm.common import BASE, LOWER_CODE, buffers, lean, mix, powers, ragged, released, slices, squeezed, stored
 from orgmill.shared import deleted, shared_path
 
-LONGEST, LEAST, TOP, SHARDS, GROUPS = 5, 100, 2000, 4, 64
+LONGEST, LEAST, TOP, SHARDS, GROUPS = 5, 100, 2000, 3, 64
 KNOWN, FILTER_BITS = 4_000_000, 27
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES, BLOCK_BYTES, PENDING = 8 << 20, 2 << 20, 3_000_000
 #: 0: part of a word, 1: between words, 2: between pieces.
 KIND = np.zeros(256, np.uint8)
 KIND[[0x20, 0x09]] = 1
@@ -43,6 +44,36 @@ KIND[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = 2
 NEXT = np.uint64(0x9E3779B97F4A7C15)
 
 
+INVERSE = pow(BASE, -1, 1 << 64)
+_inverses = np.ones(1, np.uint64)
+
+
+def inverse_powers(n: int) -> np.ndarray:
+    global _inverses
+    if len(_inverses) < n:
+        with np.errstate(over="ignore"):
+            _inverses = np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, INVERSE, np.uint64))])
+    return _inverses[:n]
+
+
+def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each word by its letters (A-Z as a-z) and its length: differences of running sums, block by block."""
+    out = np.zeros(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):
+        begin = int(starts[first])
+        last = max(first + 1, int(np.searchsorted(ends, begin + BLOCK_BYTES, side="right")))
+        end = int(ends[last - 1])
+        size = end - begin
+        with np.errstate(over="ignore"):
+            sums = np.zeros(size + 1, np.uint64)
+            np.cumsum(LOWER_CODE[data[begin:end]] * powers(max(size, BLOCK_BYTES))[:size], out=sums[1:])
+            a, b = starts[first:last] - begin, ends[first:last] - begin
+            out[first:last] = mix((sums[b] - sums[a]) * inverse_powers(max(size, BLOCK_BYTES))[a] + (b - a).astype(np.uint64))
+        first = last
+    return out
+
+
 class Windows:
     """The words of a slice, and the hashes of its phrases by length and first word."""
 
@@ -56,44 +87,84 @@ class Windows:
         before[first[first < n]] = True
         after[last[last >= 0]] = True
         self.starts, self.ends = np.flatnonzero(keep & before), np.flatnonzero(keep & after) + 1
-        self.doc = np.searchsorted(offsets, self.starts, side="right") - 1
-        breaks = np.cumsum(kind == 2, dtype=np.int32)
+        doc = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(self.starts, offsets)))
+        breaks = np.searchsorted(np.flatnonzero(kind == 2), self.starts).astype(np.int32)  # those before each word
+        del kind, keep, before, after
         self.joined = np.zeros(len(self.starts), bool)  # the next word is in the same piece
         if len(self.starts) > 1:
-            self.joined[:-1] = (breaks[self.ends[:-1] - 1] == breaks[self.starts[1:]]) & (self.doc[:-1] == self.doc[1:])
-        lang = part.column("lang_h").to_numpy().view(np.uint64)
-        self.lang, self.group = lang[self.doc], part.column("g").to_numpy()[self.doc]
+            self.joined[:-1] = (breaks[:-1] == breaks[1:]) & (doc[:-1] == doc[1:])
+        self.doc, self.langs, self.groups = doc.astype(np.int32), part.column("lang_h").to_numpy().view(np.uint64), part.column("g").to_numpy().astype(np.uint8)
+        self.group = self.groups[self.doc]
+        with np.errstate(over="ignore"):
+            self.words = hashed(self.data, self.starts, self.ends)
+            self.words += mix(self.langs)[self.doc]
+            self.words = mix(self.words)
+
+    def hash_at(self, at: np.ndarray, length: int, shorter: np.ndarray) -> np.ndarray:
+        """Of the phrases at some places, by the hashes of those without their last word."""
         with np.errstate(over="ignore"):
-            self.words = mix(word_hashes(self.data, self.starts, self.ends) + mix(self.lang))
-        self.hashes = [None, self.words]
-
-    def hash(self, length: int) -> np.ndarray:
-        """By first word; only the first len - length + 1 numbers mean something."""
-        while len(self.hashes) <= length:
-            k, h = len(self.hashes), self.hashes[-1]
-            out = np.zeros(len(h), np.uint64)
-            with np.errstate(over="ignore"):
-                out[: len(h) - k + 1] = mix(h[: len(h) - k + 1] * NEXT + self.words[k - 1 :] + np.uint64(k))
-            self.hashes.append(out)
-        return self.hashes[length]
+            return mix(shorter[at] * NEXT + self.words[at + length - 1] + np.uint64(length))
+
+    def find_words(self, known) -> tuple[np.ndarray, np.ndarray]:
+        return known.find(self.words)
 
     def phrase(self, i: int, length: int) -> str:
         return b" ".join(self.data[self.starts[k] : self.ends[k]].tobytes().lower() for k in range(i, i + length)).decode()
 
 
-class Exact:
-    """The phrases that have reached LEAST before this step: sorted hashes, and the step of each."""
+class Runs(Windows):
+    """The same of a slice that has been written as runs of two frequent words or more."""
+
+    def __init__(self, blob: bytes, n: int, m: int, singles: np.ndarray):
+        self.ids, lengths, groups = released(blob, (n, "<u4"), (m, "<u4"), (m, "u1"))
+        self.singles, self.words = singles, singles[self.ids]
+        self.group = np.repeat(groups, lengths)
+        self.joined = np.ones(n, bool)
+        self.joined[np.cumsum(lengths, dtype=np.int64) - 1] = False
 
-    def __init__(self, hashes: np.ndarray, steps: np.ndarray, recent: int):
-        self.hashes, self.recent = hashes, steps >= recent
+    def find_words(self, known) -> tuple[np.ndarray, np.ndarray]:
+        there, new = known.find(self.singles)
+        return there[self.ids], new[self.ids]
+
+
+class Exact:
+    """The phrases that have reached LEAST before this step: sorted hashes, and which of them in the last cycle. As hashes are
+    spread evenly, a table of places by first bits finds them."""
+
+    def __init__(self, hashes: np.ndarray, recent: np.ndarray):
+        self.hashes, self.recent = hashes, recent
+        self.bits = max(8, int(len(hashes) * 4).bit_length())
+        counts = np.bincount((hashes >> np.uint64(64 - self.bits)).astype(np.int64), minlength=1 << self.bits)
+        self.most = int(counts.max(initial=0))
+        self.first = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+
+    def __reduce__(self):  # tasks make the table of places themselves
+        return Exact, (self.hashes, self.recent)
+
+    def place(self, h: np.ndarray) -> np.ndarray:
+        """Where each of h is among the known ones, -1 where it isn't."""
+        out = np.full(len(h), -1, np.int32)
+        slot = (h >> np.uint64(64 - self.bits)).astype(np.int32)
+        low, high = self.first[slot], self.first[slot + 1]
+        left = np.flatnonzero(low < high)
+        low, high, own = low[left], high[left], h[left]
+        for _ in range(self.most):
+            hit = self.hashes[low] == own
+            out[left[hit]] = low[hit]
+            low = low + 1
+            more = ~hit & (low < high)
+            left, low, high, own = left[more], low[more], high[more], own[more]
+            if not len(left):
+                break
+        return out
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of h have reached it, and which in the last cycle."""
-        if not len(self.hashes):
-            return np.zeros(len(h), bool), np.zeros(len(h), bool)
-        i = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        there = self.hashes[i] == h
-        return there, there & self.recent[i]
+        at = self.place(h)
+        there = at >= 0
+        new = there.copy()
+        new[there] = self.recent[at[there]]
+        return there, new
 
 
 class Bloom:
@@ -137,56 +208,115 @@ class Bloom:
 
 
 def active(win: Windows, known: Exact | Bloom | None, singles: bool, longest: int, only: int | None = None):
-    """(length, places) of the phrases to count: both longest parts have reached LEAST, one of them in the last cycle. only: the
-    length to count, all shorter ones being complete."""
+    """(length, places, hashes) of the phrases to count: both longest parts have reached LEAST, one of them in the last cycle. only:
+    the length to count, all shorter ones being complete."""
     if singles:
-        yield 1, np.arange(len(win.words))
+        yield 1, np.arange(len(win.words)), win.words
     if known is None or not len(win.words):
         return
-    at = np.arange(len(win.words))
-    there, new = known.find(win.words)
+    at, n = np.arange(len(win.words)), len(win.words)
+    there, new = win.find_words(known)
+    h = win.words
     for length in range(2, longest + 1):
-        ok, recent = np.zeros(len(win.words), bool), np.zeros(len(win.words), bool)
-        ok[at[there]], recent[at[new]] = True, True
-        at = np.flatnonzero(ok[:-1] & ok[1:] & win.joined[: len(ok) - 1])
-        at = at[at <= len(win.words) - length]
+        ok, recent, shorter = np.zeros(n, bool), np.zeros(n, bool), np.zeros(n, np.uint64)
+        ok[at[there]], recent[at[new]], shorter[at] = True, True, h
+        # both parts are inside one piece, so the phrase is, too
+        at = np.flatnonzero(ok[:-1] & ok[1:] & win.joined[: n - 1])
+        at = at[at <= n - length]
         if not len(at):
             return
+        h = win.hash_at(at, length, shorter)
         if only is None or only == length:
-            yield length, at[recent[at] | recent[at + 1]]
+            some = recent[at] | recent[at + 1]
+            yield length, at[some], h[some]
         if only == length:
             return
-        there, new = known.find(win.hash(length)[at])
-        # a window of this length is inside one piece as both its parts are
+        if only is None and not recent.any() and not isinstance(known, Bloom) and not known.recent.any():
+            return
+        there, new = known.find(h)
 
 
 COUNTS = "h long, c long, p long"
 
 
+def counted(win: Windows, step: int, known: Exact | Bloom | None, singles: bool, longest: int, only: int | None = None):
+    """Hashes, counts and p of a slice: of its phrases, and of its languages."""
+    found = [(h, ((step * GROUPS + win.group[at].astype(np.int32)) * 8 + length).astype(np.int32)) for length, at, h in active(win, known, singles, longest, only)]
+    found = [(h, np.ones(len(h), np.int32), p) for h, p in found if len(h)]
+    if found:
+        yield summed(found)
+    if singles and len(win.words):
+        langs, index = np.unique(win.langs, return_inverse=True)
+        yield langs, np.bincount(index[win.doc], minlength=len(langs)), np.full(len(langs), step * GROUPS * 8, np.int32)
+
+
+def summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    h, c, p = (np.concatenate(x) for x in zip(*parts))
+    parts.clear()
+    order = np.argsort(h)
+    h, c, p = h[order], c[order], p[order]
+    edge = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    return h[edge], np.add.reduceat(c, edge, dtype=np.int64), np.minimum.reduceat(p, edge)
+
+
+def sent(parts):
+    """Slices' counts of a task, added up until they are many."""
+    held, size = [], 0
+    for part in parts:
+        held.append(part)
+        size += len(part[0])
+        if size > PENDING:
+            h, c, p = summed(held)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c), pa.array(p.astype(np.int64))], names=["h", "c", "p"])
+            size = 0
+    if held:
+        h, c, p = summed(held)
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c), pa.array(p.astype(np.int64))], names=["h", "c", "p"])
+
+
 def scan(docs: DataFrame, step: int, known: Exact | Bloom | None, singles: bool, longest: int, only: int | None = None) -> DataFrame:
-    """h, c and p = ((step * GROUPS + group) * 8 + length) of the active phrases, once for each slice; c of a language's own hash is
-    its words."""
+    """h, c and p = ((step * GROUPS + group) * 8 + length) of the active phrases, added up in each task; c of a language's own hash
+    is its words."""
 
     def read(batches):
-        for batch in batches:
-            for part in slices(batch, size=CHUNK_BYTES):
-                win = Windows(part)
-                found = [(win.hash(length)[at], (step * GROUPS + win.group[at]) * 8 + length) for length, at in active(win, known, singles, longest, only)]
-                if singles:
-                    found.append((win.lang, (step * GROUPS + win.group) * 8))
-                if not found:
-                    continue
-                h, p = (np.concatenate(x) for x in zip(*found))
-                if not len(h):
-                    continue
-                order = np.argsort(h)
-                h, p = h[order], p[order]
-                edge = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-                yield pa.RecordBatch.from_arrays([pa.array(h[edge].view(np.int64)), pa.array(np.diff(np.append(edge, len(h)))), pa.array(np.minimum.reduceat(p, edge))], names=["h", "c", "p"])
+        parts = (part for batch in batches for part in slices(batch, size=CHUNK_BYTES))
+        return sent(x for part in parts for x in counted(Windows(part), step, known, singles, longest, only))
 
     return docs.select("text", "lang_h", "g").mapInArrow(lean(read), COUNTS)
 
 
+def scan_runs(shard: DataFrame, singles: np.ndarray, step: int, known: Exact, longest: int) -> DataFrame:
+    """The same of a shard that is written as runs."""
+
+    def read(batches):
+        rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("n", "m", "blob"))))
+        return sent(x for n, m, blob in rows for x in counted(Runs(blob, n, m, singles), step, known, False, longest))
+
+    return shard.select("n", "m", "blob").mapInArrow(lean(read), COUNTS)
+
+
+def written_runs(docs: DataFrame, singles: np.ndarray, path: str) -> None:
+    """Each slice as runs of two frequent words or more, which are numbers: places in singles (sorted hashes)."""
+    known = Exact(singles, np.ones(len(singles), bool))
+
+    def read(batches):
+        for batch in batches:
+            for shard in np.unique(batch.column("shard").to_numpy()).tolist():
+                own = batch.filter(pa.array(batch.column("shard").to_numpy() == shard))
+                for part in slices(own, size=CHUNK_BYTES):
+                    win = Windows(part)
+                    at = known.place(win.words)
+                    inside = (at >= 0) & np.append(win.joined[:-1] & (at[1:] >= 0), False)[: len(at)]  # goes on to the next word
+                    begins = np.flatnonzero(inside & ~np.append(False, inside[:-1])[: len(at)])
+                    stops = np.flatnonzero(inside & ~np.append(inside[1:], False)[: len(at)]) + 2
+                    lengths = stops - begins
+                    ids = at[ragged(begins, lengths)].astype(np.uint32)
+                    row = shard, len(ids), len(begins), squeezed(ids, lengths.astype(np.uint32), win.group[begins])
+                    yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, (pa.int32(), pa.int64(), pa.int64(), pa.binary()))], names=["shard", "n", "m", "blob"])
+
+    docs.select("text", "lang_h", "g", "shard").mapInArrow(lean(read), "shard int, n long, m long, blob binary").write.partitionBy("shard").parquet(path)
+
+
 def added(*counts: DataFrame) -> DataFrame:
     both = counts[0]
     for x in counts[1:]:
@@ -198,33 +328,42 @@ def step_of(p) -> object:
     return F.floor(p / (8 * GROUPS)).cast("long")
 
 
-def cyclic(spark: SparkSession, shard, least: int, longest: int, shards: int, known_most: int) -> DataFrame | None:
-    """h, c, p of the frequent phrases; None if more than known_most are known. shard(j): documents of a shard."""
+def cyclic(docs: DataFrame, least: int, longest: int, shards: int, known_most: int) -> DataFrame | None:
+    """h, c, p of the frequent phrases; None if more than known_most are known. docs: with the number of their shard."""
+    spark, runs, singles = docs.sparkSession, None, None
     hashes, steps = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     state, frequent, step, last = None, [], 0, -1
     while step < shards or step <= last + shards:
-        counted = scan(shard(step % shards), step, Exact(hashes, steps, step - shards), step < shards, longest)
+        known, at = Exact(hashes, steps >= step - shards), F.col("shard") == step % shards
+        found = scan(docs.where(at), step, known, True, longest) if step < shards else scan_runs(runs.where(at), singles, step, known, longest)
         path, before = shared_path(spark, "counts"), state
-        (added(counted) if state is None else added(state[0], counted)).write.parquet(path)
+        (added(found) if state is None else added(state[0], found)).write.parquet(path)
         now = spark.read.schema(COUNTS).parquet(path)
         reached = now.where(F.col("c") >= least)
         if len(hashes) + reached.count() > known_most:
             return None
         rows = reached.select("h", (F.col("p") % 8).alias("length")).toPandas()
-        h = rows.h.to_numpy(np.int64).view(np.uint64)
-        new = ~np.isin(h, hashes)
-        if (new & (rows.length.to_numpy() < longest) & (rows.length.to_numpy() > 0)).any():
+        h, length = rows.h.to_numpy(np.int64).view(np.uint64), rows.length.to_numpy(np.int64)
+        new = (known.place(h) < 0) & (length > 0)
+        if (new & (length < longest)).any():
             last = step
         hashes, steps = np.concatenate([hashes, h[new]]), np.concatenate([steps, np.full(int(new.sum()), step)])
         order = np.argsort(hashes)
         hashes, steps = hashes[order], steps[order]
         over = step_of(F.col("p")) <= step - shards + 1  # its cycle ends with this step at the latest
         frequent.append(stored(reached.where(over), "frequent"))
-        # the next step reads what is left of this table
         state = (now.where(~over), path)
         if before:
             deleted(spark, before[1])
         step += 1
+        if step == shards and step <= last + shards:  # every word has been counted
+            words = now.where((F.col("c") >= least) & (F.col("p") % 8 == 1)).select("h")
+            for x in frequent:
+                words = words.unionByName(x.where("p % 8 = 1").select("h"))
+            singles = np.unique(words.toPandas().h.to_numpy(np.int64).view(np.uint64))
+            path = shared_path(spark, "runs")
+            written_runs(docs, singles, path)
+            runs = spark.read.schema("n long, m long, blob binary, shard int").parquet(path)
     # rare in the first shards of their cycle, and therefore seen late: complete by now, too
     out = state[0].where(F.col("c") >= least)
     for x in frequent:
@@ -245,37 +384,49 @@ def by_length(docs: DataFrame, least: int, longest: int, bits: int) -> DataFrame
 PHRASES = "h long, lang_h long, phrase string, prefixes array<long>, suffixes array<long>, inside array<long>"
 
 
-def phrases(docs: DataFrame, frequent: DataFrame, known: np.ndarray | Bloom, groups: np.ndarray | None, longest: int) -> DataFrame:
+def phrases(docs: DataFrame, frequent: DataFrame, known: Exact | Bloom, groups: np.ndarray | None, longest: int) -> DataFrame:
     """Of each frequent phrase of 2 words or more its words, and the hashes of its parts: the first k words, the others, and all
-    shorter phrases of 2 words or more inside. known, groups: sorted hashes with the group that has the phrase."""
+    shorter phrases of 2 words or more inside. known: all frequent ones; groups: which group of documents has each."""
 
     def read(batches):
         for batch in batches:
             for part in slices(batch, size=CHUNK_BYTES):
                 win, rows = Windows(part), []
-                inside = win.joined
-                for length in range(2, min(longest, len(win.words)) + 1):
-                    h = win.hash(length)
-                    at = np.flatnonzero(inside[: len(h) - length + 1])
+                n = len(win.words)
+                at, h, there = np.arange(n), win.words, win.find_words(known)[0] if n else np.zeros(0, bool)
+                for length in range(2, min(longest, n) + 1):
+                    ok, shorter = np.zeros(n, bool), np.zeros(n, np.uint64)
+                    ok[at[there]], shorter[at] = True, h
+                    at = np.flatnonzero(ok[:-1] & ok[1:] & win.joined[: n - 1])
+                    at = at[at <= n - length]
+                    if not len(at):
+                        break
+                    h = win.hash_at(at, length, shorter)
                     if isinstance(known, Bloom):
-                        at = at[known.find(h[at])[0]]
-                    elif len(known):
-                        i = np.minimum(np.searchsorted(known, h[at]), len(known) - 1)
-                        at = at[(known[i] == h[at]) & (groups[i] == win.group[at])]
+                        there = known.find(h)[0]
+                        own = np.flatnonzero(there)
                     else:
-                        at = at[:0]
-                    at = at[np.unique(h[at], return_index=True)[1]]
-                    sign = lambda length, i: int(win.hash(length)[i].view(np.int64))
-                    for i in at.tolist():
-                        rows.append((
-                            sign(length, i), int(win.lang[i].view(np.int64)), win.phrase(i, length),
-                            [sign(k, i) for k in range(1, length)], [sign(length - k, i + k) for k in range(1, length)],
-                            [sign(m, i + o) for m in range(2, length) for o in range(length - m + 1)],
-                        ))
-                    inside = inside & np.append(inside[1:], False)
-                if rows:
-                    many = pa.list_(pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), [pa.int64(), pa.int64(), pa.string(), many, many, many])], names=[c.split()[0] for c in PHRASES.split(", ")])
+                        i = known.place(h)
+                        there = i >= 0
+                        own = np.flatnonzero(there)
+                        own = own[groups[i[own]] == win.group[at[own]]]
+                    own = own[np.unique(h[own], return_index=True)[1]]
+                    rows += [(length, i) for i in at[own].tolist()]
+                for length in {x for x, _ in rows}:
+                    at = np.array([i for x, i in rows if x == length])
+                    part_of = {}  # first word and length -> hashes
+                    for o in range(length):
+                        h = win.words[at + o]
+                        part_of[o, 1] = h
+                        for m in range(2, length - o + 1):
+                            with np.errstate(over="ignore"):
+                                h = mix(h * NEXT + win.words[at + o + m - 1] + np.uint64(m))
+                            part_of[o, m] = h
+                    columns = lambda keys: pa.array(np.stack([part_of[k] for k in keys], axis=1).view(np.int64).tolist() if keys else [[]] * len(at), pa.list_(pa.int64()))  # noqa: E731, B023
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(part_of[0, length].view(np.int64)), pa.array(win.langs[win.doc[at]].view(np.int64)), pa.array([win.phrase(i, length) for i in at.tolist()]),
+                        columns([(0, k) for k in range(1, length)]), columns([(k, length - k) for k in range(1, length)]), columns([(o, m) for m in range(2, length) for o in range(length - m + 1)]),
+                    ], names=[c.split()[0] for c in PHRASES.split(", ")])
 
     found = docs.select("text", "lang_h", "g").mapInArrow(lean(read), PHRASES).dropDuplicates(["h"])
     return found.join(frequent.select("h", F.col("c").alias("a")), "h")
@@ -292,14 +443,15 @@ def mine(df: DataFrame, least: int = LEAST, top: int = TOP, longest: int = LONGE
     schema = own.drop("shard").schema.add("shard", "integer")
     docs = spark.read.schema(schema).parquet(path)
     langs = docs.select("lang", "lang_h").distinct()
-    frequent = cyclic(spark, lambda j: docs.where(F.col("shard") == j), least, longest, shards, known)
+    frequent = cyclic(docs, least, longest, shards, known)
     if frequent is None:
         frequent = by_length(docs, least, longest, bits)
-        kept, groups = Bloom.of(frequent.where("p % 8 > 1"), bits), None
+        kept, groups = Bloom.of(frequent, bits), None
     else:
-        rows = frequent.where("p % 8 > 1").select("h", "p").toPandas()
-        kept, order = rows.h.to_numpy(np.int64).view(np.uint64), np.argsort(rows.h.to_numpy(np.int64).view(np.uint64))
-        kept, groups = kept[order], (rows.p.to_numpy(np.int64)[order] // 8) % GROUPS
+        rows = frequent.select("h", "p").toPandas()
+        h = rows.h.to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(h)
+        kept, groups = Exact(h[order], np.ones(len(h), bool)), (rows.p.to_numpy(np.int64)[order] // 8 % GROUPS).astype(np.uint8)
     frequent = stored(frequent, "frequent")
     found = stored(phrases(docs, frequent, kept, groups, longest), "phrases")
     if found.count() != frequent.where("p % 8 > 1").count():
