@@ -17,17 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orgmill.operators.resolve import connected
-from orgmill.shared import stored
+from orgmill.shared import listed, stored
 
 
 def _batches(spark: SparkSession, state: str) -> list[int]:
     """Those that have been completed."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(f"{state}/done")
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    return sorted(int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(root) if s.getPath().getName().startswith("batch="))
+    return listed(spark, f"{state}/done")
 
 
 def _table(spark: SparkSession, state: str, name: str, batches: list[int], schema: str) -> DataFrame:

@@ -89,40 +89,75 @@ def facts_to_candidates(facts: DataFrame, labels: str = "categoryLabels") -> Dat
     return kept.select(F.col("url").alias("id"), "name", "city", F.try_element_at(types, F.lit(1)).alias("type"), F.try_element_at(categories, F.lit(1)).alias("category"), F.array_join(labels, ", ").alias("notes"))
 
 
+def reach(seeds: DataFrame, edges: DataFrame, rounds: list | None = None) -> DataFrame:
+    """id, depth: the least number of edges (a, b) from a seed (id) to each node that one leads to.
+
+    Stretches of nodes with one way in and one way out are shortened first, by pointers that double their length each round; what
+    is left are weighted edges between the other nodes, whose depths are relaxed until none gets less. So the number of
+    rounds grows with the logarithm of the stretches and the number of forks and joins on a way, not with the depth. rounds
+    gets a name for each.
+    """
+    told = (lambda _: None) if rounds is None else rounds.append
+    edges = stored(edges.where("a is not null and b is not null and a <> b").select("a", "b").distinct(), "edges")
+    start = seeds.select("id").where("id is not null").distinct()
+    one_in = edges.groupBy(F.col("b").alias("id")).agg(F.count("*").alias("n"), F.min("a").alias("head")).where("n = 1").select("id", "head")
+    one_out = edges.groupBy(F.col("a").alias("id")).agg(F.count("*").alias("n")).where("n = 1").select("id")
+    inner = stored(one_in.join(one_out, "id").join(start, "id", "left_anti").withColumn("far", F.lit(1).cast("long")), "stretch")
+    # head: a node before id, far edges away. Each round doubles far where the head is an inner node itself
+    stretch, most = inner, inner.count()
+    for _ in range(most.bit_length()):
+        told("double")
+        via = stretch.select(F.col("id").alias("head"), F.col("head").alias("next"), F.col("far").alias("more"))
+        step = stored(stretch.join(via, "head", "left").select("id", F.coalesce("next", "head").alias("head"), (F.col("far") + F.coalesce("more", F.lit(0))).alias("far"), "next"), "stretch")
+        stretch = step.select("id", "head", "far")
+        if not step.where("next is not null").limit(1).count():
+            break
+    # after as many rounds, heads that are inner nodes are on circles that nothing leads into: no seed reaches them
+    stretch = stretch.join(inner.select(F.col("id").alias("head")), "head", "left_anti").select("id", "head", "far")
+    named = stretch.select("id", F.col("head").alias("from"), "far")
+    outer = edges.join(inner.select(F.col("id").alias("b")), "b", "left_anti").join(named.withColumnRenamed("id", "a"), "a", "left")
+    outer = stored(outer.join(inner.select(F.col("id").alias("a"), F.lit(True).alias("is_inner")), "a", "left").where("from is not null or is_inner is null").groupBy(F.coalesce("from", "a").alias("a"), "b").agg(F.min(F.coalesce(F.col("far"), F.lit(0)) + 1).alias("weight")), "edges")
+    depths = frontier = stored(start.withColumn("depth", F.lit(0).cast("long")), "depths")
+    while frontier.limit(1).count():
+        told("relax")
+        near = frontier.withColumnRenamed("id", "a").join(outer, "a").groupBy(F.col("b").alias("id")).agg(F.min(F.col("depth") + F.col("weight")).alias("depth"))
+        known = depths.select("id", F.col("depth").alias("old"))
+        frontier = stored(near.join(known, "id", "left").where("old is null or depth < old").select("id", "depth"), "frontier")
+        depths = stored(depths.join(frontier.select("id"), "id", "left_anti").unionByName(frontier), "depths")
+    inside = stretch.join(depths.select(F.col("id").alias("head"), "depth"), "head").select("id", (F.col("depth") + F.col("far")).alias("depth"))
+    return depths.unionByName(inside).select("id", F.col("depth").cast("int").alias("depth"))
+
+
 def crawl_reach(seeds: DataFrame, edges: DataFrame, most: int | None = None, named: DataFrame | None = None, target: int | None = None, max_depth: int | None = None) -> DataFrame:
-    """Breadth first from seeds over edges (a, b), each node once, until nothing new is found.
+    """What a crawl from seeds over edges (a, b) visits, each node once.
 
-    Without most: id, depth. With most (a budget of visits): id, depth, pos, the visits in queue order - seeds by seeds.pos,
-    then by the visit of the page that links and the link's place (edges.place) - and no visit after the target-th one that
-    is in named (id). max_depth is a guard: beyond it this raises.
+    Without most: id, depth, as reach. With most (a budget of visits), breadth first: id, depth, pos, the visits in queue order
+    - seeds by seeds.pos, then by the visit of the page that links and the link's place (edges.place) - and no visit after the
+    target-th one that is in named (id). max_depth is a guard: beyond it this raises.
     """
     if most is None:
-        frontier = stored(seeds.select("id").distinct().withColumn("depth", F.lit(0)), "frontier")
-    else:
-        frontier = stored(queued(seeds.select("id", F.struct(F.lit(0).alias("by"), F.col("pos").alias("place")).alias("key")), 0, 0, most, named), "frontier")
+        found = reach(seeds, edges)
+        if max_depth is not None and found.where(F.col("depth") > max_depth).limit(1).count():
+            raise RuntimeError(f"the crawl is deeper than {max_depth}")
+        return found
+    frontier = stored(queued(seeds.select("id", F.struct(F.lit(0).alias("by"), F.col("pos").alias("place")).alias("key")), 0, 0, most, named), "frontier")
     parts, depth = [frontier], 0
     while True:
         if len(parts) > 16:
             parts = [stored(functools.reduce(DataFrame.union, parts), "visited")]
         visited = functools.reduce(DataFrame.union, parts)
-        so_far = visited.count() if most is not None else 0
-        if most is not None and (so_far >= most or (target is not None and visited.where("named").count() >= target)):
+        so_far = visited.count()
+        if so_far >= most or (target is not None and visited.where("named").count() >= target):
             break
         step = frontier.withColumnRenamed("id", "a").join(edges, "a")
-        if most is None:
-            new = step.select(F.col("b").alias("id")).distinct().join(visited, "id", "left_anti").withColumn("depth", F.lit(depth + 1))
-        else:
-            keyed = step.select(F.col("b").alias("id"), F.struct(F.col("pos").alias("by"), "place").alias("key"))
-            new = queued(keyed.join(visited.select("id"), "id", "left_anti"), depth + 1, so_far, most - so_far, named)
-        frontier = stored(new, "frontier")
+        keyed = step.select(F.col("b").alias("id"), F.struct(F.col("pos").alias("by"), "place").alias("key"))
+        frontier = stored(queued(keyed.join(visited.select("id"), "id", "left_anti"), depth + 1, so_far, most - so_far, named), "frontier")
         if not frontier.limit(1).count():
             break
         depth += 1
         if max_depth is not None and depth > max_depth:
             raise RuntimeError(f"the crawl is deeper than {max_depth}")
         parts.append(frontier)
-    if most is None:
-        return visited
     if target is not None:
         seen = F.sum(F.col("named").cast("int")).over(W.orderBy("pos"))  # at most `most` rows
         visited = visited.withColumn("seen", seen - F.col("named").cast("int")).where(F.col("seen") < target)

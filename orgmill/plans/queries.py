@@ -15,7 +15,7 @@ from orgmill.operators import classify, components, evidence, matching, pages, r
 from orgmill.shared import shared_path
 from orgmill.sources import io
 from orgmill.streaming import state as streams
-from orgmill.streaming import transitions
+from orgmill.streaming import report, store, transitions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -922,3 +922,37 @@ def stream_state_log(spark, d):
     finally:
         spark.conf.set(provider, before)
     return spark.read.schema(transitions.LOG).parquet(target).select("key", "n", F.unix_micros("at").alias("moment"), "state", "note")
+
+
+@query("SELECT user_id, event_type, min(event_id) AS event_id, arg_min(value, event_id) AS value FROM events GROUP BY user_id, event_type")
+def stream_store(spark, d):
+    """Three micro-batches, the second one tried twice."""
+    target = shared_path(spark, "store")
+    events = t(spark, d, "events").select("user_id", "event_type", "event_id", "value")
+    most = events.agg(F.max("event_id")).first()[0] or 0
+    part = F.floor(F.col("event_id") * 3 / (most + 1))
+    for k in (0, 1, 1, 2):
+        store.add_batch(events.where(part == k), k, target, ["user_id", "event_type"], "event_id")
+    return store.read(spark, target, events.schema)
+
+
+@query(f"SELECT count(*) AS discovered, count(CASE WHEN state IN ('JSON_READY', 'APPROVED', 'NEEDS_REVIEW') THEN 1 END) AS processed, {COUNTS}, floor(avg(completeness) + 0.5)::INTEGER AS mean_completeness, floor(avg(source_confidence) + 0.5)::INTEGER AS mean_confidence, '{{\"types\":null}}' AS scope FROM ({STATE_SQL})".replace('\\"', '"'))
+def stream_report(spark, d):
+    """States that change over three runs of a stream: every order first is something else, and some change twice."""
+    states = order_states(spark, d)
+    other = F.when(F.col("state") == "APPROVED", "NEEDS_REVIEW").otherwise("APPROVED")
+    early = states.select("id", F.lit(1).alias("version"), other.alias("state"), F.lit("duplicate").alias("last_error"), F.lit(7).alias("completeness"), F.lit(None).cast("long").alias("source_confidence"))
+    final = states.select("id", F.lit(3).alias("version"), "state", "last_error", "completeness", "source_confidence")
+    parts = [early, final.where("id % 2 = 0").unionByName(early.where("id % 3 = 0").withColumn("version", F.lit(2))), final.where("id % 2 = 1").unionByName(early.where("id % 2 = 0"))]
+    source, target, marks = (shared_path(spark, x) for x in ("states", "totals", "marks"))
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, transitions.PROVIDER)
+    try:
+        for part in parts:
+            part.write.mode("append").parquet(source)
+            changed = report.changes(spark.readStream.schema(part.schema).parquet(source))
+            changed.writeStream.outputMode("update").foreachBatch(report.keep_totals(target)).option("checkpointLocation", marks).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(provider, before)
+    return report.report(spark, target, '{"types":null}')

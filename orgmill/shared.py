@@ -38,6 +38,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def listed(spark: SparkSession, path: str, prefix: str = "batch=") -> list[int]:
+    """The numbers of the folders prefix<number> in path, ascending; none if path is not there."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in hadoop.listStatus(root)] if hadoop.exists(root) else []
+    return sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix))
+
+
 def deleted(spark: SparkSession, path: str) -> None:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

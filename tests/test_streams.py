@@ -3,7 +3,9 @@ import random
 
 from pyspark.sql import functions as F
 
-from orgmill.streaming import transitions
+from orgmill.operators import records
+from orgmill.shared import listed
+from orgmill.streaming import report, store, transitions
 
 SCHEMA = "user string, at timestamp, seq long, state string, note string"
 
@@ -56,3 +58,67 @@ def test_log_of_late_rows_over_restarts_equals_the_batch_form(spark, tmp_path):
 
 def test_batch_form_of_an_empty_table(spark):
     assert transitions.batch_log(spark.createDataFrame([], SCHEMA), "user", datetime.timedelta(hours=1)).where(F.lit(True)).count() == 0
+
+
+def test_store_reads_only_touched_buckets_and_replays_add_nothing(spark, tmp_path, monkeypatch):
+    rng = random.Random(5)
+    target, schema, paths = str(tmp_path / "store"), "user long, kind string, seq long, value double", []
+    first = store.read
+
+    def watched(spark_, target_, schema_, buckets=None):
+        paths.append(buckets)
+        return first(spark_, target_, schema_, buckets)
+
+    monkeypatch.setattr(store, "read", watched)
+    rows = [(rng.randint(0, 300), rng.choice(["a", "b", None]), i, i / 2) for i in range(900)]
+    want = {}
+    for k in range(3):
+        part = rows[k * 300 : (k + 1) * 300]
+        touched = store.add_batch(spark.createDataFrame(part, schema), k, target, ["user", "kind"], "seq", buckets=16)
+        assert (not touched) == (k == 0) and (not touched or paths[-1] == touched)
+        for user, kind, seq, value in part:
+            if kind is not None:
+                want.setdefault((user, kind), (seq, value))
+    got = {(r["user"], r["kind"]): (r["seq"], r["value"]) for r in first(spark, target, schema).where("kind is not null").collect()}
+    assert got == want
+    # one key alone: one bucket at most is read, and a key that is new to its filter reads nothing
+    paths.clear()
+    assert len(store.add_batch(spark.createDataFrame([rows[0]], schema), 3, target, ["user", "kind"], "seq", buckets=16)) == (rows[0][1] is not None) or rows[0][1] is None
+    assert store.add_batch(spark.createDataFrame([(10**9, "new", 1, 1.0)], schema), 4, target, ["user", "kind"], "seq", buckets=16) == []
+    before = first(spark, target, schema).count()
+    assert store.add_batch(spark.createDataFrame([(77, "again", 1, 1.0)], schema), 4, target, ["user", "kind"], "seq", buckets=16) == []
+    assert first(spark, target, schema).count() == before
+    # a batch that broke off before its manifest has left rows: they are not read, and not kept
+    spark.createDataFrame([(55, "left", 1, 1.0)], schema).withColumn("bucket", F.lit(3)).write.partitionBy("bucket").parquet(f"{target}/data/batch=5")
+    assert first(spark, target, schema).count() == before
+    store.add_batch(spark.createDataFrame([(56, "done", 1, 1.0)], schema), 5, target, ["user", "kind"], "seq", buckets=16)
+    assert {r["kind"] for r in first(spark, target, schema).where("user in (55, 56) and seq = 1").collect()} == {"done"}
+
+
+def test_totals_after_each_micro_batch_equal_the_batch_report(spark, tmp_path):
+    rng = random.Random(8)
+    schema = "id string, version long, state string, last_error string, completeness long, source_confidence long"
+    source, target, marks = (str(tmp_path / x) for x in ("in", "out", "marks"))
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before, now = spark.conf.get(provider), {}
+    spark.conf.set(provider, transitions.PROVIDER)
+    try:
+        for k in range(4):
+            rows = [(f"e{rng.randint(0, 30)}", k * 100 + i, rng.choice(["APPROVED", "NEEDS_REVIEW", "REJECTED", "JSON_READY", "VERIFIED"]), rng.choice([None, "duplicate", "x"]), rng.choice([None, 40, 91]), rng.choice([None, 13, 66])) for i in range(25)]
+            rows.append(("e1", -5, "APPROVED", None, 1, 1))  # older than what is there
+            for r in rows:
+                if r[0] not in now or r[1] > now[r[0]][1]:
+                    now[r[0]] = r
+            spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+            changed = report.changes(spark.readStream.schema(schema).parquet(source))
+            changed.writeStream.outputMode("update").foreachBatch(report.keep_totals(target)).option("checkpointLocation", marks).trigger(availableNow=True).start().awaitTermination()
+            want = records.run_report(spark.createDataFrame(list(now.values()), schema), "s").drop("generated_at").first()
+            assert report.report(spark, target, "s").first() == want
+    finally:
+        spark.conf.set(provider, before)
+    # a micro-batch that runs again adds nothing twice
+    last = max(listed(spark, target))
+    delta = spark.createDataFrame([(1,) + (0,) * 9], report.DELTA)
+    report.keep_totals(target)(delta, last + 1)
+    report.keep_totals(target)(delta, last + 1)
+    assert report.report(spark, target).first()["discovered"] == len(now) + 1
