@@ -10,16 +10,18 @@ from pyspark.sql import functions as F
 
 from orgmill.functions import expressions as X
 from orgmill.functions import fixed
+from orgmill.operators import blocks
 from orgmill.shared import stored
 
 ANCHOR = r"""(?is)<a\b[^>]*href\s*=\s*["']([^"']+)["'][^>]*>(.*?)</a>"""
 #: What each fact of a directory page stands in; one group each.
 MARKERS = {
-    "name": r"(?s)<h1[^>]*>\s*([^<]+?)\s*</h1>", "address": r"(?s)<address[^>]*>(.*?)</address>", "phone": r'href="tel:(\+?\d[\d\s()-]*\d)"', "lat": r"'LAT':'([\d.]+)'", "lng": r"'LON':'([\d.]+)'",
-    "descriptionSourceText": r"(?s)<article[^>]*>(.*?)</article>",
+    "phone": r'href="tel:(\+?\d[\d\s()-]*\d)"', "lat": r"'LAT':'([\d.]+)'", "lng": r"'LON':'([\d.]+)'",
 }
-#: Lists of a page: the part of it that they stand in, and one item of it.
-LISTS = {"categoryLabels": (r"(?s)<nav[^>]*>(.*?)</nav>", r'<a href="[^"]*">([^<]+)</a>'), "nearbyUrls": (r"(?s)<aside[^>]*>(.*?)</aside>", r'<a\s+href="([^"]+)"')}
+#: Facts that are the content of the first element of a tag.
+BLOCKS = {"name": "h1", "address": "address", "descriptionSourceText": "article"}
+#: Lists of a page: the first element of a tag, and one item within it.
+LISTS = {"categoryLabels": ("nav", r'<a href="[^"]*">([^<]+)</a>'), "nearbyUrls": ("aside", r'<a\s+href="([^"]+)"')}
 LABELLED_LINKS = ("website", "instagram", "facebook", "telegram")
 
 
@@ -27,9 +29,13 @@ def pages_to_text(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.withColumn("text", X.html_text(F.col(html)))
 
 
-def all_links(pages: DataFrame, region: str | None = None) -> DataFrame:
-    """url, href, label of each anchor; region: only within these elements."""
-    html = F.col("html") if region is None else F.array_join(F.regexp_extract_all("html", F.lit(rf"(?is)<({region})\b[^>]*>(.*?)</\1>"), F.lit(2)), " ")
+def all_links(pages: DataFrame, region: list[str] | None = None) -> DataFrame:
+    """url, href, label of each anchor outside comments; region: only within elements of these tags, however they are nested."""
+    html = F.col("html")
+    if region is not None:
+        pages = blocks.with_elements(pages, into="__elements")
+        html = F.array_join(blocks.contents(html, blocks.outermost(F.col("__elements"), region)), " ")
+    html = blocks.without_comments(html)
     hrefs, labels = (F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(i)) for i in (1, 2))
     each = pages.select("page_id", "url", F.explode(F.arrays_zip(hrefs.alias("href"), labels.alias("label"))).alias("x"))
     label = F.lower(F.trim(F.regexp_replace(F.regexp_replace("x.label", "<[^>]+>", " "), r"\s+", " ")))
@@ -45,7 +51,7 @@ def course_links(pages: DataFrame, keywords: list[str] | None = None) -> DataFra
         kept = links.where(match & ~F.trim("href").rlike("(?i)^(#|javascript:|mailto:|tel:)"))
         return kept.select("page_id", X.resolve_link(F.col("url"), F.col("href")).alias("link")).where("link is not null").distinct()
 
-    top, whole = chosen(all_links(pages, "header|nav")), chosen(all_links(pages))
+    top, whole = chosen(all_links(pages, ["header", "nav"])), chosen(all_links(pages))
     return top.union(whole.join(top.select("page_id").distinct(), "page_id", "left_anti"))
 
 
@@ -56,11 +62,14 @@ def clean_text(html) -> Column:
     return F.nullif(F.array_join(lines, "\n"), F.lit(""))
 
 
-def page_facts(pages: DataFrame, markers: dict[str, str] | None = None, lists: dict[str, tuple[str, str]] | None = None) -> DataFrame:
-    """page_id, url, a nullable column for each marker, city (the first part of the address), the labelled links, and a list
-    for each of lists (items in page order, addresses absolute). What a page lacks is null or empty by itself."""
+def page_facts(pages: DataFrame, markers: dict[str, str] | None = None, lists: dict[str, tuple[str, str]] | None = None, content: dict[str, str] | None = None) -> DataFrame:
+    """page_id, url, a nullable column for each marker and each of content, city (the first part of the address), the labelled
+    links, and a list for each of lists (items in page order, addresses absolute). What a page lacks is null or empty by
+    itself; elements end where their own end tag is, whatever they hold."""
+    pages = blocks.with_elements(pages, into="__elements")
     html = F.col("html")
-    found = {k: F.regexp_extract(html, m, 1) for k, m in (markers or MARKERS).items()}
+    first = lambda tag: F.coalesce(F.try_element_at(blocks.contents(html, blocks.outermost(F.col("__elements"), [tag])), F.lit(1)), F.lit(""))
+    found = {k: F.regexp_extract(html, m, 1) for k, m in (markers or MARKERS).items()} | {k: blocks.without_comments(first(tag)) for k, tag in (content or BLOCKS).items()}
     out = {k: clean_text(c) for k, c in found.items()}
     if "phone" in found:
         out["phone"] = F.nullif(F.regexp_replace(found["phone"], r"[\s()-]", ""), F.lit(""))
@@ -74,7 +83,7 @@ def page_facts(pages: DataFrame, markers: dict[str, str] | None = None, lists: d
     links = F.map_from_entries(F.transform(F.array_distinct(F.filter(F.transform(labels, label), lambda x: x.isin(*LABELLED_LINKS))), lambda k: F.struct(k, F.element_at(F.filter(F.arrays_zip(hrefs.alias("href"), F.transform(labels, label).alias("label")), lambda z: z["label"] == k), -1)["href"])))
     out |= {k: F.trim(F.try_element_at(links, F.lit(k))) for k in LABELLED_LINKS}
     for k, (block, item) in (lists or LISTS).items():
-        items = F.transform(F.regexp_extract_all(F.regexp_extract(html, block, 1), F.lit(item), F.lit(1)), lambda x: F.trim(X.decode_entities(x)))
+        items = F.transform(F.regexp_extract_all(blocks.without_comments(first(block)), F.lit(item), F.lit(1)), lambda x: F.trim(X.decode_entities(x)))
         items = F.filter(items, lambda x: x != "")
         out[k] = F.coalesce(F.transform(items, lambda x: X.resolve_link(F.col("url"), x)) if k.endswith("Urls") else items, F.array().cast("array<string>"))
     return pages.select("page_id", "url", *[c.alias(k) for k, c in out.items()])

@@ -56,12 +56,17 @@ def duplicate_groups(resolved: DataFrame) -> DataFrame:
     return resolved.groupBy("kept_id").agg(merged.alias("merged_ids"), why.alias("reason")).where(F.size("merged_ids") > 0)
 
 
-def ambiguous_pairs(df: DataFrame, id_col: str, name: str, threshold: float = 0.2) -> DataFrame:
+#: Keys that may be split, and known everywhere (about 40 bytes each): as many as rows divided by the size of a part.
+BROADCAST_PARTS = 100_000
+
+
+def ambiguous_pairs(df: DataFrame, id_col: str, name: str, threshold: float = 0.2, hot: int = 5000) -> DataFrame:
     """a, b, distance: every two different names whose edit distance is at most threshold times the longer one's length, each
     name by its smallest id; for review.
 
     Exact. One edit changes two pairs of neighbouring letters at most, so two such names share a pair among the rarest
-    2 k + 1 of either (k: the edits that the longest possible partner allows). Names join by those, and by the lengths.
+    2 k + 1 of either (k: the edits that the longest possible partner allows). Names join by those and by each length that
+    a partner may have; a pair of letters that more than hot names of one length have is split, so no task meets all of it.
     """
     if not 0 < threshold <= 0.25:
         raise ValueError("beyond 0.25 names need not share a pair of letters")
@@ -74,9 +79,16 @@ def ambiguous_pairs(df: DataFrame, id_col: str, name: str, threshold: float = 0.
     ranked = each.join(counts, ["gram", "nth"]).withColumn("rank", F.row_number().over(W.partitionBy("id").orderBy("n", "gram", "nth")))
     edits = F.floor(threshold * F.floor(F.col("size") / (1 - threshold) + 1e-9) + 1e-9)
     rare = stored(ranked.where(F.col("rank") <= 2 * edits + 1).select("id", "name", "size", "gram", "nth"), "rare")
-    x, y = rare.alias("x"), rare.alias("y")
-    near = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.nth") == F.col("y.nth")) & (F.col("x.id") < F.col("y.id")) & (F.abs(F.col("x.size") - F.col("y.size")) <= threshold * F.greatest("x.size", "y.size"))
-    pairs = x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.name").alias("p"), F.col("y.name").alias("q")).distinct()
+    # lengths are part of the key, and a frequent key's rows are dealt to parts on one side, which the other side meets all of
+    parts = rare.groupBy("gram", "nth", "size").agg(F.ceil(F.count("*") / hot).cast("int").alias("parts"))
+    parts = F.broadcast(parts.where("parts > 1")) if rare.count() <= hot * BROADCAST_PARTS else parts.where("parts > 1")
+    parts = parts.withColumnsRenamed({"size": "near"})
+    y = rare.select("id", "name", F.col("size").alias("near"), "gram", "nth").join(parts, ["gram", "nth", "near"], "left").withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))))
+    least, most_ = F.ceil(F.col("size") * (1 - threshold) - 1e-9).cast("int"), F.floor(F.col("size") / (1 - threshold) + 1e-9).cast("int")
+    x = rare.withColumn("near", F.explode(F.sequence(least, most_))).join(parts, ["gram", "nth", "near"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
+    keys = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("gram", "nth", "near", "part")]
+    near = keys[0] & keys[1] & keys[2] & keys[3] & (F.col("x.id") < F.col("y.id"))
+    pairs = x.alias("x").join(y.alias("y"), near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.name").alias("p"), F.col("y.name").alias("q")).distinct()
     distance = F.levenshtein("p", "q") / F.greatest(F.length("p"), F.length("q"))
     return pairs.select("a", "b", F.round(distance, 6).alias("distance")).where(F.col("distance") <= threshold)
 

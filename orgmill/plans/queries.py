@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from orgmill.functions import expressions as X
 from orgmill.functions import fixed
-from orgmill.operators import classify, components, evidence, matching, pages, ranges, records, resolve, standardize, state
+from orgmill.operators import blocks, classify, components, evidence, lists, matching, pages, ranges, records, resolve, standardize, state
 from orgmill.shared import shared_path
 from orgmill.sources import io
 from orgmill.streaming import state as streams
@@ -634,7 +634,7 @@ LABELS = f"""list_filter(list_transform(regexp_extract_all({NAV}, '<a href="[^"]
 FACTS = f"""SELECT page_id, url, {q_clean("regexp_extract(html, '(?s)<h1[^>]*>\\s*([^<]+?)\\s*</h1>', 1)")} AS name, CASE WHEN page_id % 2 = 0 THEN 'City ' || page_id % 9 || ', Main st.' END AS address, CASE WHEN page_id % 2 = 0 THEN 'City ' || page_id % 9 END AS city, CASE WHEN page_id % 2 = 0 THEN '+99890' || page_id || '7' END AS phone, CASE WHEN page_id % 5 = 0 THEN 41.5::DOUBLE END AS lat, CASE WHEN page_id % 5 = 0 THEN 69.25::DOUBLE END AS lng,
 {q_clean("regexp_extract(html, '(?s)<article[^>]*>(.*?)</article>', 1)")} AS "descriptionSourceText", CASE WHEN page_id % 4 = 0 THEN 'https://t.me/b' || page_id END AS telegram, CASE WHEN page_id % 4 = 0 THEN 'http://w' END AS website, {LABELS} AS "categoryLabels",
 list_transform(regexp_extract_all({NAV}, '<a\\s+href="([^"]+)"', 1), lambda x: regexp_extract(url, '^https?://[^/?#]*') || {q_decode("x")}) AS "nearbyUrls" FROM ({DIRECTORY})"""
-NAV_LISTS = {"categoryLabels": pages.LISTS["categoryLabels"], "nearbyUrls": (pages.LISTS["categoryLabels"][0], pages.LISTS["nearbyUrls"][1])}
+NAV_LISTS = {"categoryLabels": pages.LISTS["categoryLabels"], "nearbyUrls": ("nav", pages.LISTS["nearbyUrls"][1])}
 
 
 @query(FACTS)
@@ -956,3 +956,28 @@ def stream_report(spark, d):
     finally:
         spark.conf.set(provider, before)
     return report.report(spark, target, '{"types":null}')
+
+
+@query(f"SELECT user_id, i // 20 AS chunk, i // 20 * 20 AS first, list(state ORDER BY i) AS items FROM (SELECT user_id, state, row_number() OVER (PARTITION BY user_id ORDER BY ts, seq) - 1 AS i FROM ({LOG})) GROUP BY user_id, i // 20")
+def history_chunks(spark, d):
+    return lists.history_chunks(log(spark, d), "user_id", size=20)
+
+
+@query(f"{DUPLICATES} SELECT kept_id, i // 5 AS chunk, i // 5 * 5 AS first, list(id ORDER BY i) AS items FROM (SELECT kept_id, id, row_number() OVER (PARTITION BY kept_id ORDER BY id) - 1 AS i FROM f WHERE id <> kept_id) GROUP BY kept_id, i // 5")
+def group_chunks(spark, d):
+    return lists.group_chunks(resolved_pages(spark, d), 5)
+
+
+@query("WITH e AS (SELECT event_type, value AS confidence, event_id AS seq, unnest([props, CASE WHEN event_id % 2 = 0 THEN upper(props) ELSE 'x' END]) AS item, unnest([0, 1]) AS place FROM events), f AS (SELECT event_type, lower(item) AS k, min((confidence, seq, place, item)) AS x FROM e GROUP BY ALL), g AS (SELECT event_type, x[4] AS item, row_number() OVER (PARTITION BY event_type ORDER BY x) - 1 AS i FROM f) SELECT event_type, i // 50 AS chunk, i // 50 * 50 AS first, list(item ORDER BY i) AS items FROM g GROUP BY event_type, i // 50")
+def merged_chunks(spark, d):
+    items = F.array("props", F.when(F.col("event_id") % 2 == 0, F.upper("props")).otherwise("x"))
+    e = t(spark, d, "events").select("event_type", F.col("value").alias("confidence"), F.col("event_id").alias("seq"), items.alias("items"))
+    return lists.merged_chunks(e, "event_type", "items", 50)
+
+
+@query("SELECT page_id, 0 AS n, 'article' AS tag, 'A' || page_id || '<article>B<!-- </article> --></article><p>C' AS markup FROM pages UNION ALL SELECT page_id, 1, 'article', 'B<!-- </article> -->' FROM pages UNION ALL SELECT page_id, 2, 'article', 'end' FROM pages WHERE page_id % 2 = 0")
+def nested_blocks(spark, d):
+    """Articles in articles, a comment with an end tag, and a paragraph that is never closed, around no page's own articles."""
+    page = F.regexp_replace("html", "(?i)</?article[^>]*>", "")
+    html = F.concat(F.lit("<article class='x>y'>A"), F.col("page_id").cast("string"), F.lit("<article>B<!-- </article> --></article><p>C</article>"), F.when(F.col("page_id") % 2 == 0, "<ARTICLE>end</ARTICLE>").otherwise(""), page)
+    return blocks.page_blocks(t(spark, d, "pages").select("page_id", html.alias("html")), ["article"]).select("page_id", "n", "tag", "markup")
