@@ -215,11 +215,18 @@ def label_model(train: DataFrame) -> tuple[LabelModel, np.ndarray, np.ndarray]:
     return LabelModel(bits(patterns), counts), patterns, counts
 
 
-def minimise(value, w: np.ndarray, rounds: int, memory: int = 10, tolerance: float = 1e-7) -> np.ndarray:
-    """Limited-memory BFGS with halved steps. value(w): the loss and its gradient."""
+class Unsettled(RuntimeError):
+    """A fit that has not come to its optimum."""
+
+
+def minimise(value, w: np.ndarray, rounds: int, memory: int = 10, tolerance: float = 2e-6, noise: float = 1e-9) -> np.ndarray:
+    """Limited-memory BFGS with halved steps, until no part of the gradient is beyond tolerance; raises if that does not come.
+    value(w): the loss, right to noise, and its gradient."""
     f, g = value(w)
     steps: list[tuple[np.ndarray, np.ndarray]] = []
     for _ in range(rounds):
+        if np.abs(g).max() <= tolerance:
+            return w
         d, kept = -g, []
         for s, y in reversed(steps):
             kept.append((s @ d) / (s @ y))
@@ -232,49 +239,71 @@ def minimise(value, w: np.ndarray, rounds: int, memory: int = 10, tolerance: flo
         length = 1.0 if steps else min(1.0, 1 / max(np.abs(g).sum(), 1e-12))
         while True:
             near, slope = value(w + length * d)
-            if near <= f + 1e-4 * length * (g @ d) or length < 1e-6:
+            if near <= f + 1e-4 * length * (g @ d) + noise:
                 break
             length /= 2
-        if near > f:
-            break
-        if (length * d) @ (slope - g) > 1e-12:
+            if length < 1e-9:
+                raise Unsettled(f"no step makes the loss less, with a gradient of {np.abs(g).max()}")
+        if (length * d) @ (slope - g) > 1e-14:
             steps = [*steps, (length * d, slope - g)][-memory:]
-        w, done, f, g = w + length * d, f - near <= tolerance * max(f, 1e-12), near, slope
-        if done:
-            break
-    return w
+        w, f, g = w + length * d, near, slope
+    raise Unsettled(f"a gradient of {np.abs(g).max()} is left after {rounds} rounds")
+
+
+#: Sums over rows are of whole numbers of these units, so they are the same in any order and for any partitions.
+UNIT, LOSS_UNIT, ROWS = 2.0**-36, 2.0**-28, 4096
+
 
+def linear(lists: pa.Array, voted: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The weighted sum of each row, the same whatever rows are with it; and the rows and places of all features."""
+    row = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths(), np.int64))
+    places = lists.flatten().to_numpy(zero_copy_only=False)
+    return np.bincount(row, weights[places], len(lists)) + (voted * weights[VOCABULARY:-1]).sum(axis=1) + weights[-1], row, places
 
-def fit(train: DataFrame, model: LabelModel, patterns: np.ndarray, l2: float = 1e-4, rounds: int = 40) -> np.ndarray:
-    """Weights of words, of voters and the bias: logistic regression on the posterior labels of all rows of train. Each step
-    is one pass, whose tasks add up the loss and its gradient; the driver sees one number for each weight."""
+
+def fit(train: DataFrame, model: LabelModel, patterns: np.ndarray, l2: float = 1e-4, rounds: int = 300) -> np.ndarray:
+    """Weights of words, of voters and the bias: logistic regression on the posterior labels of all rows of train, up to its
+    optimum. Each step is one pass, whose tasks add up the loss and its gradient; the driver sees one number for each weight.
+    Weights are scaled by how often their features occur, which makes the steps few."""
     size = VOCABULARY + len(VOTERS) + 1
     if not len(patterns):
         return np.append(np.zeros(size - 1), -3.0)
     q = np.clip(model.posteriors(bits(patterns)), 1e-9, 1 - 1e-9)
 
-    def value(w: np.ndarray) -> tuple[float, np.ndarray]:
+    def passed(w: np.ndarray, times: bool = False) -> tuple[np.ndarray, float, int]:
+        """Sums of the gradient, of the loss, and rows. times: instead of the gradient, how often each feature occurs."""
+
         def add_up(batches):
-            total = np.zeros(size + 2)  # gradient, loss, rows
-            for batch in batches:
-                votes, lists = batch.column("votes").to_numpy(), batch.column("features")
-                target = q[np.searchsorted(patterns, votes), batch.column("annotator").to_numpy()]
-                row = np.repeat(np.arange(batch.num_rows), np.asarray(lists.value_lengths(), np.int64))
-                places, voted = lists.flatten().to_numpy(), bits(votes.astype(np.int64))
-                z = np.bincount(row, w[places], batch.num_rows) + voted @ w[VOCABULARY:-1] + w[-1]
-                off = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - target
-                total[:size] += np.bincount(places, off[row], size)
-                total[VOCABULARY : size - 1] += off @ voted
-                total[size - 1 :] += [off.sum(), (np.logaddexp(0, z) - target * z).sum(), batch.num_rows]
+            total = np.zeros(size + 2, np.int64)  # gradient, loss, rows
+            for whole in batches:
+                for at in range(0, whole.num_rows, ROWS):
+                    batch = whole.slice(at, ROWS)
+                    votes = batch.column("votes").to_numpy()
+                    target = q[np.searchsorted(patterns, votes), batch.column("annotator").to_numpy()]
+                    voted = bits(votes.astype(np.int64))
+                    z, row, places = linear(batch.column("features"), voted, w)
+                    off = np.ones(len(z)) if times else np.rint((1 / (1 + np.exp(-np.clip(z, -500, 500))) - target) / UNIT)
+                    total[:size] += np.bincount(places, off[row], size).astype(np.int64)
+                    total[VOCABULARY : size - 1] += (off[:, None] * voted).sum(axis=0).astype(np.int64)
+                    total[size - 1 :] += np.array([off.sum(), np.rint((np.logaddexp(0, z) - target * z) / LOSS_UNIT).sum(), batch.num_rows]).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(size + 2)), pa.array(total)], names=["place", "x"])
 
-        found = np.zeros(size + 2)
-        for r in train.mapInArrow(add_up, "place long, x double").groupBy("place").agg(F.sum("x").alias("x")).collect():
-            found[r["place"]] = r["x"]
+        found = [0] * (size + 2)
+        for r in train.mapInArrow(add_up, "place long, x long").groupBy("place").agg(F.sum(F.col("x").cast("decimal(38,0)")).alias("x")).collect():
+            found[r["place"]] = int(r["x"])
+        return np.array([float(x) for x in found[:size]]), float(found[size]) * LOSS_UNIT, found[-1]
+
+    start = np.append(np.zeros(size - 1), np.log(model.prior[1] / model.prior[0]))
+    often, _, n = passed(start, times=True)
+    scale = 1 / np.sqrt(often / n / 4 * model.prior.min() + l2)
+
+    def value(v: np.ndarray) -> tuple[float, np.ndarray]:
+        w = v * scale
+        gradient, loss, _ = passed(w)
         own = np.append(w[:-1], 0.0)
-        return found[size] / found[-1] + l2 / 2 * (own @ own), found[:size] / found[-1] + l2 * own
+        return loss / n + l2 / 2 * float((own * own).sum()), (gradient * UNIT / n + l2 * own) * scale
 
-    return minimise(value, np.append(np.zeros(size - 1), np.log(model.prior[1] / model.prior[0])), rounds)
+    return minimise(value, start / scale, rounds) * scale
 
 
 def score(df: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -290,11 +319,7 @@ def score(df: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str
 
     def apply(batches):
         for batch in batches:
-            lists = batch.column("features")
-            counts = np.asarray(lists.value_lengths(), np.int64)
-            at = np.repeat(np.arange(batch.num_rows), counts)
-            total = np.bincount(at, weights[lists.flatten().to_numpy(zero_copy_only=False)], batch.num_rows).astype(np.float64)
-            total += bits(batch.column("votes").to_numpy(zero_copy_only=False).astype(np.int64)) @ weights[VOCABULARY:-1] + weights[-1]
+            total, _, _ = linear(batch.column("features"), bits(batch.column("votes").to_numpy(zero_copy_only=False).astype(np.int64)), weights)
             p = 1 / (1 + np.exp(-np.clip(total, -60, 60)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(p), pa.array((p >= threshold).astype(np.int32)), batch.column("key")], names=["doc_id", "held_out", "score", "predicted", "key"])
 
