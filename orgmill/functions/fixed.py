@@ -92,3 +92,11 @@ WEIGHTS = {"sourceConfidence": 0.5, "dataCompleteness": 0.5}
 STAGES = ("DISCOVERED", "RESEARCHING", "VERIFIED", "CONTENT_READY", "JSON_READY", "APPROVED")
 #: IPv4 ranges that are never fetched.
 BLOCKED_RANGES = ["0.0.0.0/8", "10.0.0.0/8", "127.0.0.0/8", "169.254.0.0/16", "172.16.0.0/12", "192.168.0.0/16", "100.64.0.0/10", "224.0.0.0/3"]
+
+# Messages that results hold word for word.
+TOO_SHORT = "insufficient source material (descriptionSourceText missing or too short) to generate content"
+NO_RUSSIAN = "no nameRu/Russian source material available — descriptionRu left null"
+NAMELESS, ABOUT = "Bu ta'lim markazi", " haqida: "
+MEDICAL_REASON, LANDMARK_REASON = "looks like a medical organization", "looks like a landmark"
+MISSING = {"name": "a name", "place": "a city or address", "kind": "an institution type or category", "facts": "at least 2 substantive facts"}
+NO_CITY, BAD_PHONE, NO_NAME = 'could not resolve city "', 'invalid phone "', "no nameUz/nameLatin available"

@@ -53,7 +53,7 @@ def relevance_reason(texts: Column) -> Column:
         shown = F.concat(F.left(t, F.lit(80)), F.when(F.length(t) > 80, "...").otherwise(""))
         told = lambda what, hit: F.concat(F.lit(f'{what} (matched "'), hit, F.lit('" in "'), shown, F.lit('")'))
         medical, landmark = X.first_keyword(lower, fixed.MEDICAL_KEYWORDS), X.first_keyword(lower, fixed.LANDMARK_KEYWORDS)
-        return F.when(medical.isNotNull(), told("looks like a medical organization", medical)).when(landmark.isNotNull(), told("looks like a landmark", landmark))
+        return F.when(medical.isNotNull(), told(fixed.MEDICAL_REASON, medical)).when(landmark.isNotNull(), told(fixed.LANDMARK_REASON, landmark))
 
     return F.try_element_at(F.array_compact(F.transform(F.array_compact(texts), reason)), F.lit(1))
 
@@ -80,10 +80,10 @@ def assess_material(df: DataFrame) -> DataFrame:
     facts = F.array_compact(F.array(F.when(source, "descriptionSourceText"), *[F.when(has(c), c) for c in fixed.MATERIAL_FACTS]))
     weight = F.size(facts) + source.cast("int")
     missing = F.array_compact(F.array(
-        F.when(~any_of("nameUz", "nameRu", "nameLatin"), "a name"),
-        F.when(~any_of("city", "address"), "a city or address"),
-        F.when(~any_of("type", "categories"), "an institution type or category"),
-        F.when(weight < 2, "at least 2 substantive facts"),
+        F.when(~any_of("nameUz", "nameRu", "nameLatin"), fixed.MISSING["name"]),
+        F.when(~any_of("city", "address"), fixed.MISSING["place"]),
+        F.when(~any_of("type", "categories"), fixed.MISSING["kind"]),
+        F.when(weight < 2, fixed.MISSING["facts"]),
     ))
     return df.withColumns({"facts": facts, "sufficient": F.size(missing) == 0, "material_reason": F.when(F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, "; ")))})
 

@@ -29,9 +29,9 @@ def build_records(df: DataFrame) -> DataFrame:
     told = F.coalesce(F.trim("phone") != "", F.lit(False))
     texts = F.concat(F.array("nameUz", "nameRu", "nameLatin", "descriptionUz", "descriptionRu"), *[F.coalesce(c, F.array().cast("array<string>")) for c in ("programs", "specializations")])
     errors = F.array_compact(F.array(
-        F.when(~F.coalesce("city_known", F.lit(False)), F.concat(F.lit('could not resolve city "'), F.coalesce("city", F.lit("(missing)")), F.lit('"'))),
-        F.when(told & ~p["valid"], F.concat(F.lit('invalid phone "'), F.col("phone"), F.lit('": '), p["reason"])),
-        F.when(F.coalesce("nameUz", "nameLatin").isNull(), "no nameUz/nameLatin available"),
+        F.when(~F.coalesce("city_known", F.lit(False)), F.concat(F.lit(fixed.NO_CITY), F.coalesce("city", F.lit("(missing)")), F.lit('"'))),
+        F.when(told & ~p["valid"], F.concat(F.lit(fixed.BAD_PHONE), F.col("phone"), F.lit('": '), p["reason"])),
+        F.when(F.coalesce("nameUz", "nameLatin").isNull(), fixed.NO_NAME),
         relevance_reason(texts),
     ))
     name, none = F.coalesce("nameUz", "nameLatin"), F.array().cast("array<string>")

@@ -118,11 +118,11 @@ def render_description(df: DataFrame) -> DataFrame:
     source = F.trim("descriptionSourceText")
     enough = F.coalesce(F.length(source) >= 40, F.lit(False))
     cleaned = F.trim(F.regexp_replace(F.regexp_replace(source, rf"(?is)^(.*?){fixed.SUPERLATIVE}", "$1"), r"\s{2,}", " "))
-    name = F.coalesce("nameUz", "nameLatin", F.lit("Bu ta'lim markazi"))
+    name = F.coalesce("nameUz", "nameLatin", F.lit(fixed.NAMELESS))
     russian = F.coalesce(F.col("nameRu"), F.lit("")) != ""
-    reason = F.when(~enough, "insufficient source material (descriptionSourceText missing or too short) to generate content").when(~russian, "no nameRu/Russian source material available — descriptionRu left null")
+    reason = F.when(~enough, fixed.TOO_SHORT).when(~russian, fixed.NO_RUSSIAN)
     return df.withColumns({
-        "descriptionUz": F.when(enough, F.concat(name, F.lit(" haqida: "), cleaned)),
+        "descriptionUz": F.when(enough, F.concat(name, F.lit(fixed.ABOUT), cleaned)),
         "descriptionRu": F.when(enough & russian, F.concat("nameRu", F.lit(": "), cleaned)),
         "needs_review": ~enough | ~russian,
         "content_reason": reason,

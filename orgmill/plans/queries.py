@@ -182,10 +182,14 @@ def export_identity(spark, d):
     return standardize.with_export_identity(s, "s_name").select("s_suppkey", "best_name", "name_key")
 
 
-@query(r"SELECT doc_id, CASE WHEN length(trim(text)) >= 40 THEN source || ' haqida: ' || trim(regexp_replace(regexp_replace(trim(text), '(?i)\b(best|number\s*1|№\s*1|no\.?\s*1|leading|top-rated|top\s+choice)\b', ''), '\s{2,}', ' ', 'g')) END AS \"descriptionUz\", length(trim(text)) < 40 OR lang <> 'fr' AS needs_review FROM documents".replace('\\"', '"'))
+CLEANED = r"trim(regexp_replace(regexp_replace(trim(text), '(?i)\b(best|number\s*1|№\s*1|no\.?\s*1|leading|top-rated|top\s+choice)\b', ''), '\s{2,}', ' ', 'g'))"
+
+
+@query(f"""SELECT doc_id, CASE WHEN enough THEN source || ' haqida: ' || {CLEANED} END AS "descriptionUz", CASE WHEN enough AND lang = 'fr' THEN source || ': ' || {CLEANED} END AS "descriptionRu", NOT enough OR lang <> 'fr' AS needs_review,
+CASE WHEN NOT enough THEN '{fixed.TOO_SHORT}' WHEN lang <> 'fr' THEN '{fixed.NO_RUSSIAN}' END AS content_reason FROM (SELECT *, length(trim(text)) >= 40 AS enough FROM documents)""")
 def description(spark, d):
-    docs = t(spark, d, "documents").select("doc_id", F.col("text").alias("descriptionSourceText"), F.col("source").alias("nameUz"), F.lit(None).cast("string").alias("nameLatin"), F.when(F.col("lang") == "fr", "source").alias("nameRu"))
-    return standardize.render_description(docs).select("doc_id", "descriptionUz", "needs_review")
+    docs = t(spark, d, "documents").select("doc_id", F.col("text").alias("descriptionSourceText"), F.col("source").alias("nameUz"), F.lit(None).cast("string").alias("nameLatin"), F.when(F.col("lang") == "fr", F.col("source")).alias("nameRu"))
+    return standardize.render_description(docs).select("doc_id", "descriptionUz", "descriptionRu", "needs_review", "content_reason")
 
 
 @query("SELECT host, list_sort(list_distinct(list(url)))[1:4] AS targets FROM (SELECT regexp_extract(url, '^https?://([^/?#]*)', 1) AS host, url FROM pages) GROUP BY host")
@@ -427,9 +431,9 @@ def first_n(spark, d):
     return t(spark, d, "documents").orderBy("doc_id").limit(20).select("doc_id", "lang")
 
 
-@query("SELECT c_custkey, count(o_orderkey) AS n, max(o_totalprice) AS best FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey")
+@query("SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer LEFT JOIN orders ON c_custkey = o_custkey")
 def attach_evidence(spark, d):
-    return resolve.attach_evidence(t(spark, d, "customer"), t(spark, d, "orders").withColumnRenamed("o_custkey", "c_custkey"), "c_custkey").groupBy("c_custkey").agg(F.count("o_orderkey").alias("n"), F.max("o_totalprice").alias("best"))
+    return resolve.attach_evidence(t(spark, d, "customer"), t(spark, d, "orders").withColumnRenamed("o_custkey", "c_custkey"), "c_custkey").select("c_custkey", "c_name", "o_orderkey", "o_totalprice")
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN c_name ELSE o_orderpriority END AS name, coalesce(CASE WHEN o_orderkey % 4 > 0 THEN o_orderstatus END, c_mktsegment, 'OFFLINE') AS mode FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
@@ -474,7 +478,8 @@ CITY, REGION = fixed.CITIES[0][:2]
 
 @query(f"""SELECT s_suppkey, list_filter([CASE WHEN k % 5 = 0 THEN 'could not resolve city "' || n_name || '"' END, CASE WHEN k % 3 = 0 THEN 'invalid phone "123": unrecognized phone format' END, CASE WHEN k % 7 = 0 AND k % 14 > 0 THEN 'no nameUz/nameLatin available' END, CASE WHEN k % 14 = 0 THEN 'looks like a medical organization (matched "clinic" in "Neo Clinic")' END], lambda x: x IS NOT NULL) AS build_errors,
 CASE WHEN ok THEN {q_record_id("'e' || k")} END AS id, CASE WHEN ok THEN s_name END AS "nameUz", CASE WHEN ok THEN CASE WHEN k % 2 = 0 THEN 'Имя' ELSE s_name END END AS "nameRu", CASE WHEN ok THEN {q_key('s_name')} END AS "nameKey", CASE WHEN ok THEN {q_slug("s_name || ' ' || n_name")} END AS slug, CASE WHEN ok THEN 'COURSE_CENTER' END AS type, CASE WHEN ok THEN 'PENDING' END AS status,
-CASE WHEN ok AND k % 3 = 1 THEN '+99890' || lpad(k::VARCHAR, 7, '0') END AS phone, CASE WHEN ok THEN 'https://site' || k || '.uz' END AS website, CASE WHEN ok AND k % 2 = 0 THEN 'a@b.uz' END AS email, CASE WHEN ok AND k % 2 = 0 THEN '{CITY}' END AS "cityId", CASE WHEN ok THEN '{REGION}' END AS "regionId", CASE WHEN ok THEN 'Main st. ' || k END AS address, CASE WHEN ok THEN k / 10 END AS lat,
+CASE WHEN ok AND k % 3 = 1 THEN '+99890' || lpad(k::VARCHAR, 7, '0') END AS phone, CASE WHEN ok THEN 'https://site' || k || '.uz' END AS website, CASE WHEN ok AND k % 2 = 0 THEN 'a@b.uz' END AS email, CASE WHEN ok AND k % 2 = 0 THEN '{CITY}' END AS "cityId", CASE WHEN ok THEN '{REGION}' END AS "regionId", CASE WHEN ok THEN 'Main st. ' || k END AS address, CASE WHEN ok THEN k / 10 END AS lat, CASE WHEN ok THEN k / 5 END AS lng, CASE WHEN ok THEN '90 1,91 2' END AS phone2, CASE WHEN ok THEN '@t' || k END AS telegram, CASE WHEN ok AND k % 2 = 1 THEN '@i' END AS instagram, CASE WHEN ok THEN ['SCHOOL'] END AS "additionalTypes", CASE WHEN ok THEN false END AS "trialLessonEnabled",
+CASE WHEN ok THEN k END::INTEGER AS "studentCount", CASE WHEN ok AND k % 2 = 0 THEN 7 END::INTEGER AS "teacherCount", CASE WHEN ok THEN []::VARCHAR[] END AS shifts, CASE WHEN ok THEN ['Physics'] END AS specializations, CASE WHEN ok THEN 'won' END AS achievements, CASE WHEN ok AND k % 4 = 0 THEN 'y' END AS "descriptionRu", CASE WHEN ok THEN 0 END::INTEGER AS n_media, CASE WHEN ok THEN true END AS no_pricing,
 CASE WHEN ok THEN 'HYBRID' END AS "deliveryMode", CASE WHEN ok THEN ['en'] END AS languages, CASE WHEN ok THEN CASE WHEN k % 4 > 0 THEN ['SAT'] ELSE []::VARCHAR[] END END AS categories, CASE WHEN ok THEN ['Kids'] END AS programs, CASE WHEN ok THEN 1990 + k % 30 END::INTEGER AS "foundedYear", CASE WHEN ok THEN 'x' END AS "descriptionUz", CASE WHEN ok THEN false END AS "isVerified", CASE WHEN ok THEN 0 END::INTEGER AS n_branches
 FROM (SELECT *, s_suppkey AS k, s_suppkey % 5 > 0 AND s_suppkey % 3 > 0 AND s_suppkey % 7 > 0 AS ok FROM supplier JOIN nation ON s_nationkey = n_nationkey)""")
 def build_records(spark, d):
@@ -483,10 +488,13 @@ def build_records(spark, d):
     built = records.build_records(s.select(
         "s_suppkey", F.concat(F.lit("e"), k.cast("string")).alias("entity_id"), F.when(k % 7 > 0, F.col("s_name")).alias("nameUz"), F.when(k % 2 == 0, "Имя").alias("nameRu"), F.when(k % 14 == 0, "Neo Clinic").alias("nameLatin"), F.col("n_name").alias("city"), (k % 5 > 0).alias("city_known"),
         F.when(k % 3 == 0, "123").when(k % 3 == 1, F.concat(F.lit("90"), F.lpad(k.cast("string"), 7, "0"))).alias("phone"), F.concat(F.lit("Site"), k.cast("string"), F.lit(".UZ/")).alias("website"), F.when(k % 2 == 0, "a@b.uz").alias("email"), F.when(k % 2 == 0, CITY).alias("cityId"), F.lit(REGION).alias("regionId"),
-        F.concat(F.lit("Main st. "), k.cast("string")).alias("address"), (k / 10).alias("lat"), F.lit("HYBRID").alias("deliveryMode"), F.array(F.lit("English")).alias("languages"), F.when(k % 4 > 0, F.array(F.lit("SAT"))).alias("categories"), F.array(F.lit("Kids")).alias("programs"), (1990 + k % 30).cast("int").alias("foundedYear"), F.lit("x").alias("descriptionUz"),
+        F.concat(F.lit("Main st. "), k.cast("string")).alias("address"), (k / 10).alias("lat"), (k / 5).alias("lng"), F.lit(" 90 1,91 2 ").alias("phone2"), F.concat(F.lit("@t"), k.cast("string")).alias("telegram"), F.when(k % 2 == 1, "@i").alias("instagram"), F.array(F.lit("SCHOOL")).alias("additionalTypes"),
+        k.cast("int").alias("studentCount"), F.when(k % 2 == 0, 7).alias("teacherCount"), F.array(F.lit("Physics")).alias("specializations"), F.lit("won").alias("achievements"), F.when(k % 4 == 0, "y").alias("descriptionRu"), F.lit("HYBRID").alias("deliveryMode"), F.array(F.lit("English")).alias("languages"), F.when(k % 4 > 0, F.array(F.lit("SAT"))).alias("categories"), F.array(F.lit("Kids")).alias("programs"), (1990 + k % 30).cast("int").alias("foundedYear"), F.lit("x").alias("descriptionUz"),
     ))
-    own = "id nameUz nameRu nameKey slug type status phone website email cityId regionId address lat deliveryMode isVerified".split()
-    return built.select("s_suppkey", "build_errors", *[f"record.{c}" for c in own], *[f"record.details.{c}" for c in ("languages", "categories", "programs", "foundedYear", "descriptionUz")], F.size("record.branches").alias("n_branches"))
+    own = "id nameUz nameRu nameKey slug type additionalTypes status phone phone2 website email telegram instagram cityId regionId address lat lng deliveryMode isVerified trialLessonEnabled".split()
+    details = "languages categories programs shifts specializations achievements foundedYear studentCount teacherCount descriptionUz descriptionRu".split()
+    empty = [F.when(F.col("record").isNotNull(), F.size(f"record.{c}")).alias(f"n_{c}") for c in ("branches", "media")]
+    return built.select("s_suppkey", "build_errors", *[f"record.{c}" for c in own], *[f"record.details.{c}" for c in details], *empty, F.when(F.col("record").isNotNull(), F.col("record.pricing").isNull()).alias("no_pricing"))
 
 
 def batch(spark, d) -> DataFrame:
@@ -614,7 +622,7 @@ def q_clean(c: str) -> str:
 
 #: Pages with what only directories have, by page_id.
 DIRECTORY = """SELECT page_id, url, CASE WHEN page_id % 3 = 0 THEN replace(html, '<nav>', '<nav><a href="/x">IELTS &amp; kurs</a>') ELSE html END || CASE WHEN page_id % 2 = 0 THEN '<address>City ' || page_id % 9 || ', <b>Main</b> st.</address><a href="tel:+998 (90) ' || page_id || '7">call</a>' ELSE '' END
-|| CASE WHEN page_id % 5 = 0 THEN replace('#LAT#:#41.5# #LON#:#69.25#', '#', chr(39)) ELSE '' END || CASE WHEN page_id % 4 = 0 THEN '<a class="x" href="https://t.me/a">Other</a><a href="https://t.me/b' || page_id || '"> Telegram </a><a href="http://w">WEBSITE</a>' ELSE '' END AS html FROM pages"""
+|| CASE WHEN page_id % 5 = 0 THEN replace('#LAT#:#41.5# #LON#:#69.25#', '#', chr(39)) ELSE '' END || CASE WHEN page_id % 4 = 0 THEN '<a class="x" href="https://t.me/a">Other</a><a href="https://t.me/b' || page_id || '"> Telegram </a><a href="http://w">WEBSITE</a><a href="http://f/' || page_id || '">Facebook</a><a href="http://i">instagram</a>' ELSE '' END AS html FROM pages"""
 
 
 def directory(spark, d) -> DataFrame:
@@ -624,7 +632,7 @@ def directory(spark, d) -> DataFrame:
         F.when(k % 3 == 0, F.replace(html, F.lit("<nav>"), F.lit('<nav><a href="/x">IELTS &amp; kurs</a>'))).otherwise(html),
         some(2, "<address>City ", (k % 9).cast("string"), ', <b>Main</b> st.</address><a href="tel:+998 (90) ', k.cast("string"), '7">call</a>'),
         some(5, "'LAT':'41.5' 'LON':'69.25'"),
-        some(4, '<a class="x" href="https://t.me/a">Other</a><a href="https://t.me/b', k.cast("string"), '"> Telegram </a><a href="http://w">WEBSITE</a>'),
+        some(4, '<a class="x" href="https://t.me/a">Other</a><a href="https://t.me/b', k.cast("string"), '"> Telegram </a><a href="http://w">WEBSITE</a><a href="http://f/', k.cast("string"), '">Facebook</a><a href="http://i">instagram</a>'),
     )
     return t(spark, d, "pages").select("page_id", "url", html.alias("html"))
 
@@ -632,14 +640,14 @@ def directory(spark, d) -> DataFrame:
 NAV = "regexp_extract(html, '(?s)<nav[^>]*>(.*?)</nav>', 1)"
 LABELS = f"""list_filter(list_transform(regexp_extract_all({NAV}, '<a href="[^"]*">([^<]+)</a>', 1), lambda x: trim({q_decode("x")})), lambda x: x <> '')"""
 FACTS = f"""SELECT page_id, url, {q_clean("regexp_extract(html, '(?s)<h1[^>]*>\\s*([^<]+?)\\s*</h1>', 1)")} AS name, CASE WHEN page_id % 2 = 0 THEN 'City ' || page_id % 9 || ', Main st.' END AS address, CASE WHEN page_id % 2 = 0 THEN 'City ' || page_id % 9 END AS city, CASE WHEN page_id % 2 = 0 THEN '+99890' || page_id || '7' END AS phone, CASE WHEN page_id % 5 = 0 THEN 41.5::DOUBLE END AS lat, CASE WHEN page_id % 5 = 0 THEN 69.25::DOUBLE END AS lng,
-{q_clean("regexp_extract(html, '(?s)<article[^>]*>(.*?)</article>', 1)")} AS "descriptionSourceText", CASE WHEN page_id % 4 = 0 THEN 'https://t.me/b' || page_id END AS telegram, CASE WHEN page_id % 4 = 0 THEN 'http://w' END AS website, {LABELS} AS "categoryLabels",
+{q_clean("regexp_extract(html, '(?s)<article[^>]*>(.*?)</article>', 1)")} AS "descriptionSourceText", CASE WHEN page_id % 4 = 0 THEN 'https://t.me/b' || page_id END AS telegram, CASE WHEN page_id % 4 = 0 THEN 'http://w' END AS website, CASE WHEN page_id % 4 = 0 THEN 'http://f/' || page_id END AS facebook, CASE WHEN page_id % 4 = 0 THEN 'http://i' END AS instagram, {LABELS} AS "categoryLabels",
 list_transform(regexp_extract_all({NAV}, '<a\\s+href="([^"]+)"', 1), lambda x: regexp_extract(url, '^https?://[^/?#]*') || {q_decode("x")}) AS "nearbyUrls" FROM ({DIRECTORY})"""
 NAV_LISTS = {"categoryLabels": pages.LISTS["categoryLabels"], "nearbyUrls": ("nav", pages.LISTS["nearbyUrls"][1])}
 
 
 @query(FACTS)
 def page_facts(spark, d):
-    return pages.page_facts(directory(spark, d), lists=NAV_LISTS).drop("instagram", "facebook")
+    return pages.page_facts(directory(spark, d), lists=NAV_LISTS)
 
 
 @query(f"""SELECT url AS id, name, city, {q_labels('labels', fixed.TYPE_KEYWORDS)}[1] AS type, {q_labels('labels', fixed.CATEGORY_KEYWORDS)}[1] AS category, array_to_string("categoryLabels", ', ') AS notes FROM (SELECT *, array_to_string("categoryLabels", ' ') AS labels FROM ({FACTS})) WHERE name IS NOT NULL""")
@@ -981,3 +989,19 @@ def nested_blocks(spark, d):
     page = F.regexp_replace("html", "(?i)</?article[^>]*>", "")
     html = F.concat(F.lit("<article class='x>y'>A"), F.col("page_id").cast("string"), F.lit("<article>B<!-- </article> --></article><p>C</article>"), F.when(F.col("page_id") % 2 == 0, "<ARTICLE>end</ARTICLE>").otherwise(""), page)
     return blocks.page_blocks(t(spark, d, "pages").select("page_id", html.alias("html")), ["article"]).select("page_id", "n", "tag", "markup")
+
+
+@query("WITH x AS (SELECT min(ts) AS m FROM events) SELECT DISTINCT user_id FROM events, x WHERE ts < m + INTERVAL 10 DAY UNION ALL SELECT -1 UNION ALL SELECT DISTINCT user_id FROM events, x WHERE ts >= m + INTERVAL 20 DAY")
+def stream_ids_again(spark, d):
+    """The watermark at work: an id that comes again after its state has gone counts as new. A row between the two parts moves
+    the watermark past all of the first."""
+    e = t(spark, d, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    m = F.lit(e.agg(F.min("ts")).first()[0]).cast("timestamp")
+    days = lambda n: m + F.expr(f"INTERVAL {n} DAYS")
+    parts = [e.where(F.col("ts") < days(10)), e.agg(F.lit(-1).cast("long").alias("user_id"), days(15).alias("ts")), e.where(F.col("ts") >= days(20))]
+    source, target, marks = (shared_path(spark, x) for x in ("ids", "new", "marks"))
+    for part in parts:
+        part.write.mode("append").parquet(source)
+        fresh = streams.new_ids(spark.readStream.schema(e.schema).parquet(source), "user_id", delay="1 day").select("user_id")
+        fresh.writeStream.format("parquet").outputMode("append").option("checkpointLocation", marks).trigger(availableNow=True).start(target).awaitTermination()
+    return spark.read.schema("user_id long").parquet(target)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import re
 import tempfile
 import uuid
@@ -10,7 +11,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
-_scratch: list[str] = []
+#: Folders of the scratch blocks that this thread is in, the innermost last.
+_scratch: contextvars.ContextVar[tuple[str, ...]] = contextvars.ContextVar("scratch", default=())
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,7 +30,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    return "/".join([shared_dir(spark), *_scratch[-1:], f"{name}-{uuid.uuid4().hex}"])
+    return "/".join([shared_dir(spark), *_scratch.get()[-1:], f"{name}-{uuid.uuid4().hex}"])
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -54,8 +56,10 @@ def deleted(spark: SparkSession, path: str) -> None:
 @contextlib.contextmanager
 def scratch(spark: SparkSession):
     """Tables stored inside are deleted at the end: what is to stay must be written to a path made outside."""
-    _scratch.append(f"scratch-{uuid.uuid4().hex}")
+    own = f"scratch-{uuid.uuid4().hex}"
+    before = _scratch.set((*_scratch.get(), own))
     try:
         yield
     finally:
-        deleted(spark, f"{shared_dir(spark)}/{_scratch.pop()}")
+        _scratch.reset(before)
+        deleted(spark, f"{shared_dir(spark)}/{own}")
