@@ -28,6 +28,7 @@ results; an empty table gives no rows; extra columns, whatever their names, stay
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -158,7 +159,14 @@ def cut_slices(size: int):
     return read
 
 
-LISTS = "bucket long, slice long, n long, blob binary"
+def sign(batch: pa.RecordBatch) -> int:
+    """The checksum of a slice's rows, which goes with every message about it."""
+    data, offsets = buffers(batch.column("text"))
+    return zlib.crc32(batch.column("oid").to_numpy(zero_copy_only=False).tobytes(), zlib.crc32(offsets.tobytes(), zlib.crc32(data.tobytes())))
+
+
+CHANGED = "the table has changed between two reads: a slice has other rows than before"
+LISTS = "bucket long, slice long, sign long, n long, blob binary"
 
 
 def anchor_lists(buckets: int, length: int, gram: int):
@@ -167,20 +175,22 @@ def anchor_lists(buckets: int, length: int, gram: int):
     def read(batches):
         for batch in batches:
             for name, blob in zip(batch.column("slice").to_pylist(), batch.column("rows")):
+                batch_ = opened(blob.as_py())
+                own = sign(batch_)
                 with np.errstate(over="ignore"):
-                    at, h = anchors(*buffers(opened(blob.as_py()).column("text")), length, gram)
+                    at, h = anchors(*buffers(batch_.column("text")), length, gram)
                 h, counts = np.unique(h, return_counts=True)
                 near, bucket = h & NEAR, (h >> np.uint64(40)) % np.uint64(buckets)
                 order = np.lexsort((near, bucket))
                 near, bucket, counts = near[order], bucket[order], np.minimum(counts, 65535)[order]
                 edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(h) else np.zeros(1, int)
-                rows = [(int(bucket[a]), name, int(b - a), squeezed(np.diff(near[a:b], prepend=np.uint64(0)), counts[a:b].astype("<u2"))) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+                rows = [(int(bucket[a]), name, own, int(b - a), squeezed(np.diff(near[a:b], prepend=np.uint64(0)), counts[a:b].astype("<u2"))) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
                 yield from table_of(rows, LISTS).to_batches()
 
     return read
 
 
-ANSWERS = "slice long, bucket long, n long, blob binary"
+ANSWERS = "slice long, sign long, bucket long, n long, blob binary"
 
 
 def shared_in_bucket(hot: int):
@@ -188,7 +198,7 @@ def shared_in_bucket(hot: int):
     A hash of one slice is told only if it is hot."""
 
     def compare(table: pa.Table) -> pa.Table:
-        names, sizes = table["slice"].to_numpy(), table["n"].to_pylist()
+        names, signs, sizes = table["slice"].to_numpy(), table["sign"].to_numpy(), table["n"].to_pylist()
         parts = [released(blob.as_py(), (n, "<u8"), (n, "<u2")) for n, blob in zip(sizes, table["blob"])]
         h = np.concatenate([np.cumsum(x) for x, _ in parts])
         counts = np.concatenate([x for _, x in parts]).astype(np.int64)
@@ -204,7 +214,7 @@ def shared_in_bucket(hot: int):
         h, who, many = h[order], who[order], many[order]
         edges = np.flatnonzero(np.concatenate([[True], who[1:] != who[:-1], [True]])) if len(h) else np.zeros(1, int)
         bucket = table["bucket"][0].as_py()
-        return table_of([(int(names[who[a]]), bucket, int(b - a), squeezed(np.diff(h[a:b], prepend=np.uint64(0)), many[a:b].astype("u1"))) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())], ANSWERS)
+        return table_of([(int(names[who[a]]), int(signs[who[a]]), bucket, int(b - a), squeezed(np.diff(h[a:b], prepend=np.uint64(0)), many[a:b].astype("u1"))) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())], ANSWERS)
 
     return compare
 
@@ -241,20 +251,20 @@ def merged_spans(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[np
     return [key[first], start[first], reach[last] - shift[last]]
 
 
-SPANS = "slice long, n long, blob binary"
+SPANS = "slice long, sign long, n long, blob binary"
 
 
-def span_rows(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[tuple[int, int, bytes]]:
-    """(slice, n, blob) of spans, those of one text joined where they overlap."""
+def span_rows(key: np.ndarray, start: np.ndarray, end: np.ndarray, signs: dict[int, int]) -> list[tuple[int, int, int, bytes]]:
+    """(slice, sign, n, blob) of spans, those of one text joined where they overlap."""
     key, start, end = merged_spans(key, start, end)
     name = key >> 16
     edges = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1], [True]])) if len(key) else np.zeros(1, int)
-    return [(int(name[a]), int(b - a), squeezed((key[a:b] & 0xFFFF).astype("<u2"), start[a:b].astype("<u4"), (end - start)[a:b].astype("<u4"))) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+    return [(int(name[a]), signs[int(name[a])], int(b - a), squeezed((key[a:b] & 0xFFFF).astype("<u2"), start[a:b].astype("<u4"), (end - start)[a:b].astype("<u4"))) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
 
 
 #: range: below 0 for spans that are settled; else n rows of m documents as a part of a run. After the ranges of suffixes
 #: there are as many for the strings of hot anchors.
-RUNS = "range long, slice long, n long, m long, blob binary"
+RUNS = "range long, slice long, sign long, n long, m long, blob binary"
 
 
 def coded(name: int, which: np.ndarray, rows: np.ndarray, oid, key, place, back) -> list[tuple]:
@@ -274,7 +284,7 @@ def coded(name: int, which: np.ndarray, rows: np.ndarray, oid, key, place, back)
 
 
 def settled_at_once(name: int, key, start, end) -> list[tuple]:
-    return [(-1 - name, s, n, None, blob) for s, n, blob in span_rows(key, start, end)]
+    return [(-1 - name, s, n, None, blob) for s, _, n, blob in span_rows(key, start, end, {name: 0})]
 
 
 def row_hashes(rows: np.ndarray) -> np.ndarray:
@@ -313,8 +323,11 @@ def runs_of(splitters: list[bytes], parts: int, buckets: int, length: int, gram:
 
     def sort(slice_: pa.Table, answers: pa.Table) -> pa.Table:
         if not slice_.num_rows:
-            raise RuntimeError("a slice has another name than before: the input's partitions have changed between two reads")
+            raise RuntimeError(CHANGED)
         name, batch = slice_["slice"][0].as_py(), opened(slice_["rows"][0].as_py())
+        own_sign = sign(batch)
+        if any(x != own_sign for x in answers["sign"].to_pylist()):
+            raise RuntimeError(CHANGED)
         near, hot = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
         for bucket, n, blob in zip(answers["bucket"].to_pylist(), answers["n"].to_pylist(), answers["blob"]):
             h, many = released(blob.as_py(), (n, "<u8"), (n, "u1"))
@@ -353,7 +366,7 @@ def runs_of(splitters: list[bytes], parts: int, buckets: int, length: int, gram:
         rows, oid, key, place, back = (x[~later] for x in (rows, oid, key, place, back))
         part = (row_hashes(rows[:, :gram]) % np.uint64(parts)).astype(np.int64)
         which = np.searchsorted(cuts, as_strings(rows[:, :gram]), side="right") * parts + part
-        return table_of(out + coded(name, which, rows, oid, key, place, back), RUNS)
+        return table_of([(*r[:2], own_sign, *r[2:]) for r in out + coded(name, which, rows, oid, key, place, back)], RUNS)
 
     return sort
 
@@ -442,7 +455,7 @@ def settle_range(ranges: int, length: int, gram: int):
     def settle(table: pa.Table) -> pa.Table:
         number = table["range"][0].as_py()
         if number < 0:
-            return table.select(["slice", "n", "blob"])
+            return table.select(["slice", "sign", "n", "blob"])
         whole_strings = number >= ranges
         wide = length if whole_strings else width
         found: list[tuple[int, int, int]] = []  # key, start, end
@@ -507,7 +520,8 @@ def settle_range(ranges: int, length: int, gram: int):
         close()
         if len(group) > 1:
             finish(group)
-        return table_of(span_rows(*np.array(found, np.int64).reshape(-1, 3).T), SPANS)
+        signs = dict(zip(table["slice"].to_pylist(), table["sign"].to_pylist()))
+        return table_of(span_rows(*np.array(found, np.int64).reshape(-1, 3).T, signs), SPANS)
 
     return settle
 
@@ -558,8 +572,10 @@ def find_repeats(df: DataFrame, id_col: str, text_col: str, length: int, gram: i
 def rows_with_spans(slice_: pa.Table, spans: pa.Table):
     """The rows of a slice with the disjoint spans to remove from each."""
     if not slice_.num_rows:
-        raise RuntimeError("a slice has another name than before: the input's partitions have changed between two reads")
+        raise RuntimeError(CHANGED)
     batch, parts = opened(slice_["rows"][0].as_py()), [(np.zeros(0, np.int64),) * 3]
+    if spans.num_rows and set(spans["sign"].to_pylist()) != {sign(batch)}:
+        raise RuntimeError(CHANGED)
     for n, blob in zip(spans["n"].to_pylist(), spans["blob"]):
         doc, start, size = (x.astype(np.int64) for x in released(blob.as_py(), (n, "<u2"), (n, "<u4"), (n, "<u4")))
         parts.append((doc, start, start + size))

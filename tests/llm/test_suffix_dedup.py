@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from orgmill.llm import suffix_dedup
@@ -111,3 +112,19 @@ def test_merge_keeps_order_and_prefix_lengths():
     assert [r[0] for r, _ in merged] == sorted(every)
     for (a, _), (b, s) in zip(merged, merged[1:]):
         assert s == shared(a[0], b[0])
+
+
+def test_a_slice_with_other_rows_than_before_raises():
+    """A message about a slice carries its checksum: the rows that it meets must be the ones that it is about."""
+    batch = lambda *texts: pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "oid", "text"])
+    first, other = batch("some text", "more of it"), batch("some text", "more of It")
+    cell = lambda b: pa.table({"slice": [7], "rows": pa.array([suffix_dedup.whole(b)], pa.binary())})
+    spans = suffix_dedup.table_of(suffix_dedup.span_rows(np.array([7 << 16]), np.array([0]), np.array([4]), {7: suffix_dedup.sign(first)}), suffix_dedup.SPANS)
+    assert suffix_dedup.rows_with_spans(cell(first), spans)[1] == [[(0, 4)], []]
+    with pytest.raises(RuntimeError, match="changed"):
+        suffix_dedup.rows_with_spans(cell(other), spans)
+    answers = suffix_dedup.table_of([(7, suffix_dedup.sign(first), 0, 0, suffix_dedup.squeezed(np.zeros(0, "<u8"), np.zeros(0, "u1")))], suffix_dedup.ANSWERS)
+    runs = suffix_dedup.runs_of([], 1, 1, 50, 26)
+    assert runs(cell(first), answers).num_rows == 0
+    with pytest.raises(RuntimeError, match="changed"):
+        runs(cell(other), answers)
