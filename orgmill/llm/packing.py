@@ -131,7 +131,7 @@ def pack(df: DataFrame, path: str, capacity: int = 4096, end_id: int = 1, id_col
     counts = {int(r["length"]): r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}  # capacity rows at most
     buckets = max(1, sum(counts.values()) // ROWS_A_BUCKET)
     placed = spark.createDataFrame(slots(plan(counts, capacity)), "length long, low long, high long, first_sequence long, copies long, at long")
-    cut = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)))
+    cut = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
     before = cut.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     before = before.select("length", "bucket", (F.sum("n").over(W.partitionBy("length").orderBy("bucket")) - F.col("n")).alias("before"))
     within = F.row_number().over(W.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32"))
