@@ -45,10 +45,10 @@ def test_groups_equal_brute_force(spark):
 @pytest.mark.parametrize("modulus", [1, 3, 1 << 40])
 def test_split_buckets_pages_and_chains_equal_brute_force(spark, modulus):
     """Small buckets: the directory doubles, keys get pages, and keys of a poor hash have long chains."""
-    rows = corpus()
-    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    rows = corpus(150)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     poor = lambda text: F.xxhash64(F.xxhash64(F.lower(text)) % modulus)
-    assert found(df, key=poor, capacity=2000, owner_bytes=4000, max_depth=6, chunk=5000) == plain(rows)
+    assert found(df, key=poor, capacity=20_000, owner_bytes=60_000, max_depth=6, chunk=20_000) == plain(rows)
 
 
 def test_directory_doubles_and_covers_every_key(spark):
