@@ -31,9 +31,9 @@ def _ms(at: datetime.datetime) -> int:
 
 
 class StateLog(StatefulProcessor):
-    """Rows wait in a list until the watermark has passed them, so rows that come late, but within its delay, are in order; a
-    timer at each waiting row's time, and one at the end of the idle time, do the work. A key holds what waits and, until the idle
-    time is over, one row."""
+    """Rows wait in a list until the watermark has passed them, so rows that come late, but within its delay, are in order. One
+    timer stands at the first waiting row's time, and handles all that the watermark has passed; one stands at the end of the
+    idle time. A key holds what waits and, until the idle time is over, one row."""
 
     def __init__(self, idle_ms: int):
         self.idle_ms = idle_ms
@@ -41,22 +41,23 @@ class StateLog(StatefulProcessor):
     def init(self, handle) -> None:
         self.handle = handle
         self.waiting = handle.getListState("waiting", "at timestamp, seq long, state string, note string")
-        self.now = handle.getValueState("now", "n int, rank int, last timestamp")
+        self.now = handle.getValueState("now", "n int, rank int, last timestamp, until long")
 
     def handleInputRows(self, key, rows, timerValues):
-        new = [Row(at=r["at"], seq=r["seq"], state=r["state"], note=r["note"]) for r in rows]
-        for r in new:
-            self.waiting.appendValue(tuple(r))
-        for ms in {_ms(r["at"]) for r in new}:
-            self.handle.registerTimer(ms)
+        new = [(r["at"], r["seq"], r["state"], r["note"]) for r in rows]
+        self.waiting.appendList(new)
+        self.handle.registerTimer(min(_ms(r[0]) for r in new))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        due = expiredTimerInfo.getExpiryTimeInMs()
+        due, passed = expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()
+        n, rank, last, until = tuple(self.now.get()) if self.now.exists() else (0, 0, None, None)
+        ended = last is not None and passed > _ms(last) + self.idle_ms
+        if until is not None and due <= until and not ended:
+            return iter([])  # another timer of this key has done it
         rows = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
-        ready = sorted((r for r in rows if _ms(r[0]) <= due), key=lambda r: (r[0], r[1]))
-        later = [r for r in rows if _ms(r[0]) > due]
-        n, rank, last = tuple(self.now.get()) if self.now.exists() else (0, 0, None)
+        ready = sorted((r for r in rows if _ms(r[0]) <= passed), key=lambda r: (r[0], r[1]))
+        later = [r for r in rows if _ms(r[0]) > passed]
         out = []
         for at, _, state, note in ready:
             if last is None or _ms(at) - _ms(last) > self.idle_ms:
@@ -70,12 +71,15 @@ class StateLog(StatefulProcessor):
         if ready:
             if later:
                 self.waiting.put(later)
+                self.handle.registerTimer(min(_ms(r[0]) for r in later))
             else:
                 self.waiting.clear()
-            self.now.update((n, rank, last))
-            self.handle.registerTimer(_ms(last) + self.idle_ms + 1)
-        elif last is not None and due > _ms(last) + self.idle_ms:
+        if last is not None and passed > _ms(last) + self.idle_ms:
             self.now.clear()
+        elif last is not None:
+            self.now.update((n, rank, last, passed))
+            if ready:
+                self.handle.registerTimer(_ms(last) + self.idle_ms + 1)
         return iter(out)
 
     def close(self) -> None:
