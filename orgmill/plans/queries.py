@@ -749,9 +749,8 @@ def unwrap_json(spark, d):
 
 @query("SELECT s_suppkey - 1 AS input_pos, s_name AS \"rawName\", CASE WHEN s_suppkey % 2 = 0 THEN 'Tashkent' END AS city FROM (SELECT row_number() OVER (ORDER BY s_suppkey) AS s_suppkey, s_name FROM supplier)".replace('\\"', '"'))
 def candidates(spark, d):
-    from pyspark.sql import Window as W
-
-    s = t(spark, d, "supplier").select(F.row_number().over(W.orderBy("s_suppkey")).alias("k"), "s_name")
+    placed = lists.numbered(t(spark, d, "supplier").select(F.lit(0).alias("all"), "s_suppkey", "s_name"), "all", ["s_suppkey"])
+    s = placed.select((F.col("pos") + 1).alias("k"), "s_name")
     path = shared_path(spark, "candidates")
     io.write_envelope(s.select("k", F.col("s_name").alias("rawName"), F.when(F.col("k") % 2 == 0, "Tashkent").alias("city")), path, "2024-01-01T00:00:00Z", "k")
     return io.read_candidates(spark, path).select(F.col("input_pos").cast("long").alias("input_pos"), "rawName", "city")
