@@ -63,3 +63,12 @@ def scratch(spark: SparkSession):
     finally:
         _scratch.reset(before)
         deleted(spark, f"{shared_dir(spark)}/{own}")
+
+
+def settled(spark: SparkSession, name: str, make) -> DataFrame:
+    """make() written to the shared folder, and what it has stored on its way deleted."""
+    path = shared_path(spark, name)
+    with scratch(spark):
+        df = make()
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
