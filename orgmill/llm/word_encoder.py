@@ -32,11 +32,6 @@ def word_encoder(path: str) -> "WordEncoder":
     return _encoders[path]
 
 
-def forget(path: str) -> None:
-    """Gives its memory back: Spark keeps workers for other operators' tasks."""
-    _encoders.pop(path, None)
-
-
 class WordEncoder:
     """ids(texts) equals the library's encode() of each text without added special tokens.
 
