@@ -30,6 +30,8 @@ RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org
 #: Words that speak for one verdict.
 SEEDS = {"block": "casino poker bet betting pills pill viagra cialis pharmacy porn xxx sex adult escort loan loans payday cheap replica warez crack torrent spam free win prize".split(), "allow": "wiki docs news edu library museum university school research journal science gov help manual blog".split()}
 ROUNDS, SALTS = 2, 16
+#: Urls on more than one row in HEAVY are broadcast with their scores.
+HEAVY = 1000
 #: Letters up to which a name's substrings are words to look up; longer words are looked up by so many first letters. A
 #: longer name is known by its digest, so that its text does not travel with each substring.
 HEAD, KEY = 24, 64
@@ -90,7 +92,7 @@ def segmented(names: DataFrame, counts: DataFrame) -> DataFrame:
         for batch in batches:
             keys, words = [], []
             for name, key in zip(batch.column("name").to_pylist(), batch.column("key").to_pylist()):
-                own = {name[i : i + k] for i in range(len(name)) for k in range(1, min(HEAD, len(name) - i) + 1)}
+                own = {name[i : i + k] for i in range(len(name)) for k in range(2, min(HEAD, len(name) - i) + 1)}
                 keys += [key] * len(own)
                 words += own
                 if len(words) > 100_000:
@@ -150,5 +152,11 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
         part = each.join(found, "url").select("name", F.coalesce(sure, 1 / (1 + F.exp(-F.col("score")))).alias("p"))
     score = F.coalesce("score", F.lit(0.0))
     verdict = F.coalesce("own.verdict", F.when(score > 0, "block").otherwise("allow"))
-    out = base.where("url is not null").join(found, "url", "left").unionByName(base.where("url is null").withColumn("score", F.lit(None).cast("double")))
+    # urls on many rows meet their score where they are: HEAVY of them at most
+    told = base.where("url is not null")
+    often = told.groupBy("url").agg(F.count("*").alias("n"))
+    total = often.agg(F.sum("n")).first()[0] or 0
+    hot = stored(found.join(often.where(F.col("n") * HEAVY > total), "url").select("url", "score"), "hot")
+    seldom = told.join(F.broadcast(hot.select("url")), "url", "left_anti").join(found, "url", "left")
+    out = told.join(F.broadcast(hot), "url").unionByName(seldom).unionByName(base.where("url is null").withColumn("score", F.lit(None).cast("double")))
     return out.select("page_id", "host", "path", F.col("own.rule").alias("rule"), verdict.alias("verdict"), score.alias("score"))

@@ -96,3 +96,14 @@ def test_a_url_on_most_rows_and_null_urls(spark):
     pages = spark.range(3000).selectExpr("id as page_id", "case when id % 3 = 0 then null when id % 3 = 1 then 'http://hot.net/cheap' else concat('http://a', id, '.net/') end as url", "'<p>cheap hot</p>' as html")
     found = url_filter.judge(pages)
     assert found.count() == 3000 and found.where("page_id % 3 = 1").select("score").distinct().count() == 1 and found.where("page_id % 3 = 0 and verdict = 'allow' and host = ''").count() == 1000
+
+
+def test_a_url_on_most_rows_is_judged_like_any_other(spark):
+    html = "<p>the cheap pills of a library and science of pills</p>"
+    rows = [(i, "http://y.net/cheappills" if i % 3 else f"http://y.net/library{i}", html) for i in range(3000)] + [(9000, None, html)]
+    found = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).toPandas()
+    assert len(found) == len(rows) and found.page_id.is_unique
+    hot = found[found.page_id.isin([i for i in range(3000) if i % 3])]
+    assert hot.score.nunique() == 1 and set(hot.verdict) == {"block"} and found[found.page_id == 9000].score.item() == 0
+    once = url_filter.judge(spark.createDataFrame(rows[:1000], "page_id long, url string, html string")).count()
+    assert once == 1000
