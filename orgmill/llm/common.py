@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orgmill.shared import shared_path, stored  # noqa: F401  for the operators of this folder
+from orgmill.shared import settled, shared_path, stored  # noqa: F401  for the operators of this folder
 
 #: ASCII white space: what separates words everywhere in this folder.
 SPACE = np.zeros(256, bool)

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orgmill.llm.common import BROADCAST_KEYS, stored, without_rows
+from orgmill.llm.common import BROADCAST_KEYS, settled, stored, without_rows
 
 WINDOW, LITERALS, SHARE = 5, 3, 0.5
 #: Words by which windows of one occurrence may be out of line.
@@ -172,7 +172,8 @@ def best_occurrences(here: DataFrame) -> DataFrame:
 
 def remove_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df without the documents that hold a benchmark item."""
-    return without_rows(df, find_leaks(df, benchmark, id_col, text_col).select(F.col("doc_id").alias("id"), "key"), id_col, text_col)
+    leaks = settled(df.sparkSession, "leaks", lambda: find_leaks(df, benchmark, id_col, text_col).select(F.col("doc_id").alias("id"), "key"))
+    return without_rows(df, leaks, id_col, text_col)
 
 
 _UNITS = ", ".join(f"'{u}'" for u in UNITS)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orgmill.llm.common import BROADCAST_KEYS, buffers, distinct_rows, lean, mix, slices, stored, texts, without_rows, word_hashes, word_spans
+from orgmill.llm.common import BROADCAST_KEYS, buffers, distinct_rows, lean, mix, settled, slices, stored, texts, without_rows, word_hashes, word_spans
 from orgmill.llm.components import components
 
 #: Elements of the sets that one task stores in its tree, and of those that walk it, about.
@@ -308,6 +308,6 @@ def classes(df: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
 def keep_one(df: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df with one document of each class: that with the smallest id. Rows with one id and one text count once; rows
     without an id stay all, as nothing says that they are one document."""
-    named = classes(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), n, percent)
-    gone = named.where("doc_id <> component_id").select(F.col("doc_id").alias("id"), F.lit(None).cast("long").alias("key"))
+    own = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    gone = settled(df.sparkSession, "copies", lambda: classes(own, n, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("id"), F.lit(None).cast("long").alias("key")))
     return distinct_rows(without_rows(df, gone, id_col, text_col), id_col, text_col)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orgmill.llm.common import held_out, lean, slices, stored, texts, without_rows
+from orgmill.llm.common import held_out, lean, settled, slices, stored, texts, without_rows
 
 SAMPLE_ROWS, SUPPORT, VOCABULARY, MINED = 20_000, 5, 1000, 5
 #: Pseudo-counts of the annotator's errors and right labels.
@@ -328,5 +328,5 @@ def score(df: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str
 
 def remove_toxic(df: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df without the documents that score threshold or more."""
-    bad = score(df, labels, threshold, id_col, text_col).where("predicted = 1").select(F.col("doc_id").alias("id"), "key")
+    bad = settled(df.sparkSession, "toxic", lambda: score(df, labels, threshold, id_col, text_col).where("predicted = 1").select(F.col("doc_id").alias("id"), "key"))
     return without_rows(df, bad, id_col, text_col)
