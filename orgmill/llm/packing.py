@@ -42,6 +42,7 @@ def pieces(df: DataFrame, path: str, capacity: int = 4096, end_id: int = 1, id_c
                         piece = own[start : start + capacity]
                         rows.append((doc, k, start, len(piece), zlib.crc32(piece.tobytes())))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        encoder.keep()
 
     return texts(df, id_col, text_col).mapInArrow(lean(cut), PIECES)
 

@@ -17,6 +17,8 @@ from orgmill.llm.common import BYTE_CODE, buffers, ragged, word_hashes
 
 #: Distinct words kept by a worker; beyond it the memory starts anew. It changes speed only.
 MEMORY_WORDS = 1_200_000
+#: Those kept between tasks.
+KEPT_WORDS = 200_000
 
 #: The normaliser and the split of files whose texts may be cut as WordEncoder cuts them.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
@@ -58,6 +60,16 @@ class WordEncoder:
         self.first, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.flat, self.used = np.zeros(1 << 18, np.uint32), 0
 
+    def keep(self, words: int = KEPT_WORDS) -> None:
+        """Forgets all but the words that were learnt first, which are the frequent ones: Spark keeps workers for other operators'
+        tasks, and what a task has learnt at last is of little use to the next."""
+        if len(self.hashes) <= words:
+            return
+        own = self.rows < words
+        self.hashes, self.rows = self.hashes[own], self.rows[own]
+        self.used = int(self.first[words - 1] + self.count[words - 1])
+        self.first, self.count, self.flat = self.first[:words].copy(), self.count[:words].copy(), np.append(self.flat[: self.used], np.zeros(1024, np.uint32))  # room to double
+
     def _learn(self, words: list[str], hashes: np.ndarray) -> None:
         new = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         counts = np.fromiter(map(len, new), np.int64, len(new))

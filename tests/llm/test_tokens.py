@@ -115,3 +115,16 @@ def test_token_file_round_trip(spark):
     empty = shared_path(spark, "ids")
     token_files.write_ids(rows(spark, []), empty, WORD)
     assert token_files.read_ids(spark, empty).count() == 0
+
+
+def test_words_that_are_kept_and_forgotten_give_the_same_ids():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder = WordEncoder(path)
+    parts = [pa.array([" ".join(f"word{i * k} Ünï{i} x.{i}" for i in range(60)) for _ in range(3)], pa.string()) for k in range(1, 5)]
+    want = [WordEncoder(path).ids(p)[0].tolist() for p in parts]
+    for words in (5, 1, 50, 10**6):
+        for p, ids in zip(parts, want):
+            assert encoder.ids(p)[0].tolist() == ids
+            encoder.keep(words)
+            assert len(encoder.hashes) <= max(words, 5) or words == 10**6
+            assert encoder.ids(p)[0].tolist() == ids
