@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from orgmill.llm.common import slices, texts
+from orgmill.llm.common import lean, slices, texts
 from orgmill.llm.word_encoder import word_encoder
 
 #: The dictionary is trained on pieces of this many documents, those with the smallest hashes of their ids.
@@ -52,8 +52,9 @@ def train_dictionary(df: DataFrame, path: str, end_id: int, width: int) -> bytes
                 ids, offsets = encoder.ids(part.column("text"))
                 raw = [np.append(ids[a:b], np.uint32(end_id)).astype(f"<u{width}").tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array([x[i : i + SAMPLE_BYTES] for x in raw for i in range(0, len(x), SAMPLE_BYTES)], pa.binary())], names=["raw"])
+        encoder.keep()
 
-    sample = docs.where(F.col("h") <= top).select("doc_id", "text").mapInArrow(encode, "raw binary")
+    sample = docs.where(F.col("h") <= top).select("doc_id", "text").mapInArrow(lean(encode), "raw binary")
     found = [bytes(r["raw"]) for r in sample.orderBy(F.xxhash64("raw"), "raw").limit(SAMPLE_DOCS).collect()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, found).as_bytes()
@@ -101,11 +102,12 @@ def write_ids(df: DataFrame, to: str, path: str, end_id: int = 1, id_col: str =
                         docs_, counts, frames, size = [], [], [], 0
         if docs_:
             yield row()
+        encoder.keep()
 
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = size // RANGE_BYTES + 1
     ordered = docs.withColumn("tie", F.xxhash64("text")).repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    ordered.select("doc_id", "text").mapInArrow(shards, SHARDS).write.parquet(f"{to}/shards")
+    ordered.select("doc_id", "text").mapInArrow(lean(shards), SHARDS).write.parquet(f"{to}/shards")
 
 
 def read_dictionary(spark: SparkSession, at: str) -> tuple[str, bytes]:
@@ -121,20 +123,20 @@ def read_ids(spark: SparkSession, at: str, doc_ids: list[int] | None = None, wit
     sha, dictionary = read_dictionary(spark, at)
     shards = spark.read.parquet(f"{at}/shards")
     totals = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))  # a row for each task that wrote
-    base = totals.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("base"))
+    base = totals.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("base"))  # broadcast, so frames stay where they are
     if doc_ids is not None:
         within = F.lit(False)
         for d in doc_ids:
             within = within | F.lit(d).between(F.col("first_doc_id"), F.col("last_doc_id"))
         shards = shards.where(within)
     wanted = None if doc_ids is None else np.array(sorted(doc_ids), np.int64)
-    joined = shards.join(base, "part").select("base", "width", "dictionary_sha256", "doc_ids", "starts", "counts", "frame_offsets", "frames")
+    joined = shards.join(F.broadcast(base), "part").select("base", "width", "dictionary_sha256", "doc_ids", "starts", "counts", "frame_offsets", "frames")
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
 
     def unpack(batches):
         reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(k, 1).to_pylist()[0] for k in range(batch.num_rows)):  # one shard's bytes at a time
                 if row["dictionary_sha256"] != sha:
                     raise ValueError("a shard was written with another dictionary")
                 docs, starts, counts, at_ = (np.frombuffer(row[k], "<i8") for k in ("doc_ids", "starts", "counts", "frame_offsets"))
@@ -149,4 +151,4 @@ def read_ids(spark: SparkSession, at: str, doc_ids: list[int] | None = None, wit
                 kinds = [pa.int64()] * 4 + [pa.list_(pa.int32())] * with_ids
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: len(kinds)])
 
-    return joined.mapInArrow(unpack, schema)
+    return joined.mapInArrow(lean(unpack), schema)

@@ -19,6 +19,8 @@ from orgmill.llm.common import BYTE_CODE, buffers, ragged, word_hashes
 MEMORY_WORDS = 1_200_000
 #: Those kept between tasks.
 KEPT_WORDS = 200_000
+#: Words that the library encodes at once: its result takes about 1 KB for each of them.
+LEARNT_WORDS = 8192
 
 #: The normaliser and the split of files whose texts may be cut as WordEncoder cuts them.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
@@ -71,16 +73,20 @@ class WordEncoder:
         self.first, self.count, self.flat = self.first[:words].copy(), self.count[:words].copy(), np.append(self.flat[: self.used], np.zeros(1024, np.uint32))  # room to double
 
     def _learn(self, words: list[str], hashes: np.ndarray) -> None:
-        new = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        counts = np.fromiter(map(len, new), np.int64, len(new))
-        n, size, total = len(self.hashes), len(new), int(counts.sum())
+        lengths, ids = [], []
+        for a in range(0, len(words), LEARNT_WORDS):
+            new = [x.ids for x in self.tokenizer.encode_batch_fast(words[a : a + LEARNT_WORDS], add_special_tokens=False)]
+            lengths.append(np.fromiter(map(len, new), np.int64, len(new)))
+            ids.append(np.fromiter((i for x in new for i in x), np.uint32, int(lengths[-1].sum())))
+        counts = np.concatenate(lengths)
+        n, size, total = len(self.hashes), len(counts), int(counts.sum())
         while len(self.first) < n + size:
             self.first, self.count = np.concatenate([self.first, self.first]), np.concatenate([self.count, self.count])
         while len(self.flat) < self.used + total:
             self.flat = np.concatenate([self.flat, self.flat])
         self.first[n : n + size] = self.used + np.cumsum(counts) - counts
         self.count[n : n + size] = counts
-        self.flat[self.used : self.used + total] = np.fromiter((i for x in new for i in x), np.uint32, total)
+        self.flat[self.used : self.used + total] = np.concatenate(ids)
         self.used += total
         order = np.argsort(hashes)
         place = np.searchsorted(self.hashes, hashes[order])
