@@ -8,7 +8,9 @@ first row makes it, with a row DISCOVERED at that time. After `idle` without a r
 from __future__ import annotations
 
 import datetime
+import io
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,78 +21,101 @@ from orgmill.operators.state import stage_rank
 
 #: n: place in the entity's history, from 0 again after its state has ended.
 LOG = "key string, n int, at timestamp, state string, note string"
+ROWS = "key string, n int, us long, state string, note string"
 RANKS = {s: i for i, s in enumerate(fixed.STAGES)} | {"NEEDS_REVIEW": 999, "REJECTED": 999}
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _ms(at: datetime.datetime) -> int:
+#: Into how many parts entities are dealt by a hash: what waits of a part and its current rows are one value of the state each,
+#: so calls, timers and rows of the state are bounded by parts and micro-batches, not by entities.
+PARTS = 1024
+WAITING = pa.schema([("key", pa.string()), ("us", pa.int64()), ("seq", pa.int64()), ("state", pa.string()), ("note", pa.string())])
+NOW = pa.schema([("key", pa.string()), ("n", pa.int64()), ("rank", pa.int64()), ("last", pa.int64())])
+
+
+def _ms(us: int) -> int:
     """Milliseconds of the epoch, rounded up."""
-    at = at if at.tzinfo else at.astimezone()
-    micros = (at - datetime.datetime(1970, 1, 1, tzinfo=datetime.UTC)) // datetime.timedelta(microseconds=1)
-    return -(-micros // 1000)
+    return -(-us // 1000)
+
+
+def _packed(rows: list[tuple], schema: pa.Schema) -> bytes:
+    out = io.BytesIO()
+    table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+    with pa.ipc.new_stream(out, schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as to:
+        to.write_table(table)
+    return out.getvalue()
+
+
+def _unpacked(blob: bytes) -> list[tuple]:
+    return list(zip(*(c.to_pylist() for c in pa.ipc.open_stream(blob).read_all().columns)))
 
 
 class StateLog(StatefulProcessor):
-    """Rows wait in a list until the watermark has passed them, so rows that come late, but within its delay, are in order. One
-    timer stands at the first waiting row's time, and handles all that the watermark has passed; one stands at the end of the
-    idle time. A key holds what waits and, until the idle time is over, one row."""
+    """Rows of a part wait in a list, a value for each micro-batch, until the watermark has passed them, so rows that come late,
+    but within its delay, are in order. A timer stands at the part's first waiting row's time, or at the first end of an idle time,
+    and handles all that the watermark has passed. A part holds what waits and, until the idle time is over, one row of each
+    entity."""
 
     def __init__(self, idle_ms: int):
         self.idle_ms = idle_ms
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "at timestamp, seq long, state string, note string")
-        self.now = handle.getValueState("now", "n int, rank int, last timestamp, until long")
+        self.waiting = handle.getListState("waiting", "rows binary")
+        self.now = handle.getValueState("now", "rows binary, until long")
 
     def handleInputRows(self, key, rows, timerValues):
-        new = [(r["at"], r["seq"], r["state"], r["note"]) for r in rows]
-        self.waiting.appendList(new)
-        self.handle.registerTimer(min(_ms(r[0]) for r in new))
+        new = [(r["key"], r["us"], r["seq"], r["state"], r["note"]) for r in rows]
+        self.waiting.appendValue((_packed(new, WAITING),))
+        self.handle.registerTimer(min(_ms(r[1]) for r in new))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         due, passed = expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()
-        n, rank, last, until = tuple(self.now.get()) if self.now.exists() else (0, 0, None, None)
-        ended = last is not None and passed > _ms(last) + self.idle_ms
-        if until is not None and due <= until and not ended:
-            return iter([])  # another timer of this key has done it
-        rows = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
-        ready = sorted((r for r in rows if _ms(r[0]) <= passed), key=lambda r: (r[0], r[1]))
-        later = [r for r in rows if _ms(r[0]) > passed]
+        blob, until = tuple(self.now.get()) if self.now.exists() else (None, None)
+        if until is not None and due <= until:
+            return iter([])  # another timer of this part has done it
+        now = {k: tuple(x) for k, *x in _unpacked(bytes(blob))} if blob is not None else {}
+        rows = [r for (b,) in self.waiting.get() for r in _unpacked(bytes(b))] if self.waiting.exists() else []
+        ready = sorted((r for r in rows if _ms(r[1]) <= passed), key=lambda r: (r[1], r[2] is not None, r[2]))
+        later = [r for r in rows if _ms(r[1]) > passed]
         out = []
-        for at, _, state, note in ready:
-            if last is None or _ms(at) - _ms(last) > self.idle_ms:
+        for own, us, _, state, note in ready:
+            n, rank, last = now.get(own, (0, 0, None))
+            if last is None or _ms(us) - _ms(last) > self.idle_ms:
                 n, rank = 1, 0
-                out.append(Row(key=key[0], n=0, at=at, state="DISCOVERED", note=None))
+                out.append(Row(key=own, n=0, us=us, state="DISCOVERED", note=None))
             if RANKS.get(state, 0) > rank:
-                rank = RANKS.get(state, 0)
-                out.append(Row(key=key[0], n=n, at=at, state=state, note=note))
+                rank = RANKS[state]
+                out.append(Row(key=own, n=n, us=us, state=state, note=note))
                 n += 1
-            last = at
+            now[own] = n, rank, us
         if ready:
+            self.waiting.clear()
             if later:
-                self.waiting.put(later)
-                self.handle.registerTimer(min(_ms(r[0]) for r in later))
-            else:
-                self.waiting.clear()
-        if last is not None and passed > _ms(last) + self.idle_ms:
+                self.waiting.appendValue((_packed(later, WAITING),))
+        now = {k: x for k, x in now.items() if passed <= _ms(x[2]) + self.idle_ms}
+        if now:
+            self.now.update((_packed([(k, *x) for k, x in now.items()], NOW), passed))
+        else:
             self.now.clear()
-        elif last is not None:
-            self.now.update((n, rank, last, passed))
-            if ready:
-                self.handle.registerTimer(_ms(last) + self.idle_ms + 1)
+        ends = [_ms(r[1]) for r in later] + [_ms(x[2]) + self.idle_ms + 1 for x in now.values()]
+        if ends:
+            self.handle.registerTimer(min(ends))
         return iter(out)
 
     def close(self) -> None:
         pass
 
 
-def stream_log(events: DataFrame, key: str, delay: str, idle: datetime.timedelta) -> DataFrame:
-    """The log of a stream of at, seq, state, note and key, whose rows are late by delay at most. Needs the state store PROVIDER."""
+def stream_log(events: DataFrame, key: str, delay: str, idle: datetime.timedelta, parts: int = PARTS) -> DataFrame:
+    """The log of a stream of at, seq, state, note and key, whose rows are late by delay at most. Needs the state store PROVIDER.
+    parts: the same in all runs from one checkpoint."""
     own = events.select(F.col(key).cast("string").alias("key"), "at", F.col("seq").cast("long").alias("seq"), "state", "note").withWatermark("at", delay)
+    dealt = own.select(F.pmod(F.xxhash64("key"), F.lit(parts)).alias("part"), "*", F.unix_micros("at").alias("us"))
     processor = StateLog(int(idle / datetime.timedelta(milliseconds=1)))
-    return own.groupBy("key").transformWithState(statefulProcessor=processor, outputStructType=LOG, outputMode="Append", timeMode="EventTime")
+    rows = dealt.groupBy("part").transformWithState(statefulProcessor=processor, outputStructType=ROWS, outputMode="Append", timeMode="EventTime")
+    return rows.select("key", "n", F.timestamp_micros("us").alias("at"), "state", "note")
 
 
 def batch_log(events: DataFrame, key: str, idle: datetime.timedelta) -> DataFrame:

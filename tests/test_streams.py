@@ -56,6 +56,27 @@ def test_log_of_late_rows_over_restarts_equals_the_batch_form(spark, tmp_path):
     assert set(plain) == want
 
 
+def test_state_of_many_entities_is_kept_by_parts(spark, tmp_path):
+    """Six thousand entities wait: the state has some rows for each part, not for each entity. Null keys and seqs count, too."""
+    start = datetime.datetime(2024, 1, 1)
+    rows = [(f"u{i}" if i else None, start + datetime.timedelta(seconds=k * i), None if i % 5 == 0 else i * k, state, None) for i in range(6000) for k, state in ((1, "VERIFIED"), (2, "APPROVED"))]
+    source, target, marks = (str(tmp_path / x) for x in ("in", "out", "marks"))
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, transitions.PROVIDER)
+    try:
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        progress = run(spark, source, target, marks, "2 days", datetime.timedelta(hours=3))
+        assert 0 < progress.stateOperators[0].numRowsTotal <= 5 * 1024
+        spark.createDataFrame([("end", start + datetime.timedelta(days=9), 1, "VERIFIED", None)], SCHEMA).write.mode("append").parquet(source)
+        run(spark, source, target, marks, "2 days", datetime.timedelta(hours=3))
+    finally:
+        spark.conf.set(provider, before)
+    got = sorted(map(repr, spark.read.schema(transitions.LOG).parquet(target).collect()))
+    assert got == sorted(map(repr, transitions.batch_log(spark.createDataFrame(rows, SCHEMA), "user", datetime.timedelta(hours=3)).collect()))
+    assert len(got) == 18_000
+
+
 def test_batch_form_of_an_empty_table(spark):
     assert transitions.batch_log(spark.createDataFrame([], SCHEMA), "user", datetime.timedelta(hours=1)).where(F.lit(True)).count() == 0
 
