@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from orgmill.llm import decontaminate, ngram_join, packing, suffix_dedup, toxicity
 from orgmill.llm.common import table
-from orgmill.shared import scratch, shared_path
+from orgmill.shared import scratch, shared_path, written
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,6 +60,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         at = shared_path(spark, name)
         with scratch(spark):
             out = stage(spark, docs, sf_dir)
-            out.write.parquet(at)
+            written(out, at)
         docs = spark.read.schema(out.schema).parquet(at)
     return docs

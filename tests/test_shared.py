@@ -1,4 +1,7 @@
 import threading
+from pathlib import Path
+
+from pyspark.sql import functions as F
 
 from orgmill import shared
 
@@ -42,3 +45,38 @@ def test_nested_scratch_blocks_and_listed_batches(spark, tmp_path):
     for k in (10, 2):
         spark.range(1).write.parquet(f"{at}/batch={k}")
     assert shared.listed(spark, at) == [2, 10]
+
+
+def shuffled(spark):
+    """Files of shuffles on this machine."""
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for d in manager.localDirsString() for f in Path(d).rglob("shuffle_*.data")}
+
+
+def test_what_a_stored_table_has_shuffled_is_deleted_with_it(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffled(spark), spark.conf.get(key)
+    for k in range(2):
+        df = spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count()
+        table = shared.stored(df, "counts") if k else shared.settled(spark, "counts", lambda df=df: df)
+        for _ in range(50):  # files are deleted beside the driver's next steps
+            if not (left := shuffled(spark) - before):
+                break
+            threading.Event().wait(0.1)
+        else:
+            raise AssertionError(left)
+        assert len(rows := table.collect()) == 100 and sum(r["count"] for r in rows) == 10_000  # without a shuffle
+    assert spark.conf.get(key) == setting
+    assert df.count() == 100  # a table can be written again
+
+
+def test_the_setting_is_put_back_by_the_last_of_two_writes(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    first, second = shared._cleaning(spark), shared._cleaning(spark)
+    setting = spark.conf.get(key)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(key) == "true"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(key) == setting
