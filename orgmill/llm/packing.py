@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orgmill.llm.common import lean, slices, stored, texts
-from orgmill.llm.word_encoder import word_encoder
+from orgmill.llm.word_encoder import WORDS, word_encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Rows of one length that are numbered by one task, about.
@@ -33,7 +33,7 @@ def pieces(df: DataFrame, path: str, capacity: int = 4096, end_id: int = 1, id_c
     def cut(batches):
         encoder = word_encoder(path)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=1 << 20):  # an encoder's arrays take some 15 times its texts
                 ids, offsets = encoder.ids(part.column("text"))
                 rows = []
                 for doc, a, b in zip(part.column("doc_id").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
@@ -44,7 +44,7 @@ def pieces(df: DataFrame, path: str, capacity: int = 4096, end_id: int = 1, id_c
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
         encoder.keep()
 
-    return texts(df, id_col, text_col).mapInArrow(lean(cut), PIECES)
+    return texts(df, id_col, text_col).mapInArrow(lean(cut, WORDS), PIECES)
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[list[tuple[int, int]], int]]:

@@ -38,15 +38,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orgmill.llm.common import BASE, BYTE_CODE, buffers, lean, lean_pair, mix, powers, released, slices, squeezed
+from orgmill.llm.common import BASE, BYTE_CODE, buffers, lean, lean_pair, mix, powers, release, released, slices, squeezed
 
 LENGTH, GRAM = 50, 26
 #: Bytes and rows of a slice; bytes of text for each range of suffixes; anchors that one task compares, about.
 SLICE, SLICE_ROWS, RANGE_BYTES, BUCKET = 8 << 20, 50_000, 16 << 20, 2_000_000
 #: Places of an anchor beyond which Spark settles its strings.
 HOT = 20_000
-#: Bytes that are hashed at once, and suffixes that are cut at once.
-BLOCK, ROWS = 1 << 20, 1 << 14
+#: Anchors of a bucket that are compared at once, about.
+COMPARED = 250_000
+#: Bytes that are hashed at once (with some 100 bytes of arrays for each), and suffixes that are cut at once.
+BLOCK, ROWS = 1 << 16, 1 << 14
 #: Splitters at most, the documents and the anchors of each that they are sampled from, and the parts of a range.
 SPLITTERS, SAMPLE_DOCS, SAMPLE_ANCHORS, PARTS = 1024, 1000, 64, 4
 NO_ID = (1 << 63) - 1
@@ -162,7 +164,7 @@ def cut_slices(size: int):
 def sign(batch: pa.RecordBatch) -> int:
     """The checksum of a slice's rows, which goes with every message about it."""
     data, offsets = buffers(batch.column("text"))
-    return zlib.crc32(batch.column("oid").to_numpy(zero_copy_only=False).tobytes(), zlib.crc32(offsets.tobytes(), zlib.crc32(data.tobytes())))
+    return zlib.crc32(np.ascontiguousarray(batch.column("oid").to_numpy(zero_copy_only=False)), zlib.crc32(np.ascontiguousarray(offsets), zlib.crc32(np.ascontiguousarray(data))))
 
 
 CHANGED = "the table has changed between two reads: a slice has other rows than before"
@@ -178,13 +180,18 @@ def anchor_lists(buckets: int, length: int, gram: int):
                 batch_ = opened(blob.as_py())
                 own = sign(batch_)
                 with np.errstate(over="ignore"):
-                    at, h = anchors(*buffers(batch_.column("text")), length, gram)
+                    h = anchors(*buffers(batch_.column("text")), length, gram)[1]
+                del batch_
                 h, counts = np.unique(h, return_counts=True)
+                counts = np.minimum(counts, 65535).astype("<u2")
                 near, bucket = h & NEAR, (h >> np.uint64(40)) % np.uint64(buckets)
                 order = np.lexsort((near, bucket))
-                near, bucket, counts = near[order], bucket[order], np.minimum(counts, 65535)[order]
+                near, bucket, counts = near[order], bucket[order], counts[order]
+                del order
                 edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(h) else np.zeros(1, int)
-                rows = [(int(bucket[a]), name, own, int(b - a), squeezed(np.diff(near[a:b], prepend=np.uint64(0)), counts[a:b].astype("<u2"))) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+                rows = [(int(bucket[a]), name, own, int(b - a), squeezed(np.diff(near[a:b], prepend=np.uint64(0)), counts[a:b])) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+                del h, near, bucket, counts
+                release()
                 yield from table_of(rows, LISTS).to_batches()
 
     return read
@@ -199,22 +206,39 @@ def shared_in_bucket(hot: int):
 
     def compare(table: pa.Table) -> pa.Table:
         names, signs, sizes = table["slice"].to_numpy(), table["sign"].to_numpy(), table["n"].to_pylist()
-        parts = [released(blob.as_py(), (n, "<u8"), (n, "<u2")) for n, blob in zip(sizes, table["blob"])]
-        h = np.concatenate([np.cumsum(x) for x, _ in parts])
-        counts = np.concatenate([x for _, x in parts]).astype(np.int64)
-        who = np.repeat(np.arange(len(names)), sizes)
-        order = np.argsort(h, kind="stable")
-        h, counts, who = h[order], counts[order], who[order]
-        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        held = np.diff(np.append(first, len(h)))
-        many = np.add.reduceat(counts, first) > hot
-        told, many = np.repeat((held > 1) | many, held), np.repeat(many, held)
-        h, who, many = h[told], who[told], many[told]
-        order = np.argsort(who, kind="stable")  # h stays ascending within each
-        h, who, many = h[order], who[order], many[order]
-        edges = np.flatnonzero(np.concatenate([[True], who[1:] != who[:-1], [True]])) if len(h) else np.zeros(1, int)
-        bucket = table["bucket"][0].as_py()
-        return table_of([(int(names[who[a]]), int(signs[who[a]]), bucket, int(b - a), squeezed(np.diff(h[a:b], prepend=np.uint64(0)), many[a:b].astype("u1"))) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())], ANSWERS)
+        parts = []
+        for n, blob in zip(sizes, table["blob"]):
+            steps, counts = released(blob.as_py(), (n, "<u8"), (n, "<u2"))
+            parts.append((np.cumsum(steps), counts))
+        ranges = sum(sizes) // COMPARED + 1  # of hashes, which are even
+        cuts = np.array([(int(NEAR) + 1) * i // ranges for i in range(ranges + 1)], np.uint64)
+        places = [np.searchsorted(x, cuts).tolist() for x, _ in parts]
+        found: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in parts]
+        for i in range(ranges):
+            h = np.concatenate([x[at[i] : at[i + 1]] for (x, _), at in zip(parts, places)])
+            if not len(h):
+                continue
+            counts = np.concatenate([x[at[i] : at[i + 1]] for (_, x), at in zip(parts, places)]).astype(np.int64)
+            who = np.repeat(np.arange(len(parts)), [at[i + 1] - at[i] for at in places])
+            order = np.argsort(h, kind="stable")
+            h, counts, who = h[order], counts[order], who[order]
+            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            held = np.diff(np.append(first, len(h)))
+            many = np.add.reduceat(counts, first) > hot
+            told, many = np.repeat((held > 1) | many, held), np.repeat(many, held)
+            h, who, many = h[told], who[told], many[told]
+            order = np.argsort(who, kind="stable")  # h stays ascending within each
+            h, who, many = h[order], who[order], many[order]
+            edges = np.flatnonzero(np.concatenate([[True], who[1:] != who[:-1], [True]])) if len(h) else np.zeros(1, int)
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                found[who[a]].append((h[a:b], many[a:b]))
+        del parts
+        bucket, rows = table["bucket"][0].as_py(), []
+        for name, sign_, own in zip(names.tolist(), signs.tolist(), found):
+            if own:
+                h, many = (np.concatenate(x) for x in zip(*own))
+                rows.append((name, sign_, bucket, len(h), squeezed(np.diff(h, prepend=np.uint64(0)), many.astype("u1"))))
+        return table_of(rows, ANSWERS)
 
     return compare
 
@@ -317,6 +341,13 @@ def hot_strings(data, first, size, key, oid, place, back, name: int, ranges: int
     return out
 
 
+def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in known, which ascends."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def runs_of(splitters: list[bytes], parts: int, buckets: int, length: int, gram: int):
     """The sorted, front-coded run of a slice's suffixes at shared anchors, cut by ranges."""
     cuts = np.array(splitters, f"S{gram}")
@@ -338,17 +369,22 @@ def runs_of(splitters: list[bytes], parts: int, buckets: int, length: int, gram:
             at, h = anchors(data, offsets, length, gram)
         doc = np.searchsorted(offsets, at, side="right") - 1
         code = (h & NEAR) | ((h >> np.uint64(40)) % np.uint64(buckets)) << np.uint64(40)  # as the buckets know it
-        shared = np.isin(code, np.concatenate(near))
-        order = np.lexsort((doc, h))
+        shared = among(code, np.sort(np.concatenate(near)))
+        order = np.argsort(h, kind="stable")  # doc ascends already
         if len(order):  # anchors that several texts of this slice have
-            first = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]]))
+            ordered = h[order]
+            first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
             sizes = np.diff(np.append(first, len(h)))
-            several = doc[order][first] != doc[order][first + sizes - 1]
+            several = doc[order[first]] != doc[order[first + sizes - 1]]
             shared[order[np.repeat(several, sizes)]] = True
+            del ordered, first, sizes, several
+        del order
         doc, at, h, code = doc[shared], at[shared], h[shared], code[shared]
+        del shared, near
+        release()
         keep, back = without_periods(doc, at, h, length, gram)
         doc, at, back = doc[keep], at[keep], back[keep]
-        place, many = at - offsets[doc], np.isin(code[keep], np.concatenate(hot))
+        place, many = at - offsets[doc], among(code[keep], np.sort(np.concatenate(hot)))
         key, oid = (name << 16) | doc, batch.column("oid").to_numpy(zero_copy_only=False)[doc]
         size, ranges = np.diff(offsets)[doc], (len(cuts) + 1) * parts
         order = np.flatnonzero(many)
@@ -371,17 +407,22 @@ def runs_of(splitters: list[bytes], parts: int, buckets: int, length: int, gram:
     return sort
 
 
+#: Rows of a run that are Python's numbers at once, and spans that are held as such.
+DECODED, HELD = 1024, 20_000
+
+
 def decoded(name: int, n: int, m: int, blob: bytes, width: int):
     """(suffix, prefix length shared with the one before, id, row key, place, back) of a front-coded run, in order."""
-    docs, oids, doc, place, back, shared = (x.tolist() for x in released(blob, (m, "<u2"), (m, "<i8"), (n, "<u2"), (n, "<u4"), (n, "<u4"), (n, "u1")))
+    docs, oids, *columns = (x.copy() for x in released(blob, (m, "<u2"), (m, "<i8"), (n, "<u2"), (n, "<u4"), (n, "<u4"), (n, "u1")))
     raw = zstandard.ZstdDecompressor().decompress(blob)[m * 10 + n * 11 :]
-    suffix, at, id_of = b"", 0, dict(zip(docs, oids))
+    suffix, at, id_of = b"", 0, dict(zip(docs.tolist(), oids.tolist()))
     name <<= 16
-    for k, p, b, s in zip(doc, place, back, shared):
-        end = at + width - s
-        suffix = suffix[:s] + raw[at:end]
-        at = end
-        yield suffix, s, id_of[k], name | k, p, b
+    for i in range(0, n, DECODED):  # Python's numbers take several times the arrays
+        for k, p, b, s in zip(*(x[i : i + DECODED].tolist() for x in columns)):
+            end = at + width - s
+            suffix = suffix[:s] + raw[at:end]
+            at = end
+            yield suffix, s, id_of[k], name | k, p, b
 
 
 def merge(runs: list, width: int):
@@ -459,6 +500,7 @@ def settle_range(ranges: int, length: int, gram: int):
         whole_strings = number >= ranges
         wide = length if whole_strings else width
         found: list[tuple[int, int, int]] = []  # key, start, end
+        packed = [np.zeros((0, 3), np.int64)]  # those found before
 
         def by_pairs(group):
             """What a suffix shares with an earlier one around the anchor is one span."""
@@ -512,6 +554,9 @@ def settle_range(ranges: int, length: int, gram: int):
             if shared < wide and members:
                 close()
                 members = []
+                if len(found) > HELD:
+                    packed.append(np.array(found, np.int64))
+                    found.clear()
                 if shared < gram:
                     if len(group) > 1:
                         finish(group)
@@ -521,7 +566,8 @@ def settle_range(ranges: int, length: int, gram: int):
         if len(group) > 1:
             finish(group)
         signs = dict(zip(table["slice"].to_pylist(), table["sign"].to_pylist()))
-        return table_of(span_rows(*np.array(found, np.int64).reshape(-1, 3).T, signs), SPANS)
+        packed.append(np.array(found, np.int64).reshape(-1, 3))
+        return table_of(span_rows(*np.concatenate(packed).T, signs), SPANS)
 
     return settle
 

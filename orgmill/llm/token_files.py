@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orgmill.llm.common import lean, slices, texts
-from orgmill.llm.word_encoder import word_encoder
+from orgmill.llm.word_encoder import WORDS, word_encoder
 
 #: The dictionary is trained on pieces of this many documents, those with the smallest hashes of their ids.
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 16_384, 65_536
@@ -54,7 +54,7 @@ def train_dictionary(df: DataFrame, path: str, end_id: int, width: int) -> bytes
                 yield pa.RecordBatch.from_arrays([pa.array([x[i : i + SAMPLE_BYTES] for x in raw for i in range(0, len(x), SAMPLE_BYTES)], pa.binary())], names=["raw"])
         encoder.keep()
 
-    sample = docs.where(F.col("h") <= top).select("doc_id", "text").mapInArrow(lean(encode), "raw binary")
+    sample = docs.where(F.col("h") <= top).select("doc_id", "text").mapInArrow(lean(encode, WORDS), "raw binary")
     found = [bytes(r["raw"]) for r in sample.orderBy(F.xxhash64("raw"), "raw").limit(SAMPLE_DOCS).collect()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, found).as_bytes()
@@ -107,7 +107,7 @@ def write_ids(df: DataFrame, to: str, path: str, end_id: int = 1, id_col: str =
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = size // RANGE_BYTES + 1
     ordered = docs.withColumn("tie", F.xxhash64("text")).repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    ordered.select("doc_id", "text").mapInArrow(lean(shards), SHARDS).write.parquet(f"{to}/shards")
+    ordered.select("doc_id", "text").mapInArrow(lean(shards, WORDS), SHARDS).write.parquet(f"{to}/shards")
 
 
 def read_dictionary(spark: SparkSession, at: str) -> tuple[str, bytes]:

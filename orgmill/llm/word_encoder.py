@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from orgmill.llm.common import BYTE_CODE, buffers, ragged, word_hashes
+from orgmill.llm.common import BYTE_CODE, buffers, keep_until_others, ragged, word_hashes
 
 #: Distinct words kept by a worker; beyond it the memory starts anew. It changes speed only.
 MEMORY_WORDS = 1_200_000
@@ -26,11 +26,13 @@ LEARNT_WORDS = 8192
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
 SPLIT = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
 
+WORDS = "words"
 _encoders: dict[str, "WordEncoder"] = {}
 
 
 def word_encoder(path: str) -> "WordEncoder":
-    """One encoder for each Python worker and file."""
+    """One encoder for each Python worker and file, for tasks that are lean(..., WORDS); the first other lean task forgets it."""
+    keep_until_others(WORDS, _encoders.clear)
     if path not in _encoders:
         _encoders[path] = WordEncoder(path)
     return _encoders[path]
